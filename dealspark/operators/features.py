@@ -154,17 +154,15 @@ def weighted_score(features: DataFrame) -> DataFrame:
     """MT-17 (documented): 0.30*rev/max(rev)*100 + 0.20*n/max(n)*100
     + 0.25*engagement + 0.25*win_rate*100, banded 80/60/40.
 
-    The two table maxima are one global aggregate row, joined back as a
-    broadcast: its size is one row whatever the table size.
+    The two table maxima are scalar subqueries (one merged aggregate pass).
     """
-    maxima = features.agg(F.max("total_revenue").alias("__max_rev"),
-                          F.max("total_interactions").alias("__max_n"))
-    j = features.join(F.broadcast(maxima), how="inner", on=F.lit(True))
-    score = (F.coalesce(F.try_divide(F.col("total_revenue"), F.col("__max_rev")), F.lit(0.0)) * F.lit(100) * F.lit(0.30)
-             + F.coalesce(F.try_divide(F.col("total_interactions"), F.col("__max_n")), F.lit(0.0)) * F.lit(100) * F.lit(0.20)
+    max_rev = features.agg(F.max("total_revenue")).scalar()
+    max_n = features.agg(F.max("total_interactions")).scalar()
+    score = (F.coalesce(F.try_divide(F.col("total_revenue"), max_rev), F.lit(0.0)) * F.lit(100) * F.lit(0.30)
+             + F.coalesce(F.try_divide(F.col("total_interactions"), max_n), F.lit(0.0)) * F.lit(100) * F.lit(0.20)
              + F.col("engagement_score") * F.lit(0.25)
              + F.col("win_rate") * F.lit(100) * F.lit(0.25))
-    return j.select("customer_id", F.round(score, 2).alias("weighted_score")).withColumn(
+    return features.select("customer_id", F.round(score, 2).alias("weighted_score")).withColumn(
         "weighted_quality", quality_band("weighted_score", NOTEBOOK))
 
 

@@ -263,3 +263,170 @@ SELECT customer_id, customer_name, industry, annual_revenue, total_revenue, num_
   total_interactions, engagement_score, lead_score, lead_quality, account_manager
 FROM customer_features ORDER BY total_revenue DESC, customer_id ASC LIMIT 50"""),
 }
+
+
+# --- analysis-rule features and profiling ------------------------------------
+
+RAW_CHANNELS = {"call": "num_call", "e-mail": "num_e_mail", "phone": "num_phone",
+                "sms": "num_sms", "whatsapp message": "num_whatsapp_message"}
+OUTCOMES = {"negative": "num_negative_outcomes", "neutral": "num_neutral_outcomes",
+            "positive": "num_positive_outcomes"}
+
+_pivots = ",\n    ".join(
+    [f"COUNT(*) FILTER (WHERE channel = '{v}') AS {n}" for v, n in RAW_CHANNELS.items()]
+    + [f"COUNT(*) FILTER (WHERE outcome = '{v}') AS {n}" for v, n in OUTCOMES.items()])
+_pivot_fill = ", ".join(f"COALESCE(i.{n}, 0) AS {n}"
+                        for n in list(RAW_CHANNELS.values()) + list(OUTCOMES.values()))
+
+EDA_FEATURES = """
+eda_isum AS (
+  SELECT customer_id, COUNT(interaction_id) AS total_interactions,
+    SUM(interaction_time_minutes)::DOUBLE / COUNT(interaction_time_minutes) AS avg_interaction_duration,
+    MAX(interaction_date) AS last_interaction_date,
+    """ + _pivots + """
+  FROM interactions_clean WHERE customer_id IS NOT NULL GROUP BY customer_id),
+eda_deals AS (
+  SELECT customer_id, """ + msum("deal_value") + """ AS total_revenue, COUNT(deal_value) AS total_deals,
+    """ + mavg("deal_value") + """ AS avg_deal_value,
+    COUNT(*) FILTER (WHERE status = 'closed_won') AS num_closed_won
+  FROM leads_clean WHERE customer_id IS NOT NULL GROUP BY customer_id),
+eda_j AS (
+  SELECT c.customer_id, c.customer_name, c.industry, c.country, c.city, c.employee_count,
+    c.annual_revenue, c.account_manager, c.created_at,
+    COALESCE(i.total_interactions, 0) AS total_interactions,
+    COALESCE(i.avg_interaction_duration, 0.0) AS avg_interaction_duration,
+    i.last_interaction_date, """ + _pivot_fill + """,
+    COALESCE(d.total_revenue, 0.0) AS total_revenue, COALESCE(d.total_deals, 0) AS total_deals,
+    COALESCE(d.avg_deal_value, 0.0) AS avg_deal_value, COALESCE(d.num_closed_won, 0) AS num_closed_won
+  FROM customers_clean c
+  LEFT JOIN eda_isum i ON c.customer_id = i.customer_id
+  LEFT JOIN eda_deals d ON c.customer_id = d.customer_id),
+eda_e AS (
+  SELECT *, (num_positive_outcomes * 10 + total_interactions * 2 - num_negative_outcomes * 5)::DOUBLE
+    / (total_interactions + 1) AS engagement_score FROM eda_j),
+eda_s AS (
+  SELECT *, total_revenue / """ + REVENUE_UNIT + """::DOUBLE * 30.0::DOUBLE + total_interactions * 2.0::DOUBLE
+    + engagement_score * 25.0::DOUBLE + (num_closed_won / (total_deals + 0.001::DOUBLE)) * 20.0::DOUBLE AS raw_score
+  FROM eda_e),
+eda_features AS (
+  SELECT * EXCLUDE (raw_score, s0, s1), s1 AS lead_score,
+    CASE WHEN s1 > 0 AND s1 <= 100 AND s1 > 80 THEN 'hot'
+         WHEN s1 > 0 AND s1 <= 100 AND s1 > 60 THEN 'warm'
+         WHEN s1 > 0 AND s1 <= 100 AND s1 > 40 THEN 'cool'
+         WHEN s1 > 0 AND s1 <= 100 THEN 'cold' END AS lead_quality
+  FROM (SELECT *, CASE WHEN s0 < 0 THEN 0.0 ELSE s0 END AS s1
+        FROM (SELECT *, CASE WHEN raw_score > 100 THEN 100.0 ELSE raw_score END AS s0 FROM eda_s)))"""
+
+VALUE_DISTRIBUTIONS = (
+    ("leads", "status"), ("leads", "source"), ("customers", "industry"),
+    ("interactions", "channel"), ("interactions", "channel_standardized"),
+    ("interactions", "outcome"), ("products", "category"),
+)
+
+
+def _value_dist(table: str, col: str) -> str:
+    return f"""SELECT * FROM (
+  SELECT '{table}' AS table_name, '{col}' AS column_name, CAST({col} AS VARCHAR) AS value,
+    COUNT(*) AS count, COUNT(*) * 100.0::DOUBLE / (SUM(COUNT(*)) OVER ())::DOUBLE AS pct
+  FROM {table}_clean GROUP BY {col}) WHERE value IS NOT NULL"""
+
+
+RAW_TABLE_COLS = {
+    "leads": LEADS_COLS[:-1], "customers": CUSTOMERS_COLS,
+    "interactions": INTERACTIONS_COLS[:-1], "products": PRODUCTS_COLS,
+}
+
+
+def _null_profile(table: str) -> str:
+    parts = [f"""SELECT '{table}' AS table_name, '{c}' AS column_name,
+    COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count,
+    COUNT(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / COUNT(*) AS null_pct FROM raw_{table}"""
+             for c in RAW_TABLE_COLS[table]]
+    return "\nUNION ALL\n".join(parts)
+
+
+def median_sql(table: str, col: str) -> str:
+    """Exact median as Spark's percentile interpolates it: 0.5*a + 0.5*b."""
+    return f"""(SELECT CASE WHEN n = 0 THEN NULL WHEN n % 2 = 1 THEN MAX(x) FILTER (WHERE i = (n - 1) // 2)
+    ELSE 0.5 * MAX(x) FILTER (WHERE i = (n - 2) // 2) + 0.5 * MAX(x) FILTER (WHERE i = n // 2) END
+  FROM (SELECT x, ROW_NUMBER() OVER (ORDER BY x) - 1 AS i, COUNT(*) OVER () AS n
+        FROM (SELECT {col}::DOUBLE AS x FROM {table} WHERE {col} IS NOT NULL)) GROUP BY n)"""
+
+
+DESCRIBE_SPEC = {
+    "leads": {"deal_value": ("sum", "mean", "median", "min", "max")},
+    "customers": {"employee_count": ("mean", "median", "min", "max"),
+                  "annual_revenue": ("sum", "mean", "median")},
+    "interactions": {"interaction_time_minutes": ("mean", "median", "max")},
+}
+
+
+def _describe() -> str:
+    parts = []
+    for table, spec in DESCRIBE_SPEC.items():
+        for col, stats in spec.items():
+            x = f"{col}::DOUBLE"
+            fn = {"sum": msum(x), "mean": mavg(x), "min": f"MIN({x})", "max": f"MAX({x})"}
+            for s in stats:
+                expr = median_sql(f"{table}_clean", col) if s == "median" else f"(SELECT {fn[s]} FROM {table}_clean)"
+                parts.append(f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{s}' AS stat, "
+                             f"{expr} AS value")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE.update({
+    "eda_customer_features": with_(ALL_CLEAN + "," + EDA_FEATURES, "SELECT * FROM eda_features"),
+    "value_distribution": with_(ALL_CLEAN, "\nUNION ALL\n".join(_value_dist(t, c) for t, c in VALUE_DISTRIBUTIONS)),
+    "null_profile": with_(",".join([RAW_LEADS, RAW_CUSTOMERS, RAW_INTERACTIONS, RAW_PRODUCTS]),
+                          "SELECT * FROM (" + "\nUNION ALL\n".join(
+                              _null_profile(t) for t in RAW_TABLE_COLS) + ") WHERE null_count > 0"),
+    "descriptive_stats": with_(ALL_CLEAN, _describe()),
+    "status_breakdown": with_(CLEAN_LEADS, """
+SELECT * FROM (SELECT status, COUNT(*) AS deals, """ + msum("deal_value") + """ AS deal_value,
+  COUNT(*) * 100.0::DOUBLE / (SUM(COUNT(*)) OVER ())::DOUBLE AS pct
+  FROM leads_clean GROUP BY status) WHERE status IS NOT NULL"""),
+    "industry_revenue": with_(CLEAN_CUSTOMERS, """
+SELECT industry, """ + msum("annual_revenue") + """ AS annual_revenue
+FROM customers_clean WHERE industry IS NOT NULL GROUP BY industry"""),
+    "quality_distribution": with_(ALL_CLEAN + "," + EDA_FEATURES, """
+SELECT d.position, d.lead_quality, COALESCE(c.customers, 0) AS customers,
+  COALESCE(c.customers, 0) * 100.0::DOUBLE / (SELECT COUNT(*) FROM eda_features) AS pct
+FROM (VALUES (0, 'hot'), (1, 'warm'), (2, 'cool'), (3, 'cold')) d(position, lead_quality)
+LEFT JOIN (SELECT lead_quality, COUNT(*) AS customers FROM eda_features GROUP BY lead_quality) c
+  ON d.lead_quality = c.lead_quality"""),
+    "notebook_quality_distribution": with_(ALL_CLEAN + "," + FEATURES, """
+SELECT d.position, d.lead_quality, COALESCE(c.customers, 0) AS customers,
+  COALESCE(c.customers, 0) * 100.0::DOUBLE / (SELECT COUNT(*) FROM customer_features) AS pct
+FROM (VALUES (0, 'hot'), (1, 'warm'), (2, 'cool'), (3, 'cold')) d(position, lead_quality)
+LEFT JOIN (SELECT lead_quality, COUNT(*) AS customers FROM customer_features GROUP BY lead_quality) c
+  ON d.lead_quality = c.lead_quality"""),
+    "feature_summary": with_(ALL_CLEAN + "," + EDA_FEATURES, """
+SELECT """ + rnd("AVG(lead_score)", 6) + """ AS mean_lead_score, MAX(lead_score) AS max_lead_score,
+  """ + rnd("AVG(engagement_score)", 6) + """ AS mean_engagement_score,
+  SUM(total_interactions)::DOUBLE / COUNT(total_interactions) AS mean_total_interactions,
+  """ + mavg("total_revenue") + """ AS mean_total_revenue,
+  """ + median_sql("eda_features", "lead_score") + """ AS median_lead_score
+FROM eda_features"""),
+    "lead_score_histogram": with_(ALL_CLEAN + "," + EDA_FEATURES + """,
+rng AS (SELECT MIN(lead_score) AS lo, MAX(lead_score) AS hi FROM eda_features),
+binned AS (
+  SELECT CASE WHEN r.hi = r.lo THEN 0 ELSE LEAST(CAST(floor((f.lead_score - r.lo) / ((r.hi - r.lo) / 15.0::DOUBLE)) AS INTEGER), 14) END AS bin
+  FROM eda_features f, rng r WHERE f.lead_score IS NOT NULL)""", """
+SELECT b.bin, r.lo + b.bin * (r.hi - r.lo) / 15.0::DOUBLE AS bin_start,
+  r.lo + (b.bin + 1) * (r.hi - r.lo) / 15.0::DOUBLE AS bin_end, COALESCE(c.customers, 0) AS customers
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(15)) b CROSS JOIN rng r
+LEFT JOIN (SELECT bin, COUNT(*) AS customers FROM binned GROUP BY bin) c ON b.bin = c.bin
+WHERE r.lo IS NOT NULL"""),
+    "revenue_interaction_points": with_(ALL_CLEAN + "," + EDA_FEATURES,
+                                        "SELECT customer_id, total_interactions, total_revenue, lead_score FROM eda_features"),
+    "size_revenue_points": with_(CLEAN_CUSTOMERS, "SELECT customer_id, employee_count, annual_revenue FROM customers_clean"),
+    "top10_revenue": with_(ALL_CLEAN + "," + EDA_FEATURES, """
+SELECT customer_id, customer_name, total_revenue FROM eda_features
+ORDER BY total_revenue DESC, customer_id ASC LIMIT 10"""),
+    "top10_lead_score": with_(ALL_CLEAN + "," + EDA_FEATURES, """
+SELECT *, ROW_NUMBER() OVER (ORDER BY lead_score DESC, customer_id ASC) AS rank FROM (
+  SELECT customer_id, customer_name, lead_score, total_revenue, lead_quality FROM eda_features
+  ORDER BY lead_score DESC, customer_id ASC LIMIT 10)"""),
+    "top5_industries": with_(CLEAN_CUSTOMERS, """
+SELECT * FROM (""" + _value_dist("customers", "industry") + """) ORDER BY count DESC, value ASC LIMIT 5"""),
+})

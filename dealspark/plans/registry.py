@@ -121,3 +121,119 @@ def _channel_performance(t: Tables) -> DataFrame:
 def _top_customers(t: Tables) -> DataFrame:
     """TK-2: 50 customers by total revenue (ties by customer_id)."""
     return topk.top_customers(t.features())
+
+
+# --- profiling and analysis (the analysis script's tables) ------------------
+
+from dealspark.operators import profile as pf  # noqa: E402
+
+VALUE_DISTRIBUTIONS = (
+    ("leads", "status"), ("leads", "source"), ("customers", "industry"),
+    ("interactions", "channel"), ("interactions", "channel_standardized"),
+    ("interactions", "outcome"), ("products", "category"),
+)
+DESCRIBE_SPEC = {
+    "leads": {"deal_value": ("sum", "mean", "median", "min", "max")},
+    "customers": {"employee_count": ("mean", "median", "min", "max"),
+                  "annual_revenue": ("sum", "mean", "median")},
+    "interactions": {"interaction_time_minutes": ("mean", "median", "max")},
+}
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("eda_customer_features")
+def _eda_customer_features(t: Tables) -> DataFrame:
+    """MT-16 (AG-16..19, JN-4, MT-13, MT-14)."""
+    return t.eda_features()
+
+
+@query("value_distribution")
+def _value_distribution(t: Tables) -> DataFrame:
+    """AG-9, AG-10, FL-2, TK-6: value counts and shares of all rows."""
+    return _union([pf.value_distribution(t.clean(tb), c, tb) for tb, c in VALUE_DISTRIBUTIONS])
+
+
+@query("null_profile")
+def _null_profile(t: Tables) -> DataFrame:
+    """AG-11 over the raw tables."""
+    return _union([pf.null_profile(t.raw(tb), tb)
+                   for tb in ("leads", "customers", "interactions", "products")])
+
+
+@query("descriptive_stats")
+def _descriptive_stats(t: Tables) -> DataFrame:
+    """AG-12: sum / mean / exact median / min / max."""
+    return _union([pf.describe_columns(t.clean(tb), tb, spec) for tb, spec in DESCRIBE_SPEC.items()])
+
+
+@query("status_breakdown")
+def _status_breakdown(t: Tables) -> DataFrame:
+    """AG-13, AG-14."""
+    return pf.status_breakdown(t.clean("leads"))
+
+
+@query("industry_revenue")
+def _industry_revenue(t: Tables) -> DataFrame:
+    """AG-15."""
+    return pf.sum_by(t.clean("customers"), "industry", "annual_revenue", "annual_revenue")
+
+
+@query("quality_distribution")
+def _quality_distribution(t: Tables) -> DataFrame:
+    """AG-20 on the analysis-rule features."""
+    return pf.quality_distribution(t.eda_features())
+
+
+@query("notebook_quality_distribution")
+def _notebook_quality_distribution(t: Tables) -> DataFrame:
+    """AG-20 / AG-10 on the notebook-rule features."""
+    return pf.quality_distribution(t.features())
+
+
+@query("feature_summary")
+def _feature_summary(t: Tables) -> DataFrame:
+    """AG-21."""
+    return pf.feature_summary(t.eda_features())
+
+
+@query("lead_score_histogram")
+def _lead_score_histogram(t: Tables) -> DataFrame:
+    """AG-22: 15 equal-width bins."""
+    return pf.score_histogram(t.eda_features(), "lead_score", 15)
+
+
+@query("revenue_interaction_points")
+def _revenue_interaction_points(t: Tables) -> DataFrame:
+    """AG-23: interactions vs revenue, coloured by score."""
+    return pf.scatter_points(t.eda_features(), "customer_id", "total_interactions",
+                             "total_revenue", "lead_score")
+
+
+@query("size_revenue_points")
+def _size_revenue_points(t: Tables) -> DataFrame:
+    """AG-23: employees vs annual revenue."""
+    return pf.scatter_points(t.clean("customers"), "customer_id", "employee_count", "annual_revenue")
+
+
+@query("top10_revenue")
+def _top10_revenue(t: Tables) -> DataFrame:
+    """TK-3."""
+    return topk.top_by_revenue_ascending(t.eda_features(), 10)
+
+
+@query("top10_lead_score")
+def _top10_lead_score(t: Tables) -> DataFrame:
+    """TK-4."""
+    return topk.top_by_lead_score(t.eda_features(), 10)
+
+
+@query("top5_industries")
+def _top5_industries(t: Tables) -> DataFrame:
+    """TK-5."""
+    return pf.top_values(t.clean("customers"), "industry", 5, "customers")
