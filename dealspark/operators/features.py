@@ -175,7 +175,7 @@ def channel_conversion(interactions: DataFrame, leads: DataFrame,
     joined to per-customer deal sums, so the join is at customer grain.
     """
     ch = profile.channel_column
-    users = interactions.where(F.col("customer_id").isNotNull()).groupBy(ch, "customer_id").agg()
+    users = interactions.where(F.col("customer_id").isNotNull()).select(ch, "customer_id").distinct()
     per_cust = leads.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count_if(F.col("status") == F.lit(WON)).alias("won"),
         F.count_if(F.col("status") == F.lit(LOST)).alias("lost"),
@@ -209,13 +209,13 @@ def channel_response_time(interactions: DataFrame, leads: DataFrame,
     ch = profile.channel_column
     contact_days = interactions.where(
         F.col("customer_id").isNotNull() & F.col("interaction_date").isNotNull()
-    ).groupBy("customer_id", F.col(ch).alias("channel_key"),
-              F.col("interaction_date").alias("day")).agg()
+    ).select("customer_id", F.col(ch).alias("channel_key"),
+             F.col("interaction_date").alias("day")).distinct()
     lead_days = leads.where(
         F.col("customer_id").isNotNull() & F.col("created_at").isNotNull()
     ).groupBy("customer_id", F.col("created_at").alias("day")).agg(
         F.count(F.lit(1)).alias("n_leads"))
-    cust_channels = contact_days.groupBy("customer_id", "channel_key").agg()
+    cust_channels = contact_days.select("customer_id", "channel_key").distinct()
     lead_rows = lead_days.join(cust_channels, "customer_id", "inner").select(
         "customer_id", "channel_key", "day", "n_leads", F.lit(0).alias("kind"))
     contact_rows = contact_days.select(

@@ -4,7 +4,10 @@ The SQL restates each rule from the survey; it shares no code with the Spark
 operators. Conventions that keep both engines bit-identical:
 
 * Spark ``round`` is HALF_UP on the shortest decimal text of a double;
-  ``ROUND(x::DECIMAL(38,12), n)::DOUBLE`` reproduces it (``rnd``).
+  ``ROUND(x::VARCHAR::DECIMAL(38,18), n)::DOUBLE`` reproduces it (``rnd``):
+  DuckDB also prints the shortest text, and ROUND on a DECIMAL rounds half
+  away from zero. (A direct ``x::DECIMAL(38,12)`` cast rounds the binary
+  value first and flips e.g. 3.2737499999999997 to 3.2738.)
 * Money is summed exactly as DECIMAL(28,4) and then cast to DOUBLE (``msum``).
 * Integer means are ``SUM(x)::DOUBLE / COUNT(x)``.
 """
@@ -16,7 +19,7 @@ REVENUE_UNIT = "1000000.0"
 
 
 def rnd(expr: str, n: int) -> str:
-    return f"ROUND(({expr})::DECIMAL(38,12), {n})::DOUBLE"
+    return f"ROUND(({expr})::DOUBLE::VARCHAR::DECIMAL(38,18), {n})::DOUBLE"
 
 
 def msum(expr: str) -> str:
@@ -430,3 +433,202 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY lead_score DESC, customer_id ASC) AS rank
     "top5_industries": with_(CLEAN_CUSTOMERS, """
 SELECT * FROM (""" + _value_dist("customers", "industry") + """) ORDER BY count DESC, value ASC LIMIT 5"""),
 })
+
+
+# --- data quality ----------------------------------------------------------------
+
+KEYS = {"leads": "lead_id", "customers": "customer_id", "interactions": "interaction_id",
+        "products": "product_id"}
+QUALITY_SPEC = {
+    "leads": dict(null_columns=("email", "phone"), flag_columns=("is_contactable",),
+                  range_columns=("deal_value",)),
+    "customers": dict(null_columns=("account_manager",), range_columns=("employee_count", "annual_revenue")),
+    "interactions": dict(),
+    "products": dict(range_columns=("base_price",)),
+}
+CLEAN_COLS = {"leads": LEADS_COLS, "customers": CUSTOMERS_COLS, "interactions": INTERACTIONS_COLS,
+              "products": PRODUCTS_COLS}
+ALL_RAW = ",".join([RAW_LEADS, RAW_CUSTOMERS, RAW_INTERACTIONS, RAW_PRODUCTS])
+
+
+def _dup_clean(table: str) -> str:
+    k = KEYS[table]
+    return (f"COUNT(DISTINCT {k}) + COALESCE(MAX(CASE WHEN {k} IS NULL THEN 1 ELSE 0 END), 0)")
+
+
+def _quality_metrics(table: str) -> str:
+    spec = QUALITY_SPEC[table]
+    metrics = [("raw_rows", f"(SELECT COUNT(*) FROM raw_{table})"),
+               ("duplicates_removed", f"(SELECT COUNT(*) - ({_dup_clean(table)}) FROM raw_{table})"),
+               ("clean_rows", f"(SELECT COUNT(*) FROM {table}_clean)")]
+    metrics += [(f"null_{c}", f"(SELECT COUNT(*) FILTER (WHERE {c} IS NULL) FROM {table}_clean)")
+                for c in spec.get("null_columns", ())]
+    metrics += [(f"{c}_count", f"(SELECT COUNT(*) FILTER (WHERE {c} = 1) FROM {table}_clean)")
+                for c in spec.get("flag_columns", ())]
+    for c in spec.get("range_columns", ()):
+        metrics += [(f"{c}_min", f"(SELECT MIN({c}::DOUBLE) FROM {table}_clean)"),
+                    (f"{c}_max", f"(SELECT MAX({c}::DOUBLE) FROM {table}_clean)")]
+    return "\nUNION ALL\n".join(f"SELECT '{table}' AS table_name, '{m}' AS metric, {e}::DOUBLE AS value"
+                                for m, e in metrics)
+
+
+def _col_stats(table: str, src: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, MIN({c}::DOUBLE) AS min_value, "
+        f"MAX({c}::DOUBLE) AS max_value, {mavg(c + '::DOUBLE')} AS mean_value, "
+        f"{msum(c + '::DOUBLE')} AS sum_value FROM {src}" for c in cols)
+
+
+RANGE_RULES = {
+    "leads": {"deal_value_non_negative": "deal_value >= 0",
+              "status_known": "status IN ('open', 'closed_won', 'closed_lost')"},
+    "customers": {"annual_revenue_non_negative": "annual_revenue >= 0",
+                  "employee_count_non_negative": "employee_count >= 0"},
+    "interactions": {"duration_non_negative": "interaction_time_minutes >= 0",
+                     "date_present": "interaction_date IS NOT NULL"},
+    "products": {"base_price_non_negative": "base_price >= 0"},
+}
+
+
+def _completeness(table: str, src: str, cols: list[str]) -> str:
+    nn = " + ".join(f"COUNT({c})" for c in cols)
+    n = len(cols)
+    return (f"SELECT '{table}' AS table_name, COUNT(*) AS rows, COUNT(*) * {n} AS cells, "
+            f"({nn})::BIGINT AS non_null_cells, CASE WHEN COUNT(*) = 0 THEN NULL ELSE "
+            f"{rnd(f'({nn}) * 100.0::DOUBLE / (COUNT(*) * {n})', 4)} END AS completeness_pct FROM {src}")
+
+
+ORACLE.update({
+    "clean_layer_metrics": with_(ALL_CLEAN,
+                                 "\nUNION ALL\n".join(_quality_metrics(t) for t in QUALITY_SPEC)),
+    "duplicate_counts": with_(ALL_RAW, "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS raw_rows, ({_dup_clean(t)})::BIGINT AS clean_rows, "
+        f"(COUNT(*) - ({_dup_clean(t)}))::BIGINT AS duplicates_removed FROM raw_{t}" for t in QUALITY_SPEC)),
+    "column_stats": with_(ALL_CLEAN + "," + INTERACTION_METRICS + "," + DEAL_METRICS, "\nUNION ALL\n".join([
+        _col_stats("leads", "leads_clean", ["deal_value"]),
+        _col_stats("customers", "customers_clean", ["employee_count", "annual_revenue"]),
+        _col_stats("products", "products_clean", ["base_price"]),
+        _col_stats("interactions", "interactions_clean", ["interaction_time_minutes"]),
+        _col_stats("interaction_metrics", "interaction_metrics", ["total_interactions", "engagement_score"]),
+        _col_stats("deal_metrics", "deal_metrics", ["total_revenue", "conversion_rate", "avg_deal_value"]),
+    ])),
+    "row_counts": with_(ALL_CLEAN, "\nUNION ALL\n".join(
+        [f"SELECT 'raw_{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in QUALITY_SPEC]
+        + [f"SELECT 'clean_{t}' AS table_name, COUNT(*) AS row_count FROM {t}_clean" for t in QUALITY_SPEC])),
+    "range_violations": with_(ALL_CLEAN, "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{r}' AS rule, COUNT(*) FILTER (WHERE NOT COALESCE({cond}, FALSE)) "
+        f"AS violations FROM {t}_clean" for t, rules in RANGE_RULES.items() for r, cond in rules.items())),
+    "negative_revenue_customers": with_(CLEAN_CUSTOMERS, """
+SELECT customer_id, customer_name, annual_revenue FROM customers_clean
+WHERE NOT COALESCE(annual_revenue >= 0, FALSE)"""),
+    "orphan_counts": with_(ALL_CLEAN, """
+SELECT 'leads' AS table_name, COUNT(*) AS orphan_rows FROM leads_clean l
+WHERE NOT EXISTS (SELECT 1 FROM customers_clean c WHERE c.customer_id = l.customer_id)
+UNION ALL
+SELECT 'interactions', COUNT(*) FROM interactions_clean i
+WHERE NOT EXISTS (SELECT 1 FROM customers_clean c WHERE c.customer_id = i.customer_id)"""),
+    "completeness": with_(ALL_CLEAN, "\nUNION ALL\n".join(
+        [_completeness(f"raw_{t}", f"raw_{t}", RAW_TABLE_COLS[t]) for t in QUALITY_SPEC]
+        + [_completeness(f"clean_{t}", f"{t}_clean", CLEAN_COLS[t]) for t in QUALITY_SPEC])),
+    "volume_growth": with_(ALL_CLEAN + """,
+prev AS (""" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS previous_rows FROM raw_{t}" for t in QUALITY_SPEC) + """),
+cur AS (""" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS current_rows FROM {t}_clean" for t in QUALITY_SPEC) + ")", """
+SELECT COALESCE(p.table_name, c.table_name) AS table_name, previous_rows, current_rows,
+  current_rows - previous_rows AS row_change,
+  CASE WHEN previous_rows = 0 THEN NULL ELSE """ + rnd("(current_rows - previous_rows) * 100.0::DOUBLE / previous_rows", 4) + """ END AS growth_pct
+FROM prev p FULL OUTER JOIN cur c ON p.table_name = c.table_name"""),
+})
+
+# --- documented-only operators ---------------------------------------------------
+
+_EMAIL_RE = "'^(.*)@([^@]*)$'"
+_DIGITS = "regexp_replace(phone, '[^0-9]', '', 'g')"
+
+ORACLE.update({
+    "normalized_names": with_(CLEAN_CUSTOMERS, """
+SELECT customer_id,
+  regexp_replace(trim(lower(customer_name)), '[^a-z0-9\\s]', '', 'g') AS customer_name,
+  regexp_replace(trim(lower(industry)), '[^a-z0-9\\s]', '', 'g') AS industry
+FROM customers_clean"""),
+    "leads_with_defaults": with_(CLEAN_LEADS, """
+SELECT * REPLACE (COALESCE(email, 'unknown') AS email, COALESCE(phone, 'unknown') AS phone,
+  COALESCE(status, 'unknown') AS status)
+FROM leads_clean WHERE customer_id IS NOT NULL"""),
+    "masked_leads": with_(CLEAN_LEADS, """
+SELECT lead_id,
+  CASE WHEN email IS NULL THEN NULL
+       WHEN contains(email, '@') THEN sha256(regexp_extract(email, """ + _EMAIL_RE + """, 1)) || '@'
+         || regexp_extract(email, """ + _EMAIL_RE + """, 2)
+       ELSE sha256(email) END AS email,
+  CASE WHEN phone IS NULL THEN NULL ELSE repeat('*', greatest(length(""" + _DIGITS + """) - 4, 0))
+    || right(""" + _DIGITS + """, 4) END AS phone
+FROM leads_clean"""),
+    "interactions_daily_dedupe": with_(CLEAN_INTERACTIONS, """
+SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, interaction_date
+  ORDER BY interaction_id ASC NULLS LAST, channel ASC NULLS LAST, interaction_time_minutes ASC NULLS LAST,
+  outcome ASC NULLS LAST, notes ASC NULLS LAST, channel_standardized ASC NULLS LAST) AS rn
+  FROM interactions_clean) WHERE rn = 1"""),
+    "lead_features": with_(CLEAN_LEADS + "," + CLEAN_INTERACTIONS + "," + INTERACTION_METRICS, """
+SELECT l.lead_id, l.customer_id, l.deal_value, l.status, l.source,
+  COALESCE(i.total_interactions, 0) AS total_interactions, COALESCE(i.num_calls, 0) AS num_calls,
+  COALESCE(i.num_positive_outcomes, 0) AS num_positive_outcomes,
+  COALESCE(i.num_negative_outcomes, 0) AS num_negative_outcomes,
+  COALESCE(i.engagement_score, 0.0) AS engagement_score,
+  COALESCE(i.preferred_channel, 'email') AS preferred_channel,
+  COALESCE(i.days_since_last_interaction, 999) AS days_since_last_interaction
+FROM leads_clean l LEFT JOIN interaction_metrics i ON l.customer_id = i.customer_id"""),
+    "weighted_score": with_(ALL_CLEAN + "," + FEATURES + """,
+mx AS (SELECT MAX(total_revenue) AS mr, MAX(total_interactions) AS mn FROM customer_features),
+ws AS (SELECT customer_id, """ + rnd(
+        "COALESCE(CASE WHEN mx.mr = 0 THEN NULL ELSE total_revenue / mx.mr END, 0.0) * 100 * 0.30::DOUBLE"
+        " + COALESCE(CASE WHEN mx.mn = 0 THEN NULL ELSE total_interactions::DOUBLE / mx.mn END, 0.0) * 100 * 0.20::DOUBLE"
+        " + engagement_score * 0.25::DOUBLE + win_rate * 100 * 0.25::DOUBLE", 2) + """ AS weighted_score
+  FROM customer_features, mx)""", """
+SELECT customer_id, weighted_score,
+  CASE WHEN weighted_score >= 80 THEN 'hot' WHEN weighted_score >= 60 THEN 'warm'
+       WHEN weighted_score >= 40 THEN 'cool' ELSE 'cold' END AS weighted_quality
+FROM ws"""),
+    "recency_engagement": with_(ALL_CLEAN + "," + FEATURES, """
+SELECT customer_id, CASE WHEN total_interactions = 0 THEN NULL ELSE """ + rnd(
+        "((num_positive_outcomes::DOUBLE / total_interactions) * 5 + (num_calls::DOUBLE / total_interactions) * 2"
+        " + (CASE WHEN days_since_last_interaction < 7 THEN 10 ELSE 5 END) * 3) / 10", 4) + """ END
+  AS recency_engagement
+FROM customer_features"""),
+    "channel_conversion": with_(CLEAN_LEADS + "," + CLEAN_INTERACTIONS + """,
+users AS (SELECT DISTINCT channel_standardized, customer_id FROM interactions_clean WHERE customer_id IS NOT NULL),
+per_cust AS (SELECT customer_id, COUNT(*) FILTER (WHERE status = 'closed_won') AS won,
+  COUNT(*) FILTER (WHERE status = 'closed_lost') AS lost, SUM(deal_value::DECIMAL(28,4)) AS deal_sum,
+  COUNT(deal_value) AS deals FROM leads_clean WHERE customer_id IS NOT NULL GROUP BY customer_id),
+cc AS (SELECT channel_standardized, COUNT(*) AS customers_with_deals, SUM(won)::BIGINT AS won,
+  SUM(lost)::BIGINT AS lost, SUM(deal_sum) AS deal_sum, SUM(deals)::BIGINT AS deals
+  FROM users u JOIN per_cust p ON u.customer_id = p.customer_id GROUP BY channel_standardized)""", """
+SELECT channel_standardized, customers_with_deals, won, lost,
+  CASE WHEN won + lost = 0 THEN NULL ELSE """ + rnd("won::DOUBLE / (won + lost)", 4) + """ END AS channel_conversion_rate,
+  CASE WHEN deals = 0 THEN NULL ELSE """ + rnd("deal_sum::DOUBLE / deals", 2) + """ END AS avg_deal_value
+FROM cc"""),
+    "channel_response_time": with_(CLEAN_LEADS + "," + CLEAN_INTERACTIONS + """,
+cd AS (SELECT DISTINCT customer_id, channel_standardized AS ch, interaction_date AS day FROM interactions_clean
+  WHERE customer_id IS NOT NULL AND interaction_date IS NOT NULL),
+ld AS (SELECT customer_id, created_at AS day, COUNT(*) AS n_leads FROM leads_clean
+  WHERE customer_id IS NOT NULL AND created_at IS NOT NULL GROUP BY customer_id, created_at),
+firsts AS (SELECT l.customer_id, c.ch, l.day, l.n_leads, MIN(c.day) AS nxt
+  FROM ld l JOIN cd c ON l.customer_id = c.customer_id AND c.day >= l.day
+  GROUP BY l.customer_id, c.ch, l.day, l.n_leads)""", """
+SELECT ch AS channel_standardized, SUM(n_leads)::BIGINT AS leads_answered,
+  """ + rnd("SUM(date_diff('day', day::DATE, nxt::DATE) * n_leads)::DOUBLE / SUM(n_leads)", 4) + """ AS avg_response_days
+FROM firsts GROUP BY ch"""),
+    "daily_trend": with_(CLEAN_LEADS + """,
+daily AS (SELECT created_at AS deal_date, COUNT(*) AS total_deals,
+  """ + msum("CASE WHEN status = 'closed_won' THEN deal_value ELSE 0.0 END") + """ AS revenue_won
+  FROM leads_clean WHERE created_at IS NOT NULL GROUP BY created_at)""", """
+SELECT deal_date, total_deals, revenue_won,
+  revenue_won - LAG(revenue_won) OVER (ORDER BY deal_date) AS revenue_change,
+  total_deals - LAG(total_deals) OVER (ORDER BY deal_date) AS deals_change
+FROM daily"""),
+    "hot_leads": with_(ALL_CLEAN + "," + FEATURES, """
+SELECT customer_id, customer_name, lead_score, preferred_channel, total_revenue, engagement_score
+FROM customer_features WHERE lead_quality = 'hot'
+ORDER BY lead_score DESC, customer_id ASC LIMIT 10"""),
+})

@@ -237,3 +237,175 @@ def _top10_lead_score(t: Tables) -> DataFrame:
 def _top5_industries(t: Tables) -> DataFrame:
     """TK-5."""
     return pf.top_values(t.clean("customers"), "industry", 5, "customers")
+
+
+# --- data quality ----------------------------------------------------------------
+
+from dealspark.functions.scoring import recency_engagement  # noqa: E402
+from dealspark.operators import dedupe as dd  # noqa: E402
+from dealspark.operators import quality as dq  # noqa: E402
+from dealspark.schemas import KEYS, clean_schema  # noqa: E402
+
+QUALITY_SPEC = {
+    "leads": dict(null_columns=("email", "phone"), flag_columns=("is_contactable",),
+                  range_columns=("deal_value",)),
+    "customers": dict(null_columns=("account_manager",), range_columns=("employee_count", "annual_revenue")),
+    "interactions": dict(),
+    "products": dict(range_columns=("base_price",)),
+}
+# The documented ranges every clean table must satisfy.
+def range_rules():
+    return {
+        "leads": {"deal_value_non_negative": F.col("deal_value") >= 0,
+                  "status_known": F.col("status").isin("open", "closed_won", "closed_lost")},
+        "customers": {"annual_revenue_non_negative": F.col("annual_revenue") >= 0,
+                      "employee_count_non_negative": F.col("employee_count") >= 0},
+        "interactions": {"duration_non_negative": F.col("interaction_time_minutes") >= 0,
+                         "date_present": F.col("interaction_date").isNotNull()},
+    "products": {"base_price_non_negative": F.col("base_price") >= 0},
+    }
+
+
+@query("clean_layer_metrics")
+def _clean_layer_metrics(t: Tables) -> DataFrame:
+    """DQ-1, FL-1, FL-2, AG-7, AG-8, DD-2."""
+    return _union([dq.clean_layer_metrics(t.raw(tb), t.clean(tb), tb, KEYS[tb], **spec)
+                   for tb, spec in QUALITY_SPEC.items()])
+
+
+@query("duplicate_counts")
+def _duplicate_counts(t: Tables) -> DataFrame:
+    """DD-2 per table."""
+    return _union([dd.duplicate_counts(t.raw(tb), KEYS[tb]).select(F.lit(tb).alias("table_name"), "*")
+                   for tb in QUALITY_SPEC])
+
+
+@query("column_stats")
+def _column_stats(t: Tables) -> DataFrame:
+    """AG-7: whole-table min / max / mean / sum."""
+    return _union([
+        pf.column_stats(t.clean("leads"), "leads", ["deal_value"]),
+        pf.column_stats(t.clean("customers"), "customers", ["employee_count", "annual_revenue"]),
+        pf.column_stats(t.clean("products"), "products", ["base_price"]),
+        pf.column_stats(t.clean("interactions"), "interactions", ["interaction_time_minutes"]),
+        pf.column_stats(agg.interaction_metrics(t.clean("interactions"), dt.AS_OF, BENCH_NOTEBOOK),
+                        "interaction_metrics", ["total_interactions", "engagement_score"]),
+        pf.column_stats(agg.deal_metrics(t.clean("leads"), BENCH_NOTEBOOK), "deal_metrics",
+                        ["total_revenue", "conversion_rate", "avg_deal_value"]),
+    ])
+
+
+@query("row_counts")
+def _row_counts(t: Tables) -> DataFrame:
+    """AG-8: rows per raw and clean table."""
+    return pf.row_counts({**{f"raw_{tb}": t.raw(tb) for tb in QUALITY_SPEC},
+                          **{f"clean_{tb}": t.clean(tb) for tb in QUALITY_SPEC}})
+
+
+@query("range_violations")
+def _range_violations(t: Tables) -> DataFrame:
+    """DQ-2: documented range rules, violations per rule."""
+    return _union([dq.range_violations(t.clean(tb), tb, rules) for tb, rules in range_rules().items()])
+
+
+@query("negative_revenue_customers")
+def _negative_revenue_customers(t: Tables) -> DataFrame:
+    """DQ-2: the violating rows of the revenue rule."""
+    return dq.violating_rows(t.clean("customers"), F.col("annual_revenue") >= 0).select(
+        "customer_id", "customer_name", "annual_revenue")
+
+
+@query("orphan_counts")
+def _orphan_counts(t: Tables) -> DataFrame:
+    """DQ-3: leads / interactions whose customer is unknown (left anti join)."""
+    return dq.orphan_counts({"leads": t.clean("leads"), "interactions": t.clean("interactions")},
+                            t.clean("customers"))
+
+
+@query("completeness")
+def _completeness(t: Tables) -> DataFrame:
+    """DQ-4 per raw and clean table."""
+    return _union([dq.completeness(t.raw(tb), f"raw_{tb}") for tb in QUALITY_SPEC]
+                  + [dq.completeness(t.clean(tb), f"clean_{tb}") for tb in QUALITY_SPEC])
+
+
+@query("volume_growth")
+def _volume_growth(t: Tables) -> DataFrame:
+    """DQ-5: row change from the raw to the clean layer, per table."""
+    prev = pf.row_counts({tb: t.raw(tb) for tb in QUALITY_SPEC})
+    cur = pf.row_counts({tb: t.clean(tb) for tb in QUALITY_SPEC})
+    return dq.volume_growth(prev, cur)
+
+
+# --- documented-only operators ---------------------------------------------------
+
+
+@query("normalized_names")
+def _normalized_names(t: Tables) -> DataFrame:
+    """CL-16: strip special characters from names."""
+    return cl.normalize_text(t.clean("customers"), ["customer_name", "industry"]).select(
+        "customer_id", "customer_name", "industry")
+
+
+@query("leads_with_defaults")
+def _leads_with_defaults(t: Tables) -> DataFrame:
+    """FL-4 + CL-18: drop NULL customer keys, then per-column defaults."""
+    leads = cl.drop_missing_keys(t.clean("leads"), ["customer_id"])
+    return cl.fill_defaults(leads, {"email": "unknown", "phone": "unknown", "status": "unknown"})
+
+
+@query("masked_leads")
+def _masked_leads(t: Tables) -> DataFrame:
+    """CL-19: masked contact data."""
+    return cl.mask_contacts(t.clean("leads")).select("lead_id", "email", "phone")
+
+
+@query("interactions_daily_dedupe")
+def _interactions_daily_dedupe(t: Tables) -> DataFrame:
+    """DD-3: one interaction per (customer_id, interaction_date)."""
+    return dd.keep_first(t.clean("interactions"), ["customer_id", "interaction_date"])
+
+
+@query("lead_features")
+def _lead_features(t: Tables) -> DataFrame:
+    """JN-5: leads ⟕ interaction metrics."""
+    return ft.lead_features(t.clean("leads"), t.clean("interactions"), dt.AS_OF, BENCH_NOTEBOOK)
+
+
+@query("weighted_score")
+def _weighted_score(t: Tables) -> DataFrame:
+    """MT-17: documented weighted score normalised by table maxima."""
+    return ft.weighted_score(t.features())
+
+
+@query("recency_engagement")
+def _recency_engagement(t: Tables) -> DataFrame:
+    """MT-18: documented engagement with recency."""
+    f = t.features()
+    return f.select("customer_id", F.round(recency_engagement(
+        "num_positive_outcomes", "num_calls", "total_interactions", "days_since_last_interaction"),
+        4).alias("recency_engagement"))
+
+
+@query("channel_conversion")
+def _channel_conversion(t: Tables) -> DataFrame:
+    """MT-19."""
+    return ft.channel_conversion(t.clean("interactions"), t.clean("leads"), BENCH_NOTEBOOK)
+
+
+@query("channel_response_time")
+def _channel_response_time(t: Tables) -> DataFrame:
+    """MT-20."""
+    return ft.channel_response_time(t.clean("interactions"), t.clean("leads"), BENCH_NOTEBOOK)
+
+
+@query("daily_trend")
+def _daily_trend(t: Tables) -> DataFrame:
+    """MT-21 on the daily summary."""
+    return ft.daily_trend(agg.sales_summary(t.clean("leads"), BENCH_NOTEBOOK))
+
+
+@query("hot_leads")
+def _hot_leads(t: Tables) -> DataFrame:
+    """FL-5 + TK-7: documented SQL over a temp view."""
+    return topk.hot_leads(t.spark, t.features(), 10, view="bench_customer_features")
