@@ -632,3 +632,66 @@ SELECT customer_id, customer_name, lead_score, preferred_channel, total_revenue,
 FROM customer_features WHERE lead_quality = 'hot'
 ORDER BY lead_score DESC, customer_id ASC LIMIT 10"""),
 })
+
+
+# --- lead-scoring model -------------------------------------------------------
+
+ML_FEATURES = ("total_interactions", "num_calls", "num_whatsapp", "num_emails",
+               "num_positive_outcomes", "num_negative_outcomes", "engagement_score",
+               "total_revenue", "num_closed_won", "num_closed_lost", "conversion_rate",
+               "win_rate", "avg_deal_value", "employee_count", "annual_revenue")
+LABELLED = ALL_CLEAN + "," + FEATURES + """,
+labelled AS (SELECT *, (lead_score >= 80)::INTEGER AS is_hot_lead FROM customer_features),
+rule_pred AS (SELECT is_hot_lead, (probability_to_convert >= 0.5)::INTEGER AS prediction FROM labelled),
+cells AS (SELECT
+  COUNT(*) FILTER (WHERE is_hot_lead = 0 AND prediction = 0) AS tn,
+  COUNT(*) FILTER (WHERE is_hot_lead = 0 AND prediction = 1) AS fp,
+  COUNT(*) FILTER (WHERE is_hot_lead = 1 AND prediction = 0) AS fn,
+  COUNT(*) FILTER (WHERE is_hot_lead = 1 AND prediction = 1) AS tp FROM rule_pred),
+c AS (SELECT tn, fp, fn, tp, tn::DOUBLE AS dtn, fp::DOUBLE AS dfp, fn::DOUBLE AS dfn, tp::DOUBLE AS dtp FROM cells),
+prf AS (SELECT *,
+  COALESCE(CASE WHEN dtp + dfp = 0 THEN NULL ELSE dtp / (dtp + dfp) END, 0.0) AS p1,
+  COALESCE(CASE WHEN dtp + dfn = 0 THEN NULL ELSE dtp / (dtp + dfn) END, 0.0) AS r1,
+  COALESCE(CASE WHEN dtn + dfn = 0 THEN NULL ELSE dtn / (dtn + dfn) END, 0.0) AS p0,
+  COALESCE(CASE WHEN dtn + dfp = 0 THEN NULL ELSE dtn / (dtn + dfp) END, 0.0) AS r0,
+  dtp + dfn AS s1, dtn + dfp AS s0 FROM c),
+prf2 AS (SELECT *,
+  COALESCE(CASE WHEN p1 + r1 = 0 THEN NULL ELSE 2.0::DOUBLE * p1 * r1 / (p1 + r1) END, 0.0) AS f1,
+  COALESCE(CASE WHEN p0 + r0 = 0 THEN NULL ELSE 2.0::DOUBLE * p0 * r0 / (p0 + r0) END, 0.0) AS f0,
+  s0 + s1 AS total FROM prf)"""
+
+
+def _wavg(a: str, b: str) -> str:
+    return f"COALESCE(CASE WHEN total = 0 THEN NULL ELSE ({a} * s0 + {b} * s1) / total END, 0.0)"
+
+
+ORACLE.update({
+    "ml_labels": with_(ALL_CLEAN + "," + FEATURES, """
+SELECT customer_id, (lead_score >= 80)::INTEGER AS score_label,
+  (total_revenue > """ + median_sql("customer_features", "total_revenue") + """
+   AND total_interactions > """ + median_sql("customer_features", "total_interactions") + """)::INTEGER AS median_label
+FROM customer_features"""),
+    "class_balance": with_(LABELLED, """
+SELECT * FROM (SELECT 'customer_features' AS table_name, 'is_hot_lead' AS column_name,
+  CAST(is_hot_lead AS VARCHAR) AS value, COUNT(*) AS count,
+  COUNT(*) * 100.0::DOUBLE / (SUM(COUNT(*)) OVER ())::DOUBLE AS pct
+  FROM labelled GROUP BY is_hot_lead) WHERE value IS NOT NULL"""),
+    "ml_feature_matrix": with_(LABELLED, "SELECT customer_id, " + ", ".join(
+        f"COALESCE({c}::DOUBLE, 0.0) AS {c}" for c in ML_FEATURES) + ", is_hot_lead FROM labelled"),
+    "train_test_split": with_(LABELLED, """
+SELECT customer_id, is_hot_lead,
+  CASE WHEN ROW_NUMBER() OVER (PARTITION BY is_hot_lead ORDER BY substr(md5(customer_id || ':42'), 1, 15), customer_id)
+    <= """ + rnd("COUNT(*) OVER (PARTITION BY is_hot_lead) * 0.2::DOUBLE", 0) + """ THEN 'test' ELSE 'train' END AS split
+FROM labelled"""),
+    "rule_classifier_metrics": with_(LABELLED, """
+SELECT COALESCE(CASE WHEN total = 0 THEN NULL ELSE (dtp + dtn) / (dtp + dtn + dfp + dfn) END, 0.0) AS accuracy,
+  p1 AS precision, r1 AS recall, f1, tn, fp, fn, tp FROM prf2"""),
+    "rule_classifier_report": with_(LABELLED, """
+SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1, s0::BIGINT AS support FROM prf2
+UNION ALL SELECT '1', p1, r1, f1, s1::BIGINT FROM prf2
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total::BIGINT FROM prf2
+UNION ALL SELECT 'weighted avg', """ + _wavg("p0", "p1") + ", " + _wavg("r0", "r1") + ", " + _wavg("f0", "f1")
+        + """, total::BIGINT FROM prf2
+UNION ALL SELECT 'accuracy', NULL, NULL, COALESCE(CASE WHEN total = 0 THEN NULL ELSE (dtp + dtn) / total END, 0.0),
+  total::BIGINT FROM prf2"""),
+})

@@ -409,3 +409,67 @@ def _daily_trend(t: Tables) -> DataFrame:
 def _hot_leads(t: Tables) -> DataFrame:
     """FL-5 + TK-7: documented SQL over a temp view."""
     return topk.hot_leads(t.spark, t.features(), 10, view="bench_customer_features")
+
+
+# --- lead-scoring model -------------------------------------------------------
+
+from dealspark.operators import ml  # noqa: E402
+
+
+def _labelled(t: Tables) -> DataFrame:
+    return ml.make_label(t.features())
+
+
+@query("ml_labels")
+def _ml_labels(t: Tables) -> DataFrame:
+    """ML-1 and ML-2 side by side."""
+    f = t.features()
+    hot = ml.hot_lead_label(f).select("customer_id", F.col(ml.LABEL).alias("score_label"))
+    med = ml.median_label(f).select("customer_id", F.col(ml.LABEL).alias("median_label"))
+    return hot.join(med, "customer_id")
+
+
+@query("class_balance")
+def _class_balance(t: Tables) -> DataFrame:
+    """ML-3."""
+    return pf.value_distribution(_labelled(t), ml.LABEL, "customer_features")
+
+
+@query("ml_feature_matrix")
+def _ml_feature_matrix(t: Tables) -> DataFrame:
+    """ML-4: available features, NULL → 0."""
+    lab = _labelled(t)
+    return ml.feature_matrix(lab, "customer_id", ml.available_features(lab))
+
+
+@query("train_test_split")
+def _train_test_split(t: Tables) -> DataFrame:
+    """ML-5: exact stratified 80/20 split, seed 42."""
+    return ml.stratified_split(_labelled(t), "customer_id").select("customer_id", ml.LABEL, "split")
+
+
+@query("rule_classifier_report")
+def _rule_classifier_report(t: Tables) -> DataFrame:
+    """ML-11, ML-13, ML-14 on a fixed rule: predict hot when the conversion
+    probability is at least 0.5."""
+    pred = _labelled(t).select(
+        ml.LABEL, (F.col("probability_to_convert") >= 0.5).cast("int").alias("prediction"))
+    return ml.classification_report(pred)
+
+
+@query("rule_classifier_metrics")
+def _rule_classifier_metrics(t: Tables) -> DataFrame:
+    """ML-11, ML-13: metrics and confusion cells of the same rule."""
+    pred = _labelled(t).select(
+        ml.LABEL, (F.col("probability_to_convert") >= 0.5).cast("int").alias("prediction"))
+    return ml.binary_metrics(pred)
+
+
+@query("model_predictions")
+def _model_predictions(t: Tables) -> DataFrame:
+    """ML-7..10: boosted trees trained on the train split, scored on the test split."""
+    lab = _labelled(t)
+    feats = ml.available_features(lab)
+    data = ml.stratified_split(ml.feature_matrix(lab, "customer_id", feats), "customer_id")
+    model = ml.train(data.where(F.col("split") == "train"), feats, "gbt")
+    return ml.score(model, data.where(F.col("split") == "test"), "customer_id")
