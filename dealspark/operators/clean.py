@@ -31,10 +31,10 @@ def _key(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def clean_leads(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
-    """CL-12: typed, trimmed leads with ``is_contactable``; one row per lead_id."""
+def type_leads(raw: DataFrame) -> DataFrame:
+    """Typed projection of raw leads (no dedupe); one ``Project``."""
     email, phone = norm_lower("email"), norm_trim("phone")
-    typed = raw.select(
+    return raw.select(
         _key("lead_id").alias("lead_id"),
         _key("customer_id").alias("customer_id"),
         norm_trim("lead_name").alias("lead_name"),
@@ -48,12 +48,16 @@ def clean_leads(raw: DataFrame, order_by: Sequence[Column] | None = None) -> Dat
         norm_trim("source").alias("source"),
         contactable(email, phone).alias("is_contactable"),
     )
-    return keep_first(typed, KEYS["leads"], order_by)
 
 
-def clean_customers(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
-    """CL-13: typed, trimmed customers; one row per customer_id."""
-    typed = raw.select(
+def clean_leads(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+    """CL-12: typed, trimmed leads with ``is_contactable``; one row per lead_id."""
+    return keep_first(type_leads(raw), KEYS["leads"], order_by)
+
+
+def type_customers(raw: DataFrame) -> DataFrame:
+    """Typed projection of raw customers (no dedupe); one ``Project``."""
+    return raw.select(
         _key("customer_id").alias("customer_id"),
         norm_trim("customer_name").alias("customer_name"),
         norm_trim("industry").alias("industry"),
@@ -64,13 +68,17 @@ def clean_customers(raw: DataFrame, order_by: Sequence[Column] | None = None) ->
         norm_trim("account_manager").alias("account_manager"),
         parse_date("created_at").alias("created_at"),
     )
-    return keep_first(typed, KEYS["customers"], order_by)
 
 
-def clean_interactions(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
-    """CL-14: typed interactions with ``channel_standardized``; one row per id."""
+def clean_customers(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+    """CL-13: typed, trimmed customers; one row per customer_id."""
+    return keep_first(type_customers(raw), KEYS["customers"], order_by)
+
+
+def type_interactions(raw: DataFrame) -> DataFrame:
+    """Typed projection of raw interactions (no dedupe); one ``Project``."""
     channel = norm_lower("channel")
-    typed = raw.select(
+    return raw.select(
         _key("interaction_id").alias("interaction_id"),
         _key("customer_id").alias("customer_id"),
         channel.alias("channel"),
@@ -80,12 +88,16 @@ def clean_interactions(raw: DataFrame, order_by: Sequence[Column] | None = None)
         F.coalesce(norm_trim("notes"), F.lit("")).alias("notes"),
         standardize_channel(channel).alias("channel_standardized"),
     )
-    return keep_first(typed, KEYS["interactions"], order_by)
 
 
-def clean_products(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
-    """CL-15: typed products; one row per product_id."""
-    typed = raw.select(
+def clean_interactions(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+    """CL-14: typed interactions with ``channel_standardized``; one row per id."""
+    return keep_first(type_interactions(raw), KEYS["interactions"], order_by)
+
+
+def type_products(raw: DataFrame) -> DataFrame:
+    """Typed projection of raw products (no dedupe); one ``Project``."""
+    return raw.select(
         _key("product_id").alias("product_id"),
         norm_trim("product_name").alias("product_name"),
         norm_trim("category").alias("category"),
@@ -93,9 +105,20 @@ def clean_products(raw: DataFrame, order_by: Sequence[Column] | None = None) ->
         norm_trim("currency").alias("currency"),
         parse_date("launch_date").alias("launch_date"),
     )
-    return keep_first(typed, KEYS["products"], order_by)
 
 
+def clean_products(raw: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+    """CL-15: typed products; one row per product_id."""
+    return keep_first(type_products(raw), KEYS["products"], order_by)
+
+
+TYPERS = {
+    "leads": type_leads,
+    "customers": type_customers,
+    "interactions": type_interactions,
+    "products": type_products,
+}
+
 CLEANERS = {
     "leads": clean_leads,
     "customers": clean_customers,

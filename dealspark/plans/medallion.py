@@ -1,0 +1,190 @@
+"""The layered pipeline: raw CSV → clean Parquet → curated Parquet, plus the
+analysis export and the model training run.
+
+Each step reads its inputs from the previous layer's files and writes its
+outputs once. Reading written tables back cuts the lineage between steps,
+so a lost executor only recomputes its own step, never the whole chain.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dealspark.operators import aggregate as agg
+from dealspark.operators import clean as cl
+from dealspark.operators import features as ft
+from dealspark.operators import ml
+from dealspark.operators import profile as pf
+from dealspark.operators import quality as dq
+from dealspark.operators import topk
+from dealspark.plans.profiles import EDA, NOTEBOOK, ScoringProfile
+from dealspark.schemas import KEYS
+from dealspark.sources.layers import GOLD_TABLES, Layout
+from dealspark.sources.readers import read_bronze, read_parquet
+from dealspark.sources.sinks import write_csv, write_parquet
+
+ENTITIES = ("leads", "customers", "interactions", "products")
+
+
+def _ts(run_ts: _dt.datetime | None) -> Column | None:
+    return F.lit(run_ts).cast("timestamp") if run_ts is not None else None
+
+
+def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime | None = None,
+                     entities: Sequence[str] = ENTITIES) -> dict[str, str]:
+    """Clean every raw entity and overwrite its clean table (SNK-1).
+
+    Also writes the clean-layer quality metrics (DQ-1) next to the tables.
+    Returns the written paths.
+    """
+    out = {}
+    metrics = []
+    for e in entities:
+        raw = read_bronze(spark, layout.bronze(e), e)
+        clean = cl.CLEANERS[e](raw)
+        path = layout.silver(e)
+        write_parquet(cl.with_audit(clean, _ts(run_ts)), path)
+        out[e] = path
+        written = read_parquet(spark, path)
+        metrics.append(dq.clean_layer_metrics(raw, written, e, KEYS[e]))
+    report = metrics[0]
+    for m in metrics[1:]:
+        report = report.unionByName(m)
+    qpath = layout.silver("_quality")
+    write_parquet(report, qpath)
+    out["_quality"] = qpath
+    return out
+
+
+def read_silver(spark: SparkSession, layout: Layout, entity: str) -> DataFrame:
+    """SRC-2: a clean table without its audit column."""
+    df = read_parquet(spark, layout.silver(entity))
+    return df.drop("processed_at") if "processed_at" in df.columns else df
+
+
+def silver_to_gold(spark: SparkSession, layout: Layout, as_of: _dt.date,
+                   profile: ScoringProfile = NOTEBOOK, run_ts: _dt.datetime | None = None,
+                   top_n: int = 50) -> dict[str, str]:
+    """Build and overwrite the four curated tables (SNK-2).
+
+    ``top_customers`` is read from the written feature table instead of
+    re-deriving the features from the clean layer.
+    """
+    leads = read_silver(spark, layout, "leads")
+    customers = read_silver(spark, layout, "customers")
+    interactions = read_silver(spark, layout, "interactions")
+    ts = _ts(run_ts)
+    paths = {t: layout.gold(t) for t in GOLD_TABLES}
+    write_parquet(cl.with_audit(ft.customer_features(customers, interactions, leads, as_of, profile), ts),
+                  paths["customer_features"])
+    write_parquet(cl.with_audit(agg.sales_summary(leads, profile), ts), paths["sales_summary"])
+    write_parquet(cl.with_audit(agg.channel_performance(interactions, profile), ts),
+                  paths["channel_performance"])
+    feats = read_parquet(spark, paths["customer_features"])
+    write_parquet(cl.with_audit(topk.top_customers(feats, top_n), ts), paths["top_customers"])
+    return paths
+
+
+def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFrame,
+                    products: DataFrame, eda_features: DataFrame) -> DataFrame:
+    """SNK-4: the analysis report as one long table
+    ``(section, metric, dimension, value)`` — a union of small aggregates.
+
+    Every distribution is computed once and exploded into its metric rows
+    (count, value, share), so no sub-plan appears twice in the union.
+    """
+
+    def rows(section: str, df: DataFrame, dim: Column | None, metrics: dict[str, str]) -> DataFrame:
+        structs = [F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
+                   for m, c in metrics.items()]
+        d = (dim if dim is not None else F.lit("")).cast("string").alias("dimension")
+        return df.select(d, F.explode(F.array(*structs)).alias("s")).select(
+            F.lit(section).alias("section"), "s.metric", "dimension", "s.value")
+
+    def count_row(name: str, df: DataFrame) -> DataFrame:
+        return rows("summary", df.agg(F.count(F.lit(1)).alias("n")), None, {f"total_{name}": "n"})
+
+    def described(section: str, df: DataFrame, spec, metric) -> DataFrame:
+        d = pf.describe_columns(df, section, spec)
+        return d.select(F.lit(section).alias("section"), metric.alias("metric"),
+                        F.lit("").alias("dimension"), "value")
+
+    stat_col = F.concat(F.col("stat"), F.lit("_"), F.col("column_name"))
+    parts = [
+        count_row("customers", customers), count_row("leads", leads),
+        count_row("interactions", interactions), count_row("products", products),
+        described("leads", leads, {"deal_value": ("sum", "mean", "median")}, stat_col),
+        rows("leads", pf.status_breakdown(leads), F.col("status"),
+             {"status_deals": "deals", "status_deal_value": "deal_value", "status_pct": "pct"}),
+        rows("leads", pf.value_distribution(leads, "source"), F.col("value"),
+             {"source_leads": "count", "source_pct": "pct"}),
+        described("customers", customers, {"annual_revenue": ("sum",),
+                                           "employee_count": ("mean", "max", "min")}, stat_col),
+        rows("customers", pf.top_values(customers, "industry", 5), F.col("value"),
+             {"top_industry_customers": "count", "top_industry_pct": "pct"}),
+        described("interactions", interactions, {"interaction_time_minutes": ("mean",)},
+                  F.lit("mean_duration_minutes")),
+        rows("interactions", pf.value_distribution(interactions, "channel"), F.col("value"),
+             {"channel_interactions": "count", "channel_pct": "pct"}),
+        rows("interactions", pf.value_distribution(interactions, "outcome"), F.col("value"),
+             {"outcome_interactions": "count", "outcome_pct": "pct"}),
+        rows("features", pf.feature_summary(eda_features), None,
+             {m: m for m in ("mean_lead_score", "median_lead_score", "max_lead_score",
+                             "mean_engagement_score", "mean_total_interactions", "mean_total_revenue")}),
+        rows("features", pf.quality_distribution(eda_features), F.col("lead_quality"),
+             {"quality_customers": "customers", "quality_pct": "pct"}),
+        rows("features", topk.top_by_lead_score(eda_features, 10), F.col("customer_id"),
+             {"top_lead_score": "lead_score"}),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def analysis(spark: SparkSession, layout: Layout, out_root: str,
+             channels: Sequence[str] = ("call", "email", "whatsapp"),
+             profile: ScoringProfile = EDA) -> dict[str, str]:
+    """The analysis run: analysis-rule features as CSV (SNK-3) and the report
+    table (SNK-4) as Parquet, both from the clean layer."""
+    c, l, i, p = (read_silver(spark, layout, e) for e in ("customers", "leads", "interactions", "products"))
+    feats = ft.eda_customer_features(c, i, l, channels=channels, profile=profile)
+    fpath, rpath = f"{out_root.rstrip('/')}/customer_features_csv", f"{out_root.rstrip('/')}/report"
+    write_csv(feats, fpath)
+    write_parquet(analysis_report(c, l, i, p, feats), rpath)
+    return {"features_csv": fpath, "report": rpath}
+
+
+def train_lead_model(spark: SparkSession, features: DataFrame, model_path: str,
+                     id_col: str = "customer_id", prefer: str = "gbt", seed: int = 42):
+    """ML run: label, split, train RF and GBT, evaluate both, pick one
+    (ML-15), save it, reload it and evaluate the reloaded model (ML-16).
+
+    Returns ``(model_name, metrics DataFrame)``; metrics hold one row per
+    model plus ``reloaded``.
+    """
+    lab = ml.make_label(features)
+    feats = ml.available_features(lab)
+    data = ml.stratified_split(ml.feature_matrix(lab, id_col, feats), id_col, seed=seed)
+    train_df, test_df = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    models, rows, aucs = {}, [], {}
+    for name in ("rf", "gbt"):
+        models[name] = ml.train(train_df, feats, name, seed)
+        pred = ml.score(models[name], test_df, id_col)
+        aucs[name] = ml.roc_auc(pred)
+        rows.append(ml.binary_metrics(pred).withColumn("model", F.lit(name)).withColumn(
+            "roc_auc", F.lit(aucs[name])))
+    best = ml.select_model(aucs, prefer)
+    ml.save_model(models[best], model_path)
+    reloaded = ml.load_model(model_path)
+    pred = ml.score(reloaded, test_df, id_col)
+    rows.append(ml.binary_metrics(pred).withColumn("model", F.lit("reloaded")).withColumn(
+        "roc_auc", F.lit(ml.roc_auc(pred))))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return best, out

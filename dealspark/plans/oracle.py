@@ -695,3 +695,65 @@ UNION ALL SELECT 'weighted avg', """ + _wavg("p0", "p1") + ", " + _wavg("r0", "r
 UNION ALL SELECT 'accuracy', NULL, NULL, COALESCE(CASE WHEN total = 0 THEN NULL ELSE (dtp + dtn) / total END, 0.0),
   total::BIGINT FROM prf2"""),
 })
+
+
+# --- report table ---------------------------------------------------------------
+
+def _dist(table: str, col: str) -> str:
+    return f"""(SELECT value, count, pct FROM ({_value_dist(table, col)}))"""
+
+
+def _rows(section: str, metric: str, src: str, dim: str, val: str) -> str:
+    return (f"SELECT '{section}' AS section, '{metric}' AS metric, CAST({dim} AS VARCHAR) AS dimension, "
+            f"({val})::DOUBLE AS value FROM {src}")
+
+
+_SUMMARY = "\nUNION ALL\n".join(
+    f"SELECT 'summary' AS section, 'total_{t}' AS metric, '' AS dimension, "
+    f"(SELECT COUNT(*) FROM {t}_clean)::DOUBLE AS value"
+    for t in ("customers", "leads", "interactions", "products"))
+_STATUS = """(SELECT * FROM (SELECT status, COUNT(*) AS deals, """ + msum("deal_value") + """ AS deal_value,
+  COUNT(*) * 100.0::DOUBLE / (SUM(COUNT(*)) OVER ())::DOUBLE AS pct FROM leads_clean GROUP BY status)
+  WHERE status IS NOT NULL)"""
+_TOP_IND = "(SELECT * FROM " + _dist("customers", "industry") + " ORDER BY count DESC, value ASC LIMIT 5)"
+_QUAL = """(SELECT d.lead_quality, COALESCE(c.customers, 0) AS customers,
+  COALESCE(c.customers, 0) * 100.0::DOUBLE / (SELECT COUNT(*) FROM eda_features) AS pct
+  FROM (VALUES (0, 'hot'), (1, 'warm'), (2, 'cool'), (3, 'cold')) d(position, lead_quality)
+  LEFT JOIN (SELECT lead_quality, COUNT(*) AS customers FROM eda_features GROUP BY lead_quality) c
+  ON d.lead_quality = c.lead_quality)"""
+_FS = """(SELECT """ + rnd("AVG(lead_score)", 6) + """ AS mean_lead_score, MAX(lead_score) AS max_lead_score,
+  """ + rnd("AVG(engagement_score)", 6) + """ AS mean_engagement_score,
+  SUM(total_interactions)::DOUBLE / COUNT(total_interactions) AS mean_total_interactions,
+  """ + mavg("total_revenue") + """ AS mean_total_revenue,
+  """ + median_sql("eda_features", "lead_score") + """ AS median_lead_score FROM eda_features)"""
+_TOP_SCORE = "(SELECT customer_id, lead_score FROM eda_features ORDER BY lead_score DESC, customer_id ASC LIMIT 10)"
+
+ORACLE["analysis_report"] = with_(ALL_CLEAN + "," + EDA_FEATURES, "\nUNION ALL\n".join([
+    _SUMMARY,
+    "SELECT 'leads', 'sum_deal_value', '', (SELECT " + msum("deal_value::DOUBLE") + " FROM leads_clean)",
+    "SELECT 'leads', 'mean_deal_value', '', (SELECT " + mavg("deal_value::DOUBLE") + " FROM leads_clean)",
+    "SELECT 'leads', 'median_deal_value', '', " + median_sql("leads_clean", "deal_value"),
+    _rows("leads", "status_deals", _STATUS, "status", "deals"),
+    _rows("leads", "status_deal_value", _STATUS, "status", "deal_value"),
+    _rows("leads", "status_pct", _STATUS, "status", "pct"),
+    _rows("leads", "source_leads", _dist("leads", "source"), "value", "count"),
+    _rows("leads", "source_pct", _dist("leads", "source"), "value", "pct"),
+    "SELECT 'customers', 'sum_annual_revenue', '', (SELECT " + msum("annual_revenue::DOUBLE") + " FROM customers_clean)",
+    "SELECT 'customers', 'mean_employee_count', '', (SELECT " + mavg("employee_count::DOUBLE") + " FROM customers_clean)",
+    "SELECT 'customers', 'max_employee_count', '', (SELECT MAX(employee_count)::DOUBLE FROM customers_clean)",
+    "SELECT 'customers', 'min_employee_count', '', (SELECT MIN(employee_count)::DOUBLE FROM customers_clean)",
+    _rows("customers", "top_industry_customers", _TOP_IND, "value", "count"),
+    _rows("customers", "top_industry_pct", _TOP_IND, "value", "pct"),
+    "SELECT 'interactions', 'mean_duration_minutes', '', (SELECT "
+    + mavg("interaction_time_minutes::DOUBLE") + " FROM interactions_clean)",
+    _rows("interactions", "channel_interactions", _dist("interactions", "channel"), "value", "count"),
+    _rows("interactions", "channel_pct", _dist("interactions", "channel"), "value", "pct"),
+    _rows("interactions", "outcome_interactions", _dist("interactions", "outcome"), "value", "count"),
+    _rows("interactions", "outcome_pct", _dist("interactions", "outcome"), "value", "pct"),
+    *[f"SELECT 'features', '{m}', '', {m}::DOUBLE FROM {_FS}" for m in
+      ("mean_lead_score", "median_lead_score", "max_lead_score", "mean_engagement_score",
+       "mean_total_interactions", "mean_total_revenue")],
+    _rows("features", "quality_customers", _QUAL, "lead_quality", "customers"),
+    _rows("features", "quality_pct", _QUAL, "lead_quality", "pct"),
+    _rows("features", "top_lead_score", _TOP_SCORE, "customer_id", "lead_score"),
+]))

@@ -473,3 +473,15 @@ def _model_predictions(t: Tables) -> DataFrame:
     data = ml.stratified_split(ml.feature_matrix(lab, "customer_id", feats), "customer_id")
     model = ml.train(data.where(F.col("split") == "train"), feats, "gbt")
     return ml.score(model, data.where(F.col("split") == "test"), "customer_id")
+
+
+# --- report table ---------------------------------------------------------------
+
+from dealspark.plans import medallion  # noqa: E402
+
+
+@query("analysis_report")
+def _analysis_report(t: Tables) -> DataFrame:
+    """SNK-4: the analysis report as (section, metric, dimension, value)."""
+    return medallion.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
+                                     t.clean("products"), t.eda_features())

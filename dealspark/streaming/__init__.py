@@ -1,0 +1,6 @@
+"""Incremental ingestion with Structured Streaming.
+
+The reference runs batch jobs only (daily overwrites). ``incremental`` runs
+the same raw → clean step as a file stream, so new raw files are cleaned
+once, with the key state kept in the checkpoint.
+"""

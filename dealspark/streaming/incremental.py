@@ -1,0 +1,32 @@
+"""Raw → clean as a Structured Streaming job over the raw CSV folder.
+
+Same typed projection as the batch cleaner; the dedupe is streaming
+``dropDuplicates`` on the business key, so a key already ingested in an
+earlier trigger is not written again. In a stream, "first" is the first
+arrival (the batch cleaner's declared order needs the whole table). State
+and progress live in the checkpoint folder, which must be on shared
+storage; a restarted query resumes where it stopped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from dealspark.operators.clean import TYPERS
+from dealspark.schemas import KEYS, raw_schema
+from dealspark.sources.layers import Layout
+
+
+def clean_stream(spark: SparkSession, layout: Layout, entity: str, checkpoint: str,
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the stream for one entity; appends Parquet files to its clean table."""
+    reader = spark.readStream.schema(raw_schema(entity)).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(layout.bronze(entity))
+    cleaned = TYPERS[entity](raw).dropDuplicates([KEYS[entity]])
+    writer = (cleaned.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint).option("path", layout.silver(entity)))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
