@@ -89,13 +89,15 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """Exact interpolated median of a column (NULLs skipped) as one row
-    ``median``, without gathering the column in one task.
-
-    1. one pass: n and an approximate bracket around the 50th percentile
-       (scalar subqueries, merged by Catalyst into one aggregate);
-    2. one pass: the number of rows below the bracket;
-    3. only the rows inside the bracket (about 4n/A of them) are ranked to
-       pick the middle one or two values, interpolated as ``percentile`` does.
+    ``median``, without gathering the column — or a hot value — in one task.
+
+    1. one pass: n and an approximate bracket [lo, hi] around the 50th
+       percentile (scalar subqueries, merged by Catalyst into one aggregate);
+    2. one pass: rows below lo, and the rows inside the bracket reduced to
+       (value, count) by a partial aggregate — at most about 6n/A distinct
+       values, however many rows share one value;
+    3. a running count over those distinct values finds the value at the
+       middle rank(s), interpolated as Spark's ``percentile`` does.
     """
     base = df.select(_double(column).alias("x")).where(F.col("x").isNotNull())
     lo_p, hi_p = max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)
@@ -103,12 +105,14 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     lo = base.agg(F.percentile_approx("x", lo_p, MEDIAN_ACCURACY)).scalar()
     hi = base.agg(F.percentile_approx("x", hi_p, MEDIAN_ACCURACY)).scalar()
     below = base.agg(F.count_if(F.col("x") < lo)).scalar()
-    band = base.where((F.col("x") >= lo) & (F.col("x") <= hi))
-    rank = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("x")) - F.lit(1) + below
+    band = base.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy("x").agg(
+        F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(F.lit(1)).orderBy("x").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)) + below
     pos = (n - F.lit(1)) / F.lit(2.0)
-    ranked = band.select("x", rank.alias("i"))
-    xl = ranked.agg(F.max(F.when(F.col("i") == F.floor(pos), F.col("x")))).scalar()
-    xu = ranked.agg(F.max(F.when(F.col("i") == F.ceil(pos), F.col("x")))).scalar()
+    cum = band.select("x", upto.alias("upto"))  # rows with rank < upto have value <= x
+    xl = cum.agg(F.min(F.when(F.col("upto") > F.floor(pos), F.col("x")))).scalar()
+    xu = cum.agg(F.min(F.when(F.col("upto") > F.ceil(pos), F.col("x")))).scalar()
     med = F.when(F.floor(pos) == F.ceil(pos), xl).otherwise(
         (F.ceil(pos) - pos) * xl + (pos - F.floor(pos)) * xu)
     return df.sparkSession.range(1).select(med.cast("double").alias("median"))
