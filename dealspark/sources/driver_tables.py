@@ -17,6 +17,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealspark.sources.readers import ensure_parallelism
+
 # Reporting date and revenue unit used for the benchmark data
 # (events end on 2024-01-30; with the library default unit 100,000 nearly
 # every benchmark customer would be "hot").
@@ -36,8 +38,13 @@ STATUS_OF_ORDER = (("F", " Closed_Won "), ("P", "closed_lost"), ("O", "OPEN"))
 RAW_CHANNELS = ("call", "e-mail", "phone", "sms", "whatsapp message")
 
 
+# Tables of fixed, tiny size (TPC-H defines 25 nations and 5 regions).
+_FIXED_SIZE = ("nation", "region")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return df if table in _FIXED_SIZE else ensure_parallelism(df)
 
 
 def _s(c: Column) -> Column:
