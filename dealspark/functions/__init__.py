@@ -7,6 +7,7 @@ from dealspark.functions.cleaning import (  # noqa: F401
     norm_lower,
     norm_trim,
     parse_date,
+    parse_day,
     parse_double,
     parse_int,
     standardize_channel,

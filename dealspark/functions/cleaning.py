@@ -56,6 +56,11 @@ def parse_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     return F.try_to_date(_col(c), fmt).cast("timestamp_ntz")
 
 
+def parse_day(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
+    """CL-17 (documented): strict ``yyyy-MM-dd`` text → DATE (NULL if malformed)."""
+    return F.try_to_date(_col(c), fmt)
+
+
 def contactable(email: str | Column, phone: str | Column) -> Column:
     """CL-8: 0 when both contact fields are NULL, else 1 (blank counts as present)."""
     return F.when(_col(email).isNull() & _col(phone).isNull(), F.lit(0)).otherwise(F.lit(1))

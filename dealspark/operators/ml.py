@@ -105,6 +105,14 @@ def stratified_split(df: DataFrame, id_col: str, label: str = LABEL,
     return outside.unionByName(inside).drop("__h", "__n", "__lo", "__hi")
 
 
+def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """ML-6 (documented): plain random split, adds ``split``; Spark's
+    ``randomSplit`` semantics (per-row Bernoulli, reproducible for a fixed
+    seed and input partitioning)."""
+    train, test = df.randomSplit([1.0 - test_fraction, test_fraction], seed)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
 def build_pipeline(features: Sequence[str], algorithm: str = "gbt", seed: int = 42,
                    label: str = LABEL) -> Pipeline:
     """ML-7..9: assembler, a fitted standard scaler (kept, as in the reference,

@@ -91,31 +91,34 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     """Exact interpolated median of a column (NULLs skipped) as one row
     ``median``, without gathering the column — or a hot value — in one task.
 
-    1. one pass: n and an approximate bracket [lo, hi] around the 50th
-       percentile (scalar subqueries, merged by Catalyst into one aggregate);
-    2. one pass: rows below lo, and the rows inside the bracket reduced to
-       (value, count) by a partial aggregate — at most about 6n/A distinct
-       values, however many rows share one value;
-    3. a running count over those distinct values finds the value at the
-       middle rank(s), interpolated as Spark's ``percentile`` does.
+    Two passes over the input:
+
+    1. n and an approximate bracket [lo, hi] around the 50th percentile
+       (scalar subqueries, merged by Catalyst into one aggregate);
+    2. a partial aggregate that keeps one group for all rows below lo and one
+       (value, count) group per distinct value inside the bracket — at most
+       about 6n/A groups, however many rows share one value. A running count
+       over those groups (below-group first) gives each value the number of
+       rows up to it, which locates the middle rank(s); they are interpolated
+       as Spark's ``percentile`` does.
     """
     base = df.select(_double(column).alias("x")).where(F.col("x").isNotNull())
     lo_p, hi_p = max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)
     n = base.agg(F.count(F.lit(1))).scalar()
     lo = base.agg(F.percentile_approx("x", lo_p, MEDIAN_ACCURACY)).scalar()
     hi = base.agg(F.percentile_approx("x", hi_p, MEDIAN_ACCURACY)).scalar()
-    below = base.agg(F.count_if(F.col("x") < lo)).scalar()
-    band = base.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy("x").agg(
-        F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(F.lit(1)).orderBy("x").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)) + below
+    below = F.col("x") < lo
+    groups = base.where(F.col("x") <= hi).groupBy(
+        below.alias("below"), F.when(~below, F.col("x")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(F.lit(1)).orderBy(
+        F.col("below").desc(), F.col("v").asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pos = (n - F.lit(1)) / F.lit(2.0)
-    cum = band.select("x", upto.alias("upto"))  # rows with rank < upto have value <= x
-    xl = cum.agg(F.min(F.when(F.col("upto") > F.floor(pos), F.col("x")))).scalar()
-    xu = cum.agg(F.min(F.when(F.col("upto") > F.ceil(pos), F.col("x")))).scalar()
-    med = F.when(F.floor(pos) == F.ceil(pos), xl).otherwise(
-        (F.ceil(pos) - pos) * xl + (pos - F.floor(pos)) * xu)
-    return df.sparkSession.range(1).select(med.cast("double").alias("median"))
+    cum = groups.select("v", upto.alias("upto"))  # rows with rank < upto have value <= v
+    picked = cum.agg(F.min(F.when(F.col("upto") > F.floor(pos), F.col("v"))).alias("xl"),
+                     F.min(F.when(F.col("upto") > F.ceil(pos), F.col("v"))).alias("xu"))
+    med = F.when(F.floor(pos) == F.ceil(pos), F.col("xl")).otherwise(
+        (F.ceil(pos) - pos) * F.col("xl") + (pos - F.floor(pos)) * F.col("xu"))
+    return picked.select(med.cast("double").alias("median"))
 
 
 def describe_columns(df: DataFrame, table: str, spec: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -96,3 +96,12 @@ def test_documented_cleaning(spark):
     assert f.first().status == "unknown"
     assert cl.drop_missing_keys(spark.createDataFrame([(None,), ("a",)], "customer_id string"),
                                 ["customer_id"]).count() == 1
+
+
+def test_parse_day_and_summary(spark):
+    from dealspark.functions.cleaning import parse_day
+    from dealspark.operators.profile import summary_table
+    df = spark.createDataFrame([("2024-02-29",), ("2024-02-30",)], "s string")
+    assert [r.d for r in df.select(parse_day("s").alias("d")).collect()] == [dt.date(2024, 2, 29), None]
+    s = summary_table(spark.createDataFrame([(1.0,), (3.0,)], "x double"), "count", "mean")
+    assert [(r.summary, r.x) for r in s.collect()] == [("count", "2"), ("mean", "2.0")]

@@ -68,3 +68,11 @@ def test_train_save_load(spark, tmp_path):
     assert ml.model_features(ml.load_model(path)) == ["a", "b"]
     assert ml.binary_metrics(pred).first().accuracy > 0.95
     assert 0.95 < ml.roc_auc(pred) <= 1.0
+
+
+def test_random_split(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("id"))
+    s = ml.random_split(df, 0.2, 42)
+    assert s.count() == 2000
+    n_test = s.where("split = 'test'").count()
+    assert 300 < n_test < 500
