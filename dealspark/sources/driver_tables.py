@@ -62,8 +62,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n, r = load(spark, sf_dir, "customer"), load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
     k = F.col("c_custkey")
     emp = _s(F.lit(45) + (k * F.lit(37)) % F.lit(4956))
-    j = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-         .join(r, n.n_regionkey == r.r_regionkey, "left"))
+    # nation / region have a fixed size (25 and 5 rows by definition), so they
+    # are broadcast: customers never shuffle on a nation key, however skewed.
+    j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+         .join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left"))
     return j.select(
         _s(k).alias("customer_id"),
         F.when(k % 7 == 0, F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).otherwise(
