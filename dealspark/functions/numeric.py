@@ -24,12 +24,14 @@ def _non_finite(c: Column) -> Column:
 def exact_sum(c: str | Column) -> Column:
     """Order-independent sum of a double money column, returned as double.
 
-    NaN / ±Infinity cannot be represented as a decimal; if a group holds one,
-    the plain double sum is returned (NaN or Infinity, as a double sum gives).
+    NaN / ±Infinity, or a value beyond the decimal's range, cannot be summed
+    as a decimal; if a group holds one, the plain double sum is returned (NaN
+    or Infinity, as a double sum gives) instead of silently skipping it.
     """
     c = _col(c)
-    dec = F.sum(c.try_cast(MONEY_DECIMAL)).cast("double")
-    return F.when(F.count_if(_non_finite(c)) > 0, F.sum(c)).otherwise(dec)
+    as_dec = c.try_cast(MONEY_DECIMAL)
+    unfit = _non_finite(c) | (c.isNotNull() & as_dec.isNull())
+    return F.when(F.count_if(unfit) > 0, F.sum(c)).otherwise(F.sum(as_dec).cast("double"))
 
 
 def exact_avg(c: str | Column) -> Column:

@@ -82,40 +82,71 @@ def _pivot_name(prefix: str, value: str, suffix: str = "") -> str:
     return prefix + re.sub(r"[^0-9A-Za-z]+", "_", value).strip("_").lower() + suffix
 
 
+def pivot_count_columns(column: str, values: Sequence[str], prefix: str = "num_",
+                        suffix: str = "") -> list[F.Column]:
+    """Conditional counts per value — what ``pivot(column, values).count()``
+    computes — as aggregate expressions that can share one pass."""
+    return [F.count_if(F.col(column) == F.lit(v)).alias(_pivot_name(prefix, v, suffix)) for v in values]
+
+
+def interaction_summary(interactions: DataFrame) -> DataFrame:
+    """AG-16: per customer — count of interaction ids, mean minutes, last date
+    (NULL customers dropped, as pandas groupby does)."""
+    return interactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        *_summary_columns())
+
+
+def pivot_counts(interactions: DataFrame, column: str, values: Sequence[str],
+                 prefix: str = "num_", suffix: str = "") -> DataFrame:
+    """AG-17 / AG-18: per customer, one count column per value (missing = 0),
+    e.g. ``num_<channel>`` or ``num_<outcome>_outcomes``. The value list is
+    explicit, so the schema does not depend on the data."""
+    return interactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        *pivot_count_columns(column, values, prefix, suffix))
+
+
+def deal_summary(leads: DataFrame, profile: ScoringProfile = EDA) -> DataFrame:
+    """AG-19: per customer — revenue (every deal by default), non-NULL deal
+    count, mean deal value and won count."""
+    return leads.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        *_deal_summary_columns(profile))
+
+
+def _summary_columns() -> list[F.Column]:
+    return [F.count("interaction_id").alias("total_interactions"),
+            F.avg("interaction_time_minutes").alias("avg_interaction_duration"),
+            F.max("interaction_date").alias("last_interaction_date")]
+
+
+def _deal_summary_columns(profile: ScoringProfile) -> list[F.Column]:
+    statuses = profile.revenue_statuses
+    rev = F.col("deal_value") if statuses is None else F.when(
+        F.col("status").isin(*statuses), F.col("deal_value"))
+    return [exact_sum(rev).alias("total_revenue"),
+            F.count("deal_value").alias("total_deals"),
+            exact_avg("deal_value").alias("avg_deal_value"),
+            F.count_if(F.col("status") == F.lit(WON)).alias("num_closed_won")]
+
+
 def eda_customer_features(customers: DataFrame, interactions: DataFrame, leads: DataFrame,
                           channels: Sequence[str] = ("call", "email", "whatsapp"),
                           outcomes: Sequence[str] = ("negative", "neutral", "positive"),
                           profile: ScoringProfile = EDA) -> DataFrame:
     """MT-16: the analysis script's feature table (AG-16..19, JN-4, MT-13, MT-14).
 
-    Interactions are summarised in ONE aggregate: count, mean duration, last
-    date and a conditional count per channel / outcome value — what
-    ``groupBy.pivot(values).count()`` computes, without extra shuffles. The
-    value lists are explicit so the schema does not depend on the data.
-    Rows with a NULL customer_id are dropped before grouping (pandas groupby).
-    Revenue counts every deal; numeric gaps after the joins become 0, while
-    ``last_interaction_date`` stays NULL in a typed table.
+    AG-16, AG-17 and AG-18 are computed in ONE aggregate over interactions
+    (their column builders are shared with the standalone operators above),
+    so the table costs one shuffle of interactions and one of leads instead
+    of four. Revenue counts every deal; numeric gaps after the joins become
+    0, while ``last_interaction_date`` stays NULL in a typed table.
     """
     ch = profile.channel_column
-    inter = interactions.where(F.col("customer_id").isNotNull())
-    chan_cols = [F.count_if(F.col(ch) == F.lit(v)).alias(_pivot_name("num_", v)) for v in channels]
-    out_cols = [F.count_if(F.col("outcome") == F.lit(v)).alias(_pivot_name("num_", v, "_outcomes"))
-                for v in outcomes]
-    isum = inter.groupBy("customer_id").agg(
-        F.count("interaction_id").alias("total_interactions"),
-        F.avg("interaction_time_minutes").alias("avg_interaction_duration"),
-        F.max("interaction_date").alias("last_interaction_date"),
-        *chan_cols, *out_cols,
-    )
-    statuses = profile.revenue_statuses
-    rev = F.col("deal_value") if statuses is None else F.when(
-        F.col("status").isin(*statuses), F.col("deal_value"))
-    deals = leads.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        exact_sum(rev).alias("total_revenue"),
-        F.count("deal_value").alias("total_deals"),
-        exact_avg("deal_value").alias("avg_deal_value"),
-        F.count_if(F.col("status") == F.lit(WON)).alias("num_closed_won"),
+    isum = interactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        *_summary_columns(),
+        *pivot_count_columns(ch, channels),
+        *pivot_count_columns("outcome", outcomes, suffix="_outcomes"),
     )
+    deals = deal_summary(leads, profile)
     joined = (customers.select(*CUSTOMER_COLUMNS)
               .join(isum, "customer_id", "left")
               .join(deals, "customer_id", "left"))

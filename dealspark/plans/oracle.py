@@ -757,3 +757,23 @@ ORACLE["analysis_report"] = with_(ALL_CLEAN + "," + EDA_FEATURES, "\nUNION ALL\n
     _rows("features", "quality_pct", _QUAL, "lead_quality", "pct"),
     _rows("features", "top_lead_score", _TOP_SCORE, "customer_id", "lead_score"),
 ]))
+
+
+ORACLE.update({
+    "interaction_summary": with_(CLEAN_INTERACTIONS, """
+SELECT customer_id, COUNT(interaction_id) AS total_interactions,
+  SUM(interaction_time_minutes)::DOUBLE / COUNT(interaction_time_minutes) AS avg_interaction_duration,
+  MAX(interaction_date) AS last_interaction_date
+FROM interactions_clean WHERE customer_id IS NOT NULL GROUP BY customer_id"""),
+    "channel_pivot": with_(CLEAN_INTERACTIONS, "SELECT customer_id, " + ", ".join(
+        f"COUNT(*) FILTER (WHERE channel = '{v}') AS {n}" for v, n in RAW_CHANNELS.items())
+        + " FROM interactions_clean WHERE customer_id IS NOT NULL GROUP BY customer_id"),
+    "outcome_pivot": with_(CLEAN_INTERACTIONS, "SELECT customer_id, " + ", ".join(
+        f"COUNT(*) FILTER (WHERE outcome = '{v}') AS {n}" for v, n in OUTCOMES.items())
+        + " FROM interactions_clean WHERE customer_id IS NOT NULL GROUP BY customer_id"),
+    "deal_summary": with_(CLEAN_LEADS, """
+SELECT customer_id, """ + msum("deal_value") + """ AS total_revenue, COUNT(deal_value) AS total_deals,
+  """ + mavg("deal_value") + """ AS avg_deal_value,
+  COUNT(*) FILTER (WHERE status = 'closed_won') AS num_closed_won
+FROM leads_clean WHERE customer_id IS NOT NULL GROUP BY customer_id"""),
+})

@@ -485,3 +485,28 @@ def _analysis_report(t: Tables) -> DataFrame:
     """SNK-4: the analysis report as (section, metric, dimension, value)."""
     return medallion.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
                                      t.clean("products"), t.eda_features())
+
+
+@query("interaction_summary")
+def _interaction_summary(t: Tables) -> DataFrame:
+    """AG-16."""
+    return ft.interaction_summary(t.clean("interactions"))
+
+
+@query("channel_pivot")
+def _channel_pivot(t: Tables) -> DataFrame:
+    """AG-17 over the raw channel values."""
+    return ft.pivot_counts(t.clean("interactions"), "channel", dt.RAW_CHANNELS)
+
+
+@query("outcome_pivot")
+def _outcome_pivot(t: Tables) -> DataFrame:
+    """AG-18."""
+    return ft.pivot_counts(t.clean("interactions"), "outcome", ("negative", "neutral", "positive"),
+                           suffix="_outcomes")
+
+
+@query("deal_summary")
+def _deal_summary(t: Tables) -> DataFrame:
+    """AG-19 (every deal counts as revenue)."""
+    return ft.deal_summary(t.clean("leads"), BENCH_EDA)

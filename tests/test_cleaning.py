@@ -105,3 +105,12 @@ def test_parse_day_and_summary(spark):
     assert [r.d for r in df.select(parse_day("s").alias("d")).collect()] == [dt.date(2024, 2, 29), None]
     s = summary_table(spark.createDataFrame([(1.0,), (3.0,)], "x double"), "count", "mean")
     assert [(r.summary, r.x) for r in s.collect()] == [("count", "2"), ("mean", "2.0")]
+
+
+def test_exact_sum_fallbacks(spark):
+    from dealspark.functions.numeric import exact_sum
+    df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", float("nan")), ("b", 1.0),
+                                ("c", 1e30), ("c", 1.0), ("d", None)], "k string, v double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert got["a"] == 0.3  # exact decimal sum, not 0.30000000000000004
+    assert math.isnan(got["b"]) and got["c"] == 1e30 + 1.0 and got["d"] is None
