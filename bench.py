@@ -21,7 +21,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from dealspark.operators import clean as cl  # noqa: E402
 from dealspark.plans import medallion  # noqa: E402
 from dealspark.plans.registry import BENCH_NOTEBOOK, REGISTRY  # noqa: E402
 from dealspark.session import local_session  # noqa: E402

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from dealspark.functions.numeric import exact_avg, exact_sum, smoothed_ratio
 from dealspark.functions.scoring import (
-    days_since,
     engagement_score,
     lead_score,
     probability_to_convert,

@@ -244,7 +244,7 @@ def _top5_industries(t: Tables) -> DataFrame:
 from dealspark.functions.scoring import recency_engagement  # noqa: E402
 from dealspark.operators import dedupe as dd  # noqa: E402
 from dealspark.operators import quality as dq  # noqa: E402
-from dealspark.schemas import KEYS, clean_schema  # noqa: E402
+from dealspark.schemas import KEYS  # noqa: E402
 
 QUALITY_SPEC = {
     "leads": dict(null_columns=("email", "phone"), flag_columns=("is_contactable",),

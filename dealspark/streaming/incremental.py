@@ -6,6 +6,13 @@ earlier trigger is not written again. In a stream, "first" is the first
 arrival (the batch cleaner's declared order needs the whole table). State
 and progress live in the checkpoint folder, which must be on shared
 storage; a restarted query resumes where it stopped.
+
+The dedupe state holds every key seen so far. For large key sets run the
+session with the RocksDB state store
+(``spark.sql.streaming.stateStore.providerClass =
+org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``),
+which keeps state on local disk with checkpointed changelogs instead of the
+JVM heap.
 """
 
 from __future__ import annotations

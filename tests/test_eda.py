@@ -4,7 +4,6 @@ published report anchors."""
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from dealspark.operators import features as ft
 from dealspark.operators import profile as pf

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from dealspark.operators import aggregate as agg
-from dealspark.operators import features as ft
 from dealspark.plans.registry import BENCH_NOTEBOOK, Tables
 from dealspark.sources import driver_tables as dtab
 
