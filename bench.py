@@ -59,8 +59,8 @@ def main() -> None:
     layout = Layout(work)
     for e in medallion.ENTITIES:
         write_csv(dt_.RAW[e](spark, sf_dir), layout.bronze(e))
-    times["pipeline_raw_to_clean"] = timed(lambda: medallion.bronze_to_silver(spark, layout))
-    times["pipeline_clean_to_curated"] = timed(
+    times["raw_to_clean_run"] = timed(lambda: medallion.bronze_to_silver(spark, layout))
+    times["clean_to_curated_run"] = timed(
         lambda: medallion.silver_to_gold(spark, layout, dt_.AS_OF, BENCH_NOTEBOOK))
     shutil.rmtree(work, ignore_errors=True)
 

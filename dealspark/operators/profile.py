@@ -75,6 +75,21 @@ def value_distribution(df: DataFrame, column: str, table: str = "") -> DataFrame
         F.col("count").desc(), F.col("value").asc())
 
 
+def value_distributions(df: DataFrame, columns: Sequence[str], table: str = "") -> DataFrame:
+    """AG-10 for several columns of one table in ONE scan and ONE shuffle:
+    (column, value) pairs are exploded per row and counted together; the
+    denominator (all rows of the table) is one scalar count."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                         F.col(c).cast("string").alias("value")) for c in columns]))
+    counts = df.select(pairs.alias("p")).groupBy("p.column_name", "p.value").agg(
+        F.count(F.lit(1)).alias("count"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("value").isNotNull()).select(
+        F.lit(table).alias("table_name"), "column_name", "value", "count",
+        (F.col("count") * F.lit(100.0) / total).alias("pct")).orderBy(
+        "column_name", F.col("count").desc(), F.col("value").asc())
+
+
 def null_profile(df: DataFrame, table: str) -> DataFrame:
     """AG-11: NULL count and percentage per column, only columns with NULLs."""
     aggs = [F.count(F.lit(1)).alias("__n")] + [

@@ -114,6 +114,7 @@ def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFr
                         F.lit("").alias("dimension"), "value")
 
     stat_col = F.concat(F.col("stat"), F.lit("_"), F.col("column_name"))
+    idist = pf.value_distributions(interactions, ["channel", "outcome"])
     parts = [
         count_row("customers", customers), count_row("leads", leads),
         count_row("interactions", interactions), count_row("products", products),
@@ -128,9 +129,9 @@ def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFr
              {"top_industry_customers": "count", "top_industry_pct": "pct"}),
         described("interactions", interactions, {"interaction_time_minutes": ("mean",)},
                   F.lit("mean_duration_minutes")),
-        rows("interactions", pf.value_distribution(interactions, "channel"), F.col("value"),
+        rows("interactions", idist.where(F.col("column_name") == "channel"), F.col("value"),
              {"channel_interactions": "count", "channel_pct": "pct"}),
-        rows("interactions", pf.value_distribution(interactions, "outcome"), F.col("value"),
+        rows("interactions", idist.where(F.col("column_name") == "outcome"), F.col("value"),
              {"outcome_interactions": "count", "outcome_pct": "pct"}),
         rows("features", pf.feature_summary(eda_features), None,
              {m: m for m in ("mean_lead_score", "median_lead_score", "max_lead_score",

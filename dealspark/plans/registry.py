@@ -156,7 +156,10 @@ def _eda_customer_features(t: Tables) -> DataFrame:
 @query("value_distribution")
 def _value_distribution(t: Tables) -> DataFrame:
     """AG-9, AG-10, FL-2, TK-6: value counts and shares of all rows."""
-    return _union([pf.value_distribution(t.clean(tb), c, tb) for tb, c in VALUE_DISTRIBUTIONS])
+    by_table: dict[str, list[str]] = {}
+    for tb, c in VALUE_DISTRIBUTIONS:
+        by_table.setdefault(tb, []).append(c)
+    return _union([pf.value_distributions(t.clean(tb), cols, tb) for tb, cols in by_table.items()])
 
 
 @query("null_profile")
