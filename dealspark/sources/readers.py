@@ -45,8 +45,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Large inputs split into many partitions already and pass through
     untouched, so no shuffle is added where the scan is parallel anyway.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session exposes no RDD / context
+        return df
+    return df.repartition(want) if have < want else df
