@@ -27,19 +27,26 @@ def clean_layer_metrics(raw: DataFrame, clean: DataFrame, table: str, key: str,
     flag counts, min/max), as a long (table_name, metric, value) table."""
     dup = duplicate_counts(raw, key).select(
         F.col("raw_rows"), F.col("duplicates_removed"))
-    aggs: list[Column] = [F.count(F.lit(1)).alias("clean_rows")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_columns]
-    aggs += [F.count_if(F.col(c) == F.lit(1)).alias(f"{c}_count") for c in flag_columns]
-    for c in range_columns:
-        aggs += [F.min(F.col(c).cast("double")).alias(f"{c}_min"),
-                 F.max(F.col(c).cast("double")).alias(f"{c}_max")]
-    clean_stats = clean.agg(*aggs)
+    clean_stats = clean.agg(*clean_metric_columns(null_columns, flag_columns, range_columns))
     metrics = ["raw_rows", "duplicates_removed"]
     out = _long(dup, table, metrics)
     names = [c for c in clean_stats.columns]
     return out.unionByName(_long(clean_stats, table, names))
 
 
+def clean_metric_columns(null_columns: Sequence[str] = (), flag_columns: Sequence[str] = (),
+                         range_columns: Sequence[str] = ()) -> list[Column]:
+    """The clean-table metrics of DQ-1 as aggregate expressions (usable in
+    ``agg`` or ``observe``)."""
+    cols: list[Column] = [F.count(F.lit(1)).alias("clean_rows")]
+    cols += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_columns]
+    cols += [F.count_if(F.col(c) == F.lit(1)).alias(f"{c}_count") for c in flag_columns]
+    for c in range_columns:
+        cols += [F.min(F.col(c).cast("double")).alias(f"{c}_min"),
+                 F.max(F.col(c).cast("double")).alias(f"{c}_max")]
+    return cols
+
+
 def type_mismatches(df: DataFrame, expected: StructType, table: str) -> DataFrame:
     """DQ-2 (types): declared vs actual column types, one row per difference
     (metadata only; no job runs)."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.operators import aggregate as agg
@@ -34,28 +34,42 @@ def _ts(run_ts: _dt.datetime | None) -> Column | None:
     return F.lit(run_ts).cast("timestamp") if run_ts is not None else None
 
 
+# Quality metrics observed while each clean table is written (DQ-1).
+QUALITY_SPEC = {
+    "leads": dict(null_columns=("email", "phone"), flag_columns=("is_contactable",),
+                  range_columns=("deal_value",)),
+    "customers": dict(null_columns=("account_manager",), range_columns=("employee_count", "annual_revenue")),
+    "interactions": dict(),
+    "products": dict(range_columns=("base_price",)),
+}
+
+
 def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime | None = None,
                      entities: Sequence[str] = ENTITIES) -> dict[str, str]:
     """Clean every raw entity and overwrite its clean table (SNK-1).
 
-    Also writes the clean-layer quality metrics (DQ-1) next to the tables.
+    The quality metrics (DQ-1: raw rows, duplicates removed, clean rows, NULL
+    and flag counts, min/max) are collected by ``observe`` inside the write
+    job itself — raw rows before the dedupe, the rest after it — so no table
+    is scanned a second time. They are written next to the clean tables.
     Returns the written paths.
     """
-    out = {}
-    metrics = []
+    out, rows = {}, []
     for e in entities:
-        raw = read_bronze(spark, layout.bronze(e), e)
-        clean = cl.CLEANERS[e](raw)
+        typed = cl.TYPERS[e](read_bronze(spark, layout.bronze(e), e))
+        seen = Observation(f"raw_{e}")
+        kept = Observation(f"clean_{e}")
+        clean = cl.keep_first(typed.observe(seen, F.count(F.lit(1)).alias("raw_rows")), KEYS[e])
+        clean = clean.observe(kept, *dq.clean_metric_columns(**QUALITY_SPEC.get(e, {})))
         path = layout.silver(e)
         write_parquet(cl.with_audit(clean, _ts(run_ts)), path)
         out[e] = path
-        written = read_parquet(spark, path)
-        metrics.append(dq.clean_layer_metrics(raw, written, e, KEYS[e]))
-    report = metrics[0]
-    for m in metrics[1:]:
-        report = report.unionByName(m)
+        raw_m, clean_m = seen.get, kept.get
+        metrics = {"raw_rows": raw_m["raw_rows"],
+                   "duplicates_removed": raw_m["raw_rows"] - clean_m["clean_rows"], **clean_m}
+        rows += [(e, k, None if v is None else float(v)) for k, v in metrics.items()]
     qpath = layout.silver("_quality")
-    write_parquet(report, qpath)
+    write_parquet(spark.createDataFrame(rows, "table_name string, metric string, value double"), qpath)
     out["_quality"] = qpath
     return out
 

@@ -245,17 +245,12 @@ def _top5_industries(t: Tables) -> DataFrame:
 # --- data quality ----------------------------------------------------------------
 
 from dealspark.functions.scoring import recency_engagement  # noqa: E402
+from dealspark.plans import medallion  # noqa: E402
 from dealspark.operators import dedupe as dd  # noqa: E402
 from dealspark.operators import quality as dq  # noqa: E402
 from dealspark.schemas import KEYS  # noqa: E402
 
-QUALITY_SPEC = {
-    "leads": dict(null_columns=("email", "phone"), flag_columns=("is_contactable",),
-                  range_columns=("deal_value",)),
-    "customers": dict(null_columns=("account_manager",), range_columns=("employee_count", "annual_revenue")),
-    "interactions": dict(),
-    "products": dict(range_columns=("base_price",)),
-}
+QUALITY_SPEC = medallion.QUALITY_SPEC
 # The documented ranges every clean table must satisfy.
 def range_rules():
     return {
@@ -480,8 +475,6 @@ def _model_predictions(t: Tables) -> DataFrame:
 
 # --- report table ---------------------------------------------------------------
 
-from dealspark.plans import medallion  # noqa: E402
-
 
 @query("analysis_report")
 def _analysis_report(t: Tables) -> DataFrame:
