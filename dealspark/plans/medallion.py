@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.operators import aggregate as agg
@@ -48,28 +48,33 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
                      entities: Sequence[str] = ENTITIES) -> dict[str, str]:
     """Clean every raw entity and overwrite its clean table (SNK-1).
 
-    The quality metrics (DQ-1: raw rows, duplicates removed, clean rows, NULL
-    and flag counts, min/max) are collected by ``observe`` inside the write
-    job itself — raw rows before the dedupe, the rest after it — so no table
-    is scanned a second time. They are written next to the clean tables.
+    The quality metrics (DQ-1) are written next to the clean tables: NULL and
+    flag counts and min/max come from the written Parquet (a column-pruned
+    scan); the raw side only needs a row count, because duplicates removed =
+    raw rows - clean rows. No distinct-key shuffle of the raw data is needed.
+    (``DataFrame.observe`` would avoid even that count, but on Spark 4.1 an
+    observed session can no longer serialise the ML evaluators' closures.)
     Returns the written paths.
     """
-    out, rows = {}, []
+    out, parts = {}, []
     for e in entities:
-        typed = cl.TYPERS[e](read_bronze(spark, layout.bronze(e), e))
-        seen = Observation(f"raw_{e}")
-        kept = Observation(f"clean_{e}")
-        clean = cl.keep_first(typed.observe(seen, F.count(F.lit(1)).alias("raw_rows")), KEYS[e])
-        clean = clean.observe(kept, *dq.clean_metric_columns(**QUALITY_SPEC.get(e, {})))
+        raw = read_bronze(spark, layout.bronze(e), e)
         path = layout.silver(e)
-        write_parquet(cl.with_audit(clean, _ts(run_ts)), path)
+        write_parquet(cl.with_audit(cl.CLEANERS[e](raw), _ts(run_ts)), path)
         out[e] = path
-        raw_m, clean_m = seen.get, kept.get
-        metrics = {"raw_rows": raw_m["raw_rows"],
-                   "duplicates_removed": raw_m["raw_rows"] - clean_m["clean_rows"], **clean_m}
-        rows += [(e, k, None if v is None else float(v)) for k, v in metrics.items()]
+        stats = read_parquet(spark, path).agg(*dq.clean_metric_columns(**QUALITY_SPEC.get(e, {})))
+        stats = stats.withColumn("raw_rows", raw.agg(F.count(F.lit(1))).scalar()).withColumn(
+            "duplicates_removed", F.col("raw_rows") - F.col("clean_rows"))
+        names = ["raw_rows", "duplicates_removed"] + [c for c in stats.columns
+                                                       if c not in ("raw_rows", "duplicates_removed")]
+        structs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names]
+        parts.append(stats.select(F.explode(F.array(*structs)).alias("s")).select(
+            F.lit(e).alias("table_name"), "s.metric", "s.value"))
+    report = parts[0]
+    for p in parts[1:]:
+        report = report.unionByName(p)
     qpath = layout.silver("_quality")
-    write_parquet(spark.createDataFrame(rows, "table_name string, metric string, value double"), qpath)
+    write_parquet(report, qpath)
     out["_quality"] = qpath
     return out
 
