@@ -25,7 +25,7 @@ from dealspark.functions.scoring import (
     quality_band,
 )
 from dealspark.operators.aggregate import WON, LOST, deal_metrics, interaction_metrics
-from dealspark.plans.profiles import EDA, NOTEBOOK, ScoringProfile
+from dealspark.plans.profiles import DOC_WEIGHTED, EDA, NOTEBOOK, ScoringProfile
 
 CUSTOMER_COLUMNS = (
     "customer_id", "customer_name", "industry", "country", "city", "employee_count",
@@ -67,10 +67,28 @@ def customer_features(customers: DataFrame, interactions: DataFrame, leads: Data
     return score_features(feats, profile)
 
 
+def weighted_lead_score(feats: DataFrame, profile: ScoringProfile) -> F.Column:
+    """MT-17: the documented weighted score. Revenue and interactions are
+    divided by their table maxima (scalar subqueries, one merged aggregate
+    pass) and scaled to 100; win rate is scaled to 100; rounded to 2."""
+    max_rev = feats.agg(F.max("total_revenue")).scalar()
+    max_n = feats.agg(F.max("total_interactions")).scalar()
+    p = profile
+    score = (F.coalesce(F.try_divide(F.col("total_revenue"), max_rev), F.lit(0.0)) * F.lit(100) * F.lit(p.revenue_points)
+             + F.coalesce(F.try_divide(F.col("total_interactions"), max_n), F.lit(0.0)) * F.lit(100) * F.lit(p.interaction_points)
+             + F.col("engagement_score") * F.lit(p.engagement_points)
+             + F.col("win_rate") * F.lit(100) * F.lit(p.win_points))
+    return F.round(score, 2)
+
+
 def score_features(feats: DataFrame, profile: ScoringProfile = NOTEBOOK) -> DataFrame:
-    """MT-10..12 on a feature table: lead_score, lead_quality, probability_to_convert."""
-    scored = feats.withColumn("lead_score", lead_score(
-        "total_revenue", "total_interactions", "engagement_score", "win_rate", profile))
+    """MT-10..12 (or MT-17 for a max-normalised profile) on a feature table:
+    lead_score, lead_quality, probability_to_convert."""
+    if profile.normalize_by_max:
+        score = weighted_lead_score(feats, profile)
+    else:
+        score = lead_score("total_revenue", "total_interactions", "engagement_score", "win_rate", profile)
+    scored = feats.withColumn("lead_score", score)
     return scored.withColumns({
         "lead_quality": quality_band("lead_score", profile),
         "probability_to_convert": probability_to_convert("engagement_score", "conversion_rate", profile),
@@ -182,18 +200,10 @@ def lead_features(leads: DataFrame, interactions: DataFrame, as_of: _dt.date,
 
 def weighted_score(features: DataFrame) -> DataFrame:
     """MT-17 (documented): 0.30*rev/max(rev)*100 + 0.20*n/max(n)*100
-    + 0.25*engagement + 0.25*win_rate*100, banded 80/60/40.
-
-    The two table maxima are scalar subqueries (one merged aggregate pass).
-    """
-    max_rev = features.agg(F.max("total_revenue")).scalar()
-    max_n = features.agg(F.max("total_interactions")).scalar()
-    score = (F.coalesce(F.try_divide(F.col("total_revenue"), max_rev), F.lit(0.0)) * F.lit(100) * F.lit(0.30)
-             + F.coalesce(F.try_divide(F.col("total_interactions"), max_n), F.lit(0.0)) * F.lit(100) * F.lit(0.20)
-             + F.col("engagement_score") * F.lit(0.25)
-             + F.col("win_rate") * F.lit(100) * F.lit(0.25))
-    return features.select("customer_id", F.round(score, 2).alias("weighted_score")).withColumn(
-        "weighted_quality", quality_band("weighted_score", NOTEBOOK))
+    + 0.25*engagement + 0.25*win_rate*100, banded 80/60/40 — the DOC_WEIGHTED
+    rule set applied to an existing feature table."""
+    return features.select("customer_id", weighted_lead_score(features, DOC_WEIGHTED).alias(
+        "weighted_score")).withColumn("weighted_quality", quality_band("weighted_score", NOTEBOOK))
 
 
 def channel_conversion(interactions: DataFrame, leads: DataFrame,

@@ -777,3 +777,13 @@ SELECT customer_id, """ + msum("deal_value") + """ AS total_revenue, COUNT(deal_
   COUNT(*) FILTER (WHERE status = 'closed_won') AS num_closed_won
 FROM leads_clean WHERE customer_id IS NOT NULL GROUP BY customer_id"""),
 })
+
+
+ORACLE["doc_flow_scores"] = with_(ALL_CLEAN + "," + FEATURES + """,
+df_s AS (SELECT customer_id, total_revenue / """ + REVENUE_UNIT + """::DOUBLE * 30.0::DOUBLE
+  + total_interactions * 2.0::DOUBLE + engagement_score * 25.0::DOUBLE + win_rate * 20.0::DOUBLE AS lead_score
+  FROM customer_features)""", """
+SELECT customer_id, lead_score,
+  CASE WHEN lead_score >= 80 THEN 'hot' WHEN lead_score >= 60 THEN 'warm'
+       WHEN lead_score >= 40 THEN 'cool' ELSE 'cold' END AS lead_quality
+FROM df_s""")

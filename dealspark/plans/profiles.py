@@ -40,6 +40,10 @@ class ScoringProfile:
     p_engagement: float = 0.4
     p_conversion: float = 0.6
     smoothing: float = 0.001
+    # doc_weighted: revenue and interactions are divided by their table
+    # maxima and scaled to 100, win rate is scaled to 100 (see
+    # features.score_features); lead_score is then rounded to 2 decimals.
+    normalize_by_max: bool = False
 
     def with_(self, **kw) -> "ScoringProfile":
         return replace(self, **kw)
@@ -64,7 +68,8 @@ DOC_WEIGHTED = ScoringProfile(
     interaction_points=0.20,
     engagement_points=0.25,
     win_points=0.25,
-    rounded=False,
+    score_cap=None,
+    normalize_by_max=True,
 )
 
 PROFILES = {p.name: p for p in (NOTEBOOK, EDA, DOC_FLOW, DOC_WEIGHTED)}

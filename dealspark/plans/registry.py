@@ -506,3 +506,15 @@ def _outcome_pivot(t: Tables) -> DataFrame:
 def _deal_summary(t: Tables) -> DataFrame:
     """AG-19 (every deal counts as revenue)."""
     return ft.deal_summary(t.clean("leads"), BENCH_EDA)
+
+
+from dealspark.plans.profiles import DOC_FLOW  # noqa: E402
+
+
+@query("doc_flow_scores")
+def _doc_flow_scores(t: Tables) -> DataFrame:
+    """The documented flow rule set (engagement x25, no cap, unrounded) on the
+    same features."""
+    feats = t.features().drop("lead_score", "lead_quality", "probability_to_convert")
+    scored = ft.score_features(feats, DOC_FLOW.with_(revenue_unit=dt.REVENUE_UNIT))
+    return scored.select("customer_id", "lead_score", "lead_quality")

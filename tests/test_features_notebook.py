@@ -143,3 +143,14 @@ def test_top_customers_order(features):
     assert [r.customer_id for r in rows[:4]] == ["C007", "C013", "C002", "C001"]
     assert [r.customer_id for r in rows[4:]] == sorted(r.customer_id for r in rows[4:])
     assert len(rows) == 13 and len(rows[0]) == 11
+
+
+def test_documented_rule_sets(features):
+    from dealspark.plans.profiles import DOC_WEIGHTED
+    base = features.drop("lead_score", "lead_quality", "probability_to_convert")
+    w = {r.customer_id: r for r in ft.score_features(base, DOC_WEIGHTED).collect()}
+    # C007 has the largest revenue (550,000) and 2 of max 3 interactions
+    want = round(100 * 0.30 + (2 / 3) * 100 * 0.20 + 8.0 * 0.25 + 0.999 * 100 * 0.25, 2)
+    assert w["C007"].lead_score == want
+    ws = {r.customer_id: r.weighted_score for r in ft.weighted_score(features).collect()}
+    assert ws["C007"] == want
