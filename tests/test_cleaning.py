@@ -114,3 +114,12 @@ def test_exact_sum_fallbacks(spark):
     got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
     assert got["a"] == 0.3  # exact decimal sum, not 0.30000000000000004
     assert math.isnan(got["b"]) and got["c"] == 1e30 + 1.0 and got["d"] is None
+
+
+def test_typed_csv_scan(spark, sample_root):
+    from dealspark.sources.layers import Layout
+    from dealspark.sources.readers import read_clean_csv
+    df = read_clean_csv(spark, Layout(sample_root).bronze("interactions"), "interactions")
+    assert df.count() == 25
+    assert dict(df.dtypes)["interaction_time_minutes"] == "int"
+    assert dict(df.dtypes)["interaction_date"] == "timestamp_ntz"
