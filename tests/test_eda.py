@@ -114,3 +114,13 @@ def test_null_profile_and_distribution(raw, clean):
     dist = pf.value_distribution(clean["leads"], "status").collect()
     assert [(r.value, r["count"]) for r in dist] == [("open", 7), ("closed_won", 6), ("closed_lost", 2)]
     assert abs(sum(r.pct for r in dist) - 100.0) < 1e-9
+
+
+def test_column_stats_industry_revenue_points(clean):
+    s = pf.column_stats(clean["leads"], "leads", ["deal_value"]).first()
+    assert (s.min_value, s.max_value, s.sum_value) == (15_000.0, 550_000.0, 1_937_000.0)
+    assert abs(s.mean_value - 1_937_000 / 15) < 1e-9
+    ind = pf.sum_by(clean["customers"], "industry", "annual_revenue", "annual_revenue").collect()
+    assert (ind[0].industry, ind[0].annual_revenue) == ("Technology", 624_500_000.0)
+    pts = pf.scatter_points(clean["customers"], "customer_id", "employee_count", "annual_revenue")
+    assert pts.columns == ["customer_id", "employee_count", "annual_revenue"] and pts.count() == 13
