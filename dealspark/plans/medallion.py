@@ -25,7 +25,7 @@ from dealspark.plans.profiles import EDA, NOTEBOOK, ScoringProfile
 from dealspark.schemas import KEYS
 from dealspark.sources.layers import GOLD_TABLES, Layout
 from dealspark.sources.readers import read_bronze, read_parquet
-from dealspark.sources.sinks import write_csv, write_parquet
+from dealspark.sources.sinks import save_bucketed, write_csv, write_parquet
 
 ENTITIES = ("leads", "customers", "interactions", "products")
 
@@ -44,8 +44,20 @@ QUALITY_SPEC = {
 }
 
 
+# Bucket key of each clean table when the layer is written bucketed: the
+# curated step aggregates and joins leads, interactions and customers on
+# customer_id.
+BUCKET_KEYS = {"leads": "customer_id", "customers": "customer_id",
+               "interactions": "customer_id", "products": "product_id"}
+
+
+def silver_table(entity: str, prefix: str = "silver_") -> str:
+    return f"{prefix}{entity}_clean"
+
+
 def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime | None = None,
-                     entities: Sequence[str] = ENTITIES) -> dict[str, str]:
+                     entities: Sequence[str] = ENTITIES, buckets: int | None = None,
+                     table_prefix: str = "silver_") -> dict[str, str]:
     """Clean every raw entity and overwrite its clean table (SNK-1).
 
     The quality metrics (DQ-1) are written next to the clean tables: NULL and
@@ -54,13 +66,25 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
     raw rows - clean rows. No distinct-key shuffle of the raw data is needed.
     (``DataFrame.observe`` would avoid even that count, but on Spark 4.1 an
     observed session can no longer serialise the ML evaluators' closures.)
+
+    With ``buckets``, each clean table is also registered in the catalog,
+    bucketed by ``BUCKET_KEYS`` (customer_id for the three tables the
+    curated step joins), so ``silver_to_gold(..., bucketed=True)`` runs its
+    per-customer aggregates and joins without any shuffle. Use it only when
+    no customer holds a large share of rows: one task reads a whole bucket,
+    so a hot customer's bucket cannot be split the way the shuffle plan's
+    map-side partial aggregation spreads it.
     Returns the written paths.
     """
     out, parts = {}, []
     for e in entities:
         raw = read_bronze(spark, layout.bronze(e), e)
         path = layout.silver(e)
-        write_parquet(cl.with_audit(cl.CLEANERS[e](raw), _ts(run_ts)), path)
+        clean = cl.with_audit(cl.CLEANERS[e](raw), _ts(run_ts))
+        if buckets:
+            save_bucketed(clean, silver_table(e, table_prefix), path, BUCKET_KEYS[e], buckets)
+        else:
+            write_parquet(clean, path)
         out[e] = path
         stats = read_parquet(spark, path).agg(*dq.clean_metric_columns(**QUALITY_SPEC.get(e, {})))
         stats = stats.withColumn("raw_rows", raw.agg(F.count(F.lit(1))).scalar()).withColumn(
@@ -79,23 +103,26 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
     return out
 
 
-def read_silver(spark: SparkSession, layout: Layout, entity: str) -> DataFrame:
-    """SRC-2: a clean table without its audit column."""
-    df = read_parquet(spark, layout.silver(entity))
+def read_silver(spark: SparkSession, layout: Layout, entity: str, bucketed: bool = False,
+                table_prefix: str = "silver_") -> DataFrame:
+    """SRC-2: a clean table without its audit column (from the catalog when
+    the layer was written bucketed, so the bucketing is known to the planner)."""
+    df = (spark.table(silver_table(entity, table_prefix)) if bucketed
+          else read_parquet(spark, layout.silver(entity)))
     return df.drop("processed_at") if "processed_at" in df.columns else df
 
 
 def silver_to_gold(spark: SparkSession, layout: Layout, as_of: _dt.date,
                    profile: ScoringProfile = NOTEBOOK, run_ts: _dt.datetime | None = None,
-                   top_n: int = 50) -> dict[str, str]:
+                   top_n: int = 50, bucketed: bool = False,
+                   table_prefix: str = "silver_") -> dict[str, str]:
     """Build and overwrite the four curated tables (SNK-2).
 
     ``top_customers`` is read from the written feature table instead of
     re-deriving the features from the clean layer.
     """
-    leads = read_silver(spark, layout, "leads")
-    customers = read_silver(spark, layout, "customers")
-    interactions = read_silver(spark, layout, "interactions")
+    leads, customers, interactions = (read_silver(spark, layout, e, bucketed, table_prefix)
+                                      for e in ("leads", "customers", "interactions"))
     ts = _ts(run_ts)
     paths = {t: layout.gold(t) for t in GOLD_TABLES}
     write_parquet(cl.with_audit(ft.customer_features(customers, interactions, leads, as_of, profile), ts),

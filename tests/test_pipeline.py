@@ -58,3 +58,26 @@ def test_streaming_ingest_is_incremental(spark, tmp_path):
     out = read_parquet(spark, layout.silver("leads"))
     assert out.count() == 16
     assert out.where("lead_id = 'L001'").first().deal_value == 50000.0
+
+
+def test_bucketed_clean_layer_needs_no_shuffle(spark, tmp_path):
+    from dealspark.operators import features as ft
+    root = crm_data.write_bronze(str(tmp_path))
+    layout = Layout(root)
+    medallion.bronze_to_silver(spark, layout, buckets=4, table_prefix="bkt_")
+    c, l, i = (medallion.read_silver(spark, layout, e, True, "bkt_")
+               for e in ("customers", "leads", "interactions"))
+    f = ft.customer_features(c, i, l, dt.date(2024, 12, 1))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = f._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+    plain = [medallion.read_silver(spark, layout, e) for e in ("customers", "leads", "interactions")]
+    g = ft.customer_features(plain[0], plain[2], plain[1], dt.date(2024, 12, 1))
+    assert sorted(f.collect()) == sorted(g.collect())
+    gold = medallion.silver_to_gold(spark, layout, dt.date(2024, 12, 1), bucketed=True, table_prefix="bkt_")
+    assert read_parquet(spark, gold["customer_features"]).count() == 13
