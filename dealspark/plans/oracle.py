@@ -427,7 +427,7 @@ WHERE r.lo IS NOT NULL"""),
 SELECT customer_id, customer_name, total_revenue FROM eda_features
 ORDER BY total_revenue DESC, customer_id ASC LIMIT 10"""),
     "top10_lead_score": with_(ALL_CLEAN + "," + EDA_FEATURES, """
-SELECT *, ROW_NUMBER() OVER (ORDER BY lead_score DESC, customer_id ASC) AS rank FROM (
+SELECT *, (ROW_NUMBER() OVER (ORDER BY lead_score DESC, customer_id ASC))::INTEGER AS rank FROM (
   SELECT customer_id, customer_name, lead_score, total_revenue, lead_quality FROM eda_features
   ORDER BY lead_score DESC, customer_id ASC LIMIT 10)"""),
     "top5_industries": with_(CLEAN_CUSTOMERS, """
