@@ -81,3 +81,15 @@ def test_bucketed_clean_layer_needs_no_shuffle(spark, tmp_path):
     assert sorted(f.collect()) == sorted(g.collect())
     gold = medallion.silver_to_gold(spark, layout, dt.date(2024, 12, 1), bucketed=True, table_prefix="bkt_")
     assert read_parquet(spark, gold["customer_features"]).count() == 13
+
+
+def test_command_line(spark, tmp_path):
+    from dealspark.__main__ import main
+    root = crm_data.write_bronze(str(tmp_path))
+    out = main(["raw-to-clean", "--root", root], spark)
+    assert set(out) >= {"leads", "customers", "interactions", "products", "_quality"}
+    out = main(["clean-to-curated", "--root", root, "--as-of", "2024-12-01"], spark)
+    feats = read_parquet(spark, out["customer_features"])
+    assert feats.where("lead_quality = 'hot'").count() == 2
+    out = main(["analysis", "--root", root, "--out", str(tmp_path / "analysis")], spark)
+    assert "report" in out
