@@ -93,3 +93,14 @@ def test_command_line(spark, tmp_path):
     assert feats.where("lead_quality = 'hot'").count() == 2
     out = main(["analysis", "--root", root, "--out", str(tmp_path / "analysis")], spark)
     assert "report" in out
+
+
+def test_train_from_features_csv(spark, tmp_path):
+    from dealspark.__main__ import main
+    root = crm_data.write_bronze(str(tmp_path))
+    main(["raw-to-clean", "--root", root], spark)
+    main(["analysis", "--root", root, "--out", str(tmp_path / "analysis")], spark)
+    out = main(["train", "--root", root, "--features-csv", str(tmp_path / "analysis" / "customer_features_csv"),
+                "--model-output", str(tmp_path / "model")], spark)
+    assert out["model"] in ("rf", "gbt")
+    assert {m["model"] for m in out["metrics"]} == {"rf", "gbt", "reloaded"}
