@@ -21,7 +21,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from dealspark.plans import medallion  # noqa: E402
+from dealspark.plans import layered  # noqa: E402
 from dealspark.plans.registry import BENCH_NOTEBOOK, REGISTRY  # noqa: E402
 from dealspark.session import local_session  # noqa: E402
 from dealspark.sources import driver_tables as dt_  # noqa: E402
@@ -57,11 +57,11 @@ def main() -> None:
     # Layered run: raw CSV files → clean Parquet → curated Parquet.
     work = tempfile.mkdtemp(prefix="dealspark-bench-")
     layout = Layout(work)
-    for e in medallion.ENTITIES:
+    for e in layered.ENTITIES:
         write_csv(dt_.RAW[e](spark, sf_dir), layout.bronze(e))
-    times["raw_to_clean_run"] = timed(lambda: medallion.bronze_to_silver(spark, layout))
+    times["raw_to_clean_run"] = timed(lambda: layered.bronze_to_silver(spark, layout))
     times["clean_to_curated_run"] = timed(
-        lambda: medallion.silver_to_gold(spark, layout, dt_.AS_OF, BENCH_NOTEBOOK))
+        lambda: layered.silver_to_gold(spark, layout, dt_.AS_OF, BENCH_NOTEBOOK))
     shutil.rmtree(work, ignore_errors=True)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)

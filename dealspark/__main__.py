@@ -13,7 +13,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from dealspark.plans import medallion
+from dealspark.plans import layered
 from dealspark.plans.profiles import PROFILES
 from dealspark.sources.layers import Layout
 from dealspark.sources.readers import read_parquet
@@ -45,14 +45,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName(f"dealspark-{args.step}").getOrCreate()
     layout = Layout(args.root)
     if args.step == "raw-to-clean":
-        out = medallion.bronze_to_silver(spark, layout, buckets=args.buckets)
+        out = layered.bronze_to_silver(spark, layout, buckets=args.buckets)
     elif args.step == "clean-to-curated":
         profile = PROFILES[args.profile]
         if args.revenue_unit:
             profile = profile.with_(revenue_unit=args.revenue_unit)
-        out = medallion.silver_to_gold(spark, layout, args.as_of, profile, bucketed=args.bucketed)
+        out = layered.silver_to_gold(spark, layout, args.as_of, profile, bucketed=args.bucketed)
     elif args.step == "analysis":
-        out = medallion.analysis(spark, layout, args.out)
+        out = layered.analysis(spark, layout, args.out)
     else:
         if args.features_csv:
             feats = spark.read.option("header", True).option("inferSchema", False).csv(args.features_csv)
@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                    for c in feats.columns])
         else:
             feats = read_parquet(spark, layout.gold("customer_features"))
-        best, metrics = medallion.train_lead_model(spark, feats, args.model_output, prefer=args.prefer)
+        best, metrics = layered.train_lead_model(spark, feats, args.model_output, prefer=args.prefer)
         out = {"model": best, "path": args.model_output,
                "metrics": [r.asDict() for r in metrics.collect()]}
     print(json.dumps(out, default=str))

@@ -245,12 +245,12 @@ def _top5_industries(t: Tables) -> DataFrame:
 # --- data quality ----------------------------------------------------------------
 
 from dealspark.functions.scoring import recency_engagement  # noqa: E402
-from dealspark.plans import medallion  # noqa: E402
+from dealspark.plans import layered  # noqa: E402
 from dealspark.operators import dedupe as dd  # noqa: E402
 from dealspark.operators import quality as dq  # noqa: E402
 from dealspark.schemas import KEYS  # noqa: E402
 
-QUALITY_SPEC = medallion.QUALITY_SPEC
+QUALITY_SPEC = layered.QUALITY_SPEC
 # The documented ranges every clean table must satisfy.
 def range_rules():
     return {
@@ -479,7 +479,7 @@ def _model_predictions(t: Tables) -> DataFrame:
 @query("analysis_report")
 def _analysis_report(t: Tables) -> DataFrame:
     """SNK-4: the analysis report as (section, metric, dimension, value)."""
-    return medallion.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
+    return layered.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
                                      t.clean("products"), t.eda_features())
 
 

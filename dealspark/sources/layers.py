@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Layer folder names of the medallion layout.
+# Layer folder names of the layered layout.
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 SILVER_TABLES = {
     "leads": "leads_clean",

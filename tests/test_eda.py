@@ -8,7 +8,7 @@ import pytest
 from dealspark.operators import features as ft
 from dealspark.operators import profile as pf
 from dealspark.operators import topk
-from dealspark.plans import medallion
+from dealspark.plans import layered
 
 # Committed feature rows (id n avg_duration call email whatsapp
 # neg neu pos revenue deals avg_deal won engagement score quality).
@@ -60,7 +60,7 @@ def test_eda_band_edges(spark):
 
 
 def test_report_anchors(clean, eda):
-    rep = medallion.analysis_report(clean["customers"], clean["leads"], clean["interactions"],
+    rep = layered.analysis_report(clean["customers"], clean["leads"], clean["interactions"],
                                     clean["products"], eda)
     v = {(r.section, r.metric, r.dimension): r.value for r in rep.collect()}
     assert v[("summary", "total_customers", "")] == 13
