@@ -102,64 +102,81 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
         F.col("null_count") > 0)
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact interpolated median of a column (NULLs skipped) as one row
-    ``median``, without gathering the column — or a hot value — in one task.
-
-    Two passes over the input:
-
-    1. n and an approximate bracket [lo, hi] around the 50th percentile
-       (scalar subqueries, merged by Catalyst into one aggregate);
-    2. a partial aggregate that keeps one group for all rows below lo and one
-       (value, count) group per distinct value inside the bracket — at most
-       about 6n/A groups, however many rows share one value. A running count
-       over those groups (below-group first) gives each value the number of
-       rows up to it, which locates the middle rank(s); they are interpolated
-       as Spark's ``percentile`` does.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact interpolated medians of several columns (NULLs skipped), one row
+    ``(column_name, median)`` per column, in two passes over the table — not
+    two per column — and without gathering a column or a hot value in one task.
+
+    1. (column, value) pairs are exploded per row; a grouped aggregate gives
+       each column n and an approximate bracket [lo, hi] around its 50th
+       percentile (one row per column).
+    2. The pairs are joined to that k-row table (equi-join on the column
+       name; broadcast, size = number of columns) and reduced by a partial
+       aggregate to one group for all values below lo and one (value, count)
+       group per distinct value inside the bracket — at most about 6n/A
+       groups per column, however many rows share one value. A running count
+       per column locates the middle rank(s), interpolated as Spark's
+       ``percentile`` does.
     """
-    base = df.select(_double(column).alias("x")).where(F.col("x").isNotNull())
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), _double(c).alias("x")) for c in columns])).alias("p")
+    ).select("p.column_name", "p.x").where(F.col("x").isNotNull())
     lo_p, hi_p = max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)
-    n = base.agg(F.count(F.lit(1))).scalar()
-    lo = base.agg(F.percentile_approx("x", lo_p, MEDIAN_ACCURACY)).scalar()
-    hi = base.agg(F.percentile_approx("x", hi_p, MEDIAN_ACCURACY)).scalar()
-    below = F.col("x") < lo
-    groups = base.where(F.col("x") <= hi).groupBy(
-        below.alias("below"), F.when(~below, F.col("x")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(F.lit(1)).orderBy(
-        F.col("below").desc(), F.col("v").asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    pos = (n - F.lit(1)) / F.lit(2.0)
-    cum = groups.select("v", upto.alias("upto"))  # rows with rank < upto have value <= v
-    picked = cum.agg(F.min(F.when(F.col("upto") > F.floor(pos), F.col("v"))).alias("xl"),
-                     F.min(F.when(F.col("upto") > F.ceil(pos), F.col("v"))).alias("xu"))
-    med = F.when(F.floor(pos) == F.ceil(pos), F.col("xl")).otherwise(
-        (F.ceil(pos) - pos) * F.col("xl") + (pos - F.floor(pos)) * F.col("xu"))
-    return picked.select(med.cast("double").alias("median"))
+    stats = pairs.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("x", lo_p, MEDIAN_ACCURACY).alias("lo"),
+        F.percentile_approx("x", hi_p, MEDIAN_ACCURACY).alias("hi"))
+    below = F.col("x") < F.col("lo")
+    groups = pairs.join(F.broadcast(stats), "column_name").where(F.col("x") <= F.col("hi")).groupBy(
+        "column_name", "n", below.alias("below"), F.when(~below, F.col("x")).alias("v")).agg(
+        F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("column_name").orderBy(F.col("below").desc(), F.col("v").asc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    pos = (F.col("n") - F.lit(1)) / F.lit(2.0)
+    cum = groups.select("column_name", "v", F.sum("c").over(w).alias("upto"), pos.alias("pos"))
+    picked = cum.groupBy("column_name").agg(
+        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("v"))).alias("xl"),
+        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("v"))).alias("xu"),
+        F.first("pos").alias("pos"))
+    med = F.when(F.floor("pos") == F.ceil("pos"), F.col("xl")).otherwise(
+        (F.ceil("pos") - F.col("pos")) * F.col("xl") + (F.col("pos") - F.floor("pos")) * F.col("xu"))
+    return picked.select("column_name", med.cast("double").alias("median"))
+
+
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """Exact median of one column as a one-row ``median`` table (NULL when the
+    column has no values); see ``exact_medians``."""
+    m = exact_medians(df, [column]).select("median").scalar()
+    return df.sparkSession.range(1).select(m.alias("median"))
 
 
 def describe_columns(df: DataFrame, table: str, spec: Mapping[str, Sequence[str]]) -> DataFrame:
     """AG-12: chosen statistics per column, long form (table, column, stat, value).
 
     ``spec`` maps a column to a subset of sum / mean / median / min / max.
-    Sums and means of money are exact decimal sums (order-independent).
+    Sums and means of money are exact decimal sums (order-independent); all
+    medians of the table share the two passes of ``exact_medians``.
     """
     parts = []
     simple = []
+    median_cols = []
     for c, stats in spec.items():
         x = _double(c)
         dec = F.sum(x.try_cast("decimal(28,4)")).cast("double")
         fn = {"sum": dec, "mean": F.try_divide(dec, F.count(x)), "min": F.min(x), "max": F.max(x)}
         for s in stats:
             if s == "median":
-                parts.append(exact_median(df, c).select(
-                    F.lit(c).alias("column_name"), F.lit("median").alias("stat"),
-                    F.col("median").alias("value")))
+                median_cols.append(c)
             else:
                 simple.append((c, s, fn[s]))
     if simple:
         wide = df.agg(*[e.alias(f"{c}__{s}") for c, s, e in simple])
         rows = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"),
                          F.col(f"{c}__{s}").alias("value")) for c, s, _ in simple]
-        parts.insert(0, wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*"))
+        parts.append(wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*"))
+    if median_cols:
+        parts.append(exact_medians(df, median_cols).select(
+            "column_name", F.lit("median").alias("stat"), F.col("median").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -124,3 +124,16 @@ def test_column_stats_industry_revenue_points(clean):
     assert (ind[0].industry, ind[0].annual_revenue) == ("Technology", 624_500_000.0)
     pts = pf.scatter_points(clean["customers"], "customer_id", "employee_count", "annual_revenue")
     assert pts.columns == ["customer_id", "employee_count", "annual_revenue"] and pts.count() == 13
+
+
+def test_exact_medians_with_a_hot_value(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    a = rng.normal(50, 10, 20_000).round(3)
+    a[: len(a) // 3] = 42.0  # one value holds a third of the rows
+    b = rng.integers(0, 1000, 20_000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    got = {r.column_name: r.median for r in pf.exact_medians(df, ["a", "b"]).collect()}
+    assert got == {"a": float(np.median(a)), "b": float(np.median(b))}
+    nulls = spark.createDataFrame([(None,), (None,)], "a double")
+    assert pf.exact_median(nulls, "a").first().median is None
