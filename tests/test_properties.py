@@ -49,3 +49,33 @@ def test_parse_int_truncates_or_nulls(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r.v for r in df.select(parse_int("s").alias("v")).collect()]
     assert got == [_expected(t) for t in texts]
+
+
+days = st.integers(0, 20)
+leads_st = st.lists(st.tuples(st.sampled_from(["c1", "c2"]), days), min_size=1, max_size=12)
+contacts_st = st.lists(st.tuples(st.sampled_from(["c1", "c2"]), st.sampled_from(["call", "email"]), days),
+                       min_size=0, max_size=12)
+
+
+@SETTINGS
+@given(leads_st, contacts_st)
+def test_response_time_matches_all_pairs(spark, leads, contacts):
+    import datetime as dt
+    from dealspark.operators.features import channel_response_time
+    base = dt.datetime(2024, 1, 1)
+    ldf = spark.createDataFrame([(c, base + dt.timedelta(days=d)) for c, d in leads],
+                                "customer_id string, created_at timestamp_ntz")
+    idf = spark.createDataFrame([(c, ch, base + dt.timedelta(days=d)) for c, ch, d in contacts],
+                                "customer_id string, channel_standardized string, interaction_date timestamp_ntz")
+    got = {r.channel_standardized: (r.leads_answered, r.avg_response_days)
+           for r in channel_response_time(idf, ldf).collect()}
+    want = {}
+    for ch in ("call", "email"):
+        waits = []
+        for c, d in leads:
+            later = [cd for cc, cch, cd in contacts if cc == c and cch == ch and cd >= d]
+            if later:
+                waits.append(min(later) - d)
+        if waits:
+            want[ch] = (len(waits), round(sum(waits) / len(waits), 4))
+    assert got == want
