@@ -79,3 +79,27 @@ def test_response_time_matches_all_pairs(spark, leads, contacts):
         if waits:
             want[ch] = (len(waits), round(sum(waits) / len(waits), 4))
     assert got == want
+
+
+vals = st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e3, 1e3, allow_nan=False)),
+                min_size=0, max_size=30)
+
+
+@SETTINGS
+@given(vals, vals)
+def test_exact_medians_match_numpy(spark, a, b):
+    import numpy as np
+    from dealspark.operators.profile import exact_medians
+    n = max(len(a), len(b))
+    a2, b2 = a + [None] * (n - len(a)), b + [None] * (n - len(b))
+    df = spark.createDataFrame(list(zip(a2, b2)), "a double, b double")
+    got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"]).collect()}
+    for name, xs in (("a", a2), ("b", b2)):
+        xs = sorted(x for x in xs if x is not None)
+        if not xs:
+            assert got.get(name) is None
+            continue
+        k = len(xs)
+        want = xs[k // 2] if k % 2 else 0.5 * xs[k // 2 - 1] + 0.5 * xs[k // 2]
+        assert got[name] == want, (name, xs)
+        assert abs(want - float(np.median(xs))) <= 1e-9 * max(1.0, abs(want))
