@@ -1,0 +1,29 @@
+"""The operators' registered queries and, where SQL can express one, its DuckDB SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from llm import quality_rules, url_filters
+from llm.common import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = quality_rules.judge(table(spark, sf_dir, "documents"), "doc_id")
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                     "base_failed", "kept")
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op5_quality_rules, op9_url_filters)}
+
+#: DuckDB SQL of the queries that SQL can express.
+SQL: dict[str, str] = {}
