@@ -4,26 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import quality_rules, url_filters
+from llm import byte_bpe, fingerprints, quality_rules, url_filters
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fingerprints.compare(table(spark, sf_dir, "documents"))
+    return df.select("doc_id", "n_chars", F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"),
+                     "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = quality_rules.judge(table(spark, sf_dir, "documents"), "doc_id")
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                      "base_failed", "kept")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+    return df.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "UTF-8"), 256).alias("ids_sha256"),
+                     F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op5_quality_rules, op9_url_filters)}
+    op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op9_url_filters)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

@@ -1,0 +1,85 @@
+"""Vectorised hashes of all windows of an integer sequence, and sliding minima."""
+
+from __future__ import annotations
+
+import numpy as np
+
+MUL = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
+_powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Scatter the bits of uint64 values (a bijection), in place."""
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def _tables(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    size = max(1 << 16, 1 << (n - 1).bit_length())
+    got = _powers.get((size, base))
+    if got is None:
+        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        got = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        if size <= 1 << 23:
+            _powers[size, base] = got
+    return got
+
+
+class Windows:
+    """Hashes of the windows of one sequence: a polynomial modulo 2**64, mixed.
+
+    Equal windows have equal hashes wherever they are. ``values`` must be well
+    mixed or small integers; callers that need certainty compare contents or
+    two hashes with different ``base`` (odd).
+    """
+
+    def __init__(self, values: np.ndarray, base: int = MUL):
+        n = len(values)
+        self.up, self.down = _tables(max(n + 1, 2), base)
+        self.sums = np.zeros(n + 1, np.uint64)
+        scaled = values.astype(np.uint64)
+        scaled += np.uint64(1)
+        scaled *= self.up[:n]
+        np.cumsum(scaled, out=self.sums[1:])
+
+    def all(self, length: int) -> np.ndarray:
+        """Hash of [i, i + length) for each i where it fits."""
+        n = len(self.sums) - length
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        h = self.sums[length:] - self.sums[:n]
+        h *= self.down[:n]
+        return mix(h)
+
+    def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of [start, end) for given positions; the length takes part."""
+        h = self.sums[ends] - self.sums[starts]
+        h *= self.down[starts]
+        h += (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        return mix(h)
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of values[i:i + width] for each i where it fits (doubling)."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return values[:0]
+    low, span = values, 1
+    while 2 * span <= width:
+        low = np.minimum(low[:len(low) - span], low[span:])
+        span *= 2
+    return np.minimum(low[:n], low[width - span:width - span + n])
+
+
+def closed_syncmers(inner: np.ndarray, width: int) -> np.ndarray:
+    """Whether the window of ``width`` inner hashes that starts at i has its
+    minimum first or last: a choice that depends on the window alone."""
+    low = sliding_min(inner, width)
+    n = len(low)
+    return (inner[:n] == low) | (inner[width - 1:width - 1 + n] == low)
