@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, fingerprints, quality_rules, url_filters
+from llm import byte_bpe, fingerprints, packing, quality_rules, url_filters
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,12 +33,17 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op9_url_filters)}
+    op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
+    op9_url_filters)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
