@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, fingerprints, packing, quality_rules, url_filters
+from llm import byte_bpe, fingerprints, packing, quality_rules, url_filters, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = warc.round_trip(table(spark, sf_dir, "pages"))
+    return df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fingerprints.compare(table(spark, sf_dir, "documents"))
     return df.select("doc_id", "n_chars", F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"),
@@ -42,7 +47,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
+    op2_warc, op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
     op9_url_filters)}
 
 #: DuckDB SQL of the queries that SQL can express.
