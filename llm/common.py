@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ BLOCK_SCHEMA = "block long, n_bytes long, ids binary, lens binary, blob binary,
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -54,6 +57,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, in case they cannot import it."""
+    context = spark.sparkContext
+    if getattr(context, "_llm_shipped", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / "llm_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.glob("*.py")):
+            z.write(source, f"{package.name}/{source.name}")
+    context.addPyFile(str(archive))
+    context._llm_shipped = True
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -93,7 +110,8 @@ def blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, extra: tu
 
     Packing happens where a document is read, without a shuffle. The table is
     written once, so blocks keep their numbers and contents in all later
-    passes, also after lost executors.
+    passes, also after lost executors. It is bucketed by block, so ``answered``
+    brings answers to blocks without moving texts.
     """
     def pack(batches):
         from pyspark import TaskContext
@@ -114,7 +132,14 @@ def blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, extra: tu
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                          *[F.col(c).cast("string") for c in extra])
-    return stored(picked.mapInArrow(pack, BLOCK_SCHEMA), name)
+    spark = docs.sparkSession
+    path, table_name = scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
+    (picked.mapInArrow(pack, BLOCK_SCHEMA).write.option("compression", "zstd").option("path", path)
+     .bucketBy(partitions(spark), "block").saveAsTable(table_name))
+    made = spark.table(table_name)
+    made.schema  # resolved here; only the name goes, the files stay
+    spark.sql(f"DROP TABLE {table_name}")
+    return made
 
 
 def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,3 +147,8 @@ def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lens = np.frombuffer(row["lens"], np.int64)
     return (np.frombuffer(row["ids"], np.int64), np.concatenate([[0], np.cumsum(lens)]),
             np.frombuffer(row["blob"], np.uint8))
+
+
+def answered(packed: DataFrame, answers: DataFrame, *, key: str = "block") -> DataFrame:
+    """Each block with its row of ``answers`` (one per block at most); texts stay where they are."""
+    return packed.join(answers.hint("shuffle_hash"), key, "left")

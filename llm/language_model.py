@@ -1,0 +1,264 @@
+"""Quality classifier: an interpolated modified Kneser-Ney n-gram model.
+
+The model counts ``ORDER``-grams of UTF-8 bytes in all trusted text. Bytes need
+no vocabulary and cover every language and script. Documents are packed into
+blocks; a block sends each distinct n-gram once to the shard that counts it, so
+what moves grows with the distinct n-grams of blocks and not with the text.
+Counts, continuation counts, contexts and discounts are tables; joins along the
+orders give each n-gram of the corpus its interpolated probability, and the
+shards send those back to the blocks that asked. A document's perplexity per
+byte is compared with its language's threshold: a quantile of the trusted
+documents' perplexities, times a margin.
+
+Defined cases: a document with fewer than ``ORDER - 1`` bytes, or a null or
+empty text, has no n-gram: its perplexity is null and it is kept (other rules
+judge short texts). A null language is a language of its own. A language
+without trusted documents has the threshold of all trusted documents; without
+any trusted document there is no threshold and every document is kept. Repeated
+rows are scored alike; a doc_id that is trusted marks all its rows.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from llm import exchange
+from llm.common import NULL_ID, answered, blocks, stored, unpack
+
+ORDER = 5
+#: Of the trusted documents' perplexities in a language, this quantile ...
+QUANTILE = 0.99
+#: ... times this gives the threshold, so that clean documents unlike any trusted one stay.
+MARGIN = 3.0
+
+#: Largest dense table that numbers the n-grams of a block.
+DENSE = 1 << 25
+
+
+def ngrams(data: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """(values, number): the distinct byte n-grams of ``data`` as big-endian
+    integers, ascending, and the number of the n-gram that starts at each position.
+
+    n-grams are numbered level by level: a number and the next byte give a slot
+    in a dense table, so no sort of all positions is needed.
+    """
+    n = len(data) - order + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    letters, codes = np.unique(data, return_inverse=True)
+    codes, letters = codes.astype(np.int64), letters.astype(np.int64)
+    values, number = letters, codes
+    for k in range(1, order):
+        slot = number[:len(number) - 1] * len(letters) + codes[k:]
+        size = len(values) * len(letters)
+        if size <= DENSE:
+            seen = np.zeros(size, bool)
+            seen[slot] = True
+            used = np.flatnonzero(seen)
+            place = np.empty(size, np.int32)
+            place[used] = np.arange(len(used), dtype=np.int32)
+            number = place[slot].astype(np.int64)
+        else:
+            used, number = np.unique(slot, return_inverse=True)
+        values = (values[used // len(letters)] << 8) | letters[used % len(letters)]
+    return values, number
+
+
+def block_ngrams(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, n-gram values, n-gram number at each position, and bounds of each
+    document's positions. A line end stands before each document; n-grams never cross documents."""
+    ids, offsets, raw = unpack(row)
+    n = len(ids)
+    starts = offsets[:-1] + np.arange(n)
+    data = np.full(len(raw) + n, 10, np.uint8)
+    inside = np.ones(len(data), bool)
+    inside[starts] = False
+    data[inside] = raw
+    values, number = ngrams(data)
+    ends = np.maximum(starts, offsets[1:] + np.arange(1, n + 1) - ORDER + 1)
+    return ids, values, number, np.stack([starts, ends])
+
+
+def _trusted_positions(number: np.ndarray, bounds: np.ndarray, marked: list[int] | None) -> np.ndarray:
+    parts = [number[bounds[0, k]:bounds[1, k]] for k in marked or ()]
+    return np.concatenate(parts) if parts else number[:0]
+
+
+def _all_positions(number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    mark = np.zeros(len(number) + 1, np.int32)
+    np.add.at(mark, bounds[0][bounds[0] < len(number)], 1)
+    ends = bounds[1][bounds[0] < len(number)]
+    np.add.at(mark, np.minimum(ends, len(number)), -1)
+    return number[np.cumsum(mark[:-1]) > 0]
+
+
+def _asked(packed: DataFrame, shards: int) -> DataFrame:
+    """Each block's distinct n-grams, with their counts in its trusted documents."""
+    def run(row: dict) -> Iterator[dict]:
+        _, values, number, bounds = block_ngrams(row)
+        counts = np.bincount(_trusted_positions(number, bounds, row["trusted"]), minlength=len(values))
+        here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
+        yield from exchange.requests(row["block"], values[here].astype(np.uint64), counts[here].astype(np.uint32), shards)
+
+    return exchange.map_blocks(packed, run, exchange.REQUEST, exchange.REQUEST_ARROW)
+
+
+def _trusted_by_block(packed: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(block, trusted: positions of its trusted documents). Only ids move."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), block)), pa.array(np.arange(len(ids), dtype=np.int32)),
+                     pa.array(ids, mask=ids == NULL_ID)], ["block", "at", "doc_id"])
+
+    places = packed.select("block", "ids").mapInArrow(rows, "block long, at int, doc_id long")
+    marked = places.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
+    return marked.groupBy("block").agg(F.collect_list("at").alias("trusted"))
+
+
+def _counts(asked: DataFrame) -> DataFrame:
+    """(gram, n) of the trusted text, n > 0."""
+    def add(group: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()])
+        vals = np.concatenate([np.frombuffer(v, np.uint32) for v in group.column("vals").to_pylist()])
+        grams, number = np.unique(keys, return_inverse=True)
+        n = np.bincount(number, weights=vals).astype(np.int64)
+        return pa.table({"gram": grams.astype(np.int64), "n": n})
+
+    return asked.groupBy("shard").applyInArrow(add, "gram long, n long")
+
+
+def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+    """Modified Kneser-Ney discounts for counts of 1, 2 and more, from the counts of counts."""
+    got = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)]).first()
+    n1, n2, n3, n4 = (got[f"n{k}"] for k in range(1, 5))
+    if not (n1 and n2 and n3):
+        return 0.5, 0.75, 0.9  # too little text to estimate them
+    y = n1 / (n1 + 2 * n2)
+    raw = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
+    return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
+
+
+def probabilities(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, logp) for each ``wanted`` gram, given the highest order's ``counts`` (gram, n)."""
+    tables, top = {order: counts}, counts
+    for k in range(order - 1, 0, -1):  # continuation counts: distinct left neighbours
+        top = stored(top.groupBy((F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).alias("gram"))
+                     .agg(F.count("*").alias("n")), f"kn{k}")
+        tables[k] = top
+    asked = {order: wanted}
+    for k in range(order - 1, 0, -1):
+        asked[k] = stored(asked[k + 1].select(
+            F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).distinct(), f"asked{k}")
+    below = None
+    for k in range(1, order + 1):
+        d1, d2, d3 = _discounts(tables[k])
+        n = F.col("n")
+        seen = tables[k].select("gram", F.shiftright("gram", 8).alias("context"), "n")
+        discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+        contexts = seen.groupBy("context").agg(
+            F.sum("n").alias("total"), F.sum(discount).alias("spare"))
+        part = (asked[k].withColumn("context", F.shiftright("gram", 8))
+                .join(seen.select("gram", "n"), "gram", "left").join(contexts, "context", "left"))
+        own = F.coalesce((n - discount) / F.col("total"), F.lit(0.0))
+        share = F.coalesce(F.col("spare") / F.col("total"), F.lit(1.0))
+        if below is None:
+            p = part.select("gram", (own + share / 256).alias("p"))
+        else:
+            part = part.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
+            lower = below.select(F.col("gram").alias("suffix"), F.col("p").alias("p_below"))
+            p = part.join(lower, "suffix").select("gram", (own + share * F.col("p_below")).alias("p"))
+        below = stored(p, f"p{k}")
+    return below.select("gram", F.log("p").alias("logp"))
+
+
+def _returned(asked: DataFrame, logs: DataFrame, shards: int) -> DataFrame:
+    """The log probabilities of each block's n-grams (float32), by block."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = exchange.shard_of(batch.column(0).to_numpy().astype(np.uint64), shards)
+            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["shard", "gram", "logp"])
+
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams = right.column("gram").to_numpy()
+        order = np.argsort(grams)
+        grams, logp = grams[order], right.column("logp").to_numpy()[order].astype(np.float32)
+        found = [logp[np.searchsorted(grams, np.frombuffer(k, np.int64))].tobytes()
+                 for k in left.column("keys").to_pylist()]
+        return pa.table({"block": left.column("block"), "shard": left.column("shard"),
+                         "answer": pa.array(found, pa.binary())})
+
+    by_shard = logs.mapInArrow(number, "shard int, gram long, logp double")
+    return exchange.by_block(asked.groupBy("shard").cogroup(by_shard.groupBy("shard"))
+                             .applyInArrow(look_up, exchange.ANSWER))
+
+
+SCORED = "doc_id long, lang string, n_scored long, perplexity double, trusted boolean"
+SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_scored", pa.int64()),
+                          ("perplexity", pa.float64()), ("trusted", pa.bool_())])
+
+
+def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """doc_id, lang, n_scored (n-grams), perplexity (per byte) and trusted of each
+    row of ``docs`` (doc_id, text, lang), under the model of the rows whose
+    doc_id ``trusted`` (doc_id) has."""
+    packed = blocks(docs, "lm_blocks", extra=("lang",))
+    marked = answered(packed, stored(_trusted_by_block(packed, trusted), "lm_trusted"))
+    shards = exchange.shard_count(packed, 0.02)
+    asked = stored(_asked(marked.select("block", "ids", "lens", "blob", "trusted"), shards), "lm_asked")
+    every = stored(_counts(asked), "lm_counts")
+    logs = probabilities(every.where("n > 0"), every.select("gram"))
+    replies = stored(_returned(asked, logs, shards), "lm_replies")
+
+    def run(row: dict) -> Iterator[dict]:
+        ids, values, number, bounds = block_ngrams(row)
+        here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
+        logp = np.zeros(len(values))
+        logp[here] = exchange.answers_of(row["answers"], values[here].astype(np.uint64), shards, np.float32)
+        sums = np.concatenate([[0.0], np.cumsum(logp[number])])
+        last = len(sums) - 1
+        a, b = np.minimum(bounds[0], last), np.minimum(bounds[1], last)
+        totals, n = sums[b] - sums[a], b - a
+        known = set(row["trusted"] or ())
+        for k, doc_id in enumerate(ids.tolist()):
+            yield {"doc_id": None if doc_id == NULL_ID else doc_id, "lang": row["extra"][k], "n_scored": int(n[k]),
+                   "perplexity": math.exp(-totals[k] / n[k]) if n[k] else None, "trusted": k in known}
+
+    ready = answered(marked, replies).select("block", "ids", "lens", "blob", "extra", "trusted", "answers")
+    return exchange.map_blocks(ready, run, SCORED, SCORED_ARROW)
+
+
+def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+    """``scored`` plus threshold and kept."""
+    good = scored.where("trusted and perplexity is not null")
+    at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
+    by_lang = stored(good.groupBy("lang").agg(at.alias("own")), "lm_thresholds")
+    overall = good.agg(at.alias("t")).first()["t"]
+    joined = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    threshold = F.coalesce("own", F.lit(overall).cast("double"))
+    return joined.withColumn("threshold", threshold).select(
+        *scored.columns, "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_ids labelled good and not toxic."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, lang, n_scored, perplexity, trusted, threshold, kept of each row of ``docs``."""
+    return judge(stored(score(docs, trusted_ids(labels)), "lm_scored"))
+
+
+def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the classifier keeps, with all their columns."""
+    rejected = classify(docs, labels).where("not kept").select("doc_id").distinct()
+    return docs.join(stored(rejected, "lm_rejected"), "doc_id", "left_anti")

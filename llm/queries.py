@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, fingerprints, packing, quality_rules, url_filters, warc
+from llm import byte_bpe, fingerprints, language_model, packing, quality_rules, url_filters, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = quality_rules.judge(table(spark, sf_dir, "documents"), "doc_id")
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -47,7 +51,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_warc, op3_document_fingerprints, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
+    op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
     op9_url_filters)}
 
 #: DuckDB SQL of the queries that SQL can express.
