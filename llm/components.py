@@ -1,0 +1,49 @@
+"""Connected components of a links table, by alternating stars.
+
+Each turn joins links with the smallest neighbour of every node and writes the
+result, so nothing is gathered on the driver and no lineage grows. A node with
+very many links is pre-aggregated in each task, and the joins' right sides are
+stored tables, so Spark may split such a node's links.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from llm.common import stored
+
+
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.union(links.select("v", "u"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for each node of ``links`` (a, b: long); the component
+    is its smallest node. Loops and repeated links do not matter."""
+    edges = links.where("a is not null and b is not null and a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = stored(edges, "links")
+    while True:
+        before = _mark(edges)
+        # large star: all greater neighbours of a node are linked with its smallest neighbour
+        around = _both_ways(edges)
+        low = stored(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
+        large = around.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(large, "large")
+        # small star: a node and its smaller neighbours are linked with the smallest of them
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        joined = large.join(low, "u")
+        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .union(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        edges = stored(small, "links")
+        if _mark(edges) == before:
+            break
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _mark(edges: DataFrame) -> tuple:
+    """The same for equal sets of links."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+                           F.bit_xor(F.xxhash64("v", "u"))).first())

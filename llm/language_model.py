@@ -261,4 +261,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
     rejected = classify(docs, labels).where("not kept").select("doc_id").distinct()
-    return docs.join(stored(rejected, "lm_rejected"), "doc_id", "left_anti")
+    return docs.join(stored(rejected, "lm_rejected"), "doc_id", "left_anti").select(*docs.columns)

@@ -1,0 +1,377 @@
+"""MinHash near-dedup: a multi-index Hamming join over b-bit signatures.
+
+A document's set is the distinct ``size``-word shingles of its lower-cased
+words. Its signature has ``SYMBOLS`` MinHash values of ``BITS`` bits; the
+distance of two signatures is the number of symbols in which they differ. The
+signature is split into ``CHUNKS``; by pigeonhole, two signatures at distance
+``MAX_DISTANCE`` or less differ in at most ``ERRORS`` symbols of some chunk, so
+enumerating each chunk with every ``ERRORS`` symbols left out makes all such
+pairs meet under an equal key. At 85 % similarity a pair is farther apart with
+a probability under 1e-4.
+
+Documents with equal sets are one representative. The representatives under a
+key meet its smallest one, never each other; components of these meetings are
+candidate groups. A group's members are dealt to parts of bounded size, each
+two parts meet in one task, and the full sets decide every link (100 *
+intersection >= percent * union). Tasks return a spanning forest of their
+links, so what is emitted grows with the members and not with the pairs.
+
+Defined cases: a null, empty or blank text has an empty set and is linked with
+nothing; a text of fewer words than a shingle has its whole word sequence as
+its only shingle. Rows repeated under one doc_id count as copies; all
+rows of a kept doc_id are kept. A null doc_id is a document of
+its own kind: all null ids count as one id, smaller than any other.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from llm import exchange
+from llm.common import NULL_ID, answered, blocks, stored, unpack
+from llm.components import components
+from llm.rolling import Windows, mix
+
+SYMBOLS, BITS, CHUNKS, MAX_DISTANCE = 64, 16, 11, 21
+ERRORS = MAX_DISTANCE // CHUNKS
+
+#: A part of a candidate group: documents and shingles at most, on average.
+PART_DOCS, PART_SHINGLES = 192, 150_000
+
+_rng = np.random.default_rng(20240229)
+FACTORS = (_rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+SALTS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+
+
+def key_masks() -> list[tuple[int, ...]]:
+    """The symbols that make up each key: a chunk without ``ERRORS`` of its symbols."""
+    cuts = [SYMBOLS * k // CHUNKS for k in range(CHUNKS + 1)]
+    return [kept for a, b in zip(cuts, cuts[1:]) for kept in combinations(range(a, b), b - a - ERRORS)]
+
+
+def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, Windows]:
+    """Start and end of each word in a padded copy of the block's bytes, the
+    first word of each document (and the number of words), and the copy's hashes."""
+    n = len(offsets) - 1
+    data = np.full(len(raw) + n + 1, 10, np.uint8)
+    inside = np.ones(len(data), bool)
+    firsts = offsets[:-1] + np.arange(n)
+    inside[firsts] = False
+    inside[-1] = False
+    data[inside] = raw
+    if lower:
+        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    turn = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = turn[::2], turn[1::2]
+    bounds = np.append(np.searchsorted(starts, firsts), len(starts))
+    return starts, ends, bounds, Windows(data)
+
+
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
+    """Each document's shingles as distinct 64-bit hashes, ascending."""
+    starts, ends, bounds, hashes = words_of(raw, offsets, lower=True)
+    words = hashes.at(starts, ends)
+    runs = Windows(words, base=0xD1342543DE82EF95).all(size)
+    return [_set(words, runs, a, b, size) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def _set(words: np.ndarray, runs: np.ndarray, a: int, b: int, size: int) -> np.ndarray:
+    if b - a >= size:
+        return np.unique(runs[a:b - size + 1])
+    if b == a:
+        return words[:0]
+    return Windows(words[a:b], base=0xA24BAED4963EE407).all(b - a)
+
+
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """(documents, SYMBOLS) uint16; rows of empty sets are unspecified."""
+    out = np.zeros((len(sets), SYMBOLS), np.uint16)
+    full = [k for k, s in enumerate(sets) if len(s)]
+    if full:
+        every = np.concatenate([sets[k] for k in full])
+        starts = np.concatenate([[0], np.cumsum([len(sets[k]) for k in full])[:-1]])
+        for j in range(SYMBOLS):
+            values = ((every ^ SALTS[j]) * FACTORS[j]) >> np.uint64(24)
+            out[full, j] = (np.minimum.reduceat(values, starts) & np.uint64((1 << BITS) - 1)).astype(np.uint16)
+    return out
+
+
+def keys_of(signature: np.ndarray) -> np.ndarray:
+    """(documents, keys) uint64."""
+    made = []
+    for number, kept in enumerate(key_masks()):
+        h = np.full(len(signature), number + 1, np.uint64)
+        for k in kept:
+            h = (h ^ signature[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        made.append(mix(h))
+    return np.stack(made, axis=1) if len(signature) else np.zeros((0, len(key_masks())), np.uint64)
+
+
+SKETCH = "block long, n_bytes long, ids binary, sizes binary, first binary, second binary, signatures binary"
+SKETCH_ARROW = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), *[
+    (n, pa.binary()) for n in ("ids", "sizes", "first", "second", "signatures")]])
+
+
+def _sketch(packed: DataFrame, size: int) -> DataFrame:
+    """Per block: set sizes, two hashes of each set, and signatures."""
+    def run(row: dict) -> Iterator[dict]:
+        ids, offsets, raw = unpack(row)
+        sets = shingle_sets(raw, offsets, size)
+        first = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+        second = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64)
+        yield {"block": row["block"], "n_bytes": row["n_bytes"], "ids": ids.tobytes(),
+               "sizes": np.array([len(s) for s in sets], np.int64).tobytes(), "first": mix(first).tobytes(),
+               "second": second.tobytes(), "signatures": signatures(sets).tobytes()}
+
+    return exchange.map_blocks(packed.select("block", "n_bytes", "ids", "lens", "blob"), run, SKETCH, SKETCH_ARROW)
+
+
+def _arrays(row: dict) -> tuple[np.ndarray, ...]:
+    return (np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64),
+            np.frombuffer(row["first"], np.uint64), np.frombuffer(row["second"], np.uint64),
+            np.frombuffer(row["signatures"], np.uint16).reshape(-1, SYMBOLS))
+
+
+SET_VAL = np.dtype([("second", np.uint64), ("id", np.int64)])
+
+
+def _own_sets(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, vals): each distinct non-empty set of the block, by its two hashes, with its smallest doc_id."""
+    ids, sizes, first, second, _ = _arrays(row)
+    k = np.flatnonzero(sizes > 0)
+    k = k[np.lexsort((ids[k], second[k], first[k]))]
+    new = np.ones(len(k), bool)
+    new[1:] = (first[k][1:] != first[k][:-1]) | (second[k][1:] != second[k][:-1])
+    vals = np.zeros(int(new.sum()), SET_VAL)
+    vals["second"], vals["id"] = second[k][new], ids[k][new]
+    return first[k][new], vals
+
+
+def _smallest_of_equal(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    order = np.lexsort((vals["id"], vals["second"], keys))
+    k, s = keys[order], vals["second"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = vals["id"][order][new][np.cumsum(new) - 1]
+    return out
+
+
+def _representatives(row: dict, shards: int) -> np.ndarray:
+    """For each document of the block, the smallest doc_id with its set (its own if the set is empty)."""
+    ids, sizes, first, second, _ = _arrays(row)
+    keys, vals = _own_sets(row)
+    got = exchange.answers_of(row["answers"], keys, shards, np.int64)
+    both = np.zeros(len(keys), [("f", np.uint64), ("s", np.uint64)])
+    both["f"], both["s"] = keys, vals["second"]
+    want = np.zeros(len(ids), both.dtype)
+    want["f"], want["s"] = first, second
+    reps = ids.copy()
+    full = sizes > 0
+    reps[full] = got[np.searchsorted(both, want[full])]
+    return reps
+
+
+DOCS = "block long, at int, doc_id long, n_shingles long, rep long"
+DOCS_ARROW = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("doc_id", pa.int64()),
+                        ("n_shingles", pa.int64()), ("rep", pa.int64())])
+
+
+def _document_rows(known: DataFrame, shards: int) -> DataFrame:
+    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in incoming:
+            for row in batch.to_pylist():
+                ids, sizes, *_ = _arrays(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), row["block"])), pa.array(np.arange(len(ids), dtype=np.int32)),
+                     pa.array(ids), pa.array(sizes), pa.array(_representatives(row, shards))], schema=DOCS_ARROW)
+
+    return known.mapInArrow(batches, DOCS)
+
+
+def _leading(row: dict, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rep ids, key number of each of their keys, distinct keys): of the block's representatives."""
+    ids, sizes, _, _, signature = _arrays(row)
+    own = np.flatnonzero((sizes > 0) & (_representatives(row, shards) == ids))
+    _, once = np.unique(ids[own], return_index=True)
+    own = own[once]
+    keys, number = np.unique(keys_of(signature[own]), return_inverse=True)
+    return ids[own], number.reshape(len(own), len(key_masks())), keys
+
+
+def _key_requests(known: DataFrame, shards: int, key_shards: int) -> DataFrame:
+    """A block's distinct keys, each with the smallest representative that has it."""
+    def run(row: dict) -> Iterator[dict]:
+        ids, number, keys = _leading(row, shards)
+        low = np.full(len(keys), np.iinfo(np.int64).max)
+        np.minimum.at(low, number.ravel(), np.repeat(ids, number.shape[1]))
+        yield from exchange.requests(row["block"], keys, low, key_shards)
+
+    return exchange.map_blocks(known, run, exchange.REQUEST, exchange.REQUEST_ARROW)
+
+
+def _smallest_of_key(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    _, number = np.unique(keys, return_inverse=True)
+    low = np.full(int(number.max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(low, number, vals)
+    return low[number]
+
+
+MEETINGS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _meetings(known: DataFrame, shards: int, key_shards: int) -> DataFrame:
+    """(a, b): each representative with the smallest one under each of its keys."""
+    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in incoming:
+            for row in batch.to_pylist():
+                ids, number, keys = _leading(row, shards)
+                low = exchange.answers_of(row["leaders"], keys, key_shards, np.int64)
+                pairs = np.unique(np.stack([low[number].ravel(), np.repeat(ids, number.shape[1])], axis=1), axis=0)
+                pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=MEETINGS_ARROW)
+
+    return known.mapInArrow(batches, "a long, b long")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """(block, at, id, pool, part, parts): members of a candidate group dealt to parts of bounded size."""
+    parts = F.greatest(F.ceil(F.count("*") / PART_DOCS), F.ceil(F.sum("n_shingles") / PART_SHINGLES)).cast("int")
+    pools = stored(members.groupBy("pool").agg(parts.alias("parts"), F.count("*").alias("n")).where("n > 1").drop("n"), "pools")
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    return members.join(pools, "pool").select("block", "at", "id", "pool", part.alias("part"), "parts")
+
+
+MEMBERS = "pool long, left_part int, right_part int, part int, id long, members binary"
+MEMBERS_ARROW = pa.schema([("pool", pa.int64()), ("left_part", pa.int32()), ("right_part", pa.int32()),
+                           ("part", pa.int32()), ("id", pa.int64()), ("members", pa.binary())])
+
+
+def _member_sets(packed: DataFrame, dealt: DataFrame, size: int) -> DataFrame:
+    """The set of each dealt member, once for every pair of parts that holds its part."""
+    at_block = dealt.groupBy("block").agg(F.collect_list(F.struct("at", "id", "pool", "part", "parts")).alias("wanted"))
+
+    def run(row: dict) -> Iterator[dict]:
+        wanted = row["wanted"]
+        if not wanted:
+            return
+        _, offsets, raw = unpack(row)
+        chosen = [w["at"] for w in wanted]
+        pieces = [raw[offsets[k]:offsets[k + 1]] for k in chosen]
+        sets = shingle_sets(np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])]), size)
+        for w, members in zip(wanted, sets):
+            data = members.tobytes()
+            for other in range(w["parts"]):
+                yield {"pool": w["pool"], "left_part": min(w["part"], other), "right_part": max(w["part"], other),
+                       "part": w["part"], "id": w["id"], "members": data}
+
+    ready = answered(packed, stored(at_block, "near_wanted")).where("wanted is not null")
+    return exchange.map_blocks(ready.select("block", "ids", "lens", "blob", "wanted"), run, MEMBERS, MEMBERS_ARROW)
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of a bounded number of sets, by matrix products over slices of their shingles."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shingles, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1  # a shingle of one set adds to no intersection of two
+    place = np.cumsum(shared) - 1
+    inside = shared[column]
+    owner, column = owner[inside], place[column[inside]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    width = 8192
+    for a in range(0, int(shared.sum()), width):
+        lo, hi = np.searchsorted(column, [a, a + width])
+        slab = np.zeros((len(sets), width), np.float32)
+        slab[owner[lo:hi], column[lo:hi] - a] = 1
+        out += np.rint(slab @ slab.T).astype(np.int64)
+    out[np.arange(len(sets)), np.arange(len(sets))] = sizes
+    return out
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the graph with this boolean matrix, by breadth-first search."""
+    seen, out = np.zeros(len(linked), bool), []
+    for root in range(len(linked)):
+        if seen[root]:
+            continue
+        seen[root] = True
+        queue = [root]
+        while queue:
+            u = queue.pop()
+            new = np.flatnonzero(linked[u] & ~seen)
+            seen[new] = True
+            out += [(u, v) for v in new.tolist()]
+            queue += new.tolist()
+    return out
+
+
+def _verified(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that hold on the full sets, a spanning forest for each pair of parts."""
+    def run(group: pa.Table) -> pa.Table:
+        ids, members = group.column("id").to_numpy(), group.column("members").to_pylist()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        held = [np.frombuffer(members[k], np.uint64) for k in order.tolist()]
+        both = overlaps(held)
+        sizes = np.diag(both)
+        union = sizes[:, None] + sizes[None, :] - both
+        links = forest((100 * both >= percent * union) & ~np.eye(len(ids), dtype=bool))
+        a, b = (np.array([x[k] for x in links], np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+
+    return sets.groupBy("pool", "left_part", "right_part").applyInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links)
+    and kept (it is its component's smallest) of each row of ``docs`` (doc_id, text)."""
+    packed = blocks(docs, "near_blocks")
+    sketch = stored(_sketch(packed, size), "near_sketch")
+    shards = exchange.shard_count(packed, 0.001)
+
+    def own_sets(row: dict) -> Iterator[dict]:
+        keys, vals = _own_sets(row)
+        # entries whose first hashes are equal stay in order: the sort by shard is stable
+        yield from exchange.requests(row["block"], keys, vals, shards)
+
+    asked = exchange.map_blocks(sketch, own_sets, exchange.REQUEST, exchange.REQUEST_ARROW)
+    reps = exchange.answer(asked, _smallest_of_equal, SET_VAL)
+    known = stored(sketch.join(reps, "block", "left"), "near_known")
+    rows = stored(_document_rows(known, shards), "near_documents")
+
+    key_shards = exchange.shard_count(packed, 0.02)
+    leaders = exchange.answer(_key_requests(known, shards, key_shards), _smallest_of_key, np.int64)
+    led = known.join(leaders.withColumnRenamed("answers", "leaders"), "block", "left")
+    pools = stored(components(_meetings(led, shards, key_shards)), "near_pools")
+
+    own = rows.where("rep = doc_id and n_shingles > 0").groupBy("rep").agg(
+        F.min(F.struct("block", "at", "n_shingles")).alias("p"))
+    members = own.join(pools.select(F.col("node").alias("rep"), F.col("component").alias("pool")), "rep").select(
+        F.col("rep").alias("id"), "pool", "p.block", "p.at", "p.n_shingles")
+    dealt = stored(_dealt(stored(members, "near_members")), "near_dealt")
+    links = _verified(_member_sets(packed, dealt, size), percent)
+    found = stored(components(links), "near_components").select(F.col("node").alias("rep"), "component")
+
+    joined = rows.join(found, "rep", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
+    real = lambda c: F.when(c != NULL_ID, c)
+    return joined.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"),
+                         (F.col("doc_id") == component).alias("kept"))
+
+
+def filter_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns.
+    Rows that repeat its doc_id stay with it, and so do rows without a doc_id."""
+    dropped = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
+    return docs.join(stored(dropped, "near_dropped"), "doc_id", "left_anti").select(*docs.columns)

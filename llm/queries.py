@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, fingerprints, language_model, packing, quality_rules, url_filters, warc
+from llm import byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, url_filters, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,9 +50,13 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
-    op9_url_filters)}
+    op9_url_filters, op10_minhash_near_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
