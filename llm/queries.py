@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, url_filters, warc
+from llm import (byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, substring_dedup,
+                 suffix_dedup, url_filters, warc)
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return df.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                     F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = warc.round_trip(table(spark, sf_dir, "pages"))
     return df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -35,6 +42,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "base_failed", "kept")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return df.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                          public_tokenizers.PATTERN)
@@ -55,7 +67,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op7_byte_bpe, op8_best_fit_packing,
+    op1_suffix_array_dedup, op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op6_substring_dedup, op7_byte_bpe, op8_best_fit_packing,
     op9_url_filters, op10_minhash_near_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.

@@ -1,0 +1,217 @@
+"""Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
+
+Induced sorting classifies suffixes as smaller (S) or larger (L) than the next
+one, sorts the leftmost smaller ones (LMS), and induces the order of all others
+in two linear scans. The scans go bucket by bucket: all suffixes that a bucket
+induces are placed by one stable distribution, so the work per suffix is
+vectorised. LMS substrings get names; names that repeat are a smaller string
+whose suffixes are sorted in turn, by the same induction while its alphabet is
+small, and beyond it by doubling: names of twice the length are made from pairs
+of names, for those that are still equal, until all differ.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from llm.rolling import Windows
+
+#: Alphabet up to which a string of names is sorted by induction again.
+SMALL_ALPHABET = 512
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Start positions of all suffixes of ``text`` (uint8) in lexicographic order; a prefix sorts first."""
+    if not len(text):
+        return np.zeros(0, np.int64)
+    values = np.append(text.astype(np.int32) + 1, 0)
+    return _sort(values)[1:]
+
+
+def _sort(s: np.ndarray) -> np.ndarray:
+    """Suffix array of ``s``, whose last value is its unique smallest, 0."""
+    n = len(s)
+    smaller = _classify(s)
+    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    if n == 1 or not len(lms):
+        return np.argsort(s, kind="stable")
+    counts = np.bincount(s)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    order = _induce(s, smaller, lms, starts, ends)
+    in_order = order[_is(lms, n)[order]]  # LMS suffixes, sorted by their LMS substrings
+    names, kinds = _name(s, lms, in_order)
+    if kinds == len(lms):
+        ranked = in_order
+    elif kinds <= SMALL_ALPHABET:
+        ranked = lms[_sort(names)]
+    else:
+        ranked = lms[_by_doubling(names)]
+    return _induce(s, smaller, ranked, starts, ends)
+
+
+def _is(positions: np.ndarray, n: int) -> np.ndarray:
+    mark = np.zeros(n, bool)
+    mark[positions] = True
+    return mark
+
+
+def _classify(s: np.ndarray) -> np.ndarray:
+    """True where the suffix is smaller than the next one; the last one (the sentinel) is."""
+    n = len(s)
+    step = np.sign(s[1:] - s[:-1])  # > 0: smaller
+    at = np.where(step != 0, np.arange(n - 1), n)
+    following = np.minimum.accumulate(at[::-1])[::-1]  # next place where neighbours differ
+    out = np.ones(n, bool)
+    out[:-1] = step[np.minimum(following, n - 2)] > 0
+    return out
+
+
+def _name(s: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> tuple[np.ndarray, int]:
+    """The name of each LMS substring, in text order: its rank among the distinct ones."""
+    n = len(s)
+    stop = np.empty(n, np.int64)
+    stop[lms] = np.append(lms[1:] + 1, n)
+    windows = Windows(s)
+    h = windows.at(in_order, stop[in_order])
+    length = stop[in_order] - in_order
+    new = np.ones(len(in_order), bool)
+    new[1:] = (h[1:] != h[:-1]) | (length[1:] != length[:-1])
+    rank = np.cumsum(new) - 1
+    place = np.empty(n, np.int32)
+    place[in_order] = rank
+    return place[lms], int(rank[-1]) + 1
+
+
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Suffix array of ``names`` by doubling; only names that are still equal to others are sorted again."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    sorted_names = names[order]
+    first = np.ones(n, bool)
+    first[1:] = sorted_names[1:] != sorted_names[:-1]
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1
+    heads = np.flatnonzero(first)
+    rank[order] = heads[np.cumsum(first) - 1]  # rank: where the group of equals starts
+    span = 1
+    while True:
+        size = np.diff(np.append(np.flatnonzero(first), n))
+        open_ = np.repeat(size > 1, size)
+        at = np.flatnonzero(open_)
+        if not len(at):
+            return order
+        group = rank[order[at]]
+        nxt = rank[np.minimum(order[at] + span, n)]
+        by = np.lexsort((nxt, group))
+        order[at] = order[at][by]
+        group, nxt = group[by], nxt[by]
+        first[at[1:]] = (group[1:] != group[:-1]) | (nxt[1:] != nxt[:-1]) | first[at[1:]]
+        heads = np.flatnonzero(first)
+        rank[order[at]] = heads[np.searchsorted(heads, at, "right") - 1]
+        span *= 2
+
+
+def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All suffixes in the order that the order of the LMS suffixes implies."""
+    n, letters = len(s), np.flatnonzero(ends > starts)
+    out = np.full(n, -1, np.int64)
+    marks = np.bincount(s[lms], minlength=len(starts))
+    lms_from = ends - marks
+    _place(out, lms, s[lms], lms_from)
+
+    head = starts.copy()
+
+    def push_larger(found: np.ndarray) -> None:
+        p = found - 1
+        p = p[p >= 0]
+        p = p[~smaller[p]]
+        if len(p):
+            head[:] += _place(out, p, s[p], head)
+
+    for c in letters.tolist():
+        done = starts[c]
+        while done < head[c]:
+            a, done = done, head[c]
+            push_larger(out[a:done])
+        if marks[c]:
+            push_larger(out[lms_from[c]:ends[c]])
+
+    tail = ends.copy()
+    last = n - 1
+
+    def push_smaller(found: np.ndarray) -> None:
+        p = found - 1
+        p = p[p >= 0]
+        p = p[smaller[p]]
+        if len(p):
+            letter = s[p]
+            counts = np.bincount(letter, minlength=len(tail))
+            tail[:] -= counts
+            # the first one goes to the right end: place the reversed row from the new left end
+            _place(out, p[::-1], letter[::-1], tail)
+
+    for c in letters[::-1].tolist():
+        if c == 0:
+            break  # the sentinel alone
+        done = ends[c]
+        while done > tail[c]:
+            b, done = done, tail[c]
+            push_smaller(out[done:b][::-1])
+        if head[c] > starts[c]:
+            push_smaller(out[starts[c]:head[c]][::-1])
+    out[0] = last
+    return out
+
+
+def _place(out: np.ndarray, positions: np.ndarray, letter: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distribute ``positions`` stably over their letters' buckets from ``at``; returns how many each got."""
+    counts = np.bincount(letter, minlength=len(at))
+    order = np.argsort(letter.astype(np.uint16) if len(at) <= 1 << 16 else letter, kind="stable")
+    letter = letter[order]
+    before = np.cumsum(counts) - counts
+    out[at[letter] + np.arange(len(letter)) - before[letter]] = positions[order]
+    return counts
+
+
+def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each position, the length that its suffix shares with the one before
+    it in ``order`` (permuted longest common prefixes).
+
+    Where the letters before both positions are equal, the value is the previous
+    position's less one; only the others are compared, eight letters at a time,
+    and those lengths add up to O(n log n).
+    """
+    n = len(text)
+    before = np.empty(n, np.int64)
+    before[order[1:]] = order[:-1]
+    if n:
+        before[order[0]] = -1
+    here = np.arange(n)
+    follows = (before > 0) & (here > 0)
+    follows[follows] = text[here[follows] - 1] == text[before[follows] - 1]
+    follows &= np.concatenate([[False], before[:-1] >= 0]) if n else follows
+    roots = np.flatnonzero(~follows)
+    length = _compare(text, roots, before[roots])
+    which = np.cumsum(~follows) - 1
+    return np.maximum(length[which] - (here - roots[which]), 0) if n else before
+
+
+def _compare(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many letters the suffixes at ``a`` and ``b`` (-1: none) share."""
+    n = len(text)
+    padded = np.concatenate([text, np.zeros(16, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    room = np.where(b >= 0, n - np.maximum(a, b), 0)
+    out = np.zeros(len(a), np.int64)
+    active = np.flatnonzero(room > 0)
+    while len(active):
+        at = out[active]
+        left = np.ascontiguousarray(words[a[active] + at]).view(np.uint64).ravel()
+        right = np.ascontiguousarray(words[b[active] + at]).view(np.uint64).ravel()
+        differ = left ^ right
+        low = differ & (~differ + np.uint64(1))
+        same = np.where(differ == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
+        out[active] = np.minimum(at + same, room[active])
+        active = active[(differ == 0) & (out[active] < room[active])]
+    return out

@@ -1,0 +1,267 @@
+"""Suffix-array dedup: remove every byte under a string of ``length`` bytes that
+occurs more than once in the corpus.
+
+1. Equal whole texts are found by digest; one of them stands for all, and texts
+   of at least ``length`` bytes that have a copy are removed whole.
+2. Closed syncmers of ``ANCHOR`` bytes (chosen by their own bytes alone; any
+   string of ``length`` bytes holds one) are counted over the corpus. A start
+   can only repeat if every anchor in its string repeats, which leaves little
+   more than the repeated text.
+3. Each block builds the suffix array of what is left by induced sorting, with
+   permuted common prefixes. Starts whose suffixes share ``length`` bytes or
+   more form a class. Shards add up the classes of all blocks (a class is one
+   entry per block, however often it occurs), and blocks mark the starts of
+   classes that occur twice or more.
+
+Classes travel as 64 bits of their string's hash, checked against 15 more.
+
+Defined cases: a null text is empty; a text shorter than ``length`` keeps all
+its bytes. Overlapping occurrences count. Rows repeated under one doc_id are
+copies of each other. Matches never cross documents.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from llm import exchange
+from llm.common import NULL_ID, answered, blocks, stored, unpack
+from llm.rolling import Windows, closed_syncmers
+from llm.suffix_array import common_prefixes, suffix_array
+
+LENGTH = 200
+#: Bytes of an anchor (half of ``length``) and of its inner windows.
+INNER = 16
+
+TEXT_VAL = np.dtype([("second", np.uint64), ("rows", np.uint32)])
+SECOND_BASE = 0xC2B2AE3D27D4EB4F
+
+
+def _texts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, vals, which, first): the block's distinct texts by digest, which of
+    them each document has, and the first document with each."""
+    _, offsets, raw = unpack(row)
+    data = memoryview(raw)
+    digests = np.frombuffer(b"".join(
+        hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())),
+        np.dtype([("first", np.uint64), ("second", np.uint64)]))
+    kinds, first, which, rows = np.unique(digests, return_index=True, return_inverse=True, return_counts=True)
+    vals = np.zeros(len(kinds), TEXT_VAL)
+    vals["second"], vals["rows"] = kinds["second"], np.minimum(rows, 1 << 30)
+    return kinds["first"].copy(), vals, which, first
+
+
+def _decide_texts(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """1: the text has copies; 2: the block's first document with it stands for all."""
+    order = np.lexsort((blocks, vals["second"], keys))
+    k, s = keys[order], vals["second"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    group = np.cumsum(new) - 1
+    copies = np.bincount(group, weights=vals["rows"][order]) > 1
+    out = np.empty(len(order), np.uint8)
+    out[order] = copies[group] + 2 * new
+    return out
+
+
+class Part:
+    """The documents of a block that stand for their texts, one after another."""
+
+    def __init__(self, row: dict, shards: int):
+        self.ids, self.offsets, self.raw = unpack(row)
+        keys, _, which, first = _texts(row)
+        got = exchange.answers_of(row["texts"], keys, shards, np.uint8)
+        self.copied = (got & 1)[which].astype(bool)  # per document
+        self.chosen = np.sort(first[got >= 2])
+        lens = np.diff(self.offsets)[self.chosen]
+        self.bounds = np.concatenate([[0], np.cumsum(lens)])
+        inside = np.zeros(len(self.raw) + 1, np.int8)
+        np.add.at(inside, self.offsets[self.chosen], 1)
+        np.add.at(inside, self.offsets[self.chosen + 1], -1)
+        self.data = self.raw[np.cumsum(inside[:-1]).astype(bool)]
+        self.hashes = Windows(self.data)
+
+    def fits(self, length: int) -> np.ndarray:
+        """Whether ``length`` bytes from each position stay in its document."""
+        n = max(len(self.data) - length + 1, 0)
+        room = np.repeat(self.bounds[1:], np.diff(self.bounds))[:n]
+        return np.arange(n) + length <= room
+
+    def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the closed syncmers of half of ``length``, and their hashes."""
+        size = length // 2
+        inner = min(INNER, max(1, size // 4))
+        fits = self.fits(size)
+        at = np.flatnonzero(closed_syncmers(self.hashes.all(inner), size - inner + 1)[:len(fits)] & fits)
+        return at, self.hashes.at(at, at + size)
+
+
+def _anchor_requests(row: dict, length: int, text_shards: int, shards: int) -> Iterator[dict]:
+    part = Part(row, text_shards)
+    _, hashes = part.anchors(length)
+    keys, n = np.unique(hashes, return_counts=True)
+    yield from exchange.requests(row["block"], keys, np.minimum(n, 2).astype(np.uint8), shards)
+
+
+def _twice(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    _, group = np.unique(keys, return_inverse=True)
+    return (np.bincount(group, weights=vals) > 1)[group].astype(np.uint8)
+
+
+def _candidates(part: Part, row: dict, length: int, shards: int) -> np.ndarray:
+    """Whether all anchors in the string that starts at each position repeat."""
+    at, hashes = part.anchors(length)
+    keys, which = np.unique(hashes, return_inverse=True)
+    good = exchange.answers_of(row["anchors"], keys, shards, np.uint8)[which].astype(bool)
+    bad = np.zeros(len(part.data) + 1, np.int32)
+    bad[at[~good] + 1] = 1
+    bad = np.cumsum(bad)  # anchors before each position that do not repeat
+    fits = part.fits(length)
+    n = len(fits)
+    reach = length - length // 2 + 1
+    return fits & (bad[reach:reach + n] == bad[:n])
+
+
+def _runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of True."""
+    edge = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def _classes(part: Part, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a position, number of positions) of each class of equal strings among
+    the candidate ``starts``, from the suffix array of the text they cover."""
+    first, last = _runs(starts)
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size = last - first + length - 1  # text of a run of starts
+    begin = np.concatenate([[0], np.cumsum(size + 1)])  # a separator byte after each run
+    n = int(begin[-1])
+    origin = np.repeat(first - begin[:-1], size + 1) + np.arange(n)
+    text = part.data[np.minimum(origin, len(part.data) - 1)].copy()
+    text[begin[1:] - 1] = 0
+    valid = np.zeros(n + 1, np.int8)
+    valid[begin[:-1]] = 1
+    np.add.at(valid, begin[:-1] + (last - first), -1)
+    valid = np.cumsum(valid[:n]).astype(bool)
+    order = suffix_array(text)
+    shared = common_prefixes(text, order)
+    kind = np.cumsum(shared[order] < length)
+    listed = valid[order]
+    order, kind = order[listed], kind[listed]
+    new = np.ones(len(order), bool)
+    new[1:] = kind[1:] != kind[:-1]
+    heads = np.flatnonzero(new)
+    return origin[order[heads]], np.diff(np.append(heads, len(order)))
+
+
+def _class_requests(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int) -> Iterator[dict]:
+    part = Part(row, text_shards)
+    at, n = _classes(part, _candidates(part, row, length, anchor_shards), length)
+    order = np.argsort(keys := part.hashes.at(at, at + length))
+    at, n, keys = at[order], n[order], keys[order]
+    check = Windows(part.data, SECOND_BASE).at(at, at + length).astype(np.uint16) & np.uint16(0x7FFF)
+    yield from exchange.requests(row["block"], keys, check | (n > 1).astype(np.uint16) << np.uint16(15), shards)
+
+
+def _repeated(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    order = np.lexsort((vals & np.uint16(0x7FFF), keys))
+    k, v = keys[order], vals[order]
+    check, many = v & np.uint16(0x7FFF), (v >> np.uint16(15)).astype(bool)
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (check[1:] != check[:-1])
+    group = np.cumsum(new) - 1
+    out = np.empty(len(order), np.uint8)
+    out[order] = (np.bincount(group, weights=1 + many) > 1)[group]
+    return out
+
+
+RESULT = ("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, "
+          "extra string")
+RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
+                          ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                          ("kept", pa.binary()), ("extra", pa.string())])
+
+
+def _results(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int) -> Iterator[dict]:
+    part = Part(row, text_shards)
+    at = np.flatnonzero(_candidates(part, row, length, anchor_shards))
+    keys, which = np.unique(part.hashes.at(at, at + length), return_inverse=True)
+    at = at[exchange.answers_of(row["classes"], keys, shards, np.uint8)[which].astype(bool)]
+    depth = np.zeros(len(part.data) + 1, np.int32)
+    depth[at] += 1
+    np.subtract.at(depth, at + length, 1)
+    gone = np.cumsum(depth[:-1]) > 0
+    place = dict(zip(part.chosen.tolist(), range(len(part.chosen))))
+    whole = memoryview(part.raw)
+    for k, doc_id in enumerate(part.ids.tolist()):
+        a, b = int(part.offsets[k]), int(part.offsets[k + 1])
+        out = {"doc_id": None if doc_id == NULL_ID else doc_id, "n_bytes": b - a,
+               "extra": row["extra"][k] if row["extra"] else None}
+        if part.copied[k] and b - a >= length:
+            out |= {"n_removed": b - a, "spans": [{"start": 0, "end": b - a}], "kept": b""}
+        elif k in place and gone[(lo := part.bounds[place[k]]):(hi := part.bounds[place[k] + 1])].any():
+            mask = gone[lo:hi]
+            first, last = _runs(mask)
+            out |= {"n_removed": int(mask.sum()), "kept": part.data[lo:hi][~mask].tobytes(),
+                    "spans": [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())]}
+        else:
+            out |= {"n_removed": 0, "spans": [], "kept": bytes(whole[a:b])}
+        yield out
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, extra: str | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans (removed byte ranges), kept (the other
+    bytes, concatenated) and extra (the string column of that name, carried
+    along) of each row of ``docs`` (doc_id, text)."""
+    if length < 8:
+        raise ValueError("length must be 8 bytes or more")
+    packed = blocks(docs, "suffix_blocks", extra=(extra,) if extra else ())
+    text_shards = exchange.shard_count(packed, 0.001)
+    anchor_shards = exchange.shard_count(packed, 4 / length)
+    shards = exchange.shard_count(packed, 0.2)
+
+    def texts(row: dict) -> Iterator[dict]:
+        keys, vals, _, _ = _texts(row)
+        yield from exchange.requests(row["block"], keys, vals, text_shards)
+
+    def ask(df: DataFrame, run) -> DataFrame:
+        return exchange.map_blocks(df.drop("extra"), run, exchange.REQUEST, exchange.REQUEST_ARROW)
+
+    def reply(df: DataFrame, decide, kind, name: str) -> DataFrame:
+        return stored(exchange.answer(df, decide, kind).withColumnRenamed("answers", name), f"suffix_{name}")
+
+    known = answered(packed, reply(ask(packed, texts), _decide_texts, TEXT_VAL, "texts"))
+    known = answered(known, reply(
+        ask(known, lambda r: _anchor_requests(r, length, text_shards, anchor_shards)), _twice, np.uint8, "anchors"))
+    known = answered(known, reply(
+        ask(known, lambda r: _class_requests(r, length, text_shards, anchor_shards, shards)),
+        _repeated, np.uint16, "classes"))
+    return exchange.map_blocks(known, lambda r: _results(r, length, text_shards, anchor_shards, shards),
+                               RESULT, RESULT_ARROW)
+
+
+def clean_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text`` (null: empty) and
+    ``n_chars``, if it is there, counted anew. Where a cut goes through a
+    character, the rest of its bytes go too. Every row stays, also if nothing
+    is left of its text; its other columns travel along as JSON."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others])) if others else F.lit(None).cast("string")
+    done = remove_repeats(docs.select("doc_id", "text", row.alias("extra")), length, "extra")
+    text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    back = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
+    if "n_chars" in docs.columns:
+        back["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    if others:
+        kinds = StructType([docs.schema[c] for c in others])
+        fields = F.from_json("extra", kinds)
+        back |= {c: fields[c] for c in others}
+    return done.select(*[back[c].alias(c) for c in docs.columns])
