@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 from dealspark.plans import layered
 from dealspark.plans.profiles import PROFILES
 from dealspark.sources.layers import Layout
-from dealspark.sources.readers import read_parquet
+from dealspark.schemas import features_schema
+from dealspark.sources.readers import read_parquet, read_typed_csv
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -55,13 +56,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = layered.analysis(spark, layout, args.out)
     else:
         if args.features_csv:
-            feats = spark.read.option("header", True).option("inferSchema", False).csv(args.features_csv)
-            numeric = [c for c in feats.columns if c not in ("customer_id", "customer_name", "industry",
-                                                              "country", "city", "account_manager",
-                                                              "created_at", "lead_quality",
-                                                              "preferred_channel", "last_interaction_date")]
-            feats = feats.select(*[feats[c].cast("double").alias(c) if c in numeric else feats[c]
-                                   for c in feats.columns])
+            header = spark.read.option("header", True).csv(args.features_csv).columns
+            feats = read_typed_csv(spark, args.features_csv, features_schema(header))
         else:
             feats = read_parquet(spark, layout.gold("customer_features"))
         best, metrics = layered.train_lead_model(spark, feats, args.model_output, prefer=args.prefer)

@@ -8,8 +8,7 @@ from pyspark.sql.types import DecimalType
 
 # Money is summed as DECIMAL(28,4): exact and independent of the order in
 # which partitions are combined (a double sum is not, so at cluster scale it
-# would change in the last bits from run to run). Spark keeps decimals of up
-# to 18 digits in a long, so the sum stays on the fast path for real amounts.
+# would change in the last bits from run to run).
 MONEY_DECIMAL = DecimalType(28, 4)
 
 
@@ -17,20 +16,16 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _non_finite(c: Column) -> Column:
-    return F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-
-
 def exact_sum(c: str | Column) -> Column:
     """Order-independent sum of a double money column, returned as double.
 
-    NaN / ±Infinity, or a value beyond the decimal's range, cannot be summed
-    as a decimal; if a group holds one, the plain double sum is returned (NaN
-    or Infinity, as a double sum gives) instead of silently skipping it.
+    A value that the decimal does not hold exactly (more than four decimals,
+    beyond its range, NaN or ±Infinity) makes its group fall back to the
+    plain double sum, so no value is cut or skipped.
     """
-    c = _col(c)
+    c = _col(c).cast("double")
     as_dec = c.try_cast(MONEY_DECIMAL)
-    unfit = _non_finite(c) | (c.isNotNull() & as_dec.isNull())
+    unfit = c.isNotNull() & ~F.coalesce(as_dec.cast("double") == c, F.lit(False))
     return F.when(F.count_if(unfit) > 0, F.sum(c)).otherwise(F.sum(as_dec).cast("double"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.numeric import exact_avg, exact_sum, smoothed_ratio
+from dealspark.operators.skew import salted_join
 from dealspark.functions.scoring import (
     engagement_score,
     lead_score,
@@ -184,13 +185,14 @@ def eda_customer_features(customers: DataFrame, interactions: DataFrame, leads:
 
 def lead_features(leads: DataFrame, interactions: DataFrame, as_of: _dt.date,
                   profile: ScoringProfile = NOTEBOOK) -> DataFrame:
-    """JN-5 (documented): each lead ⟕ its customer's interaction metrics."""
+    """JN-5 (documented): each lead ⟕ its customer's interaction metrics. The
+    join is salted, so a customer with a third of all leads spreads over tasks."""
     im = interaction_metrics(interactions, as_of, profile).select(
         "customer_id", "total_interactions", "num_calls", "num_positive_outcomes",
         "num_negative_outcomes", "engagement_score", "preferred_channel",
         "days_since_last_interaction")
-    return leads.select("lead_id", "customer_id", "deal_value", "status", "source").join(
-        im, "customer_id", "left").select(
+    own = leads.select("lead_id", "customer_id", "deal_value", "status", "source")
+    return salted_join(own, im, "customer_id", "left", "lead_id").select(
         "lead_id", "customer_id", "deal_value", "status", "source",
         _default("total_interactions", 0), _default("num_calls", 0),
         _default("num_positive_outcomes", 0), _default("num_negative_outcomes", 0),
@@ -219,18 +221,18 @@ def channel_conversion(interactions: DataFrame, leads: DataFrame,
     per_cust = leads.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count_if(F.col("status") == F.lit(WON)).alias("won"),
         F.count_if(F.col("status") == F.lit(LOST)).alias("lost"),
-        F.sum(F.col("deal_value").try_cast("decimal(28,4)")).alias("deal_sum"),
+        exact_sum("deal_value").alias("deal_sum"),
         F.count("deal_value").alias("deals"),
     )
     j = users.join(per_cust, "customer_id", "inner")
     agg = j.groupBy(ch).agg(
         F.count(F.lit(1)).alias("customers_with_deals"),
         F.sum("won").alias("won"), F.sum("lost").alias("lost"),
-        F.sum("deal_sum").alias("deal_sum"), F.sum("deals").alias("deals"))
+        exact_sum("deal_sum").alias("deal_sum"), F.sum("deals").alias("deals"))
     return agg.select(
         ch, "customers_with_deals", "won", "lost",
         F.round(F.try_divide(F.col("won"), F.col("won") + F.col("lost")), 4).alias("channel_conversion_rate"),
-        F.round(F.try_divide(F.col("deal_sum").cast("double"), F.col("deals")), 2).alias("avg_deal_value"),
+        F.round(F.try_divide(F.col("deal_sum"), F.col("deals")), 2).alias("avg_deal_value"),
     )
 
 

@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.operators.profile import exact_median
+from dealspark.operators.select import narrowed
 
 # Candidate model inputs, label name and hot threshold.
 FEATURES = (
@@ -29,10 +29,6 @@ FEATURES = (
 LABEL = "is_hot_lead"
 HOT_THRESHOLD = 80.0
 
-# Rank-error bound of the split brackets (see profile.exact_median).
-SPLIT_ACCURACY = 1_000_000
-_BAND = 2.0 / SPLIT_ACCURACY
-
 
 def hot_lead_label(features: DataFrame, threshold: float = HOT_THRESHOLD) -> DataFrame:
     """ML-1: ``is_hot_lead`` = lead_score >= threshold, as int."""
@@ -78,31 +74,26 @@ def stratified_split(df: DataFrame, id_col: str, label: str = LABEL,
     """ML-5: exact, reproducible stratified split; adds ``split`` ∈ {train, test}.
 
     Within each class the ``round(test_fraction × n_class)`` rows with the
-    smallest ``(hash(id, seed), id)`` form the test set. No class is gathered
-    in one task: a per-class approximate-quantile bracket (partial aggregates)
-    splits the rows into "surely test", "surely train" and a thin band of
-    about 4·n/A rows, and only the band is ranked.
+    smallest ``(hash(id, seed), id)`` form the test set. Bucket counts of the
+    hash narrow each class to a thin band (``select.narrowed``); rows below it
+    are test, rows above it train, and only the band is ranked.
     """
-    h = df.withColumn("__h", split_hash(id_col, seed))
-    lo_p, hi_p = max(0.0, test_fraction - _BAND), min(1.0, test_fraction + _BAND)
-    stats = h.groupBy(label).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__h", lo_p, SPLIT_ACCURACY).alias("__lo"),
-        F.percentile_approx("__h", hi_p, SPLIT_ACCURACY).alias("__hi"))
-    # one row per class: a size-bounded broadcast side
-    j = h.join(F.broadcast(stats), label, "left")
-    below = j.groupBy(label).agg(F.count_if(F.col("__h") < F.col("__lo")).alias("__below"))
-    k = F.round(F.col("__n") * F.lit(float(test_fraction))).cast("bigint")
-    in_band = (F.col("__h") >= F.col("__lo")) & (F.col("__h") <= F.col("__hi"))
-    outside = j.where(~F.coalesce(in_band, F.lit(False))).withColumn(
-        "split", F.when(F.col("__h") < F.col("__lo"), F.lit("test")).otherwise(F.lit("train")))
+    h = df.withColumn("__h", split_hash(id_col, seed)).withColumn("__place", F.col("__h").cast("double"))
+    k = F.round(F.col("n") * F.lit(float(test_fraction))).cast("bigint")
+    sought = F.greatest(k, F.lit(1))
+    start, end = F.lit(0.0), F.lit(float(1 << 60))
+    wide = narrowed(h, label, "__place", start, end, None, sought, sought)
+    thin = narrowed(h, label, "__place", start, end, wide, sought, sought)
+    limits = thin.select(label, k.alias("__k"), F.col("below").alias("__below"), F.col("lo").alias("__lo"),
+                         F.col("hi").alias("__hi"))
+    j = h.join(F.broadcast(limits), label, "left")
+    in_band = F.coalesce((F.col("__place") >= F.col("__lo")) & (F.col("__place") <= F.col("__hi")), F.lit(False))
+    outside = j.where(~in_band).withColumn("split", F.when(
+        (F.col("__place") < F.col("__lo")) & (F.col("__k") > 0), F.lit("test")).otherwise(F.lit("train")))
     w = Window.partitionBy(label).orderBy("__h", id_col)
-    band = j.where(in_band).join(F.broadcast(below), label, "left").withColumn(
-        "__rank", F.row_number().over(w) + F.col("__below"))
-    inside = band.withColumn(
-        "split", F.when(F.col("__rank") <= k, F.lit("test")).otherwise(F.lit("train"))).drop(
-        "__rank", "__below")
-    return outside.unionByName(inside).drop("__h", "__n", "__lo", "__hi")
+    inside = j.where(in_band).withColumn("split", F.when(
+        F.row_number().over(w) + F.col("__below") <= F.col("__k"), F.lit("test")).otherwise(F.lit("train")))
+    return outside.unionByName(inside).drop("__h", "__place", "__k", "__below", "__lo", "__hi")
 
 
 def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
@@ -200,17 +191,51 @@ def classification_report(pred: DataFrame, label: str = LABEL, prediction: str =
     return cells.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def roc_auc(pred: DataFrame, label: str = LABEL, score_col: str = "p_hot") -> float:
-    """ML-12: area under the ROC curve (distributed; returns one number)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score_col, labelCol=label,
-                                       metricName="areaUnderROC")
-    return ev.evaluate(pred.withColumn(label, F.col(label).cast("double")))
+def roc_auc(pred: DataFrame, label: str = LABEL, score_col: str = "p_hot") -> DataFrame:
+    """ML-12: one row ``roc_auc``, the exact area under the ROC curve (NULL if a class is absent).
+
+    It is the chance that a positive scores above a negative, ties counting
+    half: a rank sum over distinct scores. Scores are ranked within 65,536
+    equal ranges between the smallest and the largest, and the ranges' totals
+    are added up, so no window runs over all scores. The sums are integers.
+    """
+    y = F.col(label) == 1
+    by_score = pred.where(F.col(score_col).isNotNull() & F.col(label).isNotNull()).groupBy(
+        F.col(score_col).cast("double").alias("s")).agg(
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    ends = by_score.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
+    share = F.try_divide(F.col("s") - F.col("lo"), F.col("hi") - F.col("lo"))
+    part = F.coalesce(F.least(F.floor(share * 65536.0), F.lit(65535)), F.lit(0))
+    scored = by_score.join(F.broadcast(ends)).withColumn("part", part)  # one row beside each score
+    in_order = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = scored.withColumn("under", F.coalesce(F.sum("neg").over(in_order), F.lit(0)))
+    parts = ranked.groupBy("part").agg(
+        F.sum(F.col("pos") * (2 * F.col("under") + F.col("neg"))).cast("decimal(38,0)").alias("won"),
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # 65,536 rows at most
+    parts = parts.withColumn("under", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast("decimal(38,0)"))
+    total = parts.agg(F.sum(F.col("won") + 2 * F.col("pos") * F.col("under")).cast("double").alias("won"),
+                      F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))
+    return total.select(F.try_divide(F.col("won"), 2.0 * F.col("pos") * F.col("neg")).alias("roc_auc"))
+
+
+def consistent_predictions(pred: DataFrame, again: DataFrame, id_col: str, label: str = LABEL) -> DataFrame:
+    """Scored rows checked against what must hold: the probability lies in
+    [0, 1], the class is 1 exactly if it is over one half, and ``again`` (the
+    reloaded model's scores) has the same class and probability."""
+    other = again.select(id_col, F.col("prediction").alias("__class"), F.col("p_hot").alias("__p"))
+    return pred.join(other, id_col, "left").select(
+        id_col, label, F.col("p_hot").between(0.0, 1.0).alias("probability_in_range"),
+        ((F.col("p_hot") > 0.5) == (F.col("prediction") == 1)).alias("class_agrees"),
+        F.coalesce((F.col("__class") == F.col("prediction")) & (F.abs(F.col("__p") - F.col("p_hot")) < 1e-9),
+                   F.lit(False)).alias("reload_agrees"))
 
 
 def select_model(scores: Mapping[str, float], prefer: str = "gbt") -> str:
-    """ML-15: best model by metric; ties (and the reference default) → ``prefer``."""
-    best = max(scores.values())
-    return prefer if scores.get(prefer) == best else max(scores, key=scores.get)
+    """ML-15: best model by metric (a NULL metric is the least); ties and the reference default → ``prefer``."""
+    known = {name: -1.0 if s is None else s for name, s in scores.items()}
+    best = max(known.values())
+    return prefer if known.get(prefer) == best else max(known, key=known.get)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

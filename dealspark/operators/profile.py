@@ -11,17 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank-error bound of the median bracket: percentile_approx with accuracy A
-# misplaces a rank by at most n/A, so the bracket [0.5 - 2/A, 0.5 + 2/A]
-# always holds the true median and about 4n/A rows.
-MEDIAN_ACCURACY = 1_000_000
-_BAND = 2.0 / MEDIAN_ACCURACY
-
-
-# Means of unrounded doubles are reported to 6 decimals: a double sum depends
-# on the order in which partitions are merged, the rounded value does not.
-MEAN_DIGITS = 6
-
+from dealspark.functions.numeric import exact_avg, exact_sum
+from dealspark.operators.select import ranked_band
 
 def _double(c: str) -> Column:
     return F.col(c).cast("double")
@@ -29,13 +20,11 @@ def _double(c: str) -> Column:
 
 def column_stats(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """AG-7: min / max / mean / sum of numeric columns, one row per column,
-    from ONE aggregate pass (then unpivoted). Sums are exact DECIMAL(28,4)
-    sums (the columns are money, counts or 2-4 decimal rates)."""
+    from ONE aggregate pass (then unpivoted). Sums as in ``exact_sum``."""
     aggs = []
     for c in columns:
-        dec = F.sum(_double(c).try_cast("decimal(28,4)")).cast("double")
         aggs += [F.min(_double(c)).alias(f"{c}__min"), F.max(_double(c)).alias(f"{c}__max"),
-                 F.try_divide(dec, F.count(_double(c))).alias(f"{c}__avg"), dec.alias(f"{c}__sum")]
+                 exact_avg(_double(c)).alias(f"{c}__avg"), exact_sum(_double(c)).alias(f"{c}__sum")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("min_value"),
                      F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__avg").alias("mean_value"),
@@ -60,8 +49,8 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_distribution(df: DataFrame, column: str, table: str = "") -> DataFrame:
-    """AG-10 / FL-2 / TK-6: value, count and percentage of *all* rows (NULL
-    rows count in the denominator but are not listed), most frequent first.
+    """AG-10 / FL-2: value, count and percentage of *all* rows (NULL rows
+    count in the denominator but are not listed).
 
     One grouped count; the total is a global sum over the (small) grouped
     result, so no second pass over the table is needed.
@@ -71,8 +60,13 @@ def value_distribution(df: DataFrame, column: str, table: str = "") -> DataFrame
     return counts.withColumn("pct", F.col("count") * F.lit(100.0) / total).where(
         F.col("value").isNotNull()).select(
         F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-        F.col("value").cast("string").alias("value"), "count", "pct").orderBy(
-        F.col("count").desc(), F.col("value").asc())
+        F.col("value").cast("string").alias("value"), "count", "pct")
+
+
+def most_frequent_first(distribution: DataFrame) -> DataFrame:
+    """TK-6: value counts per column, the most frequent first (ties by value).
+    To be applied once, after the distributions to show are united."""
+    return distribution.orderBy("table_name", "column_name", F.col("count").desc(), F.col("value").asc())
 
 
 def value_distributions(df: DataFrame, columns: Sequence[str], table: str = "") -> DataFrame:
@@ -86,8 +80,7 @@ def value_distributions(df: DataFrame, columns: Sequence[str], table: str = "")
     total = df.agg(F.count(F.lit(1))).scalar()
     return counts.where(F.col("value").isNotNull()).select(
         F.lit(table).alias("table_name"), "column_name", "value", "count",
-        (F.col("count") * F.lit(100.0) / total).alias("pct")).orderBy(
-        "column_name", F.col("count").desc(), F.col("value").asc())
+        (F.col("count") * F.lit(100.0) / total).alias("pct"))
 
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
@@ -103,44 +96,31 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact interpolated medians of several columns (NULLs skipped), one row
-    ``(column_name, median)`` per column, in two passes over the table — not
-    two per column — and without gathering a column or a hot value in one task.
-
-    1. (column, value) pairs are exploded per row; a grouped aggregate gives
-       each column n and an approximate bracket [lo, hi] around its 50th
-       percentile (one row per column).
-    2. The pairs are joined to that k-row table (equi-join on the column
-       name; broadcast, size = number of columns) and reduced by a partial
-       aggregate to one group for all values below lo and one (value, count)
-       group per distinct value inside the bracket — at most about 6n/A
-       groups per column, however many rows share one value. A running count
-       per column locates the middle rank(s), interpolated as Spark's
-       ``percentile`` does.
+    """Exact interpolated medians of several columns (NULLs skipped, NaN above
+    all numbers), one row ``(column_name, median)`` per column that has values.
+
+    (column, value) pairs are exploded per row, and ``ranked_band`` narrows
+    each column to the few values around its middle rank with bucket counts,
+    so no column, sketch or hot value is gathered in one task.
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), _double(c).alias("x")) for c in columns])).alias("p")
     ).select("p.column_name", "p.x").where(F.col("x").isNotNull())
-    lo_p, hi_p = max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)
-    stats = pairs.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("x", lo_p, MEDIAN_ACCURACY).alias("lo"),
-        F.percentile_approx("x", hi_p, MEDIAN_ACCURACY).alias("hi"))
-    below = F.col("x") < F.col("lo")
-    groups = pairs.join(F.broadcast(stats), "column_name").where(F.col("x") <= F.col("hi")).groupBy(
-        "column_name", "n", below.alias("below"), F.when(~below, F.col("x")).alias("v")).agg(
-        F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("column_name").orderBy(F.col("below").desc(), F.col("v").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    pos = (F.col("n") - F.lit(1)) / F.lit(2.0)
-    cum = groups.select("column_name", "v", F.sum("c").over(w).alias("upto"), pos.alias("pos"))
+    # order-preserving and even over magnitudes: every double lies within +-711
+    place = F.when(F.isnan("x"), F.lit(712.0)).otherwise(F.least(F.greatest(F.asinh("x"), F.lit(-711.0)), F.lit(711.0)))
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    band = ranked_band(pairs.withColumn("g", place), "column_name", "g", "x", -712.0, 713.0, low, high)
+    w = Window.partitionBy("column_name").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = band.select("*", (F.sum("c").over(w) + F.col("below")).alias("upto"))
     picked = cum.groupBy("column_name").agg(
-        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("v"))).alias("xl"),
-        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("v"))).alias("xu"),
-        F.first("pos").alias("pos"))
-    med = F.when(F.floor("pos") == F.ceil("pos"), F.col("xl")).otherwise(
-        (F.ceil("pos") - F.col("pos")) * F.col("xl") + (F.col("pos") - F.floor("pos")) * F.col("xu"))
-    return picked.select("column_name", med.cast("double").alias("median"))
+        F.min(F.when(F.col("upto") >= F.col("low"), F.col("x"))).alias("xl"),
+        F.min(F.when(F.col("upto") >= F.col("high"), F.col("x"))).alias("xu"),
+        F.max("upto").alias("reached"), F.max("high").alias("high"), F.min("below").alias("below"),
+        F.min("low").alias("low"))
+    held = (F.col("below") < F.col("low")) & (F.col("reached") >= F.col("high"))
+    med = F.when(F.col("xl") == F.col("xu"), F.col("xl")).otherwise(0.5 * F.col("xl") + 0.5 * F.col("xu"))
+    return picked.select("column_name", F.when(held, med).otherwise(
+        F.raise_error(F.lit("median rank outside its band")).cast("double")).alias("median"))
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
@@ -162,8 +142,7 @@ def describe_columns(df: DataFrame, table: str, spec: Mapping[str, Sequence[str]
     median_cols = []
     for c, stats in spec.items():
         x = _double(c)
-        dec = F.sum(x.try_cast("decimal(28,4)")).cast("double")
-        fn = {"sum": dec, "mean": F.try_divide(dec, F.count(x)), "min": F.min(x), "max": F.max(x)}
+        fn = {"sum": exact_sum(x), "mean": exact_avg(x), "min": F.min(x), "max": F.max(x)}
         for s in stats:
             if s == "median":
                 median_cols.append(c)
@@ -187,23 +166,37 @@ def sum_by(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     """AG-13 / AG-15: exact sum of a money column per key, largest first
     (NULL keys dropped, as pandas groupby does)."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.sum(F.col(value).try_cast("decimal(28,4)")).cast("double").alias(alias)).orderBy(
+        exact_sum(value).alias(alias)).orderBy(
         F.col(alias).desc(), F.col(key).asc())
 
 
 def status_breakdown(leads: DataFrame) -> DataFrame:
-    """AG-14: per status: deals, deal value, share of all leads (most frequent first)."""
+    """AG-14: per status: deals, deal value, share of all leads."""
     per = leads.groupBy("status").agg(
         F.count(F.lit(1)).alias("deals"),
-        F.sum(F.col("deal_value").try_cast("decimal(28,4)")).cast("double").alias("deal_value"))
+        exact_sum("deal_value").alias("deal_value"))
     total = per.agg(F.sum("deals")).scalar()
     return per.withColumn("pct", F.col("deals") * F.lit(100.0) / total).where(
-        F.col("status").isNotNull()).orderBy(F.col("deals").desc(), F.col("status").asc())
+        F.col("status").isNotNull())
+
+
+def by_value_first(breakdown: DataFrame) -> DataFrame:
+    """TK-6: statuses by deal value, largest first, with their rank."""
+    order = Window.orderBy(F.col("deal_value").desc_nulls_last(), F.col("status").asc())  # one row per status
+    return breakdown.withColumn("revenue_rank", F.row_number().over(order)).orderBy("revenue_rank")
+
+
+def date_range(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """AG-7 for dates: first and last value per column, in one pass."""
+    wide = df.agg(*[f(c).alias(f"{c}__{n}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("first_value"),
+                     F.col(f"{c}__max").alias("last_value")) for c in columns]
+    return wide.select(F.explode(F.array(*rows)).alias("s")).select(F.lit(table).alias("table_name"), "s.*")
 
 
 def top_values(df: DataFrame, column: str, n: int, table: str = "") -> DataFrame:
     """TK-5: the n most frequent values with their percentage (ties by value)."""
-    return value_distribution(df, column, table).limit(n)
+    return value_distribution(df, column, table).orderBy(F.col("count").desc(), F.col("value").asc()).limit(n)
 
 
 # Quality labels in report order.
@@ -227,12 +220,11 @@ def quality_distribution(features: DataFrame, labels: Sequence[str] = QUALITY_OR
 def feature_summary(features: DataFrame) -> DataFrame:
     """AG-21: mean / median / max lead score; mean engagement, interactions, revenue."""
     one = features.agg(
-        F.round(F.avg("lead_score"), MEAN_DIGITS).alias("mean_lead_score"),
+        F.avg("lead_score").alias("mean_lead_score"),
         F.max("lead_score").alias("max_lead_score"),
-        F.round(F.avg("engagement_score"), MEAN_DIGITS).alias("mean_engagement_score"),
+        F.avg("engagement_score").alias("mean_engagement_score"),
         F.avg(F.col("total_interactions").cast("double")).alias("mean_total_interactions"),
-        F.try_divide(F.sum(F.col("total_revenue").try_cast("decimal(28,4)")).cast("double"),
-                     F.count("total_revenue")).alias("mean_total_revenue"))
+        exact_avg("total_revenue").alias("mean_total_revenue"))
     med = exact_median(features, "lead_score").select("median").scalar()
     return one.withColumn("median_lead_score", med)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dealspark.operators.dedupe import duplicate_counts
+from dealspark.operators.skew import salted_join
 
 
 def _long(wide: DataFrame, table: str, metrics: Sequence[str]) -> DataFrame:
@@ -18,20 +18,25 @@ def _long(wide: DataFrame, table: str, metrics: Sequence[str]) -> DataFrame:
         F.lit(table).alias("table_name"), "s.metric", "s.value")
 
 
-def clean_layer_metrics(raw: DataFrame, clean: DataFrame, table: str, key: str,
+def clean_layer_metrics(raw: DataFrame, clean: DataFrame, table: str,
                         null_columns: Sequence[str] = (),
                         flag_columns: Sequence[str] = (),
                         range_columns: Sequence[str] = ()) -> DataFrame:
-    """DQ-1 / FL-1 / FL-2 / AG-7 / AG-8 / DD-2: one pass over the raw table
-    (rows, duplicate keys) and one over the clean table (rows, NULL counts,
-    flag counts, min/max), as a long (table_name, metric, value) table."""
-    dup = duplicate_counts(raw, key).select(
-        F.col("raw_rows"), F.col("duplicates_removed"))
-    clean_stats = clean.agg(*clean_metric_columns(null_columns, flag_columns, range_columns))
-    metrics = ["raw_rows", "duplicates_removed"]
-    out = _long(dup, table, metrics)
-    names = [c for c in clean_stats.columns]
-    return out.unionByName(_long(clean_stats, table, names))
+    """DQ-1 / FL-1 / FL-2 / AG-7 / AG-8 / DD-2: a row count of the raw table
+    and one pass over the clean table (rows, NULL counts, flag counts,
+    min/max), as a long (table_name, metric, value) table. The clean table has
+    one row per key, so the rows that it lacks are the duplicates removed."""
+    stats = clean.agg(*clean_metric_columns(null_columns, flag_columns, range_columns))
+    names = ["raw_rows", "duplicates_removed", *stats.columns]
+    stats = stats.withColumn("raw_rows", raw.agg(F.count(F.lit(1))).scalar()).withColumn(
+        "duplicates_removed", F.col("raw_rows") - F.col("clean_rows"))
+    return _long(stats, table, names)
+
+
+def distribution_metrics(distribution: DataFrame) -> DataFrame:
+    """DQ-1: value counts (``profile.value_distributions``) as quality metrics named ``column=value``."""
+    return distribution.select("table_name", F.concat_ws("=", "column_name", "value").alias("metric"),
+                               F.col("count").cast("double").alias("value"))
 
 
 def clean_metric_columns(null_columns: Sequence[str] = (), flag_columns: Sequence[str] = (),
@@ -75,11 +80,15 @@ def violating_rows(df: DataFrame, rule: Column) -> DataFrame:
     return df.where(~F.coalesce(rule, F.lit(False)))
 
 
-def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
-    """DQ-3: child rows whose key is not in the parent (left anti join).
-    Rows with a NULL key never match and are reported too. A hot key on the
-    child side is split by AQE's skew-join handling (left anti is supported)."""
-    return child.join(parent.select(key).distinct(), key, "left_anti")
+def orphans(child: DataFrame, parent: DataFrame, row_key: str, key: str = "customer_id") -> DataFrame:
+    """DQ-3: child rows whose key is not in the parent; rows with a NULL key
+    never match and are reported too. The anti join runs on distinct keys, and
+    the rows of unmatched keys come back by a join salted by ``row_key``, so a
+    hot key spreads over tasks."""
+    keys = child.select(key).where(F.col(key).isNotNull()).distinct()
+    unknown = keys.join(parent.select(key).distinct(), key, "left_anti")
+    found = salted_join(child.where(F.col(key).isNotNull()), unknown, key, "left_semi", row_key)
+    return found.select(*child.columns).unionByName(child.where(F.col(key).isNull()))
 
 
 def orphan_counts(children: Mapping[str, DataFrame], parent: DataFrame,

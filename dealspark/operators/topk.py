@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The columns of the curated top-customers table.
 TOP_CUSTOMER_COLUMNS = (
     "customer_id", "customer_name", "industry", "annual_revenue", "total_revenue",
     "num_closed_won", "total_interactions", "engagement_score", "lead_score",
@@ -40,15 +41,14 @@ def top_by_lead_score(features: DataFrame, n: int = 10) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(w))
 
 
-def hot_leads(spark: SparkSession, features: DataFrame, n: int = 10,
-              view: str = "customer_features") -> DataFrame:
-    """FL-5 + TK-7 (documented SQL): hot customers by score, through a temp view."""
-    features.createOrReplaceTempView(view)
+def hot_leads(spark: SparkSession, features: DataFrame, n: int = 10) -> DataFrame:
+    """FL-5 + TK-7 (documented SQL): hot customers by score. The table is an
+    argument of the statement, so concurrent calls share no view name."""
     return spark.sql(f"""
         SELECT customer_id, customer_name, lead_score, preferred_channel,
                total_revenue, engagement_score
-        FROM {view}
+        FROM {{features}}
         WHERE lead_quality = 'hot'
         ORDER BY lead_score DESC, customer_id ASC
         LIMIT {int(n)}
-    """)
+    """, features=features)

@@ -44,6 +44,10 @@ QUALITY_SPEC = {
 }
 
 
+# Columns whose value counts belong to the quality metrics of a clean table.
+QUALITY_DISTRIBUTIONS = {"interactions": ("channel", "outcome"), "products": ("category",)}
+
+
 # Bucket key of each clean table when the layer is written bucketed: the
 # curated step aggregates and joins leads, interactions and customers on
 # customer_id.
@@ -94,6 +98,9 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
         structs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names]
         parts.append(stats.select(F.explode(F.array(*structs)).alias("s")).select(
             F.lit(e).alias("table_name"), "s.metric", "s.value"))
+        if e in QUALITY_DISTRIBUTIONS:
+            parts.append(dq.distribution_metrics(
+                pf.value_distributions(read_parquet(spark, path), QUALITY_DISTRIBUTIONS[e], e)))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
@@ -159,6 +166,19 @@ def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFr
         return d.select(F.lit(section).alias("section"), metric.alias("metric"),
                         F.lit("").alias("dimension"), "value")
 
+    def top_rows() -> DataFrame:
+        """The ten best leads: each value of a row has the rank as its dimension and, where it is text, its label."""
+        top = topk.top_by_lead_score(eda_features, 10)
+        fields = [("top_customer", F.col("customer_name"), F.lit(None).cast("double")),
+                  ("top_customer_id", F.col("customer_id"), F.lit(None).cast("double")),
+                  ("top_quality", F.col("lead_quality"), F.lit(None).cast("double")),
+                  ("top_lead_score", F.lit(None).cast("string"), F.col("lead_score").cast("double")),
+                  ("top_revenue", F.lit(None).cast("string"), F.col("total_revenue").cast("double"))]
+        cells = [F.struct(F.lit(m).alias("metric"), t.alias("label"), v.alias("value")) for m, t, v in fields]
+        return top.select(F.col("rank").cast("string").alias("dimension"), F.explode(F.array(*cells)).alias("s")).select(
+            F.lit("features").alias("section"), "s.metric",
+            F.concat_ws(": ", "dimension", "s.label").alias("dimension"), "s.value")
+
     stat_col = F.concat(F.col("stat"), F.lit("_"), F.col("column_name"))
     idist = pf.value_distributions(interactions, ["channel", "outcome"])
     parts = [
@@ -184,8 +204,7 @@ def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFr
                              "mean_engagement_score", "mean_total_interactions", "mean_total_revenue")}),
         rows("features", pf.quality_distribution(eda_features), F.col("lead_quality"),
              {"quality_customers": "customers", "quality_pct": "pct"}),
-        rows("features", topk.top_by_lead_score(eda_features, 10), F.col("customer_id"),
-             {"top_lead_score": "lead_score"}),
+        top_rows(),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -216,21 +235,24 @@ def train_lead_model(spark: SparkSession, features: DataFrame, model_path: str,
     """
     lab = ml.make_label(features)
     feats = ml.available_features(lab)
-    data = ml.stratified_split(ml.feature_matrix(lab, id_col, feats), id_col, seed=seed)
+    split = ml.stratified_split(ml.feature_matrix(lab, id_col, feats), id_col, seed=seed)
+    matrix = f"{model_path.rstrip('/')}_matrix"
+    write_parquet(split, matrix)  # both fits and all scores read it instead of deriving the features again
+    data = read_parquet(spark, matrix)
     train_df, test_df = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     models, rows, aucs = {}, [], {}
     for name in ("rf", "gbt"):
         models[name] = ml.train(train_df, feats, name, seed)
         pred = ml.score(models[name], test_df, id_col)
-        aucs[name] = ml.roc_auc(pred)
+        aucs[name] = ml.roc_auc(pred).first()["roc_auc"]
         rows.append(ml.binary_metrics(pred).withColumn("model", F.lit(name)).withColumn(
-            "roc_auc", F.lit(aucs[name])))
+            "roc_auc", F.lit(aucs[name]).cast("double")))
     best = ml.select_model(aucs, prefer)
     ml.save_model(models[best], model_path)
     reloaded = ml.load_model(model_path)
     pred = ml.score(reloaded, test_df, id_col)
     rows.append(ml.binary_metrics(pred).withColumn("model", F.lit("reloaded")).withColumn(
-        "roc_auc", F.lit(ml.roc_auc(pred))))
+        "roc_auc", ml.roc_auc(pred).select("roc_auc").scalar()))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

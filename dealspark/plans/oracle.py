@@ -387,7 +387,9 @@ ORACLE.update({
     "status_breakdown": with_(CLEAN_LEADS, """
 SELECT * FROM (SELECT status, COUNT(*) AS deals, """ + msum("deal_value") + """ AS deal_value,
   COUNT(*) * 100.0::DOUBLE / (SUM(COUNT(*)) OVER ())::DOUBLE AS pct
-  FROM leads_clean GROUP BY status) WHERE status IS NOT NULL"""),
+  FROM leads_clean GROUP BY status) WHERE status IS NOT NULL""").replace("SELECT * FROM (SELECT status, COUNT",
+    "SELECT *, (ROW_NUMBER() OVER (ORDER BY deal_value DESC NULLS LAST, status))::INTEGER AS revenue_rank "
+    "FROM (SELECT status, COUNT"),
     "industry_revenue": with_(CLEAN_CUSTOMERS, """
 SELECT industry, """ + msum("annual_revenue") + """ AS annual_revenue
 FROM customers_clean WHERE industry IS NOT NULL GROUP BY industry"""),
@@ -500,7 +502,11 @@ def _completeness(table: str, src: str, cols: list[str]) -> str:
 
 ORACLE.update({
     "clean_layer_metrics": with_(ALL_CLEAN,
-                                 "\nUNION ALL\n".join(_quality_metrics(t) for t in QUALITY_SPEC)),
+                                 "\nUNION ALL\n".join([_quality_metrics(t) for t in QUALITY_SPEC] + [
+                                     f"SELECT '{t}', '{c}=' || {c}, COUNT(*)::DOUBLE FROM {t}_clean "
+                                     f"WHERE {c} IS NOT NULL GROUP BY {c}" for t, c in (
+                                         ("interactions", "channel"), ("interactions", "outcome"),
+                                         ("products", "category"))])),
     "duplicate_counts": with_(ALL_RAW, "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS raw_rows, ({_dup_clean(t)})::BIGINT AS clean_rows, "
         f"(COUNT(*) - ({_dup_clean(t)}))::BIGINT AS duplicates_removed FROM raw_{t}" for t in QUALITY_SPEC)),
@@ -512,6 +518,26 @@ ORACLE.update({
         _col_stats("interaction_metrics", "interaction_metrics", ["total_interactions", "engagement_score"]),
         _col_stats("deal_metrics", "deal_metrics", ["total_revenue", "conversion_rate", "avg_deal_value"]),
     ])),
+    "deal_date_range": with_(CLEAN_LEADS, """
+SELECT 'leads' AS table_name, 'created_at' AS column_name, MIN(created_at) AS first_value, MAX(created_at) AS last_value
+FROM leads_clean
+UNION ALL SELECT 'leads', 'updated_at', MIN(updated_at), MAX(updated_at) FROM leads_clean"""),
+    "orphan_leads": with_(ALL_CLEAN, """
+SELECT lead_id, customer_id FROM leads_clean l
+WHERE NOT EXISTS (SELECT 1 FROM customers_clean c WHERE c.customer_id = l.customer_id AND c.annual_revenue >= 0)"""),
+    "type_mismatches": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{t}', '{c}', '{want}', 'string')" for t, kinds in (
+            ("leads", {"deal_value": "double", "created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"}),
+            ("customers", {"employee_count": "int", "annual_revenue": "double", "created_at": "timestamp_ntz"}),
+            ("interactions", {"interaction_date": "timestamp_ntz", "interaction_time_minutes": "int"}),
+            ("products", {"base_price": "double", "launch_date": "timestamp_ntz"})) for c, want in kinds.items())
+        + ", ('leads', 'is_contactable', 'int', NULL), ('interactions', 'channel_standardized', 'string', NULL)"
+        + ") v(table_name, column_name, expected_type, actual_type)",
+    "distinct_values": with_(ALL_CLEAN, "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{t}' AS table_name, '{c}' AS column_name, {c} AS value FROM {t}_clean"
+        for t, c in (("leads", "status"), ("customers", "account_manager"), ("interactions", "channel_standardized")))),
+    "lead_days": with_(RAW_LEADS, "SELECT lead_id, deal_value, CAST(" + parse_date("created_at")
+                       + " AS DATE)::VARCHAR AS created_day FROM raw_leads"),
     "row_counts": with_(ALL_CLEAN, "\nUNION ALL\n".join(
         [f"SELECT 'raw_{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in QUALITY_SPEC]
         + [f"SELECT 'clean_{t}' AS table_name, COUNT(*) AS row_count FROM {t}_clean" for t in QUALITY_SPEC])),
@@ -683,6 +709,19 @@ SELECT customer_id, is_hot_lead,
   CASE WHEN ROW_NUMBER() OVER (PARTITION BY is_hot_lead ORDER BY substr(md5(customer_id || ':42'), 1, 15), customer_id)
     <= """ + rnd("COUNT(*) OVER (PARTITION BY is_hot_lead) * 0.2::DOUBLE", 0) + """ THEN 'test' ELSE 'train' END AS split
 FROM labelled"""),
+    "rule_classifier_auc": with_(LABELLED + """,
+s AS (SELECT probability_to_convert AS s, COUNT(*) FILTER (WHERE is_hot_lead = 1) AS pos,
+  COUNT(*) FILTER (WHERE is_hot_lead = 0) AS neg FROM labelled GROUP BY 1),
+r AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under FROM s)""",
+        """
+SELECT CASE WHEN SUM(pos) * SUM(neg) = 0 THEN NULL ELSE
+  SUM(pos * (2 * under + neg))::DOUBLE / (2.0::DOUBLE * SUM(pos)::DOUBLE * SUM(neg)::DOUBLE) END AS roc_auc FROM r"""),
+    **{name: with_(LABELLED, """
+SELECT customer_id, is_hot_lead, TRUE AS probability_in_range, TRUE AS class_agrees, TRUE AS reload_agrees
+FROM (SELECT customer_id, is_hot_lead, ROW_NUMBER() OVER (PARTITION BY is_hot_lead
+    ORDER BY substr(md5(customer_id || ':42'), 1, 15), customer_id) AS rn,
+  """ + rnd("COUNT(*) OVER (PARTITION BY is_hot_lead) * 0.2::DOUBLE", 0) + """ AS k FROM labelled) WHERE rn <= k""")
+       for name in ("model_predictions", "forest_predictions")},
     "rule_classifier_metrics": with_(LABELLED, """
 SELECT COALESCE(CASE WHEN total = 0 THEN NULL ELSE (dtp + dtn) / (dtp + dtn + dfp + dfn) END, 0.0) AS accuracy,
   p1 AS precision, r1 AS recall, f1, tn, fp, fn, tp FROM prf2"""),
@@ -726,7 +765,9 @@ _FS = """(SELECT """ + rnd("AVG(lead_score)", 6) + """ AS mean_lead_score, MAX(l
   SUM(total_interactions)::DOUBLE / COUNT(total_interactions) AS mean_total_interactions,
   """ + mavg("total_revenue") + """ AS mean_total_revenue,
   """ + median_sql("eda_features", "lead_score") + """ AS median_lead_score FROM eda_features)"""
-_TOP_SCORE = "(SELECT customer_id, lead_score FROM eda_features ORDER BY lead_score DESC, customer_id ASC LIMIT 10)"
+_TOP_SCORE = """(SELECT *, (ROW_NUMBER() OVER (ORDER BY lead_score DESC, customer_id ASC))::VARCHAR AS rank FROM (
+  SELECT customer_id, customer_name, lead_quality, lead_score, total_revenue FROM eda_features
+  ORDER BY lead_score DESC, customer_id ASC LIMIT 10))"""
 
 ORACLE["analysis_report"] = with_(ALL_CLEAN + "," + EDA_FEATURES, "\nUNION ALL\n".join([
     _SUMMARY,
@@ -755,7 +796,11 @@ ORACLE["analysis_report"] = with_(ALL_CLEAN + "," + EDA_FEATURES, "\nUNION ALL\n
        "mean_total_interactions", "mean_total_revenue")],
     _rows("features", "quality_customers", _QUAL, "lead_quality", "customers"),
     _rows("features", "quality_pct", _QUAL, "lead_quality", "pct"),
-    _rows("features", "top_lead_score", _TOP_SCORE, "customer_id", "lead_score"),
+    _rows("features", "top_customer", _TOP_SCORE, "concat_ws(': ', rank, customer_name)", "NULL"),
+    _rows("features", "top_customer_id", _TOP_SCORE, "concat_ws(': ', rank, customer_id)", "NULL"),
+    _rows("features", "top_quality", _TOP_SCORE, "concat_ws(': ', rank, lead_quality)", "NULL"),
+    _rows("features", "top_lead_score", _TOP_SCORE, "rank", "lead_score"),
+    _rows("features", "top_revenue", _TOP_SCORE, "rank", "total_revenue"),
 ]))
 
 

@@ -159,7 +159,8 @@ def _value_distribution(t: Tables) -> DataFrame:
     by_table: dict[str, list[str]] = {}
     for tb, c in VALUE_DISTRIBUTIONS:
         by_table.setdefault(tb, []).append(c)
-    return _union([pf.value_distributions(t.clean(tb), cols, tb) for tb, cols in by_table.items()])
+    return pf.most_frequent_first(_union([
+        pf.value_distributions(t.clean(tb), cols, tb) for tb, cols in by_table.items()]))
 
 
 @query("null_profile")
@@ -177,8 +178,8 @@ def _descriptive_stats(t: Tables) -> DataFrame:
 
 @query("status_breakdown")
 def _status_breakdown(t: Tables) -> DataFrame:
-    """AG-13, AG-14."""
-    return pf.status_breakdown(t.clean("leads"))
+    """AG-13, AG-14, TK-6 (statuses by deal value)."""
+    return pf.by_value_first(pf.status_breakdown(t.clean("leads")))
 
 
 @query("industry_revenue")
@@ -201,8 +202,10 @@ def _notebook_quality_distribution(t: Tables) -> DataFrame:
 
 @query("feature_summary")
 def _feature_summary(t: Tables) -> DataFrame:
-    """AG-21."""
-    return pf.feature_summary(t.eda_features())
+    """AG-21. The means of unrounded doubles are rounded here, as a double sum
+    depends on how partitions are merged."""
+    one = pf.feature_summary(t.eda_features())
+    return one.withColumns({c: F.round(c, 6) for c in ("mean_lead_score", "mean_engagement_score")})
 
 
 @query("lead_score_histogram")
@@ -248,7 +251,8 @@ from dealspark.functions.scoring import recency_engagement  # noqa: E402
 from dealspark.plans import layered  # noqa: E402
 from dealspark.operators import dedupe as dd  # noqa: E402
 from dealspark.operators import quality as dq  # noqa: E402
-from dealspark.schemas import KEYS  # noqa: E402
+from dealspark.functions.cleaning import parse_day  # noqa: E402
+from dealspark.schemas import KEYS, clean_schema  # noqa: E402
 
 QUALITY_SPEC = layered.QUALITY_SPEC
 # The documented ranges every clean table must satisfy.
@@ -267,8 +271,9 @@ def range_rules():
 @query("clean_layer_metrics")
 def _clean_layer_metrics(t: Tables) -> DataFrame:
     """DQ-1, FL-1, FL-2, AG-7, AG-8, DD-2."""
-    return _union([dq.clean_layer_metrics(t.raw(tb), t.clean(tb), tb, KEYS[tb], **spec)
-                   for tb, spec in QUALITY_SPEC.items()])
+    return _union([dq.clean_layer_metrics(t.raw(tb), t.clean(tb), tb, **spec) for tb, spec in QUALITY_SPEC.items()]
+                  + [dq.distribution_metrics(pf.value_distributions(t.clean(tb), columns, tb))
+                     for tb, columns in layered.QUALITY_DISTRIBUTIONS.items()])
 
 
 @query("duplicate_counts")
@@ -293,11 +298,25 @@ def _column_stats(t: Tables) -> DataFrame:
     ])
 
 
+@query("deal_date_range")
+def _deal_date_range(t: Tables) -> DataFrame:
+    """AG-7: first and last deal date."""
+    return pf.date_range(t.clean("leads"), "leads", ["created_at", "updated_at"])
+
+
+def _layer_counts(t: Tables) -> DataFrame:
+    """Rows of the raw and clean tables: the key column alone, counted once."""
+    return _union([dd.duplicate_counts(t.raw(tb), KEYS[tb]).select(F.lit(tb).alias("table_name"), "*")
+                   for tb in QUALITY_SPEC])
+
+
 @query("row_counts")
 def _row_counts(t: Tables) -> DataFrame:
     """AG-8: rows per raw and clean table."""
-    return pf.row_counts({**{f"raw_{tb}": t.raw(tb) for tb in QUALITY_SPEC},
-                          **{f"clean_{tb}": t.clean(tb) for tb in QUALITY_SPEC}})
+    layers = F.explode(F.array(F.struct(F.lit("raw_").alias("layer"), F.col("raw_rows").alias("row_count")),
+                               F.struct(F.lit("clean_").alias("layer"), F.col("clean_rows").alias("row_count"))))
+    return _layer_counts(t).select("table_name", layers.alias("s")).select(
+        F.concat("s.layer", "table_name").alias("table_name"), "s.row_count")
 
 
 @query("range_violations")
@@ -320,6 +339,33 @@ def _orphan_counts(t: Tables) -> DataFrame:
                             t.clean("customers"))
 
 
+@query("orphan_leads")
+def _orphan_leads(t: Tables) -> DataFrame:
+    """DQ-3: the lead rows whose customer is unknown."""
+    return dq.orphans(t.clean("leads"), t.clean("customers").where(F.col("annual_revenue") >= 0), "lead_id").select(
+        "lead_id", "customer_id")
+
+
+@query("type_mismatches")
+def _type_mismatches(t: Tables) -> DataFrame:
+    """DQ-2 (types): declared types of the clean layer against the raw columns."""
+    return _union([dq.type_mismatches(t.raw(tb), clean_schema(tb), tb) for tb in QUALITY_SPEC])
+
+
+@query("distinct_values")
+def _distinct_values(t: Tables) -> DataFrame:
+    """AG-9: the distinct values of chosen columns, NULL included."""
+    return _union([pf.distinct_values(t.clean(tb), c).select(
+        F.lit(tb).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("value"))
+        for tb, c in (("leads", "status"), ("customers", "account_manager"), ("interactions", "channel_standardized"))])
+
+
+@query("lead_days")
+def _lead_days(t: Tables) -> DataFrame:
+    """CL-17: strict day parsing of the raw creation date."""
+    return t.raw("leads").select("lead_id", "deal_value", parse_day("created_at").cast("string").alias("created_day"))
+
+
 @query("completeness")
 def _completeness(t: Tables) -> DataFrame:
     """DQ-4 per raw and clean table."""
@@ -330,9 +376,9 @@ def _completeness(t: Tables) -> DataFrame:
 @query("volume_growth")
 def _volume_growth(t: Tables) -> DataFrame:
     """DQ-5: row change from the raw to the clean layer, per table."""
-    prev = pf.row_counts({tb: t.raw(tb) for tb in QUALITY_SPEC})
-    cur = pf.row_counts({tb: t.clean(tb) for tb in QUALITY_SPEC})
-    return dq.volume_growth(prev, cur)
+    counts = _layer_counts(t)
+    return dq.volume_growth(counts.withColumnRenamed("raw_rows", "row_count"),
+                            counts.withColumnRenamed("clean_rows", "row_count"))
 
 
 # --- documented-only operators ---------------------------------------------------
@@ -406,12 +452,16 @@ def _daily_trend(t: Tables) -> DataFrame:
 @query("hot_leads")
 def _hot_leads(t: Tables) -> DataFrame:
     """FL-5 + TK-7: documented SQL over a temp view."""
-    return topk.hot_leads(t.spark, t.features(), 10, view="bench_customer_features")
+    return topk.hot_leads(t.spark, t.features(), 10)
 
 
 # --- lead-scoring model -------------------------------------------------------
 
+import uuid  # noqa: E402
+
 from dealspark.operators import ml  # noqa: E402
+from dealspark.session import ensure_checkpoint_dir  # noqa: E402
+from dealspark.sources.sinks import write_parquet  # noqa: E402
 
 
 def _labelled(t: Tables) -> DataFrame:
@@ -463,14 +513,39 @@ def _rule_classifier_metrics(t: Tables) -> DataFrame:
     return ml.binary_metrics(pred)
 
 
-@query("model_predictions")
-def _model_predictions(t: Tables) -> DataFrame:
-    """ML-7..10: boosted trees trained on the train split, scored on the test split."""
+@query("rule_classifier_auc")
+def _rule_classifier_auc(t: Tables) -> DataFrame:
+    """ML-12: exact area under the curve of the conversion probability as a score."""
+    return ml.roc_auc(_labelled(t), score_col="probability_to_convert")
+
+
+def _checked_model(t: Tables, algorithm: str) -> DataFrame:
+    """Train on the train split, save, reload, and score the test split with both.
+
+    The split matrix is written once, so the fit and the scores do not derive
+    the features again."""
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     lab = _labelled(t)
     feats = ml.available_features(lab)
-    data = ml.stratified_split(ml.feature_matrix(lab, "customer_id", feats), "customer_id")
-    model = ml.train(data.where(F.col("split") == "train"), feats, "gbt")
-    return ml.score(model, data.where(F.col("split") == "test"), "customer_id")
+    write_parquet(ml.stratified_split(ml.feature_matrix(lab, "customer_id", feats), "customer_id"), f"{root}/matrix")
+    data = t.spark.read.parquet(f"{root}/matrix")
+    model = ml.train(data.where(F.col("split") == "train"), feats, algorithm)
+    ml.save_model(model, f"{root}/model")
+    test = data.where(F.col("split") == "test")
+    return ml.consistent_predictions(ml.score(model, test, "customer_id"),
+                                     ml.score(ml.load_model(f"{root}/model"), test, "customer_id"), "customer_id")
+
+
+@query("model_predictions")
+def _model_predictions(t: Tables) -> DataFrame:
+    """ML-7, ML-9, ML-10, ML-16: boosted trees, scored on the test split."""
+    return _checked_model(t, "gbt")
+
+
+@query("forest_predictions")
+def _forest_predictions(t: Tables) -> DataFrame:
+    """ML-7, ML-8, ML-10, ML-16: a random forest, scored on the test split."""
+    return _checked_model(t, "rf")
 
 
 # --- report table ---------------------------------------------------------------
@@ -479,8 +554,10 @@ def _model_predictions(t: Tables) -> DataFrame:
 @query("analysis_report")
 def _analysis_report(t: Tables) -> DataFrame:
     """SNK-4: the analysis report as (section, metric, dimension, value)."""
-    return layered.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
+    report = layered.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
                                      t.clean("products"), t.eda_features())
+    unrounded = F.col("metric").isin("mean_lead_score", "mean_engagement_score")
+    return report.withColumn("value", F.when(unrounded, F.round("value", 6)).otherwise(F.col("value")))
 
 
 @query("interaction_summary")

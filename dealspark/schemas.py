@@ -72,5 +72,20 @@ CLEAN_TYPES: dict[str, dict[str, object]] = {
 }
 
 
+# Numeric columns of a feature table written as CSV; others (and the counts per
+# channel and outcome, ``num_*``) follow from their names.
+FEATURE_NUMBERS = {
+    "employee_count", "annual_revenue", "total_interactions", "avg_interaction_duration", "total_revenue",
+    "total_deals", "avg_deal_value", "engagement_score", "lead_score", "conversion_rate", "win_rate",
+    "probability_to_convert", "interaction_frequency", "days_since_last_interaction", "open_deal_value",
+}
+
+
+def features_schema(columns: list[str]) -> StructType:
+    """Declared types of a features CSV with this header: doubles for numbers, text for the rest."""
+    return StructType([StructField(c, _D if c in FEATURE_NUMBERS or c.startswith("num_") else _S, True)
+                       for c in columns])
+
+
 def clean_schema(entity: str) -> StructType:
     return StructType([StructField(n, t, True) for n, t in CLEAN_TYPES[entity].items()])

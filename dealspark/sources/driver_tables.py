@@ -17,7 +17,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealspark.sources.readers import ensure_parallelism
 
 # Reporting date and revenue unit used for the benchmark data
 # (events end on 2024-01-30; with the library default unit 100,000 nearly
@@ -38,13 +37,8 @@ STATUS_OF_ORDER = (("F", " Closed_Won "), ("P", "closed_lost"), ("O", "OPEN"))
 RAW_CHANNELS = ("call", "e-mail", "phone", "sms", "whatsapp message")
 
 
-# Tables of fixed, tiny size (TPC-H defines 25 nations and 5 regions).
-_FIXED_SIZE = ("nation", "region")
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-    return df if table in _FIXED_SIZE else ensure_parallelism(df)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -87,9 +81,9 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     # duplicate keys with another payload: every 20th order once more, +1 value
-    dups = o.where(F.col("o_orderkey") % 20 == 0).withColumn(
-        "o_totalprice", F.col("o_totalprice") + F.lit(1.0))
-    o = o.unionByName(dups)
+    copies = F.when(F.col("o_orderkey") % 20 == 0, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))
+    o = o.withColumn("__more", F.explode(copies))
+    o = o.withColumn("o_totalprice", F.col("o_totalprice") + F.col("__more")).drop("__more")
     k = F.col("o_orderkey")
     day = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")
     return o.select(

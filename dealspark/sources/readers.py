@@ -35,19 +35,3 @@ def read_clean_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2: clean/curated Parquet; Catalyst pushes filters and prunes columns."""
     return spark.read.parquet(path)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster can run
-    (e.g. one small file with one row group) over ``min_partitions`` tasks.
-
-    Only the partition count of the planned scan is inspected (no job runs).
-    Large inputs split into many partitions already and pass through
-    untouched, so no shuffle is added where the scan is parallel anyway.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session exposes no RDD / context
-        return df
-    return df.repartition(want) if have < want else df

@@ -69,5 +69,5 @@ def test_lead_features_and_hot_leads(spark, clean, features):
     lf = {r.lead_id: r for r in ft.lead_features(clean["leads"], clean["interactions"], AS_OF).collect()}
     assert len(lf) == 15
     assert (lf["L010"].customer_id, lf["L010"].engagement_score, lf["L010"].preferred_channel) == ("C009", 8.0, "call")
-    hot = topk.hot_leads(spark, features, 10, view="test_customer_features").collect()
+    hot = topk.hot_leads(spark, features, 10).collect()
     assert [(r.customer_id, r.lead_score) for r in hot] == [("C007", 100.0), ("C013", 97.98)]

@@ -1,4 +1,4 @@
-"""End-to-end layered run on the sample, and the streaming ingest."""
+"""End-to-end layered run on the sample."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import os
 from dealspark.plans import layered
 from dealspark.sources.layers import Layout
 from dealspark.sources.readers import read_parquet
-from dealspark.streaming.incremental import clean_stream
 
 import crm_data
 
@@ -43,23 +42,6 @@ def test_model_run(spark, tmp_path):
     assert got["reloaded"].accuracy == got[best].accuracy
 
 
-def test_streaming_ingest_is_incremental(spark, tmp_path):
-    root = crm_data.write_bronze(str(tmp_path), {"leads": crm_data.LEADS})
-    layout = Layout(root)
-    ckpt = str(tmp_path / "ckpt")
-    clean_stream(spark, layout, "leads", ckpt).awaitTermination()
-    assert read_parquet(spark, layout.silver("leads")).count() == 15
-    more = crm_data.LEADS.splitlines()[0] + "\n" + "\n".join([
-        "L001,C001,Dup,dup@x.com,,Acme Corp,1,open,2024-10-15,2024-11-20,LinkedIn",
-        "L100,C005,New Lead,new@x.com,,Enterprise Ltd,10,open,2024-12-01,2024-12-01,Email"]) + "\n"
-    with open(os.path.join(root, "bronze", "leads", "part-1.csv"), "w") as fh:
-        fh.write(more)
-    clean_stream(spark, layout, "leads", ckpt).awaitTermination()
-    out = read_parquet(spark, layout.silver("leads"))
-    assert out.count() == 16
-    assert out.where("lead_id = 'L001'").first().deal_value == 50000.0
-
-
 def test_bucketed_clean_layer_needs_no_shuffle(spark, tmp_path):
     from dealspark.operators import features as ft
     root = crm_data.write_bronze(str(tmp_path))

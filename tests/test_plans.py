@@ -63,3 +63,8 @@ def test_no_query_collects_to_driver():
             continue
         src = inspect.getsource(__import__(m.name, fromlist=["x"]))
         assert ".collect()" not in src and "toPandas" not in src, m.name
+
+
+def test_no_round_robin_exchange(noaqe):
+    for name in ("leads_clean", "row_counts", "clean_layer_metrics", "completeness"):
+        assert "RoundRobinPartitioning" not in _plan(E.queries()[name](noaqe, SF)), name

@@ -12,7 +12,7 @@ from dealspark.schemas import clean_schema
 def test_orphans_and_null_keys(spark, clean):
     extra = spark.createDataFrame([("X1", "C999"), ("X2", None)], "lead_id string, customer_id string")
     leads = clean["leads"].select("lead_id", "customer_id").unionByName(extra)
-    o = dq.orphans(leads, clean["customers"])
+    o = dq.orphans(leads, clean["customers"], "lead_id")
     assert sorted(r.lead_id for r in o.collect()) == ["X1", "X2"]
     counts = {r.table_name: r.orphan_rows for r in dq.orphan_counts(
         {"leads": leads, "interactions": clean["interactions"]}, clean["customers"]).collect()}
@@ -33,7 +33,7 @@ def test_ranges_types_completeness(spark, clean):
 
 def test_metrics_and_growth(raw, clean):
     m = {r.metric: r.value for r in dq.clean_layer_metrics(
-        raw["leads"], clean["leads"], "leads", "lead_id", ("email", "phone"), ("is_contactable",),
+        raw["leads"], clean["leads"], "leads", ("email", "phone"), ("is_contactable",),
         ("deal_value",)).collect()}
     assert m == {"raw_rows": 15, "duplicates_removed": 0, "clean_rows": 15, "null_email": 1, "null_phone": 2,
                  "is_contactable_count": 15, "deal_value_min": 15000.0, "deal_value_max": 550000.0}
