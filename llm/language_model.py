@@ -11,8 +11,8 @@ byte is compared with its language's threshold: a quantile of the trusted
 documents' perplexities, times a margin.
 
 Defined cases: a document with fewer than ``ORDER - 1`` bytes, or a null or
-empty text, has no n-gram: its perplexity is null and it is kept (other rules
-judge short texts). A null language is a language of its own. A language
+empty text, has no n-gram and a null perplexity. It is kept, as are all with
+fewer than ``MIN_SCORED`` n-grams: other rules judge short texts. A null language is a language of its own. A language
 without trusted documents has the threshold of all trusted documents; without
 any trusted document there is no threshold and every document is kept. Repeated
 rows are scored alike; a doc_id that is trusted marks all its rows.
@@ -31,12 +31,17 @@ from pyspark.sql import functions as F
 from llm import exchange
 from llm.common import NULL_ID, answered, blocks, stored, unpack
 
-ORDER = 5
+ORDER = 4
 #: Of the trusted documents' perplexities in a language, this quantile ...
 QUANTILE = 0.99
 #: ... times this gives the threshold, so that clean documents unlike any trusted one stay.
 MARGIN = 3.0
 
+#: A text with fewer scored n-grams says too little to be judged by them.
+MIN_SCORED = 40
+
+#: Text bytes of a block: the larger, the fewer blocks ask for the same n-gram.
+BLOCK = 8 << 20
 #: Largest dense table that numbers the n-grams of a block.
 DENSE = 1 << 25
 
@@ -52,10 +57,10 @@ def ngrams(data: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     letters, codes = np.unique(data, return_inverse=True)
-    codes, letters = codes.astype(np.int64), letters.astype(np.int64)
+    codes, letters = codes.astype(np.int32), letters.astype(np.int64)
     values, number = letters, codes
     for k in range(1, order):
-        slot = number[:len(number) - 1] * len(letters) + codes[k:]
+        slot = number[:len(number) - 1].astype(np.int64) * len(letters) + codes[k:]
         size = len(values) * len(letters)
         if size <= DENSE:
             seen = np.zeros(size, bool)
@@ -63,7 +68,7 @@ def ngrams(data: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray
             used = np.flatnonzero(seen)
             place = np.empty(size, np.int32)
             place[used] = np.arange(len(used), dtype=np.int32)
-            number = place[slot].astype(np.int64)
+            number = place[slot]
         else:
             used, number = np.unique(slot, return_inverse=True)
         values = (values[used // len(letters)] << 8) | letters[used % len(letters)]
@@ -210,7 +215,7 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, lang, n_scored (n-grams), perplexity (per byte) and trusted of each
     row of ``docs`` (doc_id, text, lang), under the model of the rows whose
     doc_id ``trusted`` (doc_id) has."""
-    packed = blocks(docs, "lm_blocks", extra=("lang",))
+    packed = blocks(docs, "lm_blocks", BLOCK, extra=("lang",))
     marked = answered(packed, stored(_trusted_by_block(packed, trusted), "lm_trusted"))
     shards = exchange.shard_count(packed, 0.02)
     asked = stored(_asked(marked.select("block", "ids", "lens", "blob", "trusted"), shards), "lm_asked")
@@ -236,8 +241,9 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return exchange.map_blocks(ready, run, SCORED, SCORED_ARROW)
 
 
-def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """``scored`` plus threshold and kept."""
+def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
+          min_scored: int = MIN_SCORED) -> DataFrame:
+    """``scored`` plus threshold and kept (true where fewer than ``min_scored`` n-grams were scored)."""
     good = scored.where("trusted and perplexity is not null")
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
     by_lang = stored(good.groupBy("lang").agg(at.alias("own")), "lm_thresholds")
@@ -245,7 +251,8 @@ def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN)
     joined = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
     return joined.withColumn("threshold", threshold).select(
-        *scored.columns, "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
+        *scored.columns, "threshold",
+        ((F.col("n_scored") < min_scored) | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
