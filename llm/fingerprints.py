@@ -6,8 +6,8 @@ on the window alone, so shared passages share their anchors wherever they
 stand, and any ``K - S`` successive windows hold one: anchors overlap and cover
 shared text without gaps. A fingerprint lists anchors in text order as
 (position, 40-bit hash), so matches are positional: the likeness of two
-fingerprints is the share of both texts' characters under anchors whose hash
-the other one has too.
+fingerprints is, of the characters under their anchors, the share under
+anchors whose hash the other one has too. Equal texts have a likeness of 1.
 
 Defined cases: a null or empty text has the fingerprint of an empty text; two
 empty texts are alike (1.0). A text shorter than ``K`` has one anchor, itself.
@@ -62,7 +62,7 @@ class Fingerprint:
         return int(np.minimum(np.diff(starts), length).sum()) + length
 
     def likeness(self, other: Fingerprint) -> float:
-        total = self.n_chars + other.n_chars
+        total = sum(f.covered(np.ones(len(f.hashes), bool)) for f in (self, other))
         if not total:
             return 1.0
         both = np.intersect1d(self.hashes, other.hashes)
