@@ -1,4 +1,4 @@
-"""The operators' registered queries and, where SQL can express one, its DuckDB SQL."""
+"""The operators' registered queries; ``SQL`` has the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from llm import (byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, substring_dedup,
                  suffix_dedup, url_filters, warc)
 from llm.common import table
+from llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,3 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op6_substring_dedup, op7_byte_bpe, op8_best_fit_packing,
     op9_url_filters, op10_minhash_near_dedup)}
-
-#: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
