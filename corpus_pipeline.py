@@ -11,8 +11,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import language_model, near_dedup, packing, quality_rules, suffix_dedup
-from llm.common import ship, stored, table
+from dealspark.llm import language_model, near_dedup, packing, quality_rules, suffix_dedup
+from dealspark.llm.common import ship, stored, table
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
