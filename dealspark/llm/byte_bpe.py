@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.chunks import ChunkCache
+from dealspark.llm.chunks import ChunkCache
 
 #: Bytes up to which a half is encoded by merging directly.
 LEAF = 4

@@ -58,15 +58,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, in case they cannot import it."""
+    """Send the library to the executors, once per application, in case they cannot import it."""
     context = spark.sparkContext
     if getattr(context, "_llm_shipped", False):
         return
-    package = Path(__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / "llm_package.zip"
+    library = Path(__file__).parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="dealspark-package-")) / "dealspark_package.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        for source in sorted(package.glob("*.py")):
-            z.write(source, f"{package.name}/{source.name}")
+        for source in sorted(library.rglob("*.py")):
+            z.write(source, source.relative_to(library.parent))
     context.addPyFile(str(archive))
     context._llm_shipped = True
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from dealspark.llm.common import stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import partitions
+from dealspark.llm.common import partitions
 
 REQUEST = "shard int, block long, keys binary, vals binary"
 REQUEST_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())])

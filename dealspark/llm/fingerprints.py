@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import NULL_ID, id_array, partitions
-from llm.rolling import Windows, closed_syncmers
+from dealspark.llm.common import NULL_ID, id_array, partitions
+from dealspark.llm.rolling import Windows, closed_syncmers
 
 K, S = 32, 12
 HASH_BITS = 40
@@ -105,7 +105,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = sorted(set(rows.agg(cuts.alias("c")).first()["c"] or []))
     slot = F.lit(0) if not cuts else F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id")))
     rows = rows.select(slot.alias("slot"), "doc_id", "text")
-    firsts = sorted((r["slot"], r["doc_id"]) for r in rows.groupBy("slot").agg(F.min("doc_id").alias("doc_id")).collect())
+    first = rows.groupBy("slot").agg(F.min("doc_id").alias("doc_id"))  # a row per slot
+    firsts = [tuple(r) for r in first.agg(F.sort_array(F.collect_list(F.struct("slot", "doc_id"))).alias("f")).first()["f"]]
     if not firsts:
         return rows.select("slot", F.lit(0).alias("border"), "doc_id", "text")
     before = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm import exchange
-from llm.common import NULL_ID, answered, blocks, stored, unpack
+from dealspark.llm import exchange
+from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
 
 ORDER = 4
 #: Of the trusted documents' perplexities in a language, this quantile ...

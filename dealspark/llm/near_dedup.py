@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm import exchange
-from llm.common import NULL_ID, answered, blocks, stored, unpack
-from llm.components import components
-from llm.rolling import Windows, mix
+from dealspark.llm import exchange
+from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
+from dealspark.llm.components import components
+from dealspark.llm.rolling import Windows, mix
 
 SYMBOLS, BITS, CHUNKS, MAX_DISTANCE = 64, 16, 11, 21
 ERRORS = MAX_DISTANCE // CHUNKS

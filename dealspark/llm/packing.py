@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from dealspark.llm.common import stored
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -209,8 +209,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
         done.append(packed.where("full").select(*place))
         held = packed.where("not full")
         # the histogram has a row per length, at most ``capacity``
-        sizes = held.groupBy("length").agg(F.count("*").alias("n")).toPandas()
-        bound = lower_bound(sizes["length"].to_numpy(np.int64), sizes["n"].to_numpy(np.int64), capacity)
+        sizes = held.groupBy("length").agg(F.count("*").alias("n"))
+        pairs = sizes.agg(F.collect_list(F.struct("length", "n")).alias("s")).first()["s"]
+        bound = lower_bound(*np.array(pairs, np.int64).reshape(-1, 2).T, capacity)
         fewest = held.where("offset = 0").count()
         if fewest == bound or groups == 1:
             break

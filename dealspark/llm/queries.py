@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import (byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, substring_dedup,
+from dealspark.llm import (byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, substring_dedup,
                  suffix_dedup, url_filters, warc)
-from llm.common import table
-from llm.sql import SQL
+from dealspark.llm.common import table
+from dealspark.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 

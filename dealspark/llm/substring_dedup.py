@@ -28,10 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from llm import exchange
-from llm.common import NULL_ID, answered, blocks, stored, unpack
-from llm.near_dedup import words_of
-from llm.rolling import Windows, closed_syncmers
+from dealspark.llm import exchange
+from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
+from dealspark.llm.near_dedup import words_of
+from dealspark.llm.rolling import Windows, closed_syncmers
 
 WINDOW = 50
 SECOND_BASE = 0xC2B2AE3D27D4EB4F

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from llm.rolling import Windows
+from dealspark.llm.rolling import Windows
 
 #: Alphabet up to which a string of names is sorted by induction again.
 SMALL_ALPHABET = 512

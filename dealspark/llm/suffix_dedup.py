@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from llm import exchange
-from llm.common import NULL_ID, answered, blocks, stored, unpack
-from llm.rolling import Windows, closed_syncmers
-from llm.suffix_array import common_prefixes, suffix_array
+from dealspark.llm import exchange
+from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
+from dealspark.llm.rolling import Windows, closed_syncmers
+from dealspark.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 200
 #: Bytes of an anchor (half of ``length``) and of its inner windows.

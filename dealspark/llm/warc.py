@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import NULL_ID, scratch, stored, text_bytes
+from dealspark.llm.common import NULL_ID, scratch, stored, text_bytes
 
 SKIPPABLE_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = 0xFD2FB528

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from llm.common import ship, table
+from dealspark.llm.common import ship, table
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,8 +6,8 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 
-from llm import byte_bpe
-from llm.chunks import ChunkCache
+from dealspark.llm import byte_bpe
+from dealspark.llm.chunks import ChunkCache
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 

@@ -4,7 +4,7 @@ import hashlib
 
 import numpy as np
 
-from llm import fingerprints as fp
+from dealspark.llm import fingerprints as fp
 
 SF = "/root/testdata/sf0.001"
 ROWS = [(5, "hello " * 40), (1, None), (None, "x" * 500), (5, "hello " * 40), (2, ""), (9, "äöü 漢字 " * 90), (7, "short")]
@@ -63,7 +63,7 @@ def test_shared_passage_shares_anchors(texts):
 
 
 def test_query_columns(spark):
-    from llm.queries import op3_document_fingerprints
+    from dealspark.llm.queries import op3_document_fingerprints
     df = op3_document_fingerprints(spark, SF)
     assert df.columns[:7] == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     r = df.first()

@@ -8,8 +8,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from llm import language_model as lm
-from llm.common import ship, table
+from dealspark.llm import language_model as lm
+from dealspark.llm.common import ship, table
 
 SF = "/root/testdata/sf0.001"
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from llm import quality_rules, url_filters
-from llm.common import table
+from dealspark.llm import quality_rules, url_filters
+from dealspark.llm.common import table
 
 SF = "/root/testdata/sf0.001"
 

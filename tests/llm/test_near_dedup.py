@@ -6,8 +6,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from llm import near_dedup as nd
-from llm.components import components
+from dealspark.llm import near_dedup as nd
+from dealspark.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))

@@ -8,7 +8,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from llm import packing
+from dealspark.llm import packing
 
 PATH = P.path("byte_bpe_50k.json")
 

@@ -4,8 +4,8 @@ import public_tokenizers as P
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from llm import language_model, near_dedup, packing, quality_rules, suffix_dedup
-from llm.common import stored, table
+from dealspark.llm import language_model, near_dedup, packing, quality_rules, suffix_dedup
+from dealspark.llm.common import stored, table
 
 SF = "/root/testdata/sf0.001"
 

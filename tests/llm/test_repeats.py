@@ -8,8 +8,8 @@ import re
 import numpy as np
 import pytest
 
-from llm import substring_dedup, suffix_dedup
-from llm import suffix_array as sa
+from dealspark.llm import substring_dedup, suffix_dedup
+from dealspark.llm import suffix_array as sa
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERS = "abcdefghij"

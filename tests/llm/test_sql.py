@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from llm.sql import SQL
+from dealspark.llm.sql import SQL
 
 SF = "/root/testdata/sf0.001"
 

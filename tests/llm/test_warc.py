@@ -5,8 +5,8 @@ import hashlib
 
 import pytest
 
-from llm import warc
-from llm.common import scratch, ship, table
+from dealspark.llm import warc
+from dealspark.llm.common import scratch, ship, table
 
 SF = "/root/testdata/sf0.001"
 
