@@ -3,8 +3,9 @@
 Induced sorting classifies suffixes as smaller (S) or larger (L) than the next
 one, sorts the leftmost smaller ones (LMS), and induces the order of all others
 in two linear scans. The scans go bucket by bucket: all suffixes that a bucket
-induces are placed by one stable distribution, so the work per suffix is
-vectorised. LMS substrings get names; names that repeat are a smaller string
+induces are placed by one stable distribution, and those that it induces in
+itself (runs of one letter) step by step of all runs at once, so the work per
+suffix is vectorised. LMS substrings get names; names that repeat are a smaller string
 whose suffixes are sorted in turn, by the same induction while its alphabet is
 small, and beyond it by doubling: names of twice the length are made from pairs
 of names, for those that are still equal, until all differ.
@@ -119,51 +120,63 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndar
     marks = np.bincount(s[lms], minlength=len(starts))
     lms_from = ends - marks
     _place(out, lms, s[lms], lms_from)
+    here = np.arange(n)
+    turn = np.concatenate([[True], s[1:] != s[:-1]])
+    run = here - np.maximum.accumulate(np.where(turn, here, 0))  # equal letters right before each position
 
     head = starts.copy()
 
-    def push_larger(found: np.ndarray) -> None:
-        p = found - 1
-        p = p[p >= 0]
-        p = p[~smaller[p]]
+    def push_larger(found: np.ndarray, c: int) -> None:
+        p = found[found > 0] - 1
+        p = p[~smaller[p] & (s[p] != c)]
         if len(p):
             head[:] += _place(out, p, s[p], head)
 
     for c in letters.tolist():
-        done = starts[c]
-        while done < head[c]:
-            a, done = done, head[c]
-            push_larger(out[a:done])
+        found = out[starts[c]:head[c]]
+        more = _run_back(found, run)
+        out[head[c]:head[c] + len(more)] = more
+        head[c] += len(more)
+        push_larger(out[starts[c]:head[c]], c)
         if marks[c]:
-            push_larger(out[lms_from[c]:ends[c]])
+            push_larger(out[lms_from[c]:ends[c]], c)
 
     tail = ends.copy()
-    last = n - 1
 
-    def push_smaller(found: np.ndarray) -> None:
-        p = found - 1
-        p = p[p >= 0]
-        p = p[smaller[p]]
+    def push_smaller(found: np.ndarray, c: int) -> None:
+        p = found[found > 0] - 1
+        p = p[smaller[p] & (s[p] != c)]
         if len(p):
             letter = s[p]
-            counts = np.bincount(letter, minlength=len(tail))
-            tail[:] -= counts
+            tail[:] -= np.bincount(letter, minlength=len(tail))
             # the first one goes to the right end: place the reversed row from the new left end
             _place(out, p[::-1], letter[::-1], tail)
 
     for c in letters[::-1].tolist():
         if c == 0:
             break  # the sentinel alone
-        done = ends[c]
-        while done > tail[c]:
-            b, done = done, tail[c]
-            push_smaller(out[done:b][::-1])
-        if head[c] > starts[c]:
-            push_smaller(out[starts[c]:head[c]][::-1])
-    out[0] = last
+        more = _run_back(out[tail[c]:ends[c]][::-1], run)
+        out[tail[c] - len(more):tail[c]] = more[::-1]
+        tail[c] -= len(more)
+        push_smaller(out[tail[c]:ends[c]][::-1], c)
+        push_smaller(out[starts[c]:head[c]][::-1], c)
+    out[0] = n - 1
     return out
 
 
+def _run_back(found: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The suffixes that a bucket induces in itself: from each of ``found`` back
+    to the start of its run of equal letters, one step of all of them at a time."""
+    steps = run[found]
+    total = int(steps.sum())
+    if not total:
+        return found[:0]
+    which = np.repeat(np.arange(len(found)), steps)
+    step = np.arange(1, total + 1) - np.repeat(np.cumsum(steps) - steps, steps)
+    order = np.argsort(step, kind="stable")
+    return found[which[order]] - step[order]
+
+
 def _place(out: np.ndarray, positions: np.ndarray, letter: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Distribute ``positions`` stably over their letters' buckets from ``at``; returns how many each got."""
     counts = np.bincount(letter, minlength=len(at))
@@ -205,7 +218,9 @@ def _compare(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     room = np.where(b >= 0, n - np.maximum(a, b), 0)
     out = np.zeros(len(a), np.int64)
     active = np.flatnonzero(room > 0)
-    while len(active):
+    for _ in range(64):
+        if not len(active):
+            break
         at = out[active]
         left = np.ascontiguousarray(words[a[active] + at]).view(np.uint64).ravel()
         right = np.ascontiguousarray(words[b[active] + at]).view(np.uint64).ravel()
@@ -214,4 +229,14 @@ def _compare(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         same = np.where(differ == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
         out[active] = np.minimum(at + same, room[active])
         active = active[(differ == 0) & (out[active] < room[active])]
+    for k in active.tolist():  # few share so much: each alone, in growing slices
+        i, j, at, most, step = int(a[k]), int(b[k]), int(out[k]), int(room[k]), 1 << 10
+        while at < most:
+            size = min(step, most - at)
+            differ = text[i + at:i + at + size] != text[j + at:j + at + size]
+            if differ.any():
+                at += int(differ.argmax())
+                break
+            at, step = at + size, min(2 * step, 1 << 20)
+        out[k] = at
     return out
