@@ -254,7 +254,8 @@ def clean_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     character, the rest of its bytes go too. Every row stays, also if nothing
     is left of its text; its other columns travel along as JSON."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others])) if others else F.lit(None).cast("string")
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others]), exact) if others else F.lit(None).cast("string")
     done = remove_repeats(docs.select("doc_id", "text", row.alias("extra")), length, "extra")
     text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
     back = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
@@ -262,6 +263,6 @@ def clean_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         back["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
     if others:
         kinds = StructType([docs.schema[c] for c in others])
-        fields = F.from_json("extra", kinds)
+        fields = F.from_json("extra", kinds, exact)
         back |= {c: fields[c] for c in others}
     return done.select(*[back[c].alias(c) for c in docs.columns])
