@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 NULL_ID = -(2 ** 63)
 
 #: Text bytes in a block: bounds what one Python step holds (longer texts get a block of their own).
-BLOCK_BYTES = (4 << 20) - (1 << 17)
+BLOCK_BYTES = 2 << 20
 
 BLOCK_SCHEMA = "block long, n_bytes long, ids binary, lens binary, blob binary, extra array<string>"
 

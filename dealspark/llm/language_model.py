@@ -41,9 +41,9 @@ MARGIN = 3.0
 MIN_SCORED = 40
 
 #: Text bytes of a block: the larger, the fewer blocks ask for the same n-gram.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Largest dense table that numbers the n-grams of a block.
-DENSE = 1 << 25
+DENSE = 1 << 23
 
 
 def ngrams(data: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -56,8 +56,8 @@ def ngrams(data: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray
     n = len(data) - order + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    letters, codes = np.unique(data, return_inverse=True)
-    codes, letters = codes.astype(np.int32), letters.astype(np.int64)
+    letters = np.flatnonzero(np.bincount(data, minlength=256))
+    codes = np.searchsorted(letters, np.arange(256)).astype(np.int32)[data]
     values, number = letters, codes
     for k in range(1, order):
         slot = number[:len(number) - 1].astype(np.int64) * len(letters) + codes[k:]
@@ -100,7 +100,7 @@ def _all_positions(number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     np.add.at(mark, bounds[0][bounds[0] < len(number)], 1)
     ends = bounds[1][bounds[0] < len(number)]
     np.add.at(mark, np.minimum(ends, len(number)), -1)
-    return number[np.cumsum(mark[:-1]) > 0]
+    return number[np.cumsum(mark[:-1], dtype=np.int32) > 0]
 
 
 def _asked(packed: DataFrame, shards: int) -> DataFrame:

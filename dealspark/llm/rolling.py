@@ -6,7 +6,8 @@ import numpy as np
 
 MUL = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-_powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+LOW = 1 << 12
+_powers: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -19,16 +20,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _tables(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 16, 1 << (n - 1).bit_length())
-    got = _powers.get((size, base))
-    if got is None:
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        got = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size <= 1 << 23:
-            _powers[size, base] = got
-    return got
+def _power_tables(base: int, inverse: bool, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** (LOW * i) and base ** j (or their inverses): two small tables whose products are the powers below n."""
+    coarse, fine = _powers.get((base, inverse), (np.zeros(0, np.uint64), None))
+    if fine is None or len(coarse) * LOW < n:
+        unit = pow(base, -1, 1 << 64) if inverse else base
+        fine = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(LOW - 1, unit, np.uint64)]))
+        steps = np.full(max(n // LOW + 1, 2 * len(coarse)), pow(unit, LOW, 1 << 64), np.uint64)
+        steps[0] = 1
+        coarse = np.multiply.accumulate(steps)
+        _powers[base, inverse] = coarse, fine
+    return coarse, fine
+
+
+def _scale(values: np.ndarray, base: int, inverse: bool) -> np.ndarray:
+    """Multiply each value by the power (or its inverse) of its position, in place."""
+    coarse, fine = _power_tables(base, inverse, len(values))
+    for k in range(0, len(values), LOW):
+        part = values[k:k + LOW]
+        part *= fine[:len(part)]
+        part *= coarse[k // LOW]
+    return values
 
 
 class Windows:
@@ -40,27 +52,26 @@ class Windows:
     """
 
     def __init__(self, values: np.ndarray, base: int = MUL):
-        n = len(values)
-        self.up, self.down = _tables(max(n + 1, 2), base)
-        self.sums = np.zeros(n + 1, np.uint64)
-        scaled = values.astype(np.uint64)
+        self.base = base
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        scaled = self.sums[1:]
+        scaled[:] = values
         scaled += np.uint64(1)
-        scaled *= self.up[:n]
-        np.cumsum(scaled, out=self.sums[1:])
+        np.cumsum(_scale(scaled, base, False), out=scaled)
 
     def all(self, length: int) -> np.ndarray:
         """Hash of [i, i + length) for each i where it fits."""
         n = len(self.sums) - length
         if n <= 0:
             return np.zeros(0, np.uint64)
-        h = self.sums[length:] - self.sums[:n]
-        h *= self.down[:n]
-        return mix(h)
+        return mix(_scale(self.sums[length:] - self.sums[:n], self.base, True))
 
     def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of [start, end) for given positions; the length takes part."""
+        coarse, fine = _power_tables(self.base, True, len(self.sums))
         h = self.sums[ends] - self.sums[starts]
-        h *= self.down[starts]
+        h *= coarse[starts // LOW]
+        h *= fine[starts % LOW]
         h += (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
         return mix(h)
 
