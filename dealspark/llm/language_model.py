@@ -4,6 +4,7 @@ The model counts ``ORDER``-grams of UTF-8 bytes in all trusted text. Bytes need
 no vocabulary and cover every language and script. Documents are packed into
 blocks; a block sends each distinct n-gram once to the shard that counts it, so
 what moves grows with the distinct n-grams of blocks and not with the text.
+n-grams with the same context meet in one shard and travel as compressed differences.
 Counts, continuation counts, contexts and discounts are tables; joins along the
 orders give each n-gram of the corpus its interpolated probability, and the
 shards send those back to the blocks that asked. A document's perplexity per
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from dealspark.llm import exchange
 from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
 
-ORDER = 4
+ORDER = 5
 #: Of the trusted documents' perplexities in a language, this quantile ...
 QUANTILE = 0.99
 #: ... times this gives the threshold, so that clean documents unlike any trusted one stay.
@@ -103,13 +104,48 @@ def _all_positions(number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return number[np.cumsum(mark[:-1], dtype=np.int32) > 0]
 
 
+def _shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each n-gram, by its context: neighbours differ little inside a shard."""
+    return exchange.shard_of(grams.astype(np.uint64) >> np.uint64(8), shards)
+
+
+def _by_shard(grams: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, positions of its n-grams, in their order) of ascending ``grams``."""
+    of = _shard_of(grams, shards)
+    order = np.argsort(of, kind="stable")
+    numbers, first = np.unique(of[order], return_index=True)
+    yield from zip(numbers.tolist(), np.split(order, first[1:]))
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """``values`` byte plane by byte plane, compressed, after their number."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(4, "big") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _expand(raw: bytes, dtype) -> np.ndarray:
+    n, width = int.from_bytes(raw[:4], "big"), np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(raw[4:], n * width, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).reshape(n)
+
+
+def _pack_grams(grams: np.ndarray) -> bytes:
+    return _squeeze(np.diff(grams, prepend=0).astype(np.int64))
+
+
+def _unpack_grams(raw: bytes) -> np.ndarray:
+    return np.cumsum(_expand(raw, np.int64))
+
+
 def _asked(packed: DataFrame, shards: int) -> DataFrame:
     """Each block's distinct n-grams, with their counts in its trusted documents."""
     def run(row: dict) -> Iterator[dict]:
         _, values, number, bounds = block_ngrams(row)
         counts = np.bincount(_trusted_positions(number, bounds, row["trusted"]), minlength=len(values))
         here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
-        yield from exchange.requests(row["block"], values[here].astype(np.uint64), counts[here].astype(np.uint32), shards)
+        values, counts = values[here], counts[here].astype(np.uint32)
+        for shard, at in _by_shard(values, shards):
+            yield {"shard": shard, "block": row["block"], "keys": _pack_grams(values[at]), "vals": _squeeze(counts[at])}
 
     return exchange.map_blocks(packed, run, exchange.REQUEST, exchange.REQUEST_ARROW)
 
@@ -132,11 +168,11 @@ def _trusted_by_block(packed: DataFrame, trusted: DataFrame) -> DataFrame:
 def _counts(asked: DataFrame) -> DataFrame:
     """(gram, n) of the trusted text, n > 0."""
     def add(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()])
-        vals = np.concatenate([np.frombuffer(v, np.uint32) for v in group.column("vals").to_pylist()])
+        keys = np.concatenate([_unpack_grams(k) for k in group.column("keys").to_pylist()])
+        vals = np.concatenate([_expand(v, np.uint32) for v in group.column("vals").to_pylist()])
         grams, number = np.unique(keys, return_inverse=True)
         n = np.bincount(number, weights=vals).astype(np.int64)
-        return pa.table({"gram": grams.astype(np.int64), "n": n})
+        return pa.table({"gram": grams, "n": n})
 
     return asked.groupBy("shard").applyInArrow(add, "gram long, n long")
 
@@ -189,20 +225,19 @@ def _returned(asked: DataFrame, logs: DataFrame, shards: int) -> DataFrame:
     """The log probabilities of each block's n-grams (float32), by block."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = exchange.shard_of(batch.column(0).to_numpy().astype(np.uint64), shards)
+            of = _shard_of(batch.column(0).to_numpy(), shards)
             yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["shard", "gram", "logp"])
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = right.column("gram").to_numpy()
         order = np.argsort(grams)
         grams, logp = grams[order], right.column("logp").to_numpy()[order].astype(np.float32)
-        found = [logp[np.searchsorted(grams, np.frombuffer(k, np.int64))].tobytes()
-                 for k in left.column("keys").to_pylist()]
+        found = [_squeeze(logp[np.searchsorted(grams, _unpack_grams(k))]) for k in left.column("keys").to_pylist()]
         return pa.table({"block": left.column("block"), "shard": left.column("shard"),
                          "answer": pa.array(found, pa.binary())})
 
     by_shard = logs.mapInArrow(number, "shard int, gram long, logp double")
-    return exchange.by_block(asked.groupBy("shard").cogroup(by_shard.groupBy("shard"))
+    return exchange.by_block(asked.drop("vals").groupBy("shard").cogroup(by_shard.groupBy("shard"))
                              .applyInArrow(look_up, exchange.ANSWER))
 
 
@@ -217,17 +252,19 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     doc_id ``trusted`` (doc_id) has."""
     packed = blocks(docs, "lm_blocks", BLOCK, extra=("lang",))
     marked = answered(packed, stored(_trusted_by_block(packed, trusted), "lm_trusted"))
-    shards = exchange.shard_count(packed, 0.02)
+    shards = exchange.shard_count(packed, 0.04)
     asked = stored(_asked(marked.select("block", "ids", "lens", "blob", "trusted"), shards), "lm_asked")
     every = stored(_counts(asked), "lm_counts")
     logs = probabilities(every.where("n > 0"), every.select("gram"))
-    replies = stored(_returned(asked, logs, shards), "lm_replies")
+    replies = _returned(asked, logs, shards)
 
     def run(row: dict) -> Iterator[dict]:
         ids, values, number, bounds = block_ngrams(row)
         here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
         logp = np.zeros(len(values))
-        logp[here] = exchange.answers_of(row["answers"], values[here].astype(np.uint64), shards, np.float32)
+        asked_for, got = np.flatnonzero(here), {r["shard"]: r["answer"] for r in row["answers"] or ()}
+        for shard, at in _by_shard(values[here], shards):
+            logp[asked_for[at]] = _expand(got[shard], np.float32)
         sums = np.concatenate([[0.0], np.cumsum(logp[number])])
         last = len(sums) - 1
         a, b = np.minimum(bounds[0], last), np.minimum(bounds[1], last)

@@ -104,3 +104,20 @@ def test_labels_are_held(spark, docs):
     clean = [kept[i] for i, r in rows.items() if r.quality == 1 and r.toxic == 0]
     junk = [kept[i] for i, r in rows.items() if r.quality == 0]
     assert np.mean(clean) > 0.97 and np.mean(junk) < 0.6
+
+
+def test_fifth_byte_counts(spark):
+    """The last byte of a seen 5-gram is likelier than one seen only after its last three bytes."""
+    ship(spark)
+    rows = [(1, "xbcdy zbcdw " * 20), (2, "xbcdy"), (3, "xbcdw")]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.perplexity for r in lm.score(df, df.where("doc_id = 1")).collect()}
+    assert got[3] > 1.5 * got[2]
+
+
+def test_squeezed_grams():
+    grams = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 5000))
+    for shard, at in lm._by_shard(grams, 7):
+        assert lm._unpack_grams(lm._pack_grams(grams[at])).tolist() == grams[at].tolist()
+        assert set(lm._shard_of(grams[at], 7).tolist()) == {shard}
+    assert len(lm._pack_grams(grams)) < 8 * len(grams)
