@@ -183,6 +183,18 @@ def _repeated(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndar
     return out
 
 
+def _widened(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether each byte of the UTF-8 text ``data`` lies in one of the ranges
+    [first, last) or in a character that one of them cuts."""
+    gone = np.zeros(len(data), bool)
+    goes_on = lambda at: at < len(data) and data[at] & 0xC0 == 0x80
+    for a, b in zip(first.tolist(), last.tolist()):
+        for _ in range(3):  # a character has three more bytes at most
+            a, b = a - (a > 0 and goes_on(a)), b + goes_on(b)
+        gone[a:b] = True
+    return gone
+
+
 RESULT = ("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, "
           "extra string")
 RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -190,7 +202,8 @@ RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_r
                           ("kept", pa.binary()), ("extra", pa.string())])
 
 
-def _results(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int) -> Iterator[dict]:
+def _results(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int,
+             characters: bool) -> Iterator[dict]:
     part = Part(row, text_shards)
     at = np.flatnonzero(_candidates(part, row, length, anchor_shards))
     keys, which = np.unique(part.hashes.at(at, at + length), return_inverse=True)
@@ -210,17 +223,21 @@ def _results(row: dict, length: int, text_shards: int, anchor_shards: int, shard
         elif k in place and gone[(lo := part.bounds[place[k]]):(hi := part.bounds[place[k] + 1])].any():
             mask = gone[lo:hi]
             first, last = _runs(mask)
-            out |= {"n_removed": int(mask.sum()), "kept": part.data[lo:hi][~mask].tobytes(),
+            data = part.data[lo:hi]
+            cut = _widened(data, first, last) if characters else mask
+            out |= {"n_removed": int(mask.sum()), "kept": data[~cut].tobytes(),
                     "spans": [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())]}
         else:
             out |= {"n_removed": 0, "spans": [], "kept": bytes(whole[a:b])}
         yield out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, extra: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, extra: str | None = None,
+                   characters: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed byte ranges), kept (the other
-    bytes, concatenated) and extra (the string column of that name, carried
-    along) of each row of ``docs`` (doc_id, text)."""
+    bytes, concatenated; with ``characters`` without those of characters that a
+    span cuts) and extra (the string column of that name, carried along) of each
+    row of ``docs`` (doc_id, text)."""
     if length < 8:
         raise ValueError("length must be 8 bytes or more")
     packed = blocks(docs, "suffix_blocks", extra=(extra,) if extra else ())
@@ -244,20 +261,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, extra: str | None = No
     known = answered(known, reply(
         ask(known, lambda r: _class_requests(r, length, text_shards, anchor_shards, shards)),
         _repeated, np.uint16, "classes"))
-    return exchange.map_blocks(known, lambda r: _results(r, length, text_shards, anchor_shards, shards),
+    return exchange.map_blocks(known, lambda r: _results(r, length, text_shards, anchor_shards, shards, characters),
                                RESULT, RESULT_ARROW)
 
 
 def clean_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text`` (null: empty) and
     ``n_chars``, if it is there, counted anew. Where a cut goes through a
-    character, the rest of its bytes go too. Every row stays, also if nothing
-    is left of its text; its other columns travel along as JSON."""
+    character, the rest of its bytes go too; all other characters stay as they are.
+    Every row stays, also if nothing is left of its text; its other columns travel along as JSON."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in others]), exact) if others else F.lit(None).cast("string")
-    done = remove_repeats(docs.select("doc_id", "text", row.alias("extra")), length, "extra")
-    text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    done = remove_repeats(docs.select("doc_id", "text", row.alias("extra")), length, "extra", characters=True)
+    text = F.col("kept").cast("string")
     back = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
     if "n_chars" in docs.columns:
         back["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)

@@ -62,6 +62,17 @@ def test_cut_documents(docs, texts, make):
     assert suffix_dedup.clean_documents(odd, 12).count() == len(BYTE_ROWS)
 
 
+def test_replacement_characters_stay(make):
+    """Only the rest of cut characters goes: a genuine U+FFFD stays, in cut texts too, and ends of two cut characters do not join."""
+    same = "0123456789abcdef"
+    rows = [(1, "a \ufffd b"), (2, "\ufffd" + same + "\ufffd!"), (3, "q" + same + "w"), (4, "\ufffd" * 3),
+            (5, "1\u00e9" + "ABCDEFGHIJKL" + "\u00e92"), (6, "3\u0129" + "ABCDEFGHIJKL" + "\u00ea4")]
+    # the last two share a byte (a9) before the letters and one (c3) after them: both cut characters go
+    want = {1: rows[0][1], 2: "\ufffd\ufffd!", 3: "qw", 4: rows[3][1], 5: "12", 6: "34"}
+    got = {r.doc_id: r.text for r in suffix_dedup.clean_documents(make(rows), 12).collect()}
+    assert got == want
+
+
 def words_left(rows, size):
     value = lambda i: -2 ** 63 if i is None else i
     words = [(value(i), WORD.findall(t or "")) for i, t in rows]
