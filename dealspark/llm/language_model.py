@@ -9,7 +9,8 @@ Counts, continuation counts, contexts and discounts are tables; joins along the
 orders give each n-gram of the corpus its interpolated probability, and the
 shards send those back to the blocks that asked. A document's perplexity per
 byte is compared with its language's threshold: a quantile of the trusted
-documents' perplexities, times a margin.
+documents' held-out perplexities. For these the trusted documents are dealt to two
+folds by their doc_id, and each is scored by the model of the other fold.
 
 Defined cases: a document with fewer than ``ORDER - 1`` bytes, or a null or
 empty text, has no n-gram and a null perplexity. It is kept, as are all with
@@ -35,8 +36,8 @@ from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
 ORDER = 5
 #: Of the trusted documents' perplexities in a language, this quantile ...
 QUANTILE = 0.99
-#: ... times this gives the threshold, so that clean documents unlike any trusted one stay.
-MARGIN = 3.0
+#: ... times this gives the threshold. Held-out perplexities need no margin.
+MARGIN = 1.0
 
 #: A text with fewer scored n-grams says too little to be judged by them.
 MIN_SCORED = 40
@@ -91,9 +92,25 @@ def block_ngrams(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return ids, values, number, np.stack([starts, ends])
 
 
-def _trusted_positions(number: np.ndarray, bounds: np.ndarray, marked: list[int] | None) -> np.ndarray:
-    parts = [number[bounds[0, k]:bounds[1, k]] for k in marked or ()]
-    return np.concatenate(parts) if parts else number[:0]
+#: A block's counts of an n-gram in the trusted documents of each fold.
+FOLDS = np.dtype([("n0", np.uint32), ("n1", np.uint32)])
+#: All trusted text, and each fold's.
+COUNTED = ("n", "n0", "n1")
+
+
+def fold_of(ids: np.ndarray) -> np.ndarray:
+    """The fold (0 or 1) of each doc_id."""
+    return exchange.shard_of(ids.astype(np.int64).view(np.uint64), 2)
+
+
+def _fold_counts(number: np.ndarray, bounds: np.ndarray, ids: np.ndarray, marked: list[int] | None, size: int) -> np.ndarray:
+    """How often each of ``size`` n-grams stands in the trusted documents of each fold."""
+    fold, out = fold_of(ids), np.zeros(size, FOLDS)
+    for j, name in enumerate(FOLDS.names):
+        parts = [number[bounds[0, k]:bounds[1, k]] for k in marked or () if fold[k] == j]
+        if parts:
+            out[name] = np.bincount(np.concatenate(parts), minlength=size)
+    return out
 
 
 def _all_positions(number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -140,10 +157,10 @@ def _unpack_grams(raw: bytes) -> np.ndarray:
 def _asked(packed: DataFrame, shards: int) -> DataFrame:
     """Each block's distinct n-grams, with their counts in its trusted documents."""
     def run(row: dict) -> Iterator[dict]:
-        _, values, number, bounds = block_ngrams(row)
-        counts = np.bincount(_trusted_positions(number, bounds, row["trusted"]), minlength=len(values))
+        ids, values, number, bounds = block_ngrams(row)
+        counts = _fold_counts(number, bounds, ids, row["trusted"], len(values))
         here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
-        values, counts = values[here], counts[here].astype(np.uint32)
+        values, counts = values[here], counts[here]
         for shard, at in _by_shard(values, shards):
             yield {"shard": shard, "block": row["block"], "keys": _pack_grams(values[at]), "vals": _squeeze(counts[at])}
 
@@ -166,34 +183,40 @@ def _trusted_by_block(packed: DataFrame, trusted: DataFrame) -> DataFrame:
 
 
 def _counts(asked: DataFrame) -> DataFrame:
-    """(gram, n) of the trusted text, n > 0."""
+    """(gram, n, n0, n1) of the trusted text and its folds."""
     def add(group: pa.Table) -> pa.Table:
         keys = np.concatenate([_unpack_grams(k) for k in group.column("keys").to_pylist()])
-        vals = np.concatenate([_expand(v, np.uint32) for v in group.column("vals").to_pylist()])
+        vals = np.concatenate([_expand(v, FOLDS) for v in group.column("vals").to_pylist()])
         grams, number = np.unique(keys, return_inverse=True)
-        n = np.bincount(number, weights=vals).astype(np.int64)
-        return pa.table({"gram": grams, "n": n})
-
-    return asked.groupBy("shard").applyInArrow(add, "gram long, n long")
-
-
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts of 1, 2 and more, from the counts of counts."""
-    got = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)]).first()
-    n1, n2, n3, n4 = (got[f"n{k}"] for k in range(1, 5))
-    if not (n1 and n2 and n3):
-        return 0.5, 0.75, 0.9  # too little text to estimate them
-    y = n1 / (n1 + 2 * n2)
-    raw = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
-    return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
-
-
-def probabilities(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, logp) for each ``wanted`` gram, given the highest order's ``counts`` (gram, n)."""
+        n0, n1 = (np.bincount(number, weights=vals[name]).astype(np.int64) for name in FOLDS.names)
+        return pa.table({"gram": grams, "n": n0 + n1, "n0": n0, "n1": n1})
+
+    return asked.groupBy("shard").applyInArrow(add, "gram long, n long, n0 long, n1 long")
+
+
+def _discounts(counts: DataFrame, names: tuple[str, ...]) -> list[tuple[float, float, float]]:
+    """Modified Kneser-Ney discounts for counts of 1, 2 and more, from the counts
+    of counts, for each of the columns ``names``."""
+    got = counts.agg(*[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in names for k in range(1, 5)]).first()
+    out = []
+    for c in names:
+        n1, n2, n3, n4 = (got[f"{c}_{k}"] for k in range(1, 5))
+        if not (n1 and n2 and n3):
+            out.append((0.5, 0.75, 0.9))  # too little text to estimate them
+            continue
+        y = n1 / (n1 + 2 * n2)
+        raw = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
+        out.append(tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw)))
+    return out
+
+
+def probabilities(counts: DataFrame, wanted: DataFrame, names: tuple[str, ...] = COUNTED, order: int = ORDER) -> DataFrame:
+    """(gram, log_…) for each ``wanted`` gram, given the highest order's ``counts``
+    (gram, and one column of counts for each of the models ``names``)."""
     tables, top = {order: counts}, counts
     for k in range(order - 1, 0, -1):  # continuation counts: distinct left neighbours
         top = stored(top.groupBy((F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))).alias("gram"))
-                     .agg(F.count("*").alias("n")), f"kn{k}")
+                     .agg(*[F.count_if(F.col(c) > 0).alias(c) for c in names]), f"kn{k}")
         tables[k] = top
     asked = {order: wanted}
     for k in range(order - 1, 0, -1):
@@ -201,55 +224,62 @@ def probabilities(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> D
             F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).distinct(), f"asked{k}")
     below = None
     for k in range(1, order + 1):
-        d1, d2, d3 = _discounts(tables[k])
-        n = F.col("n")
-        seen = tables[k].select("gram", F.shiftright("gram", 8).alias("context"), "n")
-        discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+        seen = tables[k].withColumn("context", F.shiftright("gram", 8))
+        discount = {c: F.when(F.col(c) == 0, 0.0).when(F.col(c) == 1, d1).when(F.col(c) == 2, d2).otherwise(d3)
+                    for c, (d1, d2, d3) in zip(names, _discounts(tables[k], names))}
         contexts = seen.groupBy("context").agg(
-            F.sum("n").alias("total"), F.sum(discount).alias("spare"))
+            *[F.sum(c).alias(f"total_{c}") for c in names], *[F.sum(discount[c]).alias(f"spare_{c}") for c in names])
         part = (asked[k].withColumn("context", F.shiftright("gram", 8))
-                .join(seen.select("gram", "n"), "gram", "left").join(contexts, "context", "left"))
-        own = F.coalesce((n - discount) / F.col("total"), F.lit(0.0))
-        share = F.coalesce(F.col("spare") / F.col("total"), F.lit(1.0))
-        if below is None:
-            p = part.select("gram", (own + share / 256).alias("p"))
-        else:
-            part = part.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
-            lower = below.select(F.col("gram").alias("suffix"), F.col("p").alias("p_below"))
-            p = part.join(lower, "suffix").select("gram", (own + share * F.col("p_below")).alias("p"))
-        below = stored(p, f"p{k}")
-    return below.select("gram", F.log("p").alias("logp"))
+                .join(seen.select("gram", *names), "gram", "left").join(contexts, "context", "left"))
+        if below is not None:
+            part = part.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(
+                below.select(F.col("gram").alias("suffix"), *[F.col(f"p_{c}").alias(f"below_{c}") for c in names]), "suffix")
+        p = []
+        for c in names:
+            known = F.col(f"total_{c}") > 0
+            own = F.coalesce(F.when(known, (F.col(c) - discount[c]) / F.col(f"total_{c}")), F.lit(0.0))
+            share = F.coalesce(F.when(known, F.col(f"spare_{c}") / F.col(f"total_{c}")), F.lit(1.0))
+            lower = F.lit(1 / 256) if below is None else F.col(f"below_{c}")
+            p.append((own + share * lower).alias(f"p_{c}"))
+        below = stored(part.select("gram", *p), f"p{k}")
+    return below.select("gram", *[F.log(f"p_{c}").alias(f"log_{c}") for c in names])
 
 
 def _returned(asked: DataFrame, logs: DataFrame, shards: int) -> DataFrame:
-    """The log probabilities of each block's n-grams (float32), by block."""
+    """The log probabilities (float32) of each block's n-grams, then those under
+    fold 1 of n-grams in its trusted documents of fold 0, then the other way round; by block."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = _shard_of(batch.column(0).to_numpy(), shards)
-            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["shard", "gram", "logp"])
+            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["shard", *batch.schema.names])
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = right.column("gram").to_numpy()
         order = np.argsort(grams)
-        grams, logp = grams[order], right.column("logp").to_numpy()[order].astype(np.float32)
-        found = [_squeeze(logp[np.searchsorted(grams, _unpack_grams(k))]) for k in left.column("keys").to_pylist()]
+        grams = grams[order]
+        every, by0, by1 = (right.column(f"log_{c}").to_numpy()[order].astype(np.float32) for c in COUNTED)
+        found = []
+        for keys, vals in zip(left.column("keys").to_pylist(), left.column("vals").to_pylist()):
+            at, n = np.searchsorted(grams, _unpack_grams(keys)), _expand(vals, FOLDS)
+            found.append(_squeeze(np.concatenate([every[at], by1[at[n["n0"] > 0]], by0[at[n["n1"] > 0]]])))
         return pa.table({"block": left.column("block"), "shard": left.column("shard"),
                          "answer": pa.array(found, pa.binary())})
 
-    by_shard = logs.mapInArrow(number, "shard int, gram long, logp double")
-    return exchange.by_block(asked.drop("vals").groupBy("shard").cogroup(by_shard.groupBy("shard"))
+    by_shard = logs.mapInArrow(number, "shard int, gram long, " + ", ".join(f"log_{c} double" for c in COUNTED))
+    return exchange.by_block(asked.groupBy("shard").cogroup(by_shard.groupBy("shard"))
                              .applyInArrow(look_up, exchange.ANSWER))
 
 
-SCORED = "doc_id long, lang string, n_scored long, perplexity double, trusted boolean"
+SCORED = "doc_id long, lang string, n_scored long, perplexity double, trusted boolean, held_out double"
 SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_scored", pa.int64()),
-                          ("perplexity", pa.float64()), ("trusted", pa.bool_())])
+                          ("perplexity", pa.float64()), ("trusted", pa.bool_()), ("held_out", pa.float64())])
 
 
 def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, lang, n_scored (n-grams), perplexity (per byte) and trusted of each
     row of ``docs`` (doc_id, text, lang), under the model of the rows whose
-    doc_id ``trusted`` (doc_id) has."""
+    doc_id ``trusted`` (doc_id) has; held_out, for these, is the perplexity under
+    the model of the other fold."""
     packed = blocks(docs, "lm_blocks", BLOCK, extra=("lang",))
     marked = answered(packed, stored(_trusted_by_block(packed, trusted), "lm_trusted"))
     shards = exchange.shard_count(packed, 0.04)
@@ -261,18 +291,23 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     def run(row: dict) -> Iterator[dict]:
         ids, values, number, bounds = block_ngrams(row)
         here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
-        logp = np.zeros(len(values))
+        counts = _fold_counts(number, bounds, ids, row["trusted"], len(values))
+        logp, held = np.zeros(len(values)), np.zeros((2, len(values)), np.float32)
         asked_for, got = np.flatnonzero(here), {r["shard"]: r["answer"] for r in row["answers"] or ()}
         for shard, at in _by_shard(values[here], shards):
-            logp[asked_for[at]] = _expand(got[shard], np.float32)
+            at, answer = asked_for[at], _expand(got[shard], np.float32)
+            in0, in1 = (at[counts[name][at] > 0] for name in FOLDS.names)
+            logp[at], held[0, in0], held[1, in1] = np.split(answer, [len(at), len(at) + len(in0)])
         sums = np.concatenate([[0.0], np.cumsum(logp[number])])
         last = len(sums) - 1
         a, b = np.minimum(bounds[0], last), np.minimum(bounds[1], last)
         totals, n = sums[b] - sums[a], b - a
-        known = set(row["trusted"] or ())
+        known, fold = set(row["trusted"] or ()), fold_of(ids)
         for k, doc_id in enumerate(ids.tolist()):
             yield {"doc_id": None if doc_id == NULL_ID else doc_id, "lang": row["extra"][k], "n_scored": int(n[k]),
-                   "perplexity": math.exp(-totals[k] / n[k]) if n[k] else None, "trusted": k in known}
+                   "perplexity": math.exp(-totals[k] / n[k]) if n[k] else None, "trusted": k in known,
+                   "held_out": math.exp(-held[fold[k], number[a[k]:b[k]]].mean(dtype=float))
+                   if k in known and n[k] else None}
 
     ready = answered(marked, replies).select("block", "ids", "lens", "blob", "extra", "trusted", "answers")
     return exchange.map_blocks(ready, run, SCORED, SCORED_ARROW)
@@ -281,14 +316,14 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
           min_scored: int = MIN_SCORED) -> DataFrame:
     """``scored`` plus threshold and kept (true where fewer than ``min_scored`` n-grams were scored)."""
-    good = scored.where("trusted and perplexity is not null")
-    at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
+    good = scored.where("trusted and held_out is not null")
+    at = F.percentile_approx("held_out", F.lit(quantile), F.lit(10_000)) * margin
     by_lang = stored(good.groupBy("lang").agg(at.alias("own")), "lm_thresholds")
     overall = good.agg(at.alias("t")).first()["t"]
     joined = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
     return joined.withColumn("threshold", threshold).select(
-        *scored.columns, "threshold",
+        *[c for c in scored.columns if c != "held_out"], "threshold",
         ((F.col("n_scored") < min_scored) | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
 
 
