@@ -132,10 +132,15 @@ def blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, extra: tu
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                          *[F.col(c).cast("string") for c in extra])
-    spark = docs.sparkSession
+    return bucketed(picked.mapInArrow(pack, BLOCK_SCHEMA), name)
+
+
+def bucketed(df: DataFrame, name: str, key: str = "block") -> DataFrame:
+    """``stored``, and bucketed by ``key``: joins on it do not move these rows again."""
+    spark = df.sparkSession
     path, table_name = scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
-    (picked.mapInArrow(pack, BLOCK_SCHEMA).write.option("compression", "zstd").option("path", path)
-     .bucketBy(partitions(spark), "block").saveAsTable(table_name))
+    (df.write.option("compression", "zstd").option("path", path)
+     .bucketBy(partitions(spark), key).saveAsTable(table_name))
     made = spark.table(table_name)
     made.schema  # resolved here; only the name goes, the files stay
     spark.sql(f"DROP TABLE {table_name}")

@@ -90,6 +90,17 @@ def by_block(answers: DataFrame) -> DataFrame:
     return answers.groupBy("block").agg(F.collect_list(F.struct("shard", "answer")).alias("answers"))
 
 
+def with_shard(keyed: DataFrame, shards: int) -> DataFrame:
+    """``keyed`` (key: long, and others) with the shard of each key before it."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = shard_of(batch.column(0).to_numpy().view(np.uint64), shards)
+            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["shard", *batch.schema.names])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema)
+    return keyed.mapInArrow(number, f"shard int, {fields}")
+
+
 def map_blocks(packed: DataFrame, run: Callable[[dict], Iterator[dict]], schema: str, arrow: pa.Schema,
                limit: int = 4 << 20) -> DataFrame:
     """``run`` over each block's row; yields batches of about ``limit`` bytes."""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealspark.llm import (byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, substring_dedup,
-                 suffix_dedup, url_filters, warc)
+from dealspark.llm import (alignment, byte_bpe, fingerprints, language_model, near_dedup, packing, quality_rules, simhash,
+                           spelling, substring_dedup, suffix_dedup, url_filters, warc)
 from dealspark.llm.common import table
 from dealspark.llm.sql import SQL
 
@@ -67,6 +67,20 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules, op6_substring_dedup, op7_byte_bpe, op8_best_fit_packing,
-    op9_url_filters, op10_minhash_near_dedup)}
+    op1_suffix_array_dedup, op2_warc, op3_document_fingerprints, op4_quality_classifier, op5_quality_rules,
+    op6_substring_dedup, op7_byte_bpe, op8_best_fit_packing, op9_url_filters, op10_minhash_near_dedup,
+    op11_tokenizer_alignment, op12_spelling_variants, op13_simhash_near_dedup)}
