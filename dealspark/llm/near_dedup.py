@@ -55,9 +55,9 @@ def key_masks() -> list[tuple[int, ...]]:
     return [kept for a, b in zip(cuts, cuts[1:]) for kept in combinations(range(a, b), b - a - ERRORS)]
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, Windows]:
+def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word in a padded copy of the block's bytes, the
-    first word of each document (and the number of words), and the copy's hashes."""
+    first word of each document (and the number of words), and the copy."""
     n = len(offsets) - 1
     data = np.full(len(raw) + n + 1, 10, np.uint8)
     inside = np.ones(len(data), bool)
@@ -71,13 +71,13 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndar
     turn = np.flatnonzero(space[1:] != space[:-1]) + 1
     starts, ends = turn[::2], turn[1::2]
     bounds = np.append(np.searchsorted(starts, firsts), len(starts))
-    return starts, ends, bounds, Windows(data)
+    return starts, ends, bounds, data
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
     """Each document's shingles as distinct 64-bit hashes, ascending."""
-    starts, ends, bounds, hashes = words_of(raw, offsets, lower=True)
-    words = hashes.at(starts, ends)
+    starts, ends, bounds, data = words_of(raw, offsets, lower=True)
+    words = Windows(data).at(starts, ends)
     runs = Windows(words, base=0xD1342543DE82EF95).all(size)
     return [_set(words, runs, a, b, size) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 

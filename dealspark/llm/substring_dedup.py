@@ -10,8 +10,8 @@ level finds the smallest document of each surviving window, and the words of
 windows that a smaller document has go.
 
 A block sends each distinct window once, with what its own documents say about
-it, so frequent passages cost one entry per block. Windows travel as 64 bits of
-their words' hash, on the last level with 64 more.
+it, so frequent passages cost one entry per block. Windows travel as one hash of
+their bytes modulo 2**61 - 1, on the last level with a second one at another base.
 
 Defined cases: words are maximal runs outside ``\\x20\\x09-\\x0D``; a null, empty
 or blank text has none, and a text of fewer words than a window keeps them all.
@@ -49,8 +49,8 @@ class Part:
 
     def __init__(self, row: dict):
         self.ids, self.offsets, self.raw = unpack(row)
-        starts, ends, self.bounds, hashes = words_of(self.raw, self.offsets, lower=False)
-        self.words = hashes.at(starts, ends)
+        self.starts, self.ends, self.bounds, self.data = words_of(self.raw, self.offsets, lower=False)
+        self.words = Windows(self.data).at(self.starts, self.ends)
         self.runs = Windows(self.words)
         sizes = np.diff(self.bounds)
         self.doc = np.repeat(np.arange(len(self.ids)), sizes)
@@ -119,7 +119,9 @@ def _windows(part: Part, starts: np.ndarray, window: int) -> tuple[np.ndarray, n
     """(keys, vals, which window each start has) on the last level; vals hold the smallest doc_id of the block."""
     both = np.empty(len(starts), [("key", np.uint64), ("second", np.uint64)])
     both["key"] = part.runs.at(starts, starts + window)
-    both["second"] = Windows(part.words, SECOND_BASE).at(starts, starts + window)
+    # a second hash of the bytes, from which the words' second hashes come
+    again = Windows(part.data, SECOND_BASE).at(part.starts, part.ends)
+    both["second"] = Windows(again, SECOND_BASE).at(starts, starts + window)
     order = np.lexsort((both["second"], both["key"]))
     ordered = both[order]
     new = np.ones(len(order), bool)

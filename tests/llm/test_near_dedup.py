@@ -114,3 +114,10 @@ def test_filter_keeps_one_of_each_group(docs, texts):
     out = nd.filter_documents(docs)
     assert out.schema == docs.schema
     assert sorted(r.doc_id for r in out.collect()) == sorted(r[0] for r in brute(texts, 5, 80) if r[3])
+
+
+@pytest.mark.parametrize("n", [512, 1024])
+def test_words_that_fool_hashes_modulo_powers_of_two(make, n):
+    a, b = ("".join(letters[k.bit_count() % 2] for k in range(n)) for letters in ("ab", "ba"))
+    rows = [(1, f"{a} a b c d"), (2, f"{b} a b c d"), (3, f"{b} a b c d")]
+    assert got(nd.near_duplicates(make(rows), 3, 85)) == brute(rows, 3, 85)

@@ -118,3 +118,34 @@ def test_suffix_arrays(monkeypatch, small):
             while b + n < len(data) and a + n < len(data) and data[a + n] == data[b + n]:
                 n += 1
             assert shared[b] == n
+
+
+def thue_morse(n, letters):
+    """A word of two letters that fools polynomial hashes modulo powers of two."""
+    return "".join(letters[k.bit_count() % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_words_that_fool_hashes_modulo_powers_of_two(make, n):
+    a, b = thue_morse(n, "ab"), thue_morse(n, "ba")
+    around = [f"w{k}" for k in range(30)], [f"v{k}" for k in range(30)]
+    rows = [(k, " ".join([*around[0], w, *around[1]])) for k, w in ((1, a), (2, b))]
+    assert [r.n_removed for r in substring_dedup.remove_repeats(make(rows)).orderBy("doc_id").collect()] == [0, 0]
+    assert [r.n_removed for r in suffix_dedup.remove_repeats(make([(1, a), (2, b)]), min(n, 1024)).orderBy("doc_id").collect()] == \
+        [sum(brute_bytes([a, b], min(n, 1024))[k]) for k in (0, 1)]
+
+
+def brute_bytes(texts, length):
+    """Per text and byte, whether a string of ``length`` that covers it also starts elsewhere."""
+    count = {}
+    for t in texts:
+        for k in range(len(t) - length + 1):
+            count[t[k:k + length]] = count.get(t[k:k + length], 0) + 1
+    out = []
+    for t in texts:
+        gone = [False] * len(t)
+        for k in range(len(t) - length + 1):
+            if count[t[k:k + length]] > 1:
+                gone[k:k + length] = [True] * length
+        out.append(gone)
+    return out
