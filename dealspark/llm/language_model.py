@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealspark.llm import exchange
-from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
+from dealspark.llm.codec import expand, expand_sorted, squeeze, squeeze_sorted
+from dealspark.llm.common import NULL_ID, answered, blocks, bucketed, stored, unpack
 
 ORDER = 5
 #: Of the trusted documents' perplexities in a language, this quantile ...
@@ -134,26 +135,6 @@ def _by_shard(grams: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]
     yield from zip(numbers.tolist(), np.split(order, first[1:]))
 
 
-def _squeeze(values: np.ndarray) -> bytes:
-    """``values`` byte plane by byte plane, compressed, after their number."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return len(values).to_bytes(4, "big") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _expand(raw: bytes, dtype) -> np.ndarray:
-    n, width = int.from_bytes(raw[:4], "big"), np.dtype(dtype).itemsize
-    planes = np.frombuffer(pa.decompress(raw[4:], n * width, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).reshape(n)
-
-
-def _pack_grams(grams: np.ndarray) -> bytes:
-    return _squeeze(np.diff(grams, prepend=0).astype(np.int64))
-
-
-def _unpack_grams(raw: bytes) -> np.ndarray:
-    return np.cumsum(_expand(raw, np.int64))
-
-
 def _asked(packed: DataFrame, shards: int) -> DataFrame:
     """Each block's distinct n-grams, with their counts in its trusted documents."""
     def run(row: dict) -> Iterator[dict]:
@@ -162,7 +143,7 @@ def _asked(packed: DataFrame, shards: int) -> DataFrame:
         here = np.bincount(_all_positions(number, bounds), minlength=len(values)) > 0
         values, counts = values[here], counts[here]
         for shard, at in _by_shard(values, shards):
-            yield {"shard": shard, "block": row["block"], "keys": _pack_grams(values[at]), "vals": _squeeze(counts[at])}
+            yield {"shard": shard, "block": row["block"], "keys": squeeze_sorted(values[at]), "vals": squeeze(counts[at])}
 
     return exchange.map_blocks(packed, run, exchange.REQUEST, exchange.REQUEST_ARROW)
 
@@ -185,8 +166,8 @@ def _trusted_by_block(packed: DataFrame, trusted: DataFrame) -> DataFrame:
 def _counts(asked: DataFrame) -> DataFrame:
     """(gram, n, n0, n1) of the trusted text and its folds."""
     def add(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([_unpack_grams(k) for k in group.column("keys").to_pylist()])
-        vals = np.concatenate([_expand(v, FOLDS) for v in group.column("vals").to_pylist()])
+        keys = np.concatenate([expand_sorted(k) for k in group.column("keys").to_pylist()])
+        vals = np.concatenate([expand(v, FOLDS) for v in group.column("vals").to_pylist()])
         grams, number = np.unique(keys, return_inverse=True)
         n0, n1 = (np.bincount(number, weights=vals[name]).astype(np.int64) for name in FOLDS.names)
         return pa.table({"gram": grams, "n": n0 + n1, "n0": n0, "n1": n1})
@@ -260,8 +241,8 @@ def _returned(asked: DataFrame, logs: DataFrame, shards: int) -> DataFrame:
         every, by0, by1 = (right.column(f"log_{c}").to_numpy()[order].astype(np.float32) for c in COUNTED)
         found = []
         for keys, vals in zip(left.column("keys").to_pylist(), left.column("vals").to_pylist()):
-            at, n = np.searchsorted(grams, _unpack_grams(keys)), _expand(vals, FOLDS)
-            found.append(_squeeze(np.concatenate([every[at], by1[at[n["n0"] > 0]], by0[at[n["n1"] > 0]]])))
+            at, n = np.searchsorted(grams, expand_sorted(keys)), expand(vals, FOLDS)
+            found.append(squeeze(np.concatenate([every[at], by1[at[n["n0"] > 0]], by0[at[n["n1"] > 0]]])))
         return pa.table({"block": left.column("block"), "shard": left.column("shard"),
                          "answer": pa.array(found, pa.binary())})
 
@@ -283,7 +264,8 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     packed = blocks(docs, "lm_blocks", BLOCK, extra=("lang",))
     marked = answered(packed, stored(_trusted_by_block(packed, trusted), "lm_trusted"))
     shards = exchange.shard_count(packed, 0.04)
-    asked = stored(_asked(marked.select("block", "ids", "lens", "blob", "trusted"), shards), "lm_asked")
+    # the only exchange of the requests: both steps that read them find a shard's in one bucket
+    asked = bucketed(_asked(marked.select("block", "ids", "lens", "blob", "trusted"), shards).repartition("shard"), "lm_asked", "shard")
     every = stored(_counts(asked), "lm_counts")
     logs = probabilities(every.where("n > 0"), every.select("gram"))
     replies = _returned(asked, logs, shards)
@@ -295,7 +277,7 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         logp, held = np.zeros(len(values)), np.zeros((2, len(values)), np.float32)
         asked_for, got = np.flatnonzero(here), {r["shard"]: r["answer"] for r in row["answers"] or ()}
         for shard, at in _by_shard(values[here], shards):
-            at, answer = asked_for[at], _expand(got[shard], np.float32)
+            at, answer = asked_for[at], expand(got[shard], np.float32)
             in0, in1 = (at[counts[name][at] > 0] for name in FOLDS.names)
             logp[at], held[0, in0], held[1, in1] = np.split(answer, [len(at), len(at) + len(in0)])
         sums = np.concatenate([[0.0], np.cumsum(logp[number])])
