@@ -13,11 +13,14 @@ documents' held-out perplexities. For these the trusted documents are dealt to t
 folds by their doc_id, and each is scored by the model of the other fold.
 
 Defined cases: a document with fewer than ``ORDER - 1`` bytes, or a null or
-empty text, has no n-gram and a null perplexity. It is kept, as are all with
-fewer than ``MIN_SCORED`` n-grams: other rules judge short texts. A null language is a language of its own. A language
-without trusted documents has the threshold of all trusted documents; without
-any trusted document there is no threshold and every document is kept. Repeated
-rows are scored alike; a doc_id that is trusted marks all its rows.
+empty text, has no n-gram and a null perplexity; it alone is kept unjudged. A
+text of fewer than ``LONG`` n-grams is held against trusted texts of like length
+(within a factor of two), as few n-grams make perplexities spread. A null
+language is a language of its own. Where a language has no trusted document of
+that length, those of all languages give the threshold, then those of all
+lengths in the language, then all; without any trusted document there is no
+threshold and every document is kept. Repeated rows are scored alike; a doc_id
+that is trusted marks all its rows.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ QUANTILE = 0.99
 #: ... times this gives the threshold. Held-out perplexities need no margin.
 MARGIN = 1.0
 
-#: A text with fewer scored n-grams says too little to be judged by them.
-MIN_SCORED = 40
+#: Texts of so many n-grams are of like length; shorter ones are told apart by powers of two.
+LONG = 64
 
 #: Text bytes of a block: the larger, the fewer blocks ask for the same n-gram.
 BLOCK = 4 << 20
@@ -295,18 +298,24 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return exchange.map_blocks(ready, run, SCORED, SCORED_ARROW)
 
 
-def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
-          min_scored: int = MIN_SCORED) -> DataFrame:
-    """``scored`` plus threshold and kept (true where fewer than ``min_scored`` n-grams were scored)."""
-    good = scored.where("trusted and held_out is not null")
+def judge(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+    """``scored`` plus threshold and kept (true where there is no n-gram or no threshold)."""
+    size = F.when(F.col("n_scored") >= LONG, F.lit(math.log2(LONG))).otherwise(F.log2("n_scored")).cast("int")
+    sized = scored.withColumn("size", size)
     at = F.percentile_approx("held_out", F.lit(quantile), F.lit(10_000)) * margin
-    by_lang = stored(good.groupBy("lang").agg(at.alias("own")), "lm_thresholds")
-    overall = good.agg(at.alias("t")).first()["t"]
-    joined = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    threshold = F.coalesce("own", F.lit(overall).cast("double"))
+    # one pass for (language, length), (language), (length) and all: a row for each
+    found = stored(sized.where("trusted and held_out is not null").cube("lang", "size").agg(
+        at.alias("t"), F.grouping_id().alias("over")).withColumnsRenamed({"lang": "_lang", "size": "_size"}), "lm_thresholds")
+    kinds = [found.where(f"over = {k}").withColumnRenamed("t", name) for k, name in enumerate(("own", "by_lang", "by_size"))]
+    overall = found.where("over = 3").agg(F.first("t")).first()[0]
+    same_lang, same_size = F.col("lang").eqNullSafe(F.col("_lang")), F.col("size") == F.col("_size")
+    joined = sized
+    for table, on in zip(kinds, (same_lang & same_size, same_lang, same_size)):
+        joined = joined.join(table, on, "left").drop("_lang", "_size", "over")
+    threshold = F.coalesce("own", "by_size", "by_lang", F.lit(overall).cast("double"))
     return joined.withColumn("threshold", threshold).select(
         *[c for c in scored.columns if c != "held_out"], "threshold",
-        ((F.col("n_scored") < min_scored) | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
+        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

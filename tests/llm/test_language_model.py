@@ -147,3 +147,15 @@ def test_junk_is_rejected(spark):
     junk = [kept[r.doc_id] for r in rows if r.quality == 0]
     clean = [kept[r.doc_id] for r in rows if r.quality == 1 and not r.toxic and r.doc_id % 2]
     assert sum(junk) <= 6 and np.mean(clean) > 0.97
+
+
+def test_short_texts_are_judged_by_texts_of_like_length(spark):
+    """Thresholds per language and length; what is missing comes from the length, the language, then all."""
+    rows = [(k, "en", n, p, t, p if t else None) for k, (n, p, t) in enumerate(
+        [(10, 8.0, True), (12, 9.0, True), (15, 9.5, False), (9, 7.0, False), (500, 3.0, True), (70, 2.5, True), (64, 4.0, False), (33, 3.5, False), (0, None, False)])]
+    rows += [(20, "de", 11, 8.5, False, None), (21, "de", 40, 8.5, False, None), (22, None, 90, 3.0, False, None), (23, "en", 40, 99.0, False, None)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_scored long, perplexity double, trusted boolean, held_out double")
+    got = {r.doc_id: (r.threshold, r.kept) for r in lm.judge(scored, 1.0).collect()}
+    assert got == {0: (9.0, True), 1: (9.0, True), 2: (9.0, False), 3: (9.0, True), 4: (3.0, True), 5: (3.0, True), 6: (3.0, False),
+                   7: (9.0, True), 8: (9.0, True), 20: (9.0, True), 21: (9.0, True), 22: (3.0, True), 23: (9.0, False)}
+    assert all(r.kept for r in lm.judge(scored.withColumn("trusted", scored.trusted & False)).collect())
