@@ -24,7 +24,7 @@ from dealspark.functions.cleaning import (
     strip_special,
 )
 from dealspark.operators.dedupe import keep_first
-from dealspark.schemas import KEYS
+from dealspark.schemas import KEYS, RAW_COLUMNS, clean_schema
 
 
 def _key(c: str) -> Column:
@@ -112,6 +112,13 @@ def clean_products(raw: DataFrame, order_by: Sequence[Column] | None = None) ->
     return keep_first(type_products(raw), KEYS["products"], order_by)
 
 
+def declared_casts(entity: str) -> dict[str, tuple[str, Column]]:
+    """The declared type and the parser of each raw column that is not text (DQ-2)."""
+    parsers = {"double": parse_double, "int": parse_int, "timestamp_ntz": parse_date}
+    types = {f.name: f.dataType.simpleString() for f in clean_schema(entity).fields}
+    return {c: (types[c], parsers[types[c]](c)) for c in RAW_COLUMNS[entity] if types[c] in parsers}
+
+
 TYPERS = {
     "leads": type_leads,
     "customers": type_customers,

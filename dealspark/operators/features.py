@@ -107,6 +107,24 @@ def pivot_count_columns(column: str, values: Sequence[str], prefix: str = "num_"
     return [F.count_if(F.col(column) == F.lit(v)).alias(_pivot_name(prefix, v, suffix)) for v in values]
 
 
+#: Values of a pivot column at most: each becomes a column of the result.
+MAX_PIVOT_VALUES = 1000
+
+
+def occurring_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list[str]:
+    """AG-17 / AG-18, first phase: the values that occur in ``column``,
+    ascending, without NULL. More than ``limit`` of them are an error, never
+    a shorter list, and so are two values that would share a column name."""
+    found = [r[0] for r in df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"{column!r} has over {limit} values; pivot a column with fewer, or raise the limit")
+    names = {}
+    for v in sorted(found):
+        if names.setdefault(_pivot_name("", v, ""), v) != v:
+            raise ValueError(f"values {names[_pivot_name('', v, '')]!r} and {v!r} of {column!r} give one column name")
+    return sorted(found)
+
+
 def interaction_summary(interactions: DataFrame) -> DataFrame:
     """AG-16: per customer — count of interaction ids, mean minutes, last date
     (NULL customers dropped, as pandas groupby does)."""
@@ -114,13 +132,17 @@ def interaction_summary(interactions: DataFrame) -> DataFrame:
         *_summary_columns())
 
 
-def pivot_counts(interactions: DataFrame, column: str, values: Sequence[str],
+def pivot_counts(interactions: DataFrame, column: str, values: Sequence[str] | None = None,
                  prefix: str = "num_", suffix: str = "") -> DataFrame:
     """AG-17 / AG-18: per customer, one count column per value (missing = 0),
-    e.g. ``num_<channel>`` or ``num_<outcome>_outcomes``. The value list is
-    explicit, so the schema does not depend on the data."""
-    return interactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        *pivot_count_columns(column, values, prefix, suffix))
+    e.g. ``num_<channel>`` or ``num_<outcome>_outcomes``. Without ``values``,
+    every value that occurs gets its column (``occurring_values``); a given
+    list fixes the schema and counts these values alone."""
+    known = interactions.where(F.col("customer_id").isNotNull())
+    values = occurring_values(known, column) if values is None else values
+    if not values:
+        return known.select("customer_id").distinct()
+    return known.groupBy("customer_id").agg(*pivot_count_columns(column, values, prefix, suffix))
 
 
 def deal_summary(leads: DataFrame, profile: ScoringProfile = EDA) -> DataFrame:
@@ -147,10 +169,11 @@ def _deal_summary_columns(profile: ScoringProfile) -> list[F.Column]:
 
 
 def eda_customer_features(customers: DataFrame, interactions: DataFrame, leads: DataFrame,
-                          channels: Sequence[str] = ("call", "email", "whatsapp"),
-                          outcomes: Sequence[str] = ("negative", "neutral", "positive"),
+                          channels: Sequence[str] | None = ("call", "email", "whatsapp"),
+                          outcomes: Sequence[str] | None = ("negative", "neutral", "positive"),
                           profile: ScoringProfile = EDA) -> DataFrame:
     """MT-16: the analysis script's feature table (AG-16..19, JN-4, MT-13, MT-14).
+    ``channels`` or ``outcomes`` of None: a column for every value that occurs.
 
     AG-16, AG-17 and AG-18 are computed in ONE aggregate over interactions
     (their column builders are shared with the standalone operators above),
@@ -159,7 +182,10 @@ def eda_customer_features(customers: DataFrame, interactions: DataFrame, leads:
     0, while ``last_interaction_date`` stays NULL in a typed table.
     """
     ch = profile.channel_column
-    isum = interactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+    known = interactions.where(F.col("customer_id").isNotNull())
+    channels = occurring_values(known, ch) if channels is None else channels
+    outcomes = occurring_values(known, "outcome") if outcomes is None else outcomes
+    isum = known.groupBy("customer_id").agg(
         *_summary_columns(),
         *pivot_count_columns(ch, channels),
         *pivot_count_columns("outcome", outcomes, suffix="_outcomes"),

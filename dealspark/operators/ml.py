@@ -11,13 +11,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.operators.profile import exact_median
+from dealspark.operators.scaling import PopulationScaler
 from dealspark.operators.select import narrowed
+from dealspark.sources.scratch import stored
 
 # Candidate model inputs, label name and hot threshold.
 FEATURES = (
@@ -106,14 +108,14 @@ def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> D
 
 def build_pipeline(features: Sequence[str], algorithm: str = "gbt", seed: int = 42,
                    label: str = LABEL) -> Pipeline:
-    """ML-7..9: assembler, a fitted standard scaler (kept, as in the reference,
-    but not fed to the model) and the classifier.
+    """ML-7..9: assembler, a fitted scaler by population moments (kept, as in
+    the reference, but not fed to the model) and the classifier.
 
     ``rf``: 100 trees, depth 10. ``gbt``: 100 rounds, depth 5, step 0.1
     (Spark's boosted trees; a related algorithm, not XGBoost).
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True)
+    scaler = PopulationScaler(inputCol="features", outputCol="scaled_features")
     if algorithm == "rf":
         model = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=100,
                                        maxDepth=10, seed=seed)
@@ -195,24 +197,22 @@ def roc_auc(pred: DataFrame, label: str = LABEL, score_col: str = "p_hot") -> Da
     """ML-12: one row ``roc_auc``, the exact area under the ROC curve (NULL if a class is absent).
 
     It is the chance that a positive scores above a negative, ties counting
-    half: a rank sum over distinct scores. Scores are ranked within 65,536
-    equal ranges between the smallest and the largest, and the ranges' totals
-    are added up, so no window runs over all scores. The sums are integers.
+    half: a rank sum over distinct scores. Distinct scores are dealt to ranges
+    of even size, whatever their distribution, and stored with their range;
+    scores are ranked within a range, and the ranges' totals are added up, so
+    no window runs over all scores. The sums are integers.
     """
     y = F.col(label) == 1
     by_score = pred.where(F.col(score_col).isNotNull() & F.col(label).isNotNull()).groupBy(
         F.col(score_col).cast("double").alias("s")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    ends = by_score.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
-    share = F.try_divide(F.col("s") - F.col("lo"), F.col("hi") - F.col("lo"))
-    part = F.coalesce(F.least(F.floor(share * 65536.0), F.lit(65535)), F.lit(0))
-    scored = by_score.join(F.broadcast(ends)).withColumn("part", part)  # one row beside each score
+    scored = stored(by_score.repartitionByRange("s").withColumn("part", F.spark_partition_id()), "auc-scores")
     in_order = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = scored.withColumn("under", F.coalesce(F.sum("neg").over(in_order), F.lit(0)))
     parts = ranked.groupBy("part").agg(
         F.sum(F.col("pos") * (2 * F.col("under") + F.col("neg"))).cast("decimal(38,0)").alias("won"),
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # 65,536 rows at most
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     parts = parts.withColumn("under", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast("decimal(38,0)"))
     total = parts.agg(F.sum(F.col("won") + 2 * F.col("pos") * F.col("under")).cast("double").alias("won"),
                       F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))

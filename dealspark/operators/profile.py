@@ -231,22 +231,20 @@ def feature_summary(features: DataFrame) -> DataFrame:
 
 def score_histogram(features: DataFrame, column: str = "lead_score", bins: int = 15) -> DataFrame:
     """AG-22: equal-width histogram over [min, max], last bin closed; every bin
-    listed (empty ones with 0). min and max are scalar subqueries."""
-    spark = features.sparkSession
+    listed (empty ones with 0). min and max are one scalar subquery."""
     x = _double(column)
-    lo, hi = features.agg(F.min(x)).scalar(), features.agg(F.max(x)).scalar()
-    width = (hi - lo) / F.lit(float(bins))
-    b = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((x - lo) / width).cast("int"), F.lit(bins - 1)))
-    counts = features.where(x.isNotNull()).groupBy(b.alias("bin")).agg(
-        F.count(F.lit(1)).alias("customers"))
-    dim = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (dim.join(counts, "bin", "left").select(
-        "bin",
-        (lo + F.col("bin") * (hi - lo) / F.lit(float(bins))).alias("bin_start"),
-        (lo + (F.col("bin") + 1) * (hi - lo) / F.lit(float(bins))).alias("bin_end"),
-        F.coalesce(F.col("customers"), F.lit(0)).alias("customers"))
-        .where(F.col("bin_start").isNotNull()).orderBy("bin"))
+    ends = features.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    placed = features.where(x.isNotNull()).select(x.alias("x"), ends.alias("e"))
+    width = (F.col("e.hi") - F.col("e.lo")) / F.lit(float(bins))
+    b = F.when(F.col("e.hi") == F.col("e.lo"), F.lit(0)).otherwise(
+        F.least(F.floor((F.col("x") - F.col("e.lo")) / width).cast("int"), F.lit(bins - 1)))
+    counts = placed.groupBy("e", b.alias("bin")).agg(F.count(F.lit(1)).alias("customers"))
+    # one row with a list of at most ``bins`` counts, dealt to all bins
+    listed = counts.groupBy("e").agg(F.map_from_entries(F.collect_list(F.struct("bin", "customers"))).alias("found"))
+    each = listed.select("e", "found", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    edge = lambda k: F.col("e.lo") + k * (F.col("e.hi") - F.col("e.lo")) / F.lit(float(bins))
+    return each.select("bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"),
+                       F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0).cast("long")).alias("customers")).orderBy("bin")
 
 
 def scatter_points(df: DataFrame, key: str, x: str, y: str, color: str | None = None) -> DataFrame:

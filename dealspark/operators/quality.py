@@ -65,6 +65,29 @@ def type_mismatches(df: DataFrame, expected: StructType, table: str) -> DataFram
         rows, "table_name string, column_name string, expected_type string, actual_type string")
 
 
+def cast_violations(raw: DataFrame, casts: Mapping[str, tuple[str, Column]], row_key: str, table: str) -> DataFrame:
+    """DQ-2 (values): one row for each cell whose text does not read as its
+    declared type, from one pass over the raw table.
+
+    ``casts`` maps a column to (declared type, parsed value). A cell violates
+    its declaration if it is not NULL and its parsed value is: exactly the
+    NULLs that cleaning introduces. Rows that repeat a key are reported each.
+    """
+    cells = [F.when(F.col(c).isNotNull() & parsed.isNull(), F.struct(
+        F.lit(c).alias("column_name"), F.lit(declared).alias("declared_type"), F.col(c).cast("string").alias("raw_value")))
+        for c, (declared, parsed) in casts.items()]
+    return raw.select(F.col(row_key).cast("string").alias("row_key"), F.explode(F.array_compact(F.array(*cells))).alias("s")).select(
+        F.lit(table).alias("table_name"), "row_key", "s.*")
+
+
+def casts_hold(casts: Mapping[str, tuple[str, Column]]) -> Column:
+    """Whether every declared cast of a row succeeds (a NULL cell does), for ``sinks.write_split``."""
+    held = F.lit(True)
+    for c, (_, parsed) in casts.items():
+        held = held & (F.col(c).isNull() | parsed.isNotNull())
+    return held
+
+
 def range_violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
     """DQ-2 (ranges): rows failing each named rule, counted in one pass.
     A rule is a boolean Column that must hold; NULL counts as a violation."""

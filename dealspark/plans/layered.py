@@ -25,7 +25,8 @@ from dealspark.plans.profiles import EDA, NOTEBOOK, ScoringProfile
 from dealspark.schemas import KEYS
 from dealspark.sources.layers import GOLD_TABLES, Layout
 from dealspark.sources.readers import read_bronze, read_parquet
-from dealspark.sources.sinks import save_bucketed, write_csv, write_parquet
+from dealspark.sources.scratch import stored
+from dealspark.sources.sinks import publish, save_bucketed, write_csv, write_parquet
 
 ENTITIES = ("leads", "customers", "interactions", "products")
 
@@ -62,7 +63,8 @@ def silver_table(entity: str, prefix: str = "silver_") -> str:
 def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime | None = None,
                      entities: Sequence[str] = ENTITIES, buckets: int | None = None,
                      table_prefix: str = "silver_") -> dict[str, str]:
-    """Clean every raw entity and overwrite its clean table (SNK-1).
+    """Clean every raw entity and replace its clean table (SNK-1): a new
+    version is written beside the old one and published when it is whole.
 
     The quality metrics (DQ-1) are written next to the clean tables: NULL and
     flag counts and min/max come from the written Parquet (a column-pruned
@@ -88,7 +90,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
         if buckets:
             save_bucketed(clean, silver_table(e, table_prefix), path, BUCKET_KEYS[e], buckets)
         else:
-            write_parquet(clean, path)
+            publish(clean, path)
         out[e] = path
         stats = read_parquet(spark, path).agg(*dq.clean_metric_columns(**QUALITY_SPEC.get(e, {})))
         stats = stats.withColumn("raw_rows", raw.agg(F.count(F.lit(1))).scalar()).withColumn(
@@ -105,7 +107,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, run_ts: _dt.datetime |
     for p in parts[1:]:
         report = report.unionByName(p)
     qpath = layout.silver("_quality")
-    write_parquet(report, qpath)
+    publish(report, qpath)
     out["_quality"] = qpath
     return out
 
@@ -123,7 +125,7 @@ def silver_to_gold(spark: SparkSession, layout: Layout, as_of: _dt.date,
                    profile: ScoringProfile = NOTEBOOK, run_ts: _dt.datetime | None = None,
                    top_n: int = 50, bucketed: bool = False,
                    table_prefix: str = "silver_") -> dict[str, str]:
-    """Build and overwrite the four curated tables (SNK-2).
+    """Build and publish the four curated tables (SNK-2).
 
     ``top_customers`` is read from the written feature table instead of
     re-deriving the features from the clean layer.
@@ -132,13 +134,13 @@ def silver_to_gold(spark: SparkSession, layout: Layout, as_of: _dt.date,
                                       for e in ("leads", "customers", "interactions"))
     ts = _ts(run_ts)
     paths = {t: layout.gold(t) for t in GOLD_TABLES}
-    write_parquet(cl.with_audit(ft.customer_features(customers, interactions, leads, as_of, profile), ts),
+    publish(cl.with_audit(ft.customer_features(customers, interactions, leads, as_of, profile), ts),
                   paths["customer_features"])
-    write_parquet(cl.with_audit(agg.sales_summary(leads, profile), ts), paths["sales_summary"])
-    write_parquet(cl.with_audit(agg.channel_performance(interactions, profile), ts),
+    publish(cl.with_audit(agg.sales_summary(leads, profile), ts), paths["sales_summary"])
+    publish(cl.with_audit(agg.channel_performance(interactions, profile), ts),
                   paths["channel_performance"])
     feats = read_parquet(spark, paths["customer_features"])
-    write_parquet(cl.with_audit(topk.top_customers(feats, top_n), ts), paths["top_customers"])
+    publish(cl.with_audit(topk.top_customers(feats, top_n), ts), paths["top_customers"])
     return paths
 
 
@@ -213,15 +215,17 @@ def analysis_report(customers: DataFrame, leads: DataFrame, interactions: DataFr
 
 
 def analysis(spark: SparkSession, layout: Layout, out_root: str,
-             channels: Sequence[str] = ("call", "email", "whatsapp"),
+             channels: Sequence[str] | None = None,
              profile: ScoringProfile = EDA) -> dict[str, str]:
-    """The analysis run: analysis-rule features as CSV (SNK-3) and the report
-    table (SNK-4) as Parquet, both from the clean layer."""
+    """The analysis run: analysis-rule features as CSV (SNK-3), with a column
+    for every channel that occurs unless ``channels`` fixes them, and the
+    report table (SNK-4) as Parquet, both from the clean layer."""
     c, l, i, p = (read_silver(spark, layout, e) for e in ("customers", "leads", "interactions", "products"))
-    feats = ft.eda_customer_features(c, i, l, channels=channels, profile=profile)
+    # derived and written once; the export and every part of the report read it
+    feats = stored(ft.eda_customer_features(c, i, l, channels=channels, profile=profile), "eda-features")
     fpath, rpath = f"{out_root.rstrip('/')}/customer_features_csv", f"{out_root.rstrip('/')}/report"
     write_csv(feats, fpath)
-    write_parquet(analysis_report(c, l, i, p, feats), rpath)
+    publish(analysis_report(c, l, i, p, feats), rpath)
     return {"features_csv": fpath, "report": rpath}
 
 
@@ -235,7 +239,7 @@ def train_lead_model(spark: SparkSession, features: DataFrame, model_path: str,
     """
     lab = ml.make_label(features)
     feats = ml.available_features(lab)
-    split = ml.stratified_split(ml.feature_matrix(lab, id_col, feats), id_col, seed=seed)
+    split = ml.stratified_split(stored(ml.feature_matrix(lab, id_col, feats), "matrix"), id_col, seed=seed)
     matrix = f"{model_path.rstrip('/')}_matrix"
     write_parquet(split, matrix)  # both fits and all scores read it instead of deriving the features again
     data = read_parquet(spark, matrix)

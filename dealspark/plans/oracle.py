@@ -832,3 +832,44 @@ SELECT customer_id, lead_score,
   CASE WHEN lead_score >= 80 THEN 'hot' WHEN lead_score >= 60 THEN 'warm'
        WHEN lead_score >= 40 THEN 'cool' ELSE 'cold' END AS lead_quality
 FROM df_s""")
+
+
+def _violation(table: str, key: str, column: str, declared: str, parsed: str) -> str:
+    return (f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS row_key, '{column}' AS column_name, "
+            f"'{declared}' AS declared_type, {column} AS raw_value FROM raw_{table} WHERE {column} IS NOT NULL AND ({parsed}) IS NULL")
+
+
+ORACLE["cast_violations"] = with_(",".join([RAW_CUSTOMERS, RAW_LEADS, RAW_INTERACTIONS, RAW_PRODUCTS]), "\nUNION ALL\n".join([
+    *[_violation(t, k, c, "double", f"TRY_CAST({c} AS DOUBLE)") for t, k, c in (
+        ("leads", "lead_id", "deal_value"), ("customers", "customer_id", "annual_revenue"), ("products", "product_id", "base_price"))],
+    *[_violation(t, k, c, "int", parse_int(c)) for t, k, c in (
+        ("customers", "customer_id", "employee_count"), ("interactions", "interaction_id", "interaction_time_minutes"))],
+    *[_violation(t, k, c, "timestamp_ntz", parse_date(c)) for t, k, c in (
+        ("leads", "lead_id", "created_at"), ("leads", "lead_id", "updated_at"), ("customers", "customer_id", "created_at"),
+        ("interactions", "interaction_id", "interaction_date"), ("products", "product_id", "launch_date"))]]))
+
+ORACLE["quarantined_leads"] = with_(RAW_LEADS, f"""
+SELECT lead_id, deal_value, created_at, CASE WHEN v OR c OR u THEN
+  concat_ws(',', CASE WHEN v THEN 'deal_value' END, CASE WHEN c THEN 'created_at' END, CASE WHEN u THEN 'updated_at' END) END AS broken
+FROM (SELECT *, deal_value IS NOT NULL AND TRY_CAST(deal_value AS DOUBLE) IS NULL AS v,
+  created_at IS NOT NULL AND ({parse_date('created_at')}) IS NULL AS c,
+  updated_at IS NOT NULL AND ({parse_date('updated_at')}) IS NULL AS u FROM raw_leads)""")
+
+ORACLE["run_growth"] = with_(ALL_CLEAN, """
+SELECT 'run-1' AS previous_run, 'run-2' AS current_run, table_name, p AS previous_rows, c AS current_rows, c - p AS row_change,
+  """ + rnd("CASE WHEN p > 0 THEN (c - p) * 100.0::DOUBLE / p END", 4) + """ AS growth_pct
+FROM (SELECT 'leads' AS table_name, COUNT(*) FILTER (updated_at IS NULL OR updated_at < DATE '1998-01-01') AS p, COUNT(*) AS c FROM leads_clean
+  UNION ALL SELECT 'interactions', COUNT(*) FILTER (interaction_date IS NULL OR interaction_date < DATE '2024-01-16'), COUNT(*) FROM interactions_clean
+  UNION ALL SELECT 'customers', COUNT(*), COUNT(*) FROM customers_clean)""")
+
+ORACLE["unique_customers_sketched"] = with_(ALL_CLEAN, """
+SELECT channel_standardized, COUNT(*) AS rows, COUNT(DISTINCT customer_id) AS unique_customers, TRUE AS within_error
+FROM interactions_clean GROUP BY channel_standardized""")
+
+ORACLE["sketched_quantiles"] = with_(ALL_CLEAN, """
+SELECT table_name, column_name, quantile, n, TRUE AS within_error FROM (
+  SELECT 'leads' AS table_name, 'deal_value' AS column_name, COUNT(deal_value) AS n FROM leads_clean
+  UNION ALL SELECT 'customers', 'employee_count', COUNT(employee_count) FROM customers_clean
+  UNION ALL SELECT 'customers', 'annual_revenue', COUNT(annual_revenue) FROM customers_clean
+  UNION ALL SELECT 'interactions', 'interaction_time_minutes', COUNT(interaction_time_minutes) FROM interactions_clean),
+  (SELECT UNNEST([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS quantile)""")

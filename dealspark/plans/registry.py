@@ -7,6 +7,7 @@ nothing is sampled or capped except where a limit is the feature (top-k).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from dealspark.operators import features as ft
 from dealspark.operators import topk
 from dealspark.plans.profiles import EDA, NOTEBOOK
 from dealspark.sources import driver_tables as dt
+from dealspark.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +40,16 @@ class Tables:
     def clean(self, entity: str) -> DataFrame:
         return cl.CLEANERS[entity](self.raw(entity))
 
+    def narrow(self, entity: str, columns) -> DataFrame:
+        """Some columns of a clean table, derived and written once, for queries that read them in several passes."""
+        return stored(self.clean(entity).select(*columns), f"clean-{entity}")
+
+    def stored_features(self) -> DataFrame:
+        return stored(self.features(), "features")
+
+    def stored_eda_features(self) -> DataFrame:
+        return stored(self.eda_features(), "eda-features")
+
     def features(self) -> DataFrame:
         return ft.customer_features(self.clean("customers"), self.clean("interactions"),
                                     self.clean("leads"), dt.AS_OF, BENCH_NOTEBOOK)
@@ -173,7 +185,7 @@ def _null_profile(t: Tables) -> DataFrame:
 @query("descriptive_stats")
 def _descriptive_stats(t: Tables) -> DataFrame:
     """AG-12: sum / mean / exact median / min / max."""
-    return _union([pf.describe_columns(t.clean(tb), tb, spec) for tb, spec in DESCRIBE_SPEC.items()])
+    return _union([pf.describe_columns(t.narrow(tb, spec), tb, spec) for tb, spec in DESCRIBE_SPEC.items()])
 
 
 @query("status_breakdown")
@@ -191,27 +203,27 @@ def _industry_revenue(t: Tables) -> DataFrame:
 @query("quality_distribution")
 def _quality_distribution(t: Tables) -> DataFrame:
     """AG-20 on the analysis-rule features."""
-    return pf.quality_distribution(t.eda_features())
+    return pf.quality_distribution(t.stored_eda_features())
 
 
 @query("notebook_quality_distribution")
 def _notebook_quality_distribution(t: Tables) -> DataFrame:
     """AG-20 / AG-10 on the notebook-rule features."""
-    return pf.quality_distribution(t.features())
+    return pf.quality_distribution(t.stored_features())
 
 
 @query("feature_summary")
 def _feature_summary(t: Tables) -> DataFrame:
     """AG-21. The means of unrounded doubles are rounded here, as a double sum
     depends on how partitions are merged."""
-    one = pf.feature_summary(t.eda_features())
+    one = pf.feature_summary(t.stored_eda_features())
     return one.withColumns({c: F.round(c, 6) for c in ("mean_lead_score", "mean_engagement_score")})
 
 
 @query("lead_score_histogram")
 def _lead_score_histogram(t: Tables) -> DataFrame:
     """AG-22: 15 equal-width bins."""
-    return pf.score_histogram(t.eda_features(), "lead_score", 15)
+    return pf.score_histogram(t.stored_eda_features(), "lead_score", 15)
 
 
 @query("revenue_interaction_points")
@@ -250,7 +262,10 @@ def _top5_industries(t: Tables) -> DataFrame:
 from dealspark.functions.scoring import recency_engagement  # noqa: E402
 from dealspark.plans import layered  # noqa: E402
 from dealspark.operators import dedupe as dd  # noqa: E402
+from dealspark.operators import ledger  # noqa: E402
 from dealspark.operators import quality as dq  # noqa: E402
+from dealspark.operators import sketches as sk  # noqa: E402
+from dealspark.sources.sinks import write_parquet, write_split  # noqa: E402
 from dealspark.functions.cleaning import parse_day  # noqa: E402
 from dealspark.schemas import KEYS, clean_schema  # noqa: E402
 
@@ -352,6 +367,23 @@ def _type_mismatches(t: Tables) -> DataFrame:
     return _union([dq.type_mismatches(t.raw(tb), clean_schema(tb), tb) for tb in QUALITY_SPEC])
 
 
+@query("cast_violations")
+def _cast_violations(t: Tables) -> DataFrame:
+    """DQ-2 (values): every raw cell whose text does not read as its declared type."""
+    return _union([dq.cast_violations(t.raw(tb), cl.declared_casts(tb), KEYS[tb], tb) for tb in QUALITY_SPEC])
+
+
+@query("quarantined_leads")
+def _quarantined_leads(t: Tables) -> DataFrame:
+    """DQ-2: raw leads split in one write; both halves, the quarantined ones with the columns that broke."""
+    casts = cl.declared_casts("leads")
+    valid, broken = write_split(t.raw("leads"), dq.casts_hold(casts), scratch_path(t.spark, "leads-split"))
+    reasons = [F.when(F.col(c).isNotNull() & parsed.isNull(), F.lit(c)) for c, (_, parsed) in casts.items()]
+    cells = ("lead_id", "deal_value", "created_at")
+    return valid.select(*cells, F.lit(None).cast("string").alias("broken")).unionByName(
+        broken.select(*cells, F.concat_ws(",", *reasons).alias("broken")))
+
+
 @query("distinct_values")
 def _distinct_values(t: Tables) -> DataFrame:
     """AG-9: the distinct values of chosen columns, NULL included."""
@@ -381,6 +413,57 @@ def _volume_growth(t: Tables) -> DataFrame:
                             counts.withColumnRenamed("clean_rows", "row_count"))
 
 
+#: The runs of ``run_growth``: the state on two days, as leads' and interactions' dates tell.
+RUNS = (("run-1", "1998-01-01", "2024-01-16"), ("run-2", "2030-01-01", "2030-01-01"))
+
+
+@query("run_growth")
+def _run_growth(t: Tables) -> DataFrame:
+    """DQ-5: growth between the last two runs of a ledger. The second run is recorded twice and counts once."""
+    path = scratch_path(t.spark, "ledger")
+    days = stored(_union([
+        t.clean("leads").groupBy(F.col("updated_at").alias("day")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("leads").alias("table_name"), "*"),
+        t.clean("interactions").groupBy(F.col("interaction_date").alias("day")).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("interactions").alias("table_name"), "*"),
+        t.clean("customers").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("customers").alias("table_name"), F.lit(None).cast("timestamp_ntz").alias("day"), "n")]), "day-counts")
+    for run_id, leads_before, interactions_before in (*RUNS, RUNS[-1]):
+        before = F.when(F.col("table_name") == "leads", F.lit(leads_before)).otherwise(F.lit(interactions_before)).cast("timestamp_ntz")
+        counts = days.groupBy("table_name").agg(
+            F.sum(F.when(F.col("day").isNull() | (F.col("day") < before), F.col("n")).otherwise(0)).alias("row_count"))
+        ledger.record_run(counts, path, run_id, _dt.datetime(2024, 2, int(run_id[-1])))
+    return ledger.growth_between_runs(ledger.read_ledger(t.spark, path))
+
+
+@query("unique_customers_sketched")
+def _unique_customers_sketched(t: Tables) -> DataFrame:
+    """AG-5, opt-in: distinct customers per channel from sketches per day and channel, beside the exact number."""
+    clean = t.narrow("interactions", ["customer_id", "channel_standardized", "interaction_date"])
+    daily = stored(sk.distinct_sketches(clean, ["interaction_date", "channel_standardized"], "customer_id"), "daily-sketches")
+    rolled = sk.rolled_up_distinct(daily, ["channel_standardized"], "estimate")
+    exact = clean.groupBy("channel_standardized").agg(F.count_distinct("customer_id").alias("unique_customers"))
+    return exact.join(rolled, "channel_standardized").select(
+        "channel_standardized", "rows", "unique_customers",
+        (F.abs(F.col("estimate") - F.col("unique_customers")) <= F.lit(sk.DISTINCT_ERROR) * F.col("unique_customers")).alias("within_error"))
+
+
+SKETCHED = {"leads": ("lead_id", ("deal_value",)), "customers": ("customer_id", ("employee_count", "annual_revenue")),
+            "interactions": ("interaction_id", ("interaction_time_minutes",))}
+
+
+@query("sketched_quantiles")
+def _sketched_quantiles(t: Tables) -> DataFrame:
+    """AG-12, opt-in: quantiles from 16 merged sketches, and whether their ranks lie within the error."""
+    parts = []
+    for tb, (key, columns) in SKETCHED.items():
+        clean = t.narrow(tb, [key, *columns])
+        some = stored(sk.quantile_sketches(clean.withColumn("part", F.pmod(F.xxhash64(key), F.lit(16))), ["part"], columns), "quantile-sketches")
+        found = sk.rolled_up_quantiles(some, [], columns, (0.05, 0.25, 0.5, 0.75, 0.95))
+        parts.append(sk.rank_errors(clean, found, columns).select(
+            F.lit(tb).alias("table_name"), "column_name", "quantile", "n", (F.col("rank_error") <= sk.RANK_ERROR).alias("within_error")))
+    return _union(parts)
+
+
 # --- documented-only operators ---------------------------------------------------
 
 
@@ -457,11 +540,8 @@ def _hot_leads(t: Tables) -> DataFrame:
 
 # --- lead-scoring model -------------------------------------------------------
 
-import uuid  # noqa: E402
-
 from dealspark.operators import ml  # noqa: E402
 from dealspark.session import ensure_checkpoint_dir  # noqa: E402
-from dealspark.sources.sinks import write_parquet  # noqa: E402
 
 
 def _labelled(t: Tables) -> DataFrame:
@@ -471,7 +551,7 @@ def _labelled(t: Tables) -> DataFrame:
 @query("ml_labels")
 def _ml_labels(t: Tables) -> DataFrame:
     """ML-1 and ML-2 side by side."""
-    f = t.features()
+    f = stored(t.features().select("customer_id", "lead_score", "total_revenue", "total_interactions"), "scores")
     hot = ml.hot_lead_label(f).select("customer_id", F.col(ml.LABEL).alias("score_label"))
     med = ml.median_label(f).select("customer_id", F.col(ml.LABEL).alias("median_label"))
     return hot.join(med, "customer_id")
@@ -493,7 +573,8 @@ def _ml_feature_matrix(t: Tables) -> DataFrame:
 @query("train_test_split")
 def _train_test_split(t: Tables) -> DataFrame:
     """ML-5: exact stratified 80/20 split, seed 42."""
-    return ml.stratified_split(_labelled(t), "customer_id").select("customer_id", ml.LABEL, "split")
+    labels = stored(_labelled(t).select("customer_id", ml.LABEL), "labels")
+    return ml.stratified_split(labels, "customer_id").select("customer_id", ml.LABEL, "split")
 
 
 @query("rule_classifier_report")
@@ -516,7 +597,7 @@ def _rule_classifier_metrics(t: Tables) -> DataFrame:
 @query("rule_classifier_auc")
 def _rule_classifier_auc(t: Tables) -> DataFrame:
     """ML-12: exact area under the curve of the conversion probability as a score."""
-    return ml.roc_auc(_labelled(t), score_col="probability_to_convert")
+    return ml.roc_auc(_labelled(t).select(ml.LABEL, "probability_to_convert"), score_col="probability_to_convert")
 
 
 def _checked_model(t: Tables, algorithm: str) -> DataFrame:
@@ -524,10 +605,12 @@ def _checked_model(t: Tables, algorithm: str) -> DataFrame:
 
     The split matrix is written once, so the fit and the scores do not derive
     the features again."""
-    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(t.spark)
+    root = scratch_path(t.spark, "model")
     lab = _labelled(t)
     feats = ml.available_features(lab)
-    write_parquet(ml.stratified_split(ml.feature_matrix(lab, "customer_id", feats), "customer_id"), f"{root}/matrix")
+    matrix = stored(ml.feature_matrix(lab, "customer_id", feats), "matrix")
+    write_parquet(ml.stratified_split(matrix, "customer_id"), f"{root}/matrix")
     data = t.spark.read.parquet(f"{root}/matrix")
     model = ml.train(data.where(F.col("split") == "train"), feats, algorithm)
     ml.save_model(model, f"{root}/model")
@@ -554,8 +637,10 @@ def _forest_predictions(t: Tables) -> DataFrame:
 @query("analysis_report")
 def _analysis_report(t: Tables) -> DataFrame:
     """SNK-4: the analysis report as (section, metric, dimension, value)."""
-    report = layered.analysis_report(t.clean("customers"), t.clean("leads"), t.clean("interactions"),
-                                     t.clean("products"), t.eda_features())
+    clean = {e: stored(t.clean(e), f"clean-{e}") for e in layered.ENTITIES}
+    features = stored(ft.eda_customer_features(clean["customers"], clean["interactions"], clean["leads"],
+                                               channels=dt.RAW_CHANNELS, profile=BENCH_EDA), "eda-features")
+    report = layered.analysis_report(clean["customers"], clean["leads"], clean["interactions"], clean["products"], features)
     unrounded = F.col("metric").isin("mean_lead_score", "mean_engagement_score")
     return report.withColumn("value", F.when(unrounded, F.round("value", 6)).otherwise(F.col("value")))
 
@@ -568,15 +653,14 @@ def _interaction_summary(t: Tables) -> DataFrame:
 
 @query("channel_pivot")
 def _channel_pivot(t: Tables) -> DataFrame:
-    """AG-17 over the raw channel values."""
-    return ft.pivot_counts(t.clean("interactions"), "channel", dt.RAW_CHANNELS)
+    """AG-17: a column for each raw channel that occurs."""
+    return ft.pivot_counts(t.narrow("interactions", ["customer_id", "channel"]), "channel")
 
 
 @query("outcome_pivot")
 def _outcome_pivot(t: Tables) -> DataFrame:
-    """AG-18."""
-    return ft.pivot_counts(t.clean("interactions"), "outcome", ("negative", "neutral", "positive"),
-                           suffix="_outcomes")
+    """AG-18: a column for each outcome that occurs."""
+    return ft.pivot_counts(t.narrow("interactions", ["customer_id", "outcome"]), "outcome", suffix="_outcomes")
 
 
 @query("deal_summary")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
+from dealspark.sources.scratch import shared_root
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "dealspark") -> SparkSession:
     """A local session with the settings the library assumes: UTC session
@@ -28,12 +29,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) point it at a fresh scratch folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = fallback or tempfile.mkdtemp(prefix="dealspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """Use ``folder``, else the cluster's ``spark.checkpoint.dir``; where both
+    are missing, a local session gets a temporary folder and a cluster session
+    an error (``sources.scratch.shared_root``)."""
+    root = folder or shared_root(spark)
+    spark.sparkContext.setCheckpointDir(root)
+    return root
