@@ -121,3 +121,24 @@ def test_words_that_fool_hashes_modulo_powers_of_two(make, n):
     a, b = ("".join(letters[k.bit_count() % 2] for k in range(n)) for letters in ("ab", "ba"))
     rows = [(1, f"{a} a b c d"), (2, f"{b} a b c d"), (3, f"{b} a b c d")]
     assert got(nd.near_duplicates(make(rows), 3, 85)) == brute(rows, 3, 85)
+
+
+def test_different_texts_under_one_id(make):
+    ta, tb = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(1, ta), (1, tb), (2, tb + " word"), (3, ta + " word"), (4, "z y x w"), (None, ta + " other"), (None, "n o n e"), (5, "n o n e")]
+    assert got(nd.near_duplicates(make(rows), 3, 85)) == brute(rows, 3, 85)
+
+
+def test_a_large_group_costs_its_members(spark, monkeypatch):
+    """Sets sent for a group of distinct near copies, and for one that falls into classes that stay apart."""
+    monkeypatch.setattr(nd, "PART_DOCS", 16)
+    words = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join(words[:-1] + [f"tail{k}"])) for k in range(600)]  # near copies of each other
+    other = [f"v{k}" for k in range(60)] + words[:60]
+    rows += [(1000 + k, " ".join(other[:-1] + [f"last{k}"])) for k in range(20)]
+    sent = []
+    real = nd._member_sets
+    monkeypatch.setattr(nd, "_member_sets", lambda *a: sent.append(nd.stored(real(*a), "sent")) or sent[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(nd.near_duplicates(df, 3, 85)) == brute(rows, 3, 85)
+    assert sum(s.count() for s in sent) < 4 * len(rows)  # in pairs of parts it was 600 * 38
