@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dealspark.llm import language_model, near_dedup, packing, quality_rules, suffix_dedup
 from dealspark.llm.common import ship, stored, table
+from dealspark.sources.scratch import mark, release
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +60,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        since = mark(spark)
         docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        release(spark, since, mark(spark) - 1)  # the stage's own intermediate tables, not its result
     return docs

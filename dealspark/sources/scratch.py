@@ -57,15 +57,15 @@ def mark(spark: SparkSession) -> int:
     return len(_made.get(spark.sparkContext.applicationId, []))
 
 
-def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
-    """Delete the intermediate tables made after ``mark`` returned ``since``,
-    except those under the paths ``keep``. Frames that read them must be
-    consumed before. Returns the number of deleted paths."""
+def release(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Delete the intermediate tables made after ``mark`` returned ``since`` and
+    before it returned ``until``. Frames that read them must be consumed
+    before. Returns the number of deleted paths."""
     paths = _made.get(spark.sparkContext.applicationId, [])
-    gone = [p for p in paths[since:] if p not in keep]
+    gone = paths[since:until]
     for p in gone:
         delete(spark, p)
-    paths[since:] = [p for p in paths[since:] if p in keep]
+    del paths[since:until]
     return len(gone)
 
 

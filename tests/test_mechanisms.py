@@ -246,12 +246,11 @@ def test_histogram_of_one_value_and_of_none(spark):
 
 def test_release_deletes_what_was_made(spark):
     since = scratch.mark(spark)
-    kept, gone = scratch.stored(spark.range(3), "kept"), scratch.stored(spark.range(3), "gone")
-    paths = [df.inputFiles()[0].rsplit("/", 1)[0] for df in (kept, gone)]
-    all_paths = scratch._made[spark.sparkContext.applicationId][since:]
-    assert scratch.release(spark, since, keep=(all_paths[0],)) == 1
-    assert kept.count() == 3 and not os.path.exists(paths[1].removeprefix("file:").replace("///", "/"))
-    scratch.release(spark, since)
+    gone, kept = scratch.stored(spark.range(3), "gone"), scratch.stored(spark.range(3), "kept")
+    paths = [df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") for df in (gone, kept)]
+    assert scratch.release(spark, since, scratch.mark(spark) - 1) == 1
+    assert kept.count() == 3 and [os.path.exists(p) for p in paths] == [False, True]
+    assert scratch.release(spark, since) == 1 and not os.path.exists(paths[1])
 
 
 SCRIPT = """
