@@ -24,6 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealspark.sources.scratch import scratch_path as scratch
+from dealspark.sources.scratch import stored
+
 #: A null id inside packed int64 arrays (so this one id is reserved).
 NULL_ID = -(2 ** 63)
 
@@ -38,25 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the cluster's shared ``spark.checkpoint.dir``; only
-    where that is unset (tests) a temporary folder takes its place."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="llm-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a scratch table and read it back: it is computed once,
-    and what follows depends on files that every executor can read."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Send the library to the executors, once per application, in case they cannot import it."""
     context = spark.sparkContext
@@ -76,7 +60,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def id_array(column: pa.Array) -> np.ndarray:
-    return column.cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+    column = column.cast(pa.int64())
+    ids = column.fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+    if (ids == NULL_ID).sum() > column.null_count:
+        raise ValueError(f"the id {NULL_ID} stands for null ids; rows must not use it")
+    return ids
 
 
 def ids_out(ids: np.ndarray) -> pa.Array:

@@ -235,8 +235,9 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int
         def flush() -> None:
             nonlocal held, size
             data = build_archive(held)
-            name = f"{root}/part-{task.partitionId():06d}-{len(made):05d}.warc.zst"
-            partial = f"{name}.{task.taskAttemptId()}"
+            # named by attempt: one that ran before or beside the recorded one changes none of its archives
+            name = f"{root}/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(made):05d}.warc.zst"
+            partial = f"{name}.partial"
             with store.open_output_stream(partial) as out:
                 out.write(data)
             store.move(partial, name)
@@ -269,8 +270,12 @@ RECORDS = ("path string, frame_offset long, page_id long, url string, record_typ
            "payload_digest string, refers_to long, payload binary, error string")
 
 
-def read(spark: SparkSession, paths: list[str] | str, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives at ``paths`` (files or folders), with its payload if it holds one."""
+def read(spark: SparkSession, paths: list[str] | str, payloads: bool = True, manifest: DataFrame | None = None) -> DataFrame:
+    """One row per record of the archives at ``paths`` (files or folders), with its payload if it holds one.
+
+    With a ``manifest``, archives that it does not name (a lost task attempt
+    left them) are passed over, and one that it names but is not there is an error.
+    """
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +298,16 @@ def read(spark: SparkSession, paths: list[str] | str, payloads: bool = True) ->
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(paths).select("path", "content"))
-    return files.mapInArrow(run, RECORDS)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(paths)
+    name = F.substring_index("path", "/", -1)
+    if manifest is not None:  # names alone meet here; contents stay where they are read
+        there, known = files.select(name.alias("name")), manifest.select(name.alias("name"))
+        missing = known.join(there, "name", "left_anti").first()
+        if missing:
+            raise FileNotFoundError(f"archive {missing['name']} of the manifest is not there")
+        surplus = [r["name"] for r in there.join(known, "name", "left_anti").collect()]  # of lost attempts
+        files = files.where(~name.isin(surplus)) if surplus else files
+    return files.select("path", "content").mapInArrow(run, RECORDS)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -305,6 +318,6 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     wrote = manifest.agg(F.sum("records").alias("n")).first()["n"]
     if not wrote:
         return spark.createDataFrame([], RECORDS)
-    records = read(spark, folder, payloads=False)
+    records = read(spark, folder, payloads=False, manifest=manifest)
     return records.withColumn("record_type", F.when(F.col("error").isNull(), F.col("record_type")).otherwise(
         F.raise_error(F.concat_ws(": ", "path", "error")).cast("string")))

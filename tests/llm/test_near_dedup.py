@@ -142,3 +142,8 @@ def test_a_large_group_costs_its_members(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(nd.near_duplicates(df, 3, 85)) == brute(rows, 3, 85)
     assert sum(s.count() for s in sent) < 4 * len(rows)  # in pairs of parts it was 600 * 38
+
+
+def test_the_reserved_id_is_refused(make):
+    with pytest.raises(Exception, match="stands for null ids"):
+        nd.near_duplicates(make([(-2 ** 63, "a b c"), (1, "a b c")]), 3, 85).collect()

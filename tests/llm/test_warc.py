@@ -83,3 +83,20 @@ def test_compressed_dictionary():
     packed = zstandard.compress(data[8:8 + size])
     again = struct.pack("<II", warc.SKIPPABLE_MAGIC, len(packed)) + packed + data[8 + size:]
     assert sum(e is None for _, _, e in warc.read_archive(again)) == 60
+
+
+def test_archives_of_lost_attempts_are_passed_over(spark):
+    """A surplus archive in the folder is not read; one that the manifest names and that is gone is an error."""
+    import os
+    import shutil
+    ship(spark)
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    folder = scratch(spark, "warc-surplus")
+    manifest = warc.write(pages, folder)
+    paths = [r.path for r in manifest.collect()]
+    local = paths[0].removeprefix("file://")
+    shutil.copy(local, local.replace("part-", "part-9"))
+    assert warc.read(spark, folder, manifest=manifest).count() == pages.count() < warc.read(spark, folder).count()
+    named = manifest.unionByName(manifest.limit(1).selectExpr("concat(path, '-gone.warc.zst') path", "records", "bytes"))
+    with pytest.raises(FileNotFoundError, match="gone"):
+        warc.read(spark, folder, manifest=named)
