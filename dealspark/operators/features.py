@@ -115,7 +115,8 @@ def occurring_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES)
     """AG-17 / AG-18, first phase: the values that occur in ``column``,
     ascending, without NULL. More than ``limit`` of them are an error, never
     a shorter list, and so are two values that would share a column name."""
-    found = [r[0] for r in df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().limit(limit + 1).collect()]
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v")).distinct()
+    found = values.limit(limit + 1).agg(F.collect_list("v")).first()[0]  # one row, bounded by the limit
     if len(found) > limit:
         raise ValueError(f"{column!r} has over {limit} values; pivot a column with fewer, or raise the limit")
     names = {}

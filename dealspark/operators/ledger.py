@@ -50,8 +50,9 @@ def complete_runs(ledger: DataFrame) -> DataFrame:
 def growth_between_runs(ledger: DataFrame) -> DataFrame:
     """Row-count change per table from the last complete run but one to the last
     (by run_at, then run_id), with both run ids; no rows with fewer than two runs."""
-    last = complete_runs(ledger).orderBy(F.col("run_at").desc(), F.col("run_id").desc()).limit(2).collect()
-    current, previous = [(r["run_id"], r["attempt"]) for r in (*last, *[{"run_id": None, "attempt": None}] * 2)][:2]
+    last = complete_runs(ledger).orderBy(F.col("run_at").desc(), F.col("run_id").desc()).limit(2).agg(
+        F.sort_array(F.collect_list(F.struct("run_at", "run_id", "attempt")), asc=False)).first()[0]  # two runs at most
+    current, previous = [*[(r["run_id"], r["attempt"]) for r in last], (None, None), (None, None)][:2]
 
     def rows(run: tuple[str | None, str | None]) -> DataFrame:
         of_run = (F.col("run_id") == F.lit(run[0])) & (F.col("attempt") == F.lit(run[1]))

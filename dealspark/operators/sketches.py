@@ -54,7 +54,7 @@ def rank_errors(df: DataFrame, found: DataFrame, columns: Sequence[str]) -> Data
     """(column_name, quantile, value, n, rank_error): how far each found quantile
     lies from its rank in ``df``, as a share of the rows; equal values share a
     range of ranks. One pass of conditional counts."""
-    spots = found.collect()  # one row per column and quantile
+    spots = found.agg(F.collect_list(F.struct("column_name", "quantile", "value"))).first()[0]  # one per column and quantile
     counts = []
     for k, r in enumerate(spots):
         x = _number(r["column_name"])
