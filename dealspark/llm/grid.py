@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealspark.llm.common import stored
+
 MEMBERS, VISITORS = 65_536, 1 << 20
 
 #: Roles in a cell: a member in its part's first cell, in its other cells, and a visitor.
@@ -26,15 +28,12 @@ def dealt(routed: DataFrame, leaf: list[str], key: str, members: int | None = No
     down = F.ceil(F.col("_m") / members).cast("int")
     # members of later parts are visitors too
     across = F.ceil((F.col("_v") + F.when(F.col("_m") > members, F.col("_m")).otherwise(0)) / visitors).cast("int")
-    large = sizes.where((F.col("_m") > members) | (F.col("_v") > visitors)).select(
-        *leaf, F.greatest(down, F.lit(1)).alias("_down"), F.greatest(across, F.lit(1)).alias("_across")).collect()
-    # the leaves over the limits are few: at most one for every ``members`` rows routed
-    spark = routed.sparkSession
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in routed.select(*leaf).schema)
-    if not large:
+    large = stored(sizes.where((F.col("_m") > members) | (F.col("_v") > visitors)).select(
+        *leaf, F.greatest(down, F.lit(1)).alias("_down"), F.greatest(across, F.lit(1)).alias("_across")), "grid_large")
+    if large.isEmpty():
         return routed.withColumns({"member_part": F.lit(0), "visitor_part": F.lit(0),
                                    "role": F.when(F.col("member"), FIRST).otherwise(VISIT)}).drop("member")
-    cut = routed.join(spark.createDataFrame(large, f"{fields}, _down int, _across int"), leaf, "left").withColumns(
+    cut = routed.join(large, leaf, "left").withColumns(
         {"_down": F.coalesce("_down", F.lit(1)), "_across": F.coalesce("_across", F.lit(1))})
     part = F.pmod(F.xxhash64(key), F.col("_down")).cast("int")
     column = F.pmod(F.xxhash64(key, F.lit(1)), F.col("_across")).cast("int")

@@ -229,8 +229,8 @@ def near_links(points: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) ->
     """(a, b): links with the same components as all pairs of distinct
     ``points`` (fingerprint: long) at ``distance`` or less."""
     n = points.count()
-    chosen = points.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
-    sample = np.array([r[0] for r in chosen], np.int64).view(np.uint64)
+    chosen = points.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).agg(F.collect_list("fingerprint")).first()[0]
+    sample = np.sort(np.array(chosen, np.int64)).view(np.uint64)
     tree, balls = shared_tree(sample, max(16, leaf * len(sample) // max(n, 1)), distance)
 
     def find_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

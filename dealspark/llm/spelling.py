@@ -318,7 +318,8 @@ def near_words(words: DataFrame, leaf: int = LEAF) -> DataFrame:
     chosen = words.orderBy(F.xxhash64("word"), "word").limit(SAMPLE).select("word")
     size = max(16, leaf * min(SAMPLE, total) // max(total, 1))
     trees = {r["length"]: shared_tree(np.frombuffer(r["counts"], np.int32).reshape(-1, 90), size)
-             for r in chosen.groupBy(F.length("word").alias("length")).applyInArrow(_counted, "length int, counts binary").collect()}
+             for r in chosen.groupBy(F.length("word").alias("length")).applyInArrow(_counted, "length int, counts binary").agg(
+                 F.collect_list(F.struct("length", "counts"))).first()[0]}  # the sample's counts: bounded
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

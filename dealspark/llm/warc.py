@@ -305,7 +305,7 @@ def read(spark: SparkSession, paths: list[str] | str, payloads: bool = True, man
         missing = known.join(there, "name", "left_anti").first()
         if missing:
             raise FileNotFoundError(f"archive {missing['name']} of the manifest is not there")
-        surplus = [r["name"] for r in there.join(known, "name", "left_anti").collect()]  # of lost attempts
+        surplus = there.join(known, "name", "left_anti").agg(F.collect_list("name")).first()[0]  # of lost attempts
         files = files.where(~name.isin(surplus)) if surplus else files
     return files.select("path", "content").mapInArrow(run, RECORDS)
 
