@@ -873,3 +873,34 @@ SELECT table_name, column_name, quantile, n, TRUE AS within_error FROM (
   UNION ALL SELECT 'customers', 'annual_revenue', COUNT(annual_revenue) FROM customers_clean
   UNION ALL SELECT 'interactions', 'interaction_time_minutes', COUNT(interaction_time_minutes) FROM interactions_clean),
   (SELECT UNNEST([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS quantile)""")
+
+
+def _boosting_level(level: int) -> str:
+    """Best split of every node of a level, and the rows' nodes on the next; a row without a split stays where it is."""
+    return f"""
+sums{level} AS (SELECT n, f, edge, SUM(0.5::DOUBLE - y) AS g, SUM(0.25::DOUBLE) AS h FROM at_level_{level}
+  JOIN binned_vals USING (customer_id) WHERE n >= {2 ** level - 1} GROUP BY n, f, edge),
+low{level} AS (SELECT n, f, edge, COALESCE(SUM(g) OVER before, 0) AS gl, COALESCE(SUM(h) OVER before, 0) AS hl,
+  SUM(g) OVER (PARTITION BY n, f) AS ga, SUM(h) OVER (PARTITION BY n, f) AS ha FROM sums{level}
+  WINDOW before AS (PARTITION BY n, f ORDER BY edge NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+gain{level} AS (SELECT n, f, edge, gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / ((ha - hl) + 1) - ga * ga / (ha + 1) AS gain
+  FROM low{level} WHERE hl >= 1 AND ha - hl >= 1),
+best{level} AS (SELECT n, f, edge FROM gain{level} WHERE gain > 1e-6
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY n ORDER BY gain DESC, f, edge) = 1),
+at_level_{level + 1} AS (SELECT r.customer_id, r.y, CASE WHEN b.n IS NULL THEN r.n WHEN v.x < b.edge THEN 2 * r.n + 1 ELSE 2 * r.n + 2 END AS n
+  FROM at_level_{level} r LEFT JOIN best{level} b ON r.n = b.n LEFT JOIN feature_vals v ON v.customer_id = r.customer_id AND v.f = b.f)"""
+
+
+ORACLE["boosted_margins"] = with_(LABELLED + """,
+feature_vals AS MATERIALIZED (SELECT customer_id, UNNEST(RANGE(""" + str(len(ML_FEATURES)) + """)) AS f,
+  UNNEST([""" + ", ".join(f"{c}::DOUBLE" for c in ML_FEATURES) + """]) AS x FROM labelled),
+value_cuts AS MATERIALIZED (SELECT DISTINCT f, UNNEST(QUANTILE_DISC(x, [""" + ", ".join(f"{k / 256!r}" for k in range(1, 256)) + """])) AS edge
+  FROM feature_vals GROUP BY f),
+binned_vals AS MATERIALIZED (SELECT v.customer_id, v.f, c.edge FROM feature_vals v ASOF LEFT JOIN value_cuts c ON v.f = c.f AND v.x >= c.edge),
+at_level_0 AS (SELECT customer_id, is_hot_lead AS y, 0 AS n FROM labelled),"""
+    + ",".join(_boosting_level(k).replace(f"at_level_{k + 1} AS (", f"at_level_{k + 1} AS MATERIALIZED (") for k in range(5)) + """,
+leaves AS (SELECT n, (-0.1::DOUBLE) * SUM(0.5::DOUBLE - y) / (SUM(0.25::DOUBLE) + 1) AS margin FROM at_level_5 GROUP BY n)
+""", """
+SELECT customer_id, y AS is_hot_lead, 0.0::DOUBLE + margin AS margin, 1.0::DOUBLE / (1.0::DOUBLE + EXP(-(0.0::DOUBLE + margin))) AS p_hot,
+  (1.0::DOUBLE / (1.0::DOUBLE + EXP(-(0.0::DOUBLE + margin))) > 0.5)::INTEGER AS prediction
+FROM at_level_5 JOIN leaves USING (n)""")

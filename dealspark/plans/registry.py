@@ -540,7 +540,7 @@ def _hot_leads(t: Tables) -> DataFrame:
 
 # --- lead-scoring model -------------------------------------------------------
 
-from dealspark.operators import ml  # noqa: E402
+from dealspark.operators import boosting, ml  # noqa: E402
 from dealspark.session import ensure_checkpoint_dir  # noqa: E402
 
 
@@ -679,3 +679,12 @@ def _doc_flow_scores(t: Tables) -> DataFrame:
     feats = t.features().drop("lead_score", "lead_quality", "probability_to_convert")
     scored = ft.score_features(feats, DOC_FLOW.with_(revenue_unit=dt.REVENUE_UNIT))
     return scored.select("customer_id", "lead_score", "lead_quality")
+
+
+@query("boosted_margins")
+def _boosted_margins(t: Tables) -> DataFrame:
+    """ML-9: margins after one second-order boosting round (depth 5, rate 0.1) on all labelled customers."""
+    lab = stored(_labelled(t), "labelled")
+    feats = ml.available_features(lab)
+    model = boosting.fit(lab, feats, ml.LABEL, rounds=1)
+    return boosting.score(model, lab, "customer_id", ml.LABEL)
