@@ -23,6 +23,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,6 @@ CAPACITY = 2048
 SEPARATOR = 0
 #: Pieces in a group at most, on average.
 GROUP = 40_000
-#: Times that uncertified groups exchange documents.
-ROUNDS = 6
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -165,11 +164,11 @@ def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
     return best
 
 
-PACKED = "row long, piece int, length long, sequence_id long, offset long, full boolean"
+PACKED = "row long, piece int, length long, sequence_id long, offset long, final boolean"
 
 
 def _pack_groups(items: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
-    """Best-fit decreasing in each of ``groups``; ``full`` tells the pieces of sequences without a gap."""
+    """Best-fit decreasing in each of ``groups``; ``final`` tells the pieces of certified groups and of full sequences."""
 
     def pack(batch: pa.Table) -> pa.Table:
         lengths = batch.column("length").to_numpy()
@@ -182,38 +181,38 @@ def _pack_groups(items: DataFrame, groups: int, turn: int, capacity: int) -> Dat
         starts = np.cumsum(lengths[by_bin]) - lengths[by_bin]
         offset = np.empty(len(bins), np.int64)
         offset[by_bin] = starts - np.concatenate([[0], np.cumsum(fill)[:-1]])[bins[by_bin]]
-        sequence = (turn << 56) + (int(batch.column("part")[0].as_py()) << 28) + bins
+        values, counts = np.unique(lengths, return_counts=True)
+        certified = len(fill) == lower_bound(values, counts, capacity)
+        sequence = (turn << 50) + (int(batch.column("part")[0].as_py()) << 24) + bins
         return pa.table({"row": rows, "piece": pa.array(numbers, pa.int32()), "length": lengths,
-                         "sequence_id": sequence, "offset": offset, "full": fill[bins] == capacity})
+                         "sequence_id": sequence, "offset": offset,
+                         "final": certified | (fill[bins] == capacity)})
 
     part = F.pmod(F.xxhash64("row", "piece", F.lit(turn)), F.lit(groups))
     return items.select("row", "piece", "length", part.alias("part")).groupBy("part").applyInArrow(pack, PACKED)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """(row, piece, sequence_id, offset) for rows (row, piece, length <= capacity).
 
-    After each round the sequences without a gap are final. If the others are as
-    few as their lower bound says, they are certified and final too; else their
-    pieces are dealt anew. A round that gains nothing is not used.
+    Each round packs the pieces that are not final in new groups. One that does
+    not save a sequence is not used, and one that saves less than a sequence per
+    group is the last, so the number of rounds does not grow with the corpus.
     """
     place = ("row", "piece", "sequence_id", "offset")
     pool, held, fewest = items, None, None
     done = []
-    for turn in range(rounds):
+    for turn in count():
         groups = max(1, -(-pool.count() // group))
         packed = stored(_pack_groups(pool, groups, turn, capacity), "packed")
         made = packed.where("offset = 0").count()
         if held is not None and made >= fewest:
             break
-        done.append(packed.where("full").select(*place))
-        held = packed.where("not full")
-        # the histogram has a row per length, at most ``capacity``
-        sizes = held.groupBy("length").agg(F.count("*").alias("n"))
-        pairs = sizes.agg(F.collect_list(F.struct("length", "n")).alias("s")).first()["s"]
-        bound = lower_bound(*np.array(pairs, np.int64).reshape(-1, 2).T, capacity)
+        done.append(packed.where("final").select(*place))
+        saved = None if held is None else fewest - made
+        held = packed.where("not final")
         fewest = held.where("offset = 0").count()
-        if fewest == bound or groups == 1:
+        if fewest == 0 or groups == 1 or (saved is not None and saved < groups):
             break
         pool = held
     done.append(held.select(*place))

@@ -80,6 +80,29 @@ def test_groups_exchange_pieces(spark, low, high):
     assert bound <= len(fill) <= 1.02 * alone
 
 
+def test_groups_are_certified_one_by_one(spark):
+    """A group of its own bound keeps its sequences; only the others are dealt anew."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(30, 41, 3000)
+    items = spark.createDataFrame([(k, 0, int(n)) for k, n in enumerate(sizes)], "row long, piece int, length long")
+    groups = defaultdict(list)
+    for r in packing._pack_groups(items, 6, 0, 100).collect():
+        groups[r.sequence_id >> 24].append(r)
+    assert len(groups) == 6
+    for rows in groups.values():
+        values, counts = np.unique([r.length for r in rows], return_counts=True)
+        made = len({r.sequence_id for r in rows})
+        bound = packing.lower_bound(values, counts, 100)
+        fill = defaultdict(int)
+        for r in rows:
+            fill[r.sequence_id] += r.length
+        assert made >= bound
+        assert all(r.final == (made == bound or fill[r.sequence_id] == 100) for r in rows)
+    equal = spark.range(900).selectExpr("id AS row", "0 AS piece", "60L AS length")  # one each: certified at once
+    assert packing._pack_groups(equal, 4, 0, 100).where("not final").count() == 0
+    assert packing.pack(equal, capacity=100, group=100).select("sequence_id").distinct().count() == 900
+
+
 def test_lower_bound_is_one():
     """Never over the best packing, found by search, and over the plain quotient where halves matter."""
     rng = np.random.default_rng(3)
