@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealspark.llm.common import NULL_ID, id_array, partitions
+from dealspark.llm.common import NULL_ID, partitions
 from dealspark.llm.rolling import Windows, closed_syncmers
 
 K, S = 32, 12
@@ -98,26 +98,33 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+    own = F.col("doc_id").cast("long")
+    reserved = F.raise_error(F.lit(f"the id {NULL_ID} stands for null ids; rows must not use it")).cast("long")
+    rows = docs.select(F.when(own == NULL_ID, reserved).otherwise(F.coalesce(own, F.lit(NULL_ID))).alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     share = [k / n for k in range(1, n)]
     cuts = F.expr(f"percentile_approx(doc_id, array({','.join(map(str, share))}), 10000)") if share else F.lit(None)
     cuts = sorted(set(rows.agg(cuts.alias("c")).first()["c"] or []))
-    slot = F.lit(0) if not cuts else F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id")))
+    slot = F.size(F.filter(_longs(cuts), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
     rows = rows.select(slot.alias("slot"), "doc_id", "text")
     first = rows.groupBy("slot").agg(F.min("doc_id").alias("doc_id"))  # a row per slot
     firsts = [tuple(r) for r in first.agg(F.sort_array(F.collect_list(F.struct("slot", "doc_id"))).alias("f")).first()["f"]]
     if not firsts:
         return rows.select("slot", F.lit(0).alias("border"), "doc_id", "text")
-    before = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
-    pairs = F.create_map(*[F.lit(v) for pair in before.items() for v in pair])
-    also = F.when(F.col("doc_id").isin(*before), F.element_at(pairs, F.col("doc_id")))
+    at = F.array_position(_longs([first for _, first in firsts]), F.col("doc_id")).cast("int")
+    before = _longs([firsts[k - 1][0] for k in range(len(firsts))])
+    also = F.when(at > 0, F.element_at(before, at).cast("int"))
     copies = F.array_compact(F.array(F.struct(F.col("slot"), F.lit(0).alias("border")),
                                      F.when(also.isNotNull(), F.struct(also.alias("slot"), F.lit(1).alias("border")))))
     return (rows.select(F.explode(copies).alias("at"), "doc_id", "text")
             .select("at.slot", "at.border", "doc_id", "text"))
 
 
+def _longs(values: list[int]) -> Column:
+    """An array of numbers as one literal, so that a plan does not grow with the slots."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 SCHEMA = ("doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
@@ -135,7 +142,7 @@ def compare(docs: DataFrame) -> DataFrame:
             out = [[] for _ in range(7)]
             size = 0
             slots, borders = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ids, texts = id_array(batch.column(2)).tolist(), batch.column(3)
+            ids, texts = batch.column(2).to_pylist(), batch.column(3)
             for slot, border, doc_id, text in zip(slots, borders, ids, texts):
                 text = text.as_py()
                 if border and (held is None or held[0] != slot):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pytest
 
 from dealspark.llm import fingerprints as fp
 
@@ -54,6 +55,42 @@ def test_anchors_and_round_trip(texts):
         assert np.array_equal(back.starts, own.starts) and np.array_equal(back.hashes, own.hashes)
 
 
+def test_the_reserved_id_is_refused(make):
+    with pytest.raises(Exception, match="stands for null ids"):
+        fp.compare(make([(-(2 ** 63), "a"), (None, "b")])).collect()
+
+
+def test_likeness_by_characters(texts):
+    """Likeness restated over sets: of the characters under anchors, those under anchors whose passage the other text has as an anchor."""
+    def marked(text, other):
+        mine = anchors(text) if len(text) >= fp.K else [0]
+        theirs = {other[a:a + fp.K] for a in (anchors(other) if len(other) >= fp.K else [0])}
+        under = {c for a in mine for c in range(a, min(a + fp.K, len(text)))}
+        shared = {c for a in mine if text[a:a + fp.K] in theirs for c in range(a, min(a + fp.K, len(text)))}
+        return len(shared), len(under)
+
+    some = [t[:900] for _, t in texts[:12] if len(t or "") > 200]
+    pairs = [(a, a[:300] + b[:200] + a[300:]) for a, b in zip(some, some[1:])] + list(zip(some, some[1:])) + [("short", "short"), ("short", "other")]
+    for a, b in pairs:
+        (s, n), (t, m) = marked(a, b), marked(b, a)
+        x, y = (fp.fingerprint(fp.code_points(v)) for v in (a, b))
+        assert abs(x.likeness(y) - (s + t) / (n + m)) < 1e-12
+
+
+def test_a_slot_costs_the_plan_nothing(spark, make):
+    rows = [(k, f"text {k}") for k in range(300)]
+    sizes = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("4", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        dealt = fp.with_next(make(rows))
+        sizes.append(dealt._jdf.queryExecution().analyzed().expressions().size()
+                     + dealt._jdf.queryExecution().analyzed().toString().count("element_at"))
+        assert dealt.where("border = 1").count() <= int(n) and dealt.where("border = 0").count() == 300
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sizes[0] == sizes[1]
+
+
 def test_shared_passage_shares_anchors(texts):
     long = [t for _, t in texts if len(t) > 1500]
     a, b = long[0], long[1][:333] + long[0][100:1100] + long[1][400:900]
