@@ -130,7 +130,12 @@ class Encoder:
         return [t for piece in self.find(text) for t in self.encode_piece(piece.encode())]
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        """The tokens' bytes, concatenated pair by pair up the tree."""
+        parts = [self.bytes_of[t] for t in ids]
+        while len(parts) > 1:
+            odd = parts[-1:] if len(parts) % 2 else []
+            parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + odd
+        return parts[0] if parts else b""
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
