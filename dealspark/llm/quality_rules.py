@@ -5,7 +5,8 @@ ratios). Measures and verdicts are built-in Spark expressions; there is no
 shuffle and no user function, so the work is one scan whatever the skew.
 
 Defined cases: a null or empty text has no words, so all counts are 0 and the
-length rule rejects it. Words are maximal runs outside ``\\x20\\x09-\\x0D``.
+length rule rejects it. A text in a language without stop words here is not
+held to the stop-word rule. Words are maximal runs outside ``\\x20\\x09-\\x0D``.
 Very long texts need no special case: the repeat count sorts packed hashes of a
 text's 3-word windows, O(n log n). Repeated rows are judged alike.
 """
@@ -38,6 +39,8 @@ class Rule:
     measure: str
     low: float | None = None
     high: float | None = None
+    #: Languages that the rule knows; texts in others are not held to it. None: all.
+    langs: tuple[str, ...] | None = None
 
 
 #: Measures that a rule may bound, as SQL over the counted columns.
@@ -56,7 +59,7 @@ BASE = (Rule("too short", "words", low=50), Rule("repetitive", "repeat_word_pct"
 RULES = (
     Rule("word length", "mean_word_chars", low=2, high=12),
     Rule("symbols", "symbols_per_word", high=0.1),
-    Rule("stop words", "stop_words_per_word", low=0.02),
+    Rule("stop words", "stop_words_per_word", low=0.02, langs=("en", "de", "fr", "es")),
     Rule("repeated lines", "dup_line_ratio", high=0.5),
 )
 
@@ -72,6 +75,8 @@ def _failed(rule: Rule) -> Column:
     bad = tests[0]
     for t in tests[1:]:
         bad = bad | t
+    if rule.langs is not None:
+        bad = bad & F.coalesce(F.col("_lang").isin(*rule.langs), F.lit(True))
     return F.coalesce(bad, F.lit(False))
 
 
@@ -142,8 +147,13 @@ def _same(x: Column, y: Column) -> Column:
 
 
 def judge(docs: DataFrame, *keep: str, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``keep`` columns, the measures, ``base_failed`` and ``kept``."""
-    df = measures(docs, *keep)
+    """``keep`` columns, the measures, ``base_failed`` and ``kept``.
+
+    A rule of some languages passes over texts whose ``lang`` is another one;
+    where ``lang`` is null, or ``docs`` has no such column, every rule applies.
+    """
+    lang = F.lower(F.col("lang").cast("string")) if "lang" in docs.columns else F.lit(None).cast("string")
+    df = measures(docs.withColumn("_lang", lang), *keep, "_lang")
     for name, table in (("base_failed", base), ("_rules_failed", rules)):
         failed = F.lit(False)
         for rule in table:
@@ -152,10 +162,10 @@ def judge(docs: DataFrame, *keep: str, base: tuple[Rule, ...] = BASE, rules: tup
     # The id test is always true. It makes the projection nondeterministic, so that a filter on ``kept``
     # is not pushed into the measures, where it would evaluate the word arrays anew for every element.
     here = F.monotonically_increasing_id() >= 0
-    return df.withColumn("kept", ~(F.col("base_failed") | F.col("_rules_failed")) & here).drop("_rules_failed")
+    return df.withColumn("kept", ~(F.col("base_failed") | F.col("_rules_failed")) & here).drop("_rules_failed", "_lang")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
     kept = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return judge(kept.select("_row", "text"), "_row").where("kept").select("_row.*")
+    return judge(kept.select("_row", "text", *[c for c in docs.columns if c == "lang"]), "_row").where("kept").select("_row.*")

@@ -31,14 +31,15 @@ FROM d JOIN top ON d.hex = top.hex JOIN coded ON d.page_id = coded.page_id
 """
 
 OP5 = f"""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS words FROM documents),
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS words,
+    coalesce(lower(lang) IN ('en', 'de', 'fr', 'es'), true) AS listed FROM documents),
 w AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM t),
 g AS (SELECT doc_id, i, w, lead(w, 1) OVER s AS w1, lead(w, 2) OVER s AS w2 FROM w WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
 r AS (SELECT doc_id, i, CASE WHEN w2 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w, w1, w2) > 1 THEN 1 ELSE 0 END AS again FROM g),
 c AS (SELECT doc_id, max(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM r),
 n AS (SELECT doc_id, sum(covered)::BIGINT AS n_repeat_words FROM c GROUP BY doc_id),
 l AS (SELECT doc_id, [x for x in string_split(text, chr(10)) if regexp_matches(x, '{WORD}')] AS lines FROM t),
-m AS (SELECT t.doc_id, len(words)::BIGINT AS n_words,
+m AS (SELECT t.doc_id, listed, len(words)::BIGINT AS n_words,
     length(regexp_replace(text, '{SPACE}', '', 'g'))::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
@@ -48,7 +49,7 @@ m AS (SELECT t.doc_id, len(words)::BIGINT AS n_words,
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words AND n_symbols <= 0.1 * n_words
-    AND n_stop >= 0.02 * n_words AND n_dup_lines <= 0.5 * n_lines AS kept
+    AND (n_stop >= 0.02 * n_words OR NOT listed) AND n_dup_lines <= 0.5 * n_lines AS kept
 FROM v
 """
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -56,6 +57,16 @@ def test_quality_filter_keeps_all_columns(docs, make):
     assert quality_rules.filter_documents(odd).columns == odd.columns
 
 
+def test_stop_words_bind_the_languages_that_have_some(spark):
+    text = " ".join(f"sana{k} kieli{k}" for k in range(60))  # no stop word of any list
+    rows = [(1, text, "fi"), (2, text, "en"), (3, text, None), (4, text, "EN"), (5, "a b", "fi")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(df, "doc_id").collect()}
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False}
+    assert {r.doc_id for r in quality_rules.filter_documents(df).collect()} == {1}
+    assert not any(r.kept for r in quality_rules.judge(df.drop("lang"), "doc_id").collect())
+
+
 def test_quality_rules_are_native(docs):
     plan = quality_rules.judge(docs, "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
@@ -109,3 +120,26 @@ def test_url_index_takes_the_rarest_token(spark):
 def test_urls_are_native(spark):
     plan = url_filters.judge(table(spark, SF, "pages"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_thousands_of_rules_equal_running_every_expression(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    rules = [url_filters.host_rule(rng.choice(["allow", "block"]), f"{rng.choice(words)}.com", f"/{rng.choice(words)[:rng.randint(0, 4)]}")
+             for _ in range(1500)]
+    rules += [url_filters.pattern_rule(rng.choice(["allow", "block"]), rf"(^|[^a-z0-9]){a}/{b}([^a-z0-9]|$)", a, b)
+              for a, b in (rng.sample(words, 2) for _ in range(1500))]
+    rules.append(url_filters.pattern_rule("block", r"w1\d\dw"))  # without a token: tried on every URL
+    rows = [(k, f"http://{rng.choice(['', 'a.', 'b.c.'])}{rng.choice(words)}.com/{rng.choice(words)}/{rng.choice(words)}{rng.choice(['', 'w', '?q'])}")
+            for k in range(400)] + [(401, None), (402, "none")]
+    got = {r.page_id: (r.verdict, r.rule or r.pattern) for r in url_filters.judge(
+        spark.createDataFrame(rows, "page_id long, url string"), tuple(rules)).collect()}
+    ordered = sorted(rules, key=lambda r: r.rank)
+    hits = 0
+    for page, url in rows:
+        rest = (url or "").partition("://")[2]
+        target = re.sub(r"[?#].*", "", rest)
+        fits = [r for r in ordered if re.search(r.regex, target)]
+        hits += bool(fits)
+        assert got[page] == ((fits[-1].verdict, fits[-1].name) if fits else ("allow", None))
+    assert 100 < hits < 402
