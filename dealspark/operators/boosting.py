@@ -183,7 +183,8 @@ def fit(df: DataFrame, features: Sequence[str], label: str, rounds: int = 100, d
         for level in range(depth):
             grown = range(2 ** level - 1, 2 ** (level + 1) - 1)
             at = _tree_sql(tree, left, lambda n, _: str(n) if n in grown else "CAST(NULL AS INT)")
-            found = _splits(_histogram(rows, at), missing, reg_lambda, min_child_weight).collect()
+            best = _splits(_histogram(rows, at), missing, reg_lambda, min_child_weight)
+            found = best.agg(F.collect_list(F.struct("node", "g", "h", "s")).alias("f")).first()["f"]  # a struct per node
             for r in found:
                 if level == 0:
                     tree[0].value = -rate * r.g / (r.h + reg_lambda)
@@ -223,7 +224,8 @@ def save(model: BoostedTrees, spark: SparkSession, path: str) -> None:
 
 def load(spark: SparkSession, path: str) -> BoostedTrees:
     """A model written by ``save`` (a row per tree, so bounded by the rounds)."""
-    lines = dict(map(tuple, spark.read.parquet(path).collect()))
+    row = spark.read.parquet(path).agg(F.collect_list(F.struct("tree", "nodes")).alias("t")).first()
+    lines = dict(map(tuple, row["t"]))
     head = json.loads(lines.pop(-1))
     trees = [{int(n): Node(**v) for n, v in json.loads(lines[k]).items()} for k in sorted(lines)]
     return BoostedTrees(head["features"], head["base_margin"], trees)
