@@ -2,13 +2,17 @@
 
 Induced sorting classifies suffixes as smaller (S) or larger (L) than the next
 one, sorts the leftmost smaller ones (LMS), and induces the order of all others
-in two linear scans. The scans go bucket by bucket: all suffixes that a bucket
-induces are placed by one stable distribution, and those that it induces in
-itself (runs of one letter) step by step of all runs at once, so the work per
-suffix is vectorised. LMS substrings get names; names that repeat are a smaller string
-whose suffixes are sorted in turn, by the same induction while its alphabet is
-small, and beyond it by doubling: names of twice the length are made from pairs
-of names, for those that are still equal, until all differ.
+in two linear scans. LMS substrings get names; names that repeat are a smaller
+string whose suffixes are sorted in turn by the same induction, at every level
+and for alphabets of any size.
+
+The scans go by batches of neighbouring buckets, none of which induces a suffix
+in another of its batch. All suffixes that a batch induces are placed by one
+stable distribution, and those that a bucket induces in itself (runs of one
+letter) step by step of all runs at once, so the work per suffix is vectorised.
+Where names are many, letters that follow each other are far apart, and a batch
+takes many buckets. Where names ascend one by one (sorted lists) a batch is one
+bucket; batches of a few suffixes are scanned one suffix at a time instead.
 """
 
 from __future__ import annotations
@@ -17,8 +21,8 @@ import numpy as np
 
 from dealspark.llm.rolling import Windows
 
-#: Alphabet up to which a string of names is sorted by induction again.
-SMALL_ALPHABET = 512
+#: A batch of buckets with no more suffixes than this is scanned suffix by suffix, in the same order.
+FEW = 32
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -39,16 +43,13 @@ def _sort(s: np.ndarray) -> np.ndarray:
     counts = np.bincount(s)
     ends = np.cumsum(counts)
     starts = ends - counts
-    order = _induce(s, smaller, lms, starts, ends)
+    letters = np.flatnonzero(counts)
+    batches = _batches(s, smaller, letters)
+    order = _induce(s, smaller, lms, starts, ends, batches)
     in_order = order[_is(lms, n)[order]]  # LMS suffixes, sorted by their LMS substrings
     names, kinds = _name(s, lms, in_order)
-    if kinds == len(lms):
-        ranked = in_order
-    elif kinds <= SMALL_ALPHABET:
-        ranked = lms[_sort(names)]
-    else:
-        ranked = lms[_by_doubling(names)]
-    return _induce(s, smaller, ranked, starts, ends)
+    ranked = in_order if kinds == len(lms) else lms[_sort(names)]
+    return _induce(s, smaller, ranked, starts, ends, batches)
 
 
 def _is(positions: np.ndarray, n: int) -> np.ndarray:
@@ -84,82 +85,79 @@ def _name(s: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> tuple[np.ndar
     return place[lms], int(rank[-1]) + 1
 
 
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix array of ``names`` by doubling; only names that are still equal to others are sorted again."""
-    n = len(names)
-    order = np.argsort(names, kind="stable")
-    sorted_names = names[order]
-    first = np.ones(n, bool)
-    first[1:] = sorted_names[1:] != sorted_names[:-1]
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
-    heads = np.flatnonzero(first)
-    rank[order] = heads[np.cumsum(first) - 1]  # rank: where the group of equals starts
-    span = 1
-    while True:
-        size = np.diff(np.append(np.flatnonzero(first), n))
-        open_ = np.repeat(size > 1, size)
-        at = np.flatnonzero(open_)
-        if not len(at):
-            return order
-        group = rank[order[at]]
-        nxt = rank[np.minimum(order[at] + span, n)]
-        by = np.lexsort((nxt, group))
-        order[at] = order[at][by]
-        group, nxt = group[by], nxt[by]
-        first[at[1:]] = (group[1:] != group[:-1]) | (nxt[1:] != nxt[:-1]) | first[at[1:]]
-        heads = np.flatnonzero(first)
-        rank[order[at]] = heads[np.searchsorted(heads, at, "right") - 1]
-        span *= 2
-
-
-def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _batches(s: np.ndarray, smaller: np.ndarray, letters: np.ndarray) -> tuple[list, list]:
+    """The batches of buckets, as pairs of (first, last) letter, of the scan for
+    L suffixes from the left and of that for S suffixes from the right."""
+    to, by = s[:-1], s[1:]  # the letter of a suffix, and of the one that induces it
+    above = np.full(len(letters) and int(letters[-1]) + 1, np.iinfo(np.int32).max, np.int64)
+    larger = ~smaller[:-1] & (to != by)
+    np.minimum.at(above, by[larger], to[larger])
+    below = np.full(len(above), -1, np.int64)
+    less = smaller[:-1] & (to != by)
+    np.maximum.at(below, by[less], to[less])
+    left = _until(letters, above[letters])
+    right = _until(-letters[::-1], -below[letters[::-1]])
+    return left, [(-last, -first) for first, last in right]
+
+
+def _until(letters: np.ndarray, limits: np.ndarray) -> list[tuple[int, int]]:
+    """Cut ascending ``letters`` into batches whose letters lie before the limits of all of the batch."""
+    out, limit = [], -np.inf
+    for letter, own in zip(letters.tolist(), limits.tolist()):
+        if letter < limit:
+            out[-1] = (out[-1][0], letter)
+            limit = min(limit, own)
+        else:
+            out.append((letter, letter))
+            limit = own
+    return out
+
+
+def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+            batches: tuple[list, list]) -> np.ndarray:
     """All suffixes in the order that the order of the LMS suffixes implies."""
-    n, letters = len(s), np.flatnonzero(ends > starts)
+    n = len(s)
     out = np.full(n, -1, np.int64)
-    marks = np.bincount(s[lms], minlength=len(starts))
-    lms_from = ends - marks
-    _place(out, lms, s[lms], lms_from)
+    _place(out, lms, s[lms], ends - np.bincount(s[lms], minlength=len(starts)))
     here = np.arange(n)
     turn = np.concatenate([[True], s[1:] != s[:-1]])
     run = here - np.maximum.accumulate(np.where(turn, here, 0))  # equal letters right before each position
+    turns = turn[1:]  # the next letter is another one
 
     head = starts.copy()
-
-    def push_larger(found: np.ndarray, c: int) -> None:
-        p = found[found > 0] - 1
-        p = p[~smaller[p] & (s[p] != c)]
-        if len(p):
-            head[:] += _place(out, p, s[p], head)
-
-    for c in letters.tolist():
-        found = out[starts[c]:head[c]]
-        more = _run_back(found, run)
-        out[head[c]:head[c] + len(more)] = more
-        head[c] += len(more)
-        push_larger(out[starts[c]:head[c]], c)
-        if marks[c]:
-            push_larger(out[lms_from[c]:ends[c]], c)
-
+    larger = ~smaller
+    for first, last in batches[0]:
+        batch = out[starts[first]:ends[last]]
+        if len(batch) <= FEW:
+            for k in range(len(batch)):
+                p = batch[k] - 1
+                if p >= 0 and larger[p]:
+                    out[head[s[p]]] = p
+                    head[s[p]] += 1
+            continue
+        back = _run_back(batch[batch >= 0], run)  # an LMS suffix has no equal letter before it
+        _place(out, back, s[back], head)
+        p = batch[batch > 0] - 1
+        p = p[larger[p] & turns[p]]
+        _place(out, p, s[p], head)
+
+    out[(out >= 0) & smaller[out]] = -1  # the LMS suffixes come back among all S ones
     tail = ends.copy()
-
-    def push_smaller(found: np.ndarray, c: int) -> None:
-        p = found[found > 0] - 1
-        p = p[smaller[p] & (s[p] != c)]
-        if len(p):
-            letter = s[p]
-            tail[:] -= np.bincount(letter, minlength=len(tail))
-            # the first one goes to the right end: place the reversed row from the new left end
-            _place(out, p[::-1], letter[::-1], tail)
-
-    for c in letters[::-1].tolist():
-        if c == 0:
-            break  # the sentinel alone
-        more = _run_back(out[tail[c]:ends[c]][::-1], run)
-        out[tail[c] - len(more):tail[c]] = more[::-1]
-        tail[c] -= len(more)
-        push_smaller(out[tail[c]:ends[c]][::-1], c)
-        push_smaller(out[starts[c]:head[c]][::-1], c)
+    for first, last in batches[1]:
+        batch = out[starts[first]:ends[last]][::-1]
+        if len(batch) <= FEW:
+            for k in range(len(batch)):
+                p = batch[k] - 1
+                if p >= 0 and smaller[p]:
+                    tail[s[p]] -= 1
+                    out[tail[s[p]]] = p
+            continue
+        found = batch[batch >= 0]
+        back = _run_back(found[smaller[found]], run)
+        _place(out, back, s[back], tail, down=True)
+        p = batch[batch > 0] - 1
+        p = p[smaller[p] & turns[p]]
+        _place(out, p, s[p], tail, down=True)
     out[0] = n - 1
     return out
 
@@ -177,14 +175,20 @@ def _run_back(found: np.ndarray, run: np.ndarray) -> np.ndarray:
     return found[which[order]] - step[order]
 
 
-def _place(out: np.ndarray, positions: np.ndarray, letter: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Distribute ``positions`` stably over their letters' buckets from ``at``; returns how many each got."""
-    counts = np.bincount(letter, minlength=len(at))
+def _place(out: np.ndarray, positions: np.ndarray, letter: np.ndarray, at: np.ndarray, down: bool = False) -> None:
+    """Distribute ``positions`` stably over their letters' buckets, upwards from
+    ``at`` or downwards before it; ``at`` moves on."""
+    if not len(positions):
+        return
     order = np.argsort(letter.astype(np.uint16) if len(at) <= 1 << 16 else letter, kind="stable")
     letter = letter[order]
-    before = np.cumsum(counts) - counts
-    out[at[letter] + np.arange(len(letter)) - before[letter]] = positions[order]
-    return counts
+    first = np.flatnonzero(np.concatenate([[True], letter[1:] != letter[:-1]]))
+    size = np.diff(np.append(first, len(letter)))
+    which = letter[first]
+    step = np.arange(len(letter)) - np.repeat(first, size)
+    base = np.repeat(at[which], size)
+    out[base - 1 - step if down else base + step] = positions[order]
+    at[which] += -size if down else size
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:

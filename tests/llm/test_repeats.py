@@ -102,9 +102,9 @@ def test_words(docs, texts, make):
     assert substring_dedup.remove_repeats(make([]), 8).count() == 0
 
 
-@pytest.mark.parametrize("small", [2, 512])
-def test_suffix_arrays(monkeypatch, small):
-    monkeypatch.setattr(sa, "SMALL_ALPHABET", small)
+@pytest.mark.parametrize("few", [0, 4, 32])
+def test_suffix_arrays(monkeypatch, few):
+    monkeypatch.setattr(sa, "FEW", few)
     rng = np.random.default_rng(1)
     for k in range(300):
         text = rng.integers(0, rng.integers(1, 6), rng.integers(0, 90)).astype(np.uint8) * int(rng.integers(1, 40))
@@ -120,6 +120,22 @@ def test_suffix_arrays(monkeypatch, small):
             assert shared[b] == n
 
 
+@pytest.mark.parametrize("few", [0, 32])
+def test_induction_at_every_level(monkeypatch, few):
+    """Strings with thousands of names are sorted by the same induction, down to names that all differ."""
+    monkeypatch.setattr(sa, "FEW", few)
+    kinds, sort = [], sa._sort
+    monkeypatch.setattr(sa, "_sort", lambda s: kinds.append(len(np.unique(s))) or sort(s))
+    rng = np.random.default_rng(2)
+    words = sorted({bytes(rng.integers(97, 123, rng.integers(2, 6)).astype(np.uint8)) for _ in range(3000)})
+    shuffled = [words[k] for k in rng.permutation(len(words))]
+    for data in (b" ".join(shuffled) * 2, b" ".join(words) * 2, b" ".join(shuffled[::-1] + words + shuffled)):
+        kinds.clear()
+        order = sa.suffix_array(np.frombuffer(data, np.uint8))
+        assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+        assert len(kinds) > 2 and kinds[1] > 512
+
+
 def thue_morse(n, letters):
     """A word of two letters that fools polynomial hashes modulo powers of two."""
     return "".join(letters[k.bit_count() % 2] for k in range(n))
