@@ -19,23 +19,25 @@ from __future__ import annotations
 
 import numpy as np
 
-from dealspark.llm.rolling import Windows
-
 #: A batch of buckets with no more suffixes than this is scanned suffix by suffix, in the same order.
 FEW = 32
 
+#: LMS substrings are compared letter by letter up to this length, all pairs at a time, and each pair alone beyond.
+SHORT = 32
+
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Start positions of all suffixes of ``text`` (uint8) in lexicographic order; a prefix sorts first."""
     if not len(text):
         return np.zeros(0, np.int64)
     values = np.append(text.astype(np.int32) + 1, 0)
-    return _sort(values)[1:]
+    return _sort(values)[1:].astype(np.int64)
 
 
 def _sort(s: np.ndarray) -> np.ndarray:
     """Suffix array of ``s``, whose last value is its unique smallest, 0."""
     n = len(s)
+    s = s.astype(np.min_scalar_type(int(s.max())))  # narrow letters sort and load faster
     smaller = _classify(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if n == 1 or not len(lms):
@@ -61,7 +63,7 @@ def _is(positions: np.ndarray, n: int) -> np.ndarray:
 def _classify(s: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one; the last one (the sentinel) is."""
     n = len(s)
-    step = np.sign(s[1:] - s[:-1])  # > 0: smaller
+    step = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])  # > 0: smaller
     at = np.where(step != 0, np.arange(n - 1), n)
     following = np.minimum.accumulate(at[::-1])[::-1]  # next place where neighbours differ
     out = np.ones(n, bool)
@@ -74,11 +76,21 @@ def _name(s: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> tuple[np.ndar
     n = len(s)
     stop = np.empty(n, np.int64)
     stop[lms] = np.append(lms[1:] + 1, n)
-    windows = Windows(s)
-    h = windows.at(in_order, stop[in_order])
     length = stop[in_order] - in_order
-    new = np.ones(len(in_order), bool)
-    new[1:] = (h[1:] != h[:-1]) | (length[1:] != length[:-1])
+    left, right = in_order[:-1], in_order[1:]
+    same = length[1:] == length[:-1]
+    at = np.flatnonzero(same)
+    for k in range(SHORT):
+        at = at[length[at] > k]
+        if not len(at):
+            break
+        equal = s[left[at] + k] == s[right[at] + k]
+        same[at[~equal]] = False
+        at = at[equal]
+    for j in at.tolist():  # the few that are longer
+        a, b = left[j], right[j]
+        same[j] = np.array_equal(s[a + SHORT:stop[a]], s[b + SHORT:stop[b]])
+    new = np.concatenate([[True], ~same])
     rank = np.cumsum(new) - 1
     place = np.empty(n, np.int32)
     place[in_order] = rank
@@ -102,30 +114,33 @@ def _batches(s: np.ndarray, smaller: np.ndarray, letters: np.ndarray) -> tuple[l
 
 def _until(letters: np.ndarray, limits: np.ndarray) -> list[tuple[int, int]]:
     """Cut ascending ``letters`` into batches whose letters lie before the limits of all of the batch."""
-    out, limit = [], -np.inf
+    out, first, last, limit = [], None, None, -np.inf
     for letter, own in zip(letters.tolist(), limits.tolist()):
-        if letter < limit:
-            out[-1] = (out[-1][0], letter)
-            limit = min(limit, own)
-        else:
-            out.append((letter, letter))
+        if letter >= limit:
+            out.append((first, last))
+            first, limit = letter, own
+        elif own < limit:
             limit = own
-    return out
+        last = letter
+    return [*out[1:], (first, last)]
 
 
 def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray,
             batches: tuple[list, list]) -> np.ndarray:
     """All suffixes in the order that the order of the LMS suffixes implies."""
     n = len(s)
-    out = np.full(n, -1, np.int64)
+    out = np.full(n, -1, np.int32)
     _place(out, lms, s[lms], ends - np.bincount(s[lms], minlength=len(starts)))
-    here = np.arange(n)
+    larger = ~smaller
+    here = np.arange(n, dtype=np.int32)
     turn = np.concatenate([[True], s[1:] != s[:-1]])
-    run = here - np.maximum.accumulate(np.where(turn, here, 0))  # equal letters right before each position
-    turns = turn[1:]  # the next letter is another one
+    run = np.zeros(n + 1, np.int32)  # equal letters right before each position; the last entry is for empty places, -1
+    run[:n] = here - np.maximum.accumulate(np.where(turn, here, 0))
+    gives_larger, gives_smaller = np.zeros((2, n + 1), bool)  # the suffix before, of another letter, is L; is S
+    gives_larger[1:n] = larger[:-1] & turn[1:]
+    gives_smaller[1:n] = smaller[:-1] & turn[1:]
 
     head = starts.copy()
-    larger = ~smaller
     for first, last in batches[0]:
         batch = out[starts[first]:ends[last]]
         if len(batch) <= FEW:
@@ -135,13 +150,13 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndar
                     out[head[s[p]]] = p
                     head[s[p]] += 1
             continue
-        back = _run_back(batch[batch >= 0], run)  # an LMS suffix has no equal letter before it
+        back = _run_back(batch, run)  # an LMS suffix has no equal letter before it
         _place(out, back, s[back], head)
-        p = batch[batch > 0] - 1
-        p = p[larger[p] & turns[p]]
+        p = batch[gives_larger[batch]] - 1
         _place(out, p, s[p], head)
 
     out[(out >= 0) & smaller[out]] = -1  # the LMS suffixes come back among all S ones
+    run[:n][larger] = 0
     tail = ends.copy()
     for first, last in batches[1]:
         batch = out[starts[first]:ends[last]][::-1]
@@ -152,11 +167,9 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndar
                     tail[s[p]] -= 1
                     out[tail[s[p]]] = p
             continue
-        found = batch[batch >= 0]
-        back = _run_back(found[smaller[found]], run)
+        back = _run_back(batch, run)
         _place(out, back, s[back], tail, down=True)
-        p = batch[batch > 0] - 1
-        p = p[smaller[p] & turns[p]]
+        p = batch[gives_smaller[batch]] - 1
         _place(out, p, s[p], tail, down=True)
     out[0] = n - 1
     return out
@@ -166,9 +179,10 @@ def _run_back(found: np.ndarray, run: np.ndarray) -> np.ndarray:
     """The suffixes that a bucket induces in itself: from each of ``found`` back
     to the start of its run of equal letters, one step of all of them at a time."""
     steps = run[found]
+    found, steps = found[steps > 0], steps[steps > 0]
+    if not len(found):
+        return found
     total = int(steps.sum())
-    if not total:
-        return found[:0]
     which = np.repeat(np.arange(len(found)), steps)
     step = np.arange(1, total + 1) - np.repeat(np.cumsum(steps) - steps, steps)
     order = np.argsort(step, kind="stable")
@@ -180,7 +194,7 @@ def _place(out: np.ndarray, positions: np.ndarray, letter: np.ndarray, at: np.nd
     ``at`` or downwards before it; ``at`` moves on."""
     if not len(positions):
         return
-    order = np.argsort(letter.astype(np.uint16) if len(at) <= 1 << 16 else letter, kind="stable")
+    order = np.argsort(letter, kind="stable")
     letter = letter[order]
     first = np.flatnonzero(np.concatenate([[True], letter[1:] != letter[:-1]]))
     size = np.diff(np.append(first, len(letter)))
