@@ -5,6 +5,9 @@ value for each) packed in binary columns. A shard sees each block's keys once,
 however often they occur in it, so a key that a third of all documents hold
 costs a shard one entry per block. The answers go back as one row per block and
 shard, aligned with the keys, and meet the block where it lies.
+
+A block may send a note to itself along with its requests. It comes back beside
+the answers, so the next step need not derive again where each answer belongs.
 """
 
 from __future__ import annotations
@@ -57,6 +60,37 @@ def requests(block: int, keys: np.ndarray, vals: np.ndarray | None, shards: int)
                "vals": b"" if vals is None else vals[a:b].tobytes()}
 
 
+def note(block: int, *arrays: np.ndarray) -> dict:
+    """A row that carries ``arrays`` (of whole numbers from 0) back to the block; its shard is below zero."""
+    parts = [np.ascontiguousarray(a, np.min_scalar_type(int(a.max(initial=0)))) for a in arrays]
+    head = np.array([v for a in parts for v in (len(a), a.itemsize)], np.int64)
+    return {"shard": -1 - ((block >> 32) * 8191 + block & 0x3FFFFFFF), "block": block,
+            "keys": b"".join([head.tobytes(), *[a.tobytes() for a in parts]]), "vals": b""}
+
+
+def noted(row: list[dict], count: int) -> list[np.ndarray]:
+    """The ``count`` arrays of the block's note among its answers."""
+    data = next(r["answer"] for r in row if r["shard"] < 0)
+    head, at, out = np.frombuffer(data, np.int64, 2 * count), 16 * count, []
+    for size, width in head.reshape(-1, 2).tolist():
+        out.append(np.frombuffer(data, f"u{width}", size, at))
+        at += size * width
+    return out
+
+
+def joined(row: list[dict], dtype) -> np.ndarray:
+    """A block's answers, joined by ascending shard: in the order of ``slots``."""
+    got = sorted((r["shard"], r["answer"]) for r in row if r["shard"] >= 0)
+    return np.frombuffer(b"".join(a for _, a in got), dtype)
+
+
+def slots(of: np.ndarray) -> np.ndarray:
+    """Where the answer to each key, by its shard, lies among the block's joined answers."""
+    out = np.empty(len(of), np.int64)
+    out[np.argsort(of, kind="stable")] = np.arange(len(of))
+    return out
+
+
 def answers_of(row: list[dict] | None, keys: np.ndarray, shards: int, dtype) -> np.ndarray:
     """The answers to ``keys``, in their order; ``row`` has the (shard, answer) of a block."""
     order, numbers, bounds = sharded(keys, shards)
@@ -70,9 +104,11 @@ def answers_of(row: list[dict] | None, keys: np.ndarray, shards: int, dtype) ->
 def answer(requested: DataFrame, decide: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
            val_type, ) -> DataFrame:
     """One row (block, answers) per block: ``decide(keys, vals, blocks)`` gives an
-    answer to each entry of a shard; entries come ordered by block."""
+    answer to each entry of a shard; entries come ordered by block. Notes come back as they are."""
 
     def run(group: pa.Table) -> pa.Table:
+        if group.column("shard")[0].as_py() < 0:
+            return pa.table({"block": group.column("block"), "shard": group.column("shard"), "answer": group.column("keys")})
         group = group.sort_by("block")
         keys = [np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()]
         vals = [np.frombuffer(v, val_type) for v in group.column("vals").to_pylist()] if val_type else None

@@ -175,6 +175,46 @@ class Windows:
         return mix(h)
 
 
+def short_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """Hash (uint32) of each window of 1 to 16 bytes, from its first and its last
+    power of two of bytes. Different windows can share one, so this is for
+    choices that may be any function of the window's bytes."""
+    n = len(data) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint32)
+    span = min(8, 1 << (length.bit_length() - 1))
+    words = _words(data, span).astype(np.uint64)
+    h = words[:n] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    if length > span:
+        h += words[length - span:]
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0x9FB21C651E98DF25)
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+def sparse_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` bytes (4 or more) at each position of ``at``: two
+    sums of its 32-bit words times fixed random numbers, the upper half of each.
+    For positions far apart, where this costs less than hashes of all windows."""
+    words = _words(data, 4)
+    places = [*range(0, length - 3, 4)] + [length - 4] * (length % 4 > 0)
+    factors = mix(np.arange(1, 2 * len(places) + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
+    one, two = np.zeros((2, len(at)), np.uint64)
+    for k, place in enumerate(places):
+        word = words[at + place].astype(np.uint64) + np.uint64(1)
+        one += word * factors[2 * k]
+        two += word * factors[2 * k + 1]
+    return one >> np.uint64(32) | two >> np.uint64(32) << np.uint64(32)
+
+
+def _words(data: np.ndarray, span: int) -> np.ndarray:
+    """The ``span`` (1, 2, 4 or 8) bytes at each position where they fit, as a number."""
+    data = np.ascontiguousarray(data, np.uint8)
+    return np.ndarray(max(len(data) - span + 1, 0), f"<u{span}", data, strides=(1,)).copy()
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of values[i:i + width] for each i where it fits (doubling)."""
     n = len(values) - width + 1

@@ -2,9 +2,10 @@
 
 Induced sorting classifies suffixes as smaller (S) or larger (L) than the next
 one, sorts the leftmost smaller ones (LMS), and induces the order of all others
-in two linear scans. LMS substrings get names; names that repeat are a smaller
-string whose suffixes are sorted in turn by the same induction, at every level
-and for alphabets of any size.
+in two linear scans. LMS substrings get names by their rank; names that repeat
+are a smaller string whose suffixes are sorted in turn by the same induction, at
+every level and for alphabets of any size. LMS substrings are short, so they are
+ranked by their letters, as many at a time as a machine word holds.
 
 The scans go by batches of neighbouring buckets, none of which induces a suffix
 in another of its batch. All suffixes that a batch induces are placed by one
@@ -22,8 +23,8 @@ import numpy as np
 #: A batch of buckets with no more suffixes than this is scanned suffix by suffix, in the same order.
 FEW = 32
 
-#: LMS substrings are compared letter by letter up to this length, all pairs at a time, and each pair alone beyond.
-SHORT = 32
+#: So few LMS substrings that still tie are ranked by their remaining bytes, and more by a word of letters at a time.
+TIES = 64
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -47,19 +48,11 @@ def _sort(s: np.ndarray) -> np.ndarray:
     starts = ends - counts
     letters = np.flatnonzero(counts)
     batches = _batches(s, smaller, letters)
-    order = _induce(s, smaller, lms, starts, ends, batches)
-    in_order = order[_is(lms, n)[order]]  # LMS suffixes, sorted by their LMS substrings
-    names, kinds = _name(s, lms, in_order)
-    ranked = in_order if kinds == len(lms) else lms[_sort(names)]
+    names, kinds = _name(s, smaller, lms)
+    ranked = lms[np.argsort(names) if kinds == len(lms) else _sort(names)]
     return _induce(s, smaller, ranked, starts, ends, batches)
 
 
-def _is(positions: np.ndarray, n: int) -> np.ndarray:
-    mark = np.zeros(n, bool)
-    mark[positions] = True
-    return mark
-
-
 def _classify(s: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one; the last one (the sentinel) is."""
     n = len(s)
@@ -71,30 +64,65 @@ def _classify(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _name(s: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> tuple[np.ndarray, int]:
-    """The name of each LMS substring, in text order: its rank among the distinct ones."""
-    n = len(s)
-    stop = np.empty(n, np.int64)
-    stop[lms] = np.append(lms[1:] + 1, n)
-    length = stop[in_order] - in_order
-    left, right = in_order[:-1], in_order[1:]
-    same = length[1:] == length[:-1]
-    at = np.flatnonzero(same)
-    for k in range(SHORT):
-        at = at[length[at] > k]
-        if not len(at):
-            break
-        equal = s[left[at] + k] == s[right[at] + k]
-        same[at[~equal]] = False
-        at = at[equal]
-    for j in at.tolist():  # the few that are longer
-        a, b = left[j], right[j]
-        same[j] = np.array_equal(s[a + SHORT:stop[a]], s[b + SHORT:stop[b]])
-    new = np.concatenate([[True], ~same])
-    rank = np.cumsum(new) - 1
-    place = np.empty(n, np.int32)
-    place[in_order] = rank
-    return place[lms], int(rank[-1]) + 1
+def _name(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
+    """The name of each LMS substring, in text order: its rank among the distinct ones.
+
+    A substring goes on to the next LMS position. Letters count with their type,
+    L before S, so none is a proper prefix of another: the end of the one would be
+    an S after an L inside the other, which ends there as well.
+    """
+    typed = (s.astype(np.uint32) << np.uint32(1)) | smaller
+    size = np.append(np.diff(lms) + 1, 1)
+    bits = int(typed.max()).bit_length()
+    letters = 64 // bits
+
+    def word(which: np.ndarray, done: int) -> np.ndarray:
+        """The letters after the first ``done`` ones of some substrings, as a number."""
+        out, at, left = np.zeros(len(which), np.uint64), lms[which] + done, size[which] - done
+        for k in range(letters):
+            if k < 2 or not len(which):  # nearly all go on
+                more = np.flatnonzero(left > k)
+            else:
+                more = more[left[more] > k]
+            out[more] |= typed[at[more] + k].astype(np.uint64) << np.uint64(bits * (letters - 1 - k))
+        return out
+
+    first = word(np.arange(len(lms)), 0)
+    order = np.argsort(first)
+    rank, tied = np.empty(len(lms), np.int32), np.zeros(len(lms), bool)
+    rank[order], tied[order] = _ranks(first[order])
+    done, active = letters, np.flatnonzero(tied & (size > letters))
+    while len(active) > TIES:
+        # all that tie go on alike, so ties are complete groups of one rank
+        words, base = word(active, done), rank[active]
+        order = np.lexsort((words, base))
+        active, words, base = active[order], words[order], base[order]
+        new, old = np.ones((2, len(active)), bool)
+        old[1:] = base[1:] != base[:-1]
+        new[1:] = old[1:] | (words[1:] != words[:-1])
+        at = np.arange(len(active), dtype=np.int32)
+        rank[active] = base + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(old, at, 0))
+        done += letters
+        active = active[~(new & np.append(new[1:], True)) & (size[active] > done)]
+    groups: dict[int, list[tuple[bytes, int]]] = {}
+    for k in active.tolist():
+        rest = typed[lms[k] + done:lms[k] + size[k]].astype(">u4").tobytes()
+        groups.setdefault(int(rank[k]), []).append((rest, k))
+    for base, group in groups.items():
+        group.sort()
+        for j, (rest, k) in enumerate(group):
+            rank[k] = rank[group[j - 1][1]] if j and rest == group[j - 1][0] else base + j
+    used = np.zeros(len(lms), bool)
+    used[rank] = True
+    return (np.cumsum(used, dtype=np.int32) - 1)[rank].astype(np.int32), int(used.sum())
+
+
+def _ranks(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted values: how many are smaller than each, and whether another one equals it."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    rank = np.maximum.accumulate(np.where(new, np.arange(len(ordered), dtype=np.int32), 0))
+    return rank, ~(new & np.append(new[1:], True))
 
 
 def _batches(s: np.ndarray, smaller: np.ndarray, letters: np.ndarray) -> tuple[list, list]:
@@ -103,10 +131,10 @@ def _batches(s: np.ndarray, smaller: np.ndarray, letters: np.ndarray) -> tuple[l
     to, by = s[:-1], s[1:]  # the letter of a suffix, and of the one that induces it
     above = np.full(len(letters) and int(letters[-1]) + 1, np.iinfo(np.int32).max, np.int64)
     larger = ~smaller[:-1] & (to != by)
-    np.minimum.at(above, by[larger], to[larger])
+    np.minimum.at(above, by[larger].astype(np.intp), to[larger].astype(np.int64))
     below = np.full(len(above), -1, np.int64)
     less = smaller[:-1] & (to != by)
-    np.maximum.at(below, by[less], to[less])
+    np.maximum.at(below, by[less].astype(np.intp), to[less].astype(np.int64))
     left = _until(letters, above[letters])
     right = _until(-letters[::-1], -below[letters[::-1]])
     return left, [(-last, -first) for first, last in right]

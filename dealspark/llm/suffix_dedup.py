@@ -13,6 +13,10 @@ occurs more than once in the corpus.
    entry per block, however often it occurs), and blocks mark the starts of
    classes that occur twice or more.
 
+Each step sends a note with its requests that tells which answer belongs to
+which place, so the next step neither searches nor hashes the text again.
+Anchors only choose what is sorted, so short hashes do for them.
+
 Classes travel as 64 bits of their string's hash, checked against 15 more.
 
 Defined cases: a null text is empty; a text shorter than ``length`` keeps all
@@ -33,7 +37,7 @@ from pyspark.sql.types import StructType
 
 from dealspark.llm import exchange
 from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
-from dealspark.llm.rolling import Windows, closed_syncmers
+from dealspark.llm.rolling import Windows, closed_syncmers, short_hashes, sparse_hashes
 from dealspark.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 200
@@ -71,43 +75,50 @@ def _decide_texts(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.
     return out
 
 
+def _text_requests(row: dict, shards: int) -> Iterator[dict]:
+    keys, vals, which, _ = _texts(row)
+    yield from exchange.requests(row["block"], keys, vals, shards)
+    yield exchange.note(row["block"], exchange.slots(exchange.shard_of(keys, shards))[which])
+
+
 class Part:
     """The documents of a block that stand for their texts, one after another."""
 
-    def __init__(self, row: dict, shards: int):
+    def __init__(self, row: dict):
         self.ids, self.offsets, self.raw = unpack(row)
-        keys, _, which, first = _texts(row)
-        got = exchange.answers_of(row["texts"], keys, shards, np.uint8)
-        self.copied = (got & 1)[which].astype(bool)  # per document
+        got, (slot,) = exchange.joined(row["texts"], np.uint8), exchange.noted(row["texts"], 1)
+        self.copied = (got & 1)[slot].astype(bool)  # per document
+        _, first = np.unique(slot, return_index=True)  # of each distinct text
         self.chosen = np.sort(first[got >= 2])
         lens = np.diff(self.offsets)[self.chosen]
         self.bounds = np.concatenate([[0], np.cumsum(lens)])
         inside = np.zeros(len(self.raw) + 1, np.int8)
         np.add.at(inside, self.offsets[self.chosen], 1)
         np.add.at(inside, self.offsets[self.chosen + 1], -1)
-        self.data = self.raw[np.cumsum(inside[:-1]).astype(bool)]
-        self.hashes = Windows(self.data)
+        self.data = self.raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
 
     def fits(self, length: int) -> np.ndarray:
         """Whether ``length`` bytes from each position stay in its document."""
-        n = max(len(self.data) - length + 1, 0)
-        room = np.repeat(self.bounds[1:], np.diff(self.bounds))[:n]
-        return np.arange(n) + length <= room
+        first, last = self.bounds[:-1], self.bounds[1:] - length + 1
+        room = last > first
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[first[room]], edge[last[room]] = 1, -1
+        return np.cumsum(edge[:max(len(self.data) - length + 1, 0)], dtype=np.int8).view(bool)
 
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the closed syncmers of half of ``length``, and their hashes."""
         size = length // 2
         inner = min(INNER, max(1, size // 4))
         fits = self.fits(size)
-        at = np.flatnonzero(closed_syncmers(self.hashes.all(inner), size - inner + 1)[:len(fits)] & fits)
-        return at, self.hashes.at(at, at + size)
+        at = np.flatnonzero(closed_syncmers(short_hashes(self.data, inner), size - inner + 1)[:len(fits)] & fits)
+        return at, sparse_hashes(self.data, at, size)
 
 
-def _anchor_requests(row: dict, length: int, text_shards: int, shards: int) -> Iterator[dict]:
-    part = Part(row, text_shards)
-    _, hashes = part.anchors(length)
-    keys, n = np.unique(hashes, return_counts=True)
+def _anchor_requests(row: dict, length: int, shards: int) -> Iterator[dict]:
+    at, hashes = Part(row).anchors(length)
+    keys, which, n = np.unique(hashes, return_inverse=True, return_counts=True)
     yield from exchange.requests(row["block"], keys, np.minimum(n, 2).astype(np.uint8), shards)
+    yield exchange.note(row["block"], np.diff(at, prepend=0), exchange.slots(exchange.shard_of(keys, shards))[which])
 
 
 def _twice(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
@@ -115,14 +126,14 @@ def _twice(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray
     return (np.bincount(group, weights=vals) > 1)[group].astype(np.uint8)
 
 
-def _candidates(part: Part, row: dict, length: int, shards: int) -> np.ndarray:
+def _candidates(part: Part, row: dict, length: int) -> np.ndarray:
     """Whether all anchors in the string that starts at each position repeat."""
-    at, hashes = part.anchors(length)
-    keys, which = np.unique(hashes, return_inverse=True)
-    good = exchange.answers_of(row["anchors"], keys, shards, np.uint8)[which].astype(bool)
+    gaps, slot = exchange.noted(row["anchors"], 2)
+    at = np.cumsum(gaps, dtype=np.int64)
+    good = exchange.joined(row["anchors"], np.uint8)[slot].astype(bool)
     bad = np.zeros(len(part.data) + 1, np.int32)
     bad[at[~good] + 1] = 1
-    bad = np.cumsum(bad)  # anchors before each position that do not repeat
+    np.cumsum(bad, out=bad)  # anchors before each position that do not repeat
     fits = part.fits(length)
     n = len(fits)
     reach = length - length // 2 + 1
@@ -135,22 +146,22 @@ def _runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _classes(part: Part, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a position, number of positions) of each class of equal strings among
-    the candidate ``starts``, from the suffix array of the text they cover."""
-    first, last = _runs(starts)
-    if not len(first):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _classes(data: np.ndarray, first: np.ndarray, last: np.ndarray,
+             length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The classes of equal strings among the candidate starts, which are the runs
+    [first, last), from the suffix array of the text they cover: that text, the
+    first position in it and the number of positions of each class (ascending by
+    position), and the class of each start."""
     size = last - first + length - 1  # text of a run of starts
     begin = np.concatenate([[0], np.cumsum(size + 1)])  # a separator byte after each run
     n = int(begin[-1])
     origin = np.repeat(first - begin[:-1], size + 1) + np.arange(n)
-    text = part.data[np.minimum(origin, len(part.data) - 1)].copy()
+    text = data[np.minimum(origin, len(data) - 1)]
     text[begin[1:] - 1] = 0
     valid = np.zeros(n + 1, np.int8)
     valid[begin[:-1]] = 1
-    np.add.at(valid, begin[:-1] + (last - first), -1)
-    valid = np.cumsum(valid[:n]).astype(bool)
+    valid[begin[:-1] + (last - first)] = -1
+    valid = np.cumsum(valid[:n], dtype=np.int8).view(bool)
     order = suffix_array(text)
     shared = common_prefixes(text, order)
     kind = np.cumsum(shared[order] < length)
@@ -159,16 +170,42 @@ def _classes(part: Part, starts: np.ndarray, length: int) -> tuple[np.ndarray, n
     new = np.ones(len(order), bool)
     new[1:] = kind[1:] != kind[:-1]
     heads = np.flatnonzero(new)
-    return origin[order[heads]], np.diff(np.append(heads, len(order)))
+    at = np.minimum.reduceat(order, heads)
+    by_place = np.argsort(at)
+    number = np.empty(len(at), np.int32)
+    number[by_place] = np.arange(len(at), dtype=np.int32)
+    of = np.empty(n, np.int32)
+    of[order] = number[np.cumsum(new) - 1]
+    return text, at[by_place], np.diff(np.append(heads, len(order)))[by_place], of[valid]
+
+
+def _class_requests(row: dict, length: int, shards: int) -> Iterator[dict]:
+    part = Part(row)
+    first, last = _runs(_candidates(part, row, length))
+    if not len(first):
+        yield exchange.note(row["block"], *[first] * 5)
+        return
+    text, at, n, of = _classes(part.data, first, last, length)
+    keys = Windows(text).at(at, at + length)
+    check = Windows(text, SECOND_BASE).at(at, at + length).astype(np.uint16) & np.uint16(0x7FFF)
+    yield from exchange.requests(row["block"], keys, check | (n > 1).astype(np.uint16) << np.uint16(15), shards)
+    # the classes of starts that follow each other mostly do so too: a jump is where they do not
+    jumps = np.flatnonzero(np.diff(of, prepend=np.int32(-2)) != 1)
+    yield exchange.note(row["block"], first, last - first, np.diff(jumps, append=len(of)), of[jumps],
+                        exchange.shard_of(keys, shards))
 
 
-def _class_requests(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int) -> Iterator[dict]:
-    part = Part(row, text_shards)
-    at, n = _classes(part, _candidates(part, row, length, anchor_shards), length)
-    order = np.argsort(keys := part.hashes.at(at, at + length))
-    at, n, keys = at[order], n[order], keys[order]
-    check = Windows(part.data, SECOND_BASE).at(at, at + length).astype(np.uint16) & np.uint16(0x7FFF)
-    yield from exchange.requests(row["block"], keys, check | (n > 1).astype(np.uint16) << np.uint16(15), shards)
+def _repeated_starts(row: dict) -> np.ndarray:
+    """The starts whose classes occur twice or more, from the block's note and its answers."""
+    first, size, stretch, base, shard = exchange.noted(row["classes"], 5)
+    repeated = exchange.joined(row["classes"], np.uint8).astype(bool)[exchange.slots(shard)]
+    starts = _ranges(first.astype(np.int64), size.astype(np.int64))
+    return starts[repeated[_ranges(base.astype(np.int64), stretch.astype(np.int64))]]
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (size[0] numbers), first[1], ..."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def _repeated(keys: np.ndarray, vals: np.ndarray, blocks: np.ndarray) -> np.ndarray:
@@ -202,16 +239,13 @@ RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_r
                           ("kept", pa.binary()), ("extra", pa.string())])
 
 
-def _results(row: dict, length: int, text_shards: int, anchor_shards: int, shards: int,
-             characters: bool) -> Iterator[dict]:
-    part = Part(row, text_shards)
-    at = np.flatnonzero(_candidates(part, row, length, anchor_shards))
-    keys, which = np.unique(part.hashes.at(at, at + length), return_inverse=True)
-    at = at[exchange.answers_of(row["classes"], keys, shards, np.uint8)[which].astype(bool)]
+def _results(row: dict, length: int, characters: bool) -> Iterator[dict]:
+    part = Part(row)
+    at = _repeated_starts(row)
     depth = np.zeros(len(part.data) + 1, np.int32)
     depth[at] += 1
-    np.subtract.at(depth, at + length, 1)
-    gone = np.cumsum(depth[:-1]) > 0
+    depth[at + length] -= 1
+    gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
     place = dict(zip(part.chosen.tolist(), range(len(part.chosen))))
     whole = memoryview(part.raw)
     for k, doc_id in enumerate(part.ids.tolist()):
@@ -245,24 +279,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, extra: str | None = No
     anchor_shards = exchange.shard_count(packed, 4 / length)
     shards = exchange.shard_count(packed, 0.2)
 
-    def texts(row: dict) -> Iterator[dict]:
-        keys, vals, _, _ = _texts(row)
-        yield from exchange.requests(row["block"], keys, vals, text_shards)
-
     def ask(df: DataFrame, run) -> DataFrame:
         return exchange.map_blocks(df.drop("extra"), run, exchange.REQUEST, exchange.REQUEST_ARROW)
 
     def reply(df: DataFrame, decide, kind, name: str) -> DataFrame:
         return stored(exchange.answer(df, decide, kind).withColumnRenamed("answers", name), f"suffix_{name}")
 
-    known = answered(packed, reply(ask(packed, texts), _decide_texts, TEXT_VAL, "texts"))
-    known = answered(known, reply(
-        ask(known, lambda r: _anchor_requests(r, length, text_shards, anchor_shards)), _twice, np.uint8, "anchors"))
-    known = answered(known, reply(
-        ask(known, lambda r: _class_requests(r, length, text_shards, anchor_shards, shards)),
-        _repeated, np.uint16, "classes"))
-    return exchange.map_blocks(known, lambda r: _results(r, length, text_shards, anchor_shards, shards, characters),
-                               RESULT, RESULT_ARROW)
+    known = answered(packed, reply(ask(packed, lambda r: _text_requests(r, text_shards)), _decide_texts, TEXT_VAL, "texts"))
+    anchors = reply(ask(known, lambda r: _anchor_requests(r, length, anchor_shards)), _twice, np.uint8, "anchors")
+    classes = reply(ask(answered(known, anchors), lambda r: _class_requests(r, length, shards)),
+                    _repeated, np.uint16, "classes")
+    return exchange.map_blocks(answered(known, classes), lambda r: _results(r, length, characters), RESULT, RESULT_ARROW)
 
 
 def clean_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
