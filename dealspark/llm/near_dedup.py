@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from dealspark.llm import exchange
 from dealspark.llm.common import NULL_ID, answered, blocks, stored, unpack
-from dealspark.llm.components import components
+from dealspark.llm.components import components, parents
 from dealspark.llm.rolling import Windows, mix
 
 SYMBOLS, BITS, CHUNKS, MAX_DISTANCE = 64, 16, 11, 21
@@ -415,7 +415,7 @@ def _links(packed: DataFrame, members: DataFrame, met: DataFrame, size: int, per
         return stored(_verified(_member_sets(packed, dealt, size), percent), "near_links")
 
     def classed(links: DataFrame) -> DataFrame:
-        found = stored(components(links), "near_classes").select(F.col("node").alias("id"), F.col("component").alias("class"))
+        found = parents(links).select(F.col("node").alias("id"), F.col("component").alias("class"))
         return stored(many.join(found, "id", "left").withColumn("class", F.coalesce("class", "id")), "near_classed")
 
     large = stored(_large(members), "near_large")
@@ -433,9 +433,9 @@ def _links(packed: DataFrame, members: DataFrame, met: DataFrame, size: int, per
 
 def _same_id(rows: DataFrame) -> DataFrame | None:
     """(a, b): links between the different sets of one doc_id."""
-    pairs = rows.where("n_shingles > 0").select("doc_id", "name").distinct()
-    several = stored(pairs.groupBy("doc_id").agg(F.min("name").alias("a"), F.count("*").alias("n")).where("n > 1"), "near_shared_ids")
-    return None if several.isEmpty() else pairs.join(several, "doc_id").select("a", F.col("name").alias("b"))
+    full = rows.where("n_shingles > 0").select("doc_id", "name")
+    several = stored(full.groupBy("doc_id").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z"), "near_shared_ids")
+    return None if several.isEmpty() else full.join(several, "doc_id").select("a", F.col("name").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -464,7 +464,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.col("name").alias("id"), F.col("component").alias("pool"), "block", "at", "n_shingles"), "near_members")
     links = _links(packed, members, met, size, percent)
     same = _same_id(rows)
-    found = stored(components(links if same is None else links.union(same)), "near_components")
+    found = parents(links if same is None else links.union(same))
 
     full = rows.where("n_shingles > 0")
     sets = full.groupBy("name").agg(F.min("doc_id").alias("low"))

@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from dealspark.llm import components as cp
 from dealspark.llm import near_dedup as nd
 from dealspark.llm.components import components
 
@@ -110,6 +111,50 @@ def test_components(spark, links):
     assert out == parent
 
 
+def smallest_reachable(links):
+    low = {n: n for link in links for n in link}
+    while any(low[a] != low[b] for a, b in links):
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+def test_contract():
+    rng = np.random.default_rng(5)
+    for n, m in ((1, 1), (2, 5), (30, 20), (400, 380), (400, 2000)):
+        links = rng.integers(-n, n, (m, 2))
+        links = np.concatenate([links, [[-2 ** 63, 2 ** 63 - 1]]])
+        nodes, roots = cp.contract(links[:, 0], links[:, 1])
+        assert dict(zip(nodes.tolist(), roots.tolist())) == {k: v for k, v in smallest_reachable(links.tolist()).items() if k != v}
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_components_take_few_turns(spark, monkeypatch, apart):
+    """One table is written a turn. Before, the tables of a turn were four, 33 in
+    all for these chains, rings and a hub. ``apart``: each shard is a task of its own, so little is done within tasks."""
+    written = []
+    monkeypatch.setattr(cp, "stored", lambda df, name, real=cp.stored: written.append(name) or real(df, name))
+    own = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "64k"} if apart else {}
+    before = {k: spark.conf.get(k) for k in own}
+    rng = np.random.default_rng(6)
+    name = rng.permutation(2000).tolist()
+    links = [(name[k], name[k + 1]) for k in range(399)]  # a chain
+    links += [(name[400 + k], name[400 + (k + 1) % 300]) for k in range(300)]  # a ring
+    links += [(name[700], name[k]) for k in range(701, 1500)]  # a hub
+    links += [(name[a], name[b]) for a, b in rng.integers(1500, 2000, (420, 2)).tolist()]
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        out = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(40)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert out == {k: v for k, v in smallest_reachable(links).items() if k in linked}
+    assert len(written) <= 12
+
+
 def test_filter_keeps_one_of_each_group(docs, texts):
     out = nd.filter_documents(docs)
     assert out.schema == docs.schema
